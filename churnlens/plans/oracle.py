@@ -171,3 +171,161 @@ SELECT mw.MembershipID AS member_id, mw.week, mw.engagement, mw.pause AS paused{
 FROM mw JOIN eligible e ON e.MembershipID = mw.MembershipID
 LEFT JOIN base lbl ON lbl.MembershipID = mw.MembershipID
 """
+
+
+# ---------------------------------------------------------------- weekly features
+
+def sql_features(T) -> str:
+    """Panel with flags -> features. EMA/volatility via recursive CTEs (an independent
+    formulation of the closed form used on the Spark side); droughts via islands."""
+    a = 2.0 / (C.EMA_SPAN + 1.0)
+    b = 1.0 - a
+    return f"""
+WITH RECURSIVE p AS ({sql_panel(T, labels=False, flags=True)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY week) AS rn FROM p),
+e(member_id, rn, ema) AS (
+  SELECT member_id, rn, CAST(engagement AS DOUBLE) FROM r WHERE rn = 1
+  UNION ALL
+  SELECT r.member_id, r.rn, {b} * e.ema + {a} * r.engagement
+  FROM e JOIN r ON r.member_id = e.member_id AND r.rn = e.rn + 1),
+m AS (
+  SELECT r.*, e.ema,
+         coalesce(e.ema - lag(e.ema) OVER (PARTITION BY r.member_id ORDER BY r.week), 0.0) AS momentum,
+         abs(r.engagement - e.ema) AS absdev
+  FROM r JOIN e ON r.member_id = e.member_id AND r.rn = e.rn),
+v(member_id, rn, volatility) AS (
+  SELECT member_id, rn, absdev FROM m WHERE rn = 1
+  UNION ALL
+  SELECT m.member_id, m.rn, {b} * v.volatility + {a} * m.absdev
+  FROM v JOIN m ON m.member_id = v.member_id AND m.rn = v.rn + 1),
+g AS (
+  SELECT m.*, v.volatility,
+         sum(CASE WHEN m.engagement <> 0 THEN 1 ELSE 0 END)
+           OVER (PARTITION BY m.member_id ORDER BY m.week ROWS UNBOUNDED PRECEDING) AS g1,
+         sum(CASE WHEN m.engagement <> 0 OR coalesce(m.paused, 0) = 1 THEN 1 ELSE 0 END)
+           OVER (PARTITION BY m.member_id ORDER BY m.week ROWS UNBOUNDED PRECEDING) AS g2
+  FROM m JOIN v ON m.member_id = v.member_id AND m.rn = v.rn),
+f AS (
+  SELECT member_id, week, engagement, paused, payment_failed, discount_active, price_change, canceled,
+         ema, momentum, volatility,
+         CAST(CASE WHEN engagement <> 0 THEN 0 ELSE
+              row_number() OVER (PARTITION BY member_id, g1 ORDER BY week) - CASE WHEN g1 > 0 THEN 1 ELSE 0 END END AS INTEGER) AS drought,
+         CAST(CASE WHEN engagement <> 0 OR coalesce(paused, 0) = 1 THEN 0 ELSE
+              row_number() OVER (PARTITION BY member_id, g2 ORDER BY week) - CASE WHEN g2 > 0 THEN 1 ELSE 0 END END AS INTEGER) AS drought_active,
+         (rank() OVER (PARTITION BY member_id ORDER BY engagement)
+            + (count(*) OVER (PARTITION BY member_id, engagement) - 1) / 2.0)
+            / count(*) OVER (PARTITION BY member_id) AS pct_self,
+         CAST(date_diff('day', min(week) OVER (PARTITION BY member_id), week) // 7 AS INTEGER) AS tenure_weeks,
+         sin(2 * pi() * weekofyear(week) / 52.0) AS sin_woy,
+         cos(2 * pi() * weekofyear(week) / 52.0) AS cos_woy,
+         {_z('engagement')} AS engagement_z,
+         {_z('ema')} AS ema_z,
+         {_z('momentum')} AS momentum_z,
+         {_z('volatility')} AS volatility_z,
+         0 AS negative_feedback, 0 AS campaign_exposed
+  FROM g)
+"""
+
+
+def _z(c: str) -> str:
+    sd = f"stddev_samp({c}) OVER (PARTITION BY member_id)"
+    return f"(({c} - avg({c}) OVER (PARTITION BY member_id)) / (CASE WHEN {sd} <> 0 THEN {sd} END + {C.ZSCORE_EPS}))"
+
+
+def sql_reasons(k_weeks: int = C.K_WEEKS) -> str:
+    tags = (f"CASE WHEN momentum_z < {C.MOMENTUM_Z_CUT} THEN 'negative_momentum' END, "
+            f"CASE WHEN drought_active >= {max(2, k_weeks // 2)} THEN 'drought_streak' END, "
+            f"CASE WHEN volatility_z > {C.VOLATILITY_Z_CUT} THEN 'erratic_usage' END, "
+            f"CASE WHEN payment_failed = 1 THEN 'payment_issue' END, "
+            f"CASE WHEN price_change = 1 AND discount_active = 0 THEN 'price_sensitivity' END")
+    return (f"CASE WHEN coalesce(paused, 0) = 1 THEN 'paused_state' "
+            f"WHEN concat_ws('|', {tags}) = '' THEN 'none' ELSE concat_ws('|', {tags}) END")
+
+
+def sql_surrogate() -> str:
+    return "round(1.0 / (1.0 + exp(-(0.3 * drought_active - 0.5 * coalesce(momentum_z, 0.0) - 1.0))), 6)"
+
+
+def sql_future_label(k_weeks: int = C.K_WEEKS) -> str:
+    ev = f"CASE WHEN coalesce(canceled, 0) = 1 THEN 1 ELSE CAST(drought_active >= {C.DROUGHT_EVENT_WEEKS} AS INTEGER) END"
+    return (f"CAST(max({ev}) OVER (PARTITION BY member_id ORDER BY week ROWS BETWEEN CURRENT ROW AND {k_weeks - 1} FOLLOWING) "
+            f"AS INTEGER)")
+
+
+def sql_scores(T, k_weeks: int = C.K_WEEKS) -> str:
+    """features CTEs + sc (member-week scores)."""
+    return sql_features(T) + f""",
+sc AS (
+  SELECT member_id, week, {sql_surrogate()} AS prob_churn_{k_weeks}w, {sql_surrogate()} AS EWS,
+         {sql_reasons(k_weeks)} AS reasons, engagement, paused
+  FROM f)
+"""
+
+
+def sql_primary_reason(col: str = "reasons") -> str:
+    arr = f"list_filter(list_transform(string_split({col}, '|'), lambda x: trim(x)), lambda x: x <> '')"
+    picks = ", ".join(f"CASE WHEN list_contains({arr}, '{r}') THEN '{r}' END" for r in C.PRIMARY_REASON_ORDER)
+    return f"CASE WHEN len({arr}) = 0 THEN 'none' ELSE coalesce({picks}, {arr}[1]) END"
+
+
+def sql_risk_band(col: str) -> str:
+    parts = " ".join(f"WHEN {col} >= {cut} THEN '{label}'" for cut, label in C.RISK_BANDS)
+    return f"CASE {parts} ELSE '{C.RISK_BAND_ELSE}' END"
+
+
+def sql_severity(col: str) -> str:
+    parts = " ".join(f"WHEN {col} = '{r}' THEN {i}" for i, r in enumerate(C.SEVERITY_ORDER))
+    return f"CAST(CASE {parts} ELSE {C.SEVERITY_UNKNOWN} END AS INTEGER)"
+
+
+def sql_relabel(col: str) -> str:
+    parts = " ".join(f"WHEN {col} = '{a}' THEN '{b}'" for a, b in C.REASON_RELABEL.items())
+    return f"CASE {parts} ELSE {col} END"
+
+
+def sql_snapshot(T, relabel: bool = False) -> str:
+    """scores CTEs + latest (preferring non-paused) + global average-rank percentile."""
+    mr = sql_primary_reason("reasons")
+    main = sql_relabel(f"({mr})") if relabel else mr
+    reasons = sql_relabel("reasons") if relabel else "reasons"
+    return sql_scores(T) + f""",
+lt AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY member_id
+                                 ORDER BY CASE WHEN paused = 0 THEN 0 ELSE 1 END, week DESC) AS _rn
+    FROM sc) WHERE _rn = 1),
+snap AS (
+  SELECT member_id, week, prob_churn_6w, EWS, {reasons} AS reasons, engagement, paused,
+         (rank() OVER (ORDER BY EWS) + (count(*) OVER (PARTITION BY EWS) - 1) / 2.0) / count(*) OVER () AS ews_pct,
+         {sql_risk_band('((rank() OVER (ORDER BY EWS) + (count(*) OVER (PARTITION BY EWS) - 1) / 2.0) / count(*) OVER ())')} AS risk_band,
+         {main} AS main_reason
+  FROM lt)
+"""
+
+
+def sql_playbook_values() -> str:
+    rows = ", ".join(f"({q(r)}, {q(t)}, {q(s)}, {q(m)})" for r, t, s, m in C.PLAYBOOK)
+    return f"(VALUES {rows}) AS pb(reason, action_tag, subject, message)"
+
+
+def sql_with_playbook(src: str, reason_col: str = "main_reason") -> str:
+    none = [r for r in C.PLAYBOOK if r[0] == "none"][0]
+    return (f"SELECT s.*, coalesce(pb.action_tag, {q(none[1])}) AS action_tag, coalesce(pb.subject, {q(none[2])}) AS subject, "
+            f"coalesce(pb.message, {q(none[3])}) AS message FROM {src} s LEFT JOIN {sql_playbook_values()} "
+            f"ON s.{reason_col} = pb.reason")
+
+
+QUEUE_COLS = "member_id, week, engagement, paused, EWS, risk_band, main_reason, reasons, action_tag, subject, message"
+
+
+def sql_active_candidates(T, cooldown: int | None = C.COOLDOWN_DAYS) -> str:
+    """snapshot CTEs + act (active, cooled-down, with playbook and sev_rank)."""
+    cd = ""
+    if cooldown is not None:
+        cd = (f" LEFT JOIN (SELECT member_id, max(last_contact_date) AS last_contact_date FROM ({sql_recent_contacts(T)}) rc0 "
+              f"GROUP BY member_id) rc ON a0.member_id = rc.member_id "
+              f"WHERE rc.last_contact_date IS NULL OR date_diff('day', rc.last_contact_date, a0.week) >= {cooldown}")
+    return sql_snapshot(T, relabel=False) + f""",
+act0 AS (SELECT a0.* FROM (SELECT * FROM snap WHERE paused = 0) a0{cd}),
+act AS (SELECT *, {sql_severity('main_reason')} AS sev_rank FROM ({sql_with_playbook('act0')}) x)
+"""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import config as C
+
 from ..operators import weekly as WK
 from ..sources import fixtures as FX
 from . import oracle as O
@@ -27,3 +29,218 @@ def q_scan_attendance(spark, sf_dir):
 @register("job_weekly_panel", lambda: O.sql_panel(AS_OF, labels=True, flags=False))
 def q_weekly_panel(spark, sf_dir):
     return WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF, labels=True)
+
+
+# --- weekly features ---------------------------------------------------------
+
+from ..functions import reasons as R  # noqa: E402
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import outreach as OR  # noqa: E402
+from ..operators import ranking as RK  # noqa: E402
+from ..operators import snapshot as SN  # noqa: E402
+
+
+def _panel_flags(spark, sf_dir, labels=False):
+    return WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF, labels=labels, flags=True)
+
+
+def _features(spark, sf_dir):
+    return WK.member_features(_panel_flags(spark, sf_dir))
+
+
+def _feature_query(key: str, cols: list[str]):
+    sel = ", ".join(["member_id", "week"] + [c if c.isidentifier() else f'"{c}"' for c in cols])
+
+    def sql():
+        out = []
+        for c in cols:
+            out.append(O.r6(c) + f" AS {c}" if c in DOUBLE_FEATURES else c)
+        return O.sql_features(AS_OF) + f"SELECT member_id, week, {', '.join(out)} FROM f"
+
+    def fn(spark, sf_dir):
+        return _features(spark, sf_dir).select("member_id", "week", *cols)
+
+    register(key, sql)(fn)
+
+
+DOUBLE_FEATURES = {"ema", "momentum", "volatility", "pct_self", "sin_woy", "cos_woy",
+                   "engagement_z", "ema_z", "momentum_z", "volatility_z"}
+
+_feature_query("ema", ["engagement", "ema"])
+_feature_query("momentum", ["ema", "momentum"])
+_feature_query("volatility", ["volatility"])
+_feature_query("drought", ["engagement", "drought"])
+_feature_query("drought_active", ["engagement", "paused", "drought_active"])
+_feature_query("pct_self", ["engagement", "pct_self"])
+_feature_query("tenure_weeks", ["tenure_weeks"])
+_feature_query("zscore_by_member", ["engagement_z", "ema_z", "momentum_z", "volatility_z"])
+_feature_query("member_stats", ["engagement", "engagement_z"])
+_feature_query("season_sin_cos", ["sin_woy", "cos_woy"])
+_feature_query("default_flags", ["payment_failed", "discount_active", "price_change", "negative_feedback",
+                                 "campaign_exposed"])
+_feature_query("sort_panel", ["engagement", "paused"])
+
+
+@register("future_k_label", lambda: O.sql_features(AS_OF) +
+          f"SELECT member_id, week, drought_active, canceled, {O.sql_future_label()} AS y_nextk FROM f")
+def q_future_k_label(spark, sf_dir):
+    return WK.future_k_label(_features(spark, sf_dir)).select("member_id", "week", "drought_active", "canceled", "y_nextk")
+
+
+@register("churn_event_proxy", lambda: O.sql_features(AS_OF) +
+          "SELECT member_id, week, CASE WHEN coalesce(canceled, 0) = 1 THEN 1 ELSE "
+          f"CAST(drought_active >= {C.DROUGHT_EVENT_WEEKS} AS INTEGER) END AS churn_this_week FROM f")
+def q_churn_event(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return f.select("member_id", "week", WK.churn_event(f).cast("int").alias("churn_this_week"))
+
+
+# --- scores, reasons, snapshot ----------------------------------------------
+
+def _scores(spark, sf_dir):
+    return SN.score_frame(WK.surrogate_ews(_features(spark, sf_dir)))
+
+
+def _snapshot(spark, sf_dir, relabel=False):
+    snap = SN.build_snapshots(_scores(spark, sf_dir))
+    return SN.relabel_snapshot(snap) if relabel else snap
+
+
+@register("reason_codes", lambda: O.sql_scores(AS_OF) + "SELECT member_id, week, reasons FROM sc")
+def q_reason_codes(spark, sf_dir):
+    return _scores(spark, sf_dir).select("member_id", "week", "reasons")
+
+
+@register("score_surrogate", lambda: O.sql_scores(AS_OF) + f"SELECT member_id, week, {O.r6('EWS')} AS EWS, "
+          f"{O.r6('prob_churn_6w')} AS prob_churn_6w FROM sc")
+def q_score(spark, sf_dir):
+    return _scores(spark, sf_dir).select("member_id", "week", "EWS", "prob_churn_6w")
+
+
+@register("primary_reason", lambda: O.sql_scores(AS_OF) +
+          f"SELECT member_id, week, reasons, {O.sql_primary_reason('reasons')} AS main_reason FROM sc")
+def q_primary_reason(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    return s.select("member_id", "week", "reasons", R.primary_reason(F.col("reasons")).alias("main_reason"))
+
+
+@register("severity_rank", lambda: O.sql_scores(AS_OF) +
+          f"SELECT member_id, week, {O.sql_severity('(' + O.sql_primary_reason('reasons') + ')')} AS sev_rank FROM sc")
+def q_severity(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    return s.select("member_id", "week", R.severity_rank(R.primary_reason(F.col("reasons"))).alias("sev_rank"))
+
+
+@register("latest_preferring_nonpaused", lambda: O.sql_snapshot(AS_OF) +
+          "SELECT member_id, week, engagement, paused FROM lt")
+def q_latest_np(spark, sf_dir):
+    return SN.latest_preferring_nonpaused(_scores(spark, sf_dir)).select("member_id", "week", "engagement", "paused")
+
+
+@register("ews_percentile", lambda: O.sql_snapshot(AS_OF) + f"SELECT member_id, {O.r6('EWS')} AS EWS, "
+          f"{O.r6('ews_pct')} AS ews_pct FROM snap")
+def q_ews_pct(spark, sf_dir):
+    return _snapshot(spark, sf_dir).select("member_id", "EWS", "ews_pct")
+
+
+@register("risk_band", lambda: O.sql_snapshot(AS_OF) + "SELECT member_id, risk_band FROM snap")
+def q_risk_band(spark, sf_dir):
+    return _snapshot(spark, sf_dir).select("member_id", "risk_band")
+
+
+SNAP_SQL_COLS = (f"member_id, week, {O.r6('prob_churn_6w')} AS prob_churn_6w, {O.r6('EWS')} AS EWS, reasons, "
+                 f"engagement, paused, {O.r6('ews_pct')} AS ews_pct, risk_band, main_reason")
+
+
+@register("job_snapshots", lambda: O.sql_snapshot(AS_OF, relabel=True) + f"SELECT {SNAP_SQL_COLS} FROM snap")
+def q_snapshots(spark, sf_dir):
+    return _snapshot(spark, sf_dir, relabel=True)
+
+
+@register("relabel_reasons", lambda: O.sql_snapshot(AS_OF, relabel=True) +
+          "SELECT member_id, reasons, main_reason FROM snap")
+def q_relabel(spark, sf_dir):
+    return _snapshot(spark, sf_dir, relabel=True).select("member_id", "reasons", "main_reason")
+
+
+@register("auc_binary", lambda: O.sql_features(AS_OF) + f""",
+lab AS (SELECT {O.sql_surrogate()} AS s, {O.sql_future_label()} AS y FROM f),
+rk AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS ar FROM lab),
+agg AS (SELECT sum(CASE WHEN y = 1 THEN ar ELSE 0 END) AS rs, CAST(sum(y) AS DOUBLE) AS P,
+               CAST(count(*) - sum(y) AS DOUBLE) AS N FROM rk)
+SELECT {O.r6('(rs - P * (P + 1) / 2.0) / (P * N)')} AS auc FROM agg""")
+def q_auc(spark, sf_dir):
+    f = WK.future_k_label(WK.surrogate_ews(_features(spark, sf_dir)))
+    return RK.auc_binary(f, "EWS", "y_nextk")
+
+
+@register("average_precision", lambda: O.sql_features(AS_OF) + f""",
+lab AS (SELECT {O.sql_surrogate()} AS s, {O.sql_future_label()} AS y FROM f),
+gs AS (SELECT s, count(*) AS c, sum(y) AS pos FROM lab GROUP BY s),
+cum AS (SELECT s, c, pos, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(c) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS n, sum(pos) OVER () AS P FROM gs)
+SELECT {O.r6('sum(pos * 1.0 / P * (tp * 1.0 / n))')} AS average_precision FROM cum""")
+def q_ap(spark, sf_dir):
+    f = WK.future_k_label(WK.surrogate_ews(_features(spark, sf_dir)))
+    return RK.average_precision(f, "EWS", "y_nextk")
+
+
+# --- outreach ----------------------------------------------------------------
+
+def _contacts(spark, sf_dir):
+    return FX.recent_contacts(spark, sf_dir, AS_OF)
+
+
+def _active(spark, sf_dir, cooldown=True):
+    return OR.active_candidates(_snapshot(spark, sf_dir), _contacts(spark, sf_dir) if cooldown else None)
+
+
+Q_SQL_COLS = (f"member_id, week, engagement, paused, {O.r6('EWS')} AS EWS, risk_band, main_reason, reasons, "
+              "action_tag, subject, message")
+
+
+@register("split_active_paused", lambda: O.sql_snapshot(AS_OF) +
+          "SELECT member_id, paused, CASE WHEN paused = 0 THEN 'active' ELSE 'paused' END AS queue FROM snap "
+          "WHERE paused IN (0, 1)")
+def q_split(spark, sf_dir):
+    a, p = OR.split_active_paused(_snapshot(spark, sf_dir))
+    return (a.select("member_id", "paused", F.lit("active").alias("queue"))
+            .unionByName(p.select("member_id", "paused", F.lit("paused").alias("queue"))))
+
+
+@register("cooldown_filter", lambda: O.sql_active_candidates(AS_OF) + "SELECT member_id, week FROM act")
+def q_cooldown(spark, sf_dir):
+    return _active(spark, sf_dir).select("member_id", "week")
+
+
+@register("join_recent_contacts", lambda: O.sql_snapshot(AS_OF) +
+          f"SELECT s.member_id, s.week, rc.last_contact_date FROM (SELECT * FROM snap WHERE paused = 0) s LEFT JOIN "
+          f"(SELECT member_id, max(last_contact_date) AS last_contact_date FROM ({O.sql_recent_contacts(AS_OF)}) r0 "
+          f"GROUP BY member_id) rc ON s.member_id = rc.member_id")
+def q_join_contacts(spark, sf_dir):
+    a, _ = OR.split_active_paused(_snapshot(spark, sf_dir))
+    return a.join(OR.latest_contacts(_contacts(spark, sf_dir)), "member_id", "left").select(
+        "member_id", "week", "last_contact_date")
+
+
+@register("join_playbook", lambda: O.sql_active_candidates(AS_OF, None) +
+          "SELECT member_id, main_reason, action_tag, subject, message FROM act")
+def q_playbook(spark, sf_dir):
+    return _active(spark, sf_dir, cooldown=False).select("member_id", "main_reason", "action_tag", "subject", "message")
+
+
+@register("outreach_topk", lambda: O.sql_active_candidates(AS_OF) +
+          f"SELECT {Q_SQL_COLS} FROM act ORDER BY sev_rank ASC, EWS DESC, member_id ASC LIMIT {C.OUTREACH_CAPACITY}")
+def q_topk(spark, sf_dir):
+    return OR.outreach_topk(_active(spark, sf_dir)).select(*OR.QUEUE_COLS)
+
+
+@register("ews_threshold_filter", lambda: O.sql_active_candidates(AS_OF) + f"SELECT {Q_SQL_COLS} FROM act WHERE EWS >= 0.5")
+def q_ews_thr(spark, sf_dir):
+    return OR.ews_threshold_filter(_active(spark, sf_dir), 0.5).select(*OR.QUEUE_COLS)
+
+
+@register("paused_queue", lambda: O.sql_snapshot(AS_OF) +
+          f"SELECT {Q_SQL_COLS} FROM ({O.sql_with_playbook('(SELECT * FROM snap WHERE paused = 1)')}) x")
+def q_paused(spark, sf_dir):
+    return OR.paused_queue(_snapshot(spark, sf_dir)).select(*OR.QUEUE_COLS)
