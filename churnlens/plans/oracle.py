@@ -329,3 +329,161 @@ def sql_active_candidates(T, cooldown: int | None = C.COOLDOWN_DAYS) -> str:
 act0 AS (SELECT a0.* FROM (SELECT * FROM snap WHERE paused = 0) a0{cd}),
 act AS (SELECT *, {sql_severity('main_reason')} AS sev_rank FROM ({sql_with_playbook('act0')}) x)
 """
+
+
+# ---------------------------------------------------------------- profile
+
+def _prefix_case(col: str, groups) -> str:
+    parts = " ".join(f"WHEN lower({col}) LIKE {q(p.lower() + '%')} THEN {q(label)}" for p, label in groups)
+    return f"CASE {parts} ELSE {q(C.UNDEFINED)} END"
+
+
+def sql_payment_band(col: str) -> str:
+    parts = " ".join(f"WHEN {col} <= {ub} THEN {q(label)}" for ub, label in C.PAYMENT_BANDS)
+    return f"CASE {parts} ELSE {q(C.PAYMENT_BAND_ELSE)} END"
+
+
+def sql_churn_class(end: str, T) -> str:
+    return (f"CAST(CASE WHEN {end} BETWEEN {d(T)} AND {add_months(d(T), 3)} THEN 1 "
+            f"WHEN {end} > {add_months(d(T), 3)} AND {end} <= {add_months(d(T), 6)} THEN 2 ELSE 3 END AS INTEGER)")
+
+
+def sql_profile(T, payment_amount: bool = False) -> str:
+    """Subquery (no WITH) producing the 21-column profile."""
+    amt = ", base.RegularPayment AS RegularPaymentAmount" if payment_amount else ""
+    return f"""(
+SELECT base.MembershipID, base.Gender, CAST(year({d(T)}) - year(base.DOB) AS INTEGER) AS Age,
+       base.SubCategory, base.Channel, base.ClubName, base.MembershipTypeDesc,
+       {sql_payment_band('base.RegularPayment')} AS RegularPayment,
+       {_prefix_case('base.PaymentFrequency', C.FREQUENCY_GROUPS)} AS "Base Amount",
+       {_prefix_case('base.Term', C.TERM_GROUPS)} AS Term,
+       base.TermDays, base."Lump Sum Flag",
+       CAST(CASE WHEN base.DateLastAccessed IS NULL OR base.DateLastAccessed > {d(T)} THEN {C.NO_ACCESS_SENTINEL}
+            ELSE date_diff('day', base.DateLastAccessed, {d(T)}) END AS INTEGER) AS DaysSinceLastAccessed,
+       CAST(date_diff('day', base."Start Date", {d(T)}) AS INTEGER) AS TenureDays,
+       CAST(date_diff('day', base."Original Start Date", {d(T)}) AS INTEGER) AS DaysSinceOriginalStart,
+       af.TotalAttendanceToDate, af.Visits_Last30d, af.Visits_Last90d, base.EndedWithinCoolingPeriod,
+       base."End Date" AS end_date,
+       {sql_churn_class('base."End Date"', T)} AS Churned{amt}
+FROM (SELECT * FROM ({sql_memberships(T)}) m0
+      WHERE "Start Date" < {d(T)} AND ("End Date" > {d(T)} OR "End Date" IS NULL)
+        AND SubCategory NOT IN {inlist(C.EXCLUDED_SUBCATEGORIES)}) base
+LEFT JOIN (
+  SELECT MembershipID, CAST(sum(WeekVisits) AS BIGINT) AS TotalAttendanceToDate,
+         CAST(sum(CASE WHEN WeekBeginningDate >= CAST({d(T)} - 30 AS DATE) THEN WeekVisits ELSE 0 END) AS BIGINT) AS Visits_Last30d,
+         CAST(sum(CASE WHEN WeekBeginningDate >= CAST({d(T)} - 90 AS DATE) THEN WeekVisits ELSE 0 END) AS BIGINT) AS Visits_Last90d
+  FROM ({sql_attendance(None, T)}) a0 WHERE WeekBeginningDate < {d(T)} GROUP BY MembershipID) af
+  ON base.MembershipID = af.MembershipID
+WHERE base.Transferred_OUT IS NULL AND af.TotalAttendanceToDate > 0)"""
+
+
+PROFILE_SQL_COLS = ("MembershipID, Gender, Age, SubCategory, Channel, ClubName, MembershipTypeDesc, RegularPayment, "
+                    '"Base Amount", Term, TermDays, "Lump Sum Flag", DaysSinceLastAccessed, TenureDays, '
+                    "DaysSinceOriginalStart, TotalAttendanceToDate, Visits_Last30d, Visits_Last90d, "
+                    "EndedWithinCoolingPeriod, end_date, Churned")
+
+
+def sql_profile_snapshot(T, payment_amount: bool = False) -> str:
+    """snapshot CTEs + ps (profile ⋈ snapshot on the normalised key)."""
+    return sql_snapshot(T, relabel=True) + f""",
+ps AS (
+  SELECT pr.*, lower(trim(pr.MembershipID)) AS member_id, s.ews_pct, s.risk_band
+  FROM {sql_profile(T, payment_amount)} pr
+  JOIN (SELECT lower(trim(member_id)) AS member_id, ews_pct, risk_band FROM snap) s
+    ON lower(trim(pr.MembershipID)) = s.member_id)
+"""
+
+
+# ---------------------------------------------------------------- engineered
+
+def sql_clip(x: str, lo, hi) -> str:
+    return f"(CASE WHEN ({x}) IS NULL THEN NULL ELSE greatest({float(lo)}, least(({x}), {float(hi)})) END)"
+
+
+def sql_pdiv(a: str, b: str) -> str:
+    a, b = f"CAST(({a}) AS DOUBLE)", f"CAST(({b}) AS DOUBLE)"
+    return (f"(CASE WHEN {a} IS NULL OR {b} IS NULL THEN NULL WHEN {b} <> 0 THEN {a} / {b} "
+            f"WHEN {a} > 0 THEN CAST('inf' AS DOUBLE) WHEN {a} < 0 THEN CAST('-inf' AS DOUBLE) ELSE NULL END)")
+
+
+def sql_engineered(src: str, payment_col: str = "RegularPayment") -> str:
+    """SELECT src.*, 12 features FROM src, quartile edges (src must be a relation name)."""
+    def n(c):
+        return f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
+    ten, tot, v30, v90, days, pay = (n("TenureDays"), n("TotalAttendanceToDate"), n("Visits_Last30d"),
+                                     n("Visits_Last90d"), n("DaysSinceLastAccessed"), n(payment_col))
+    avg90 = f"(coalesce({v90}, 0.0) / 3)"
+    months = f"(coalesce({ten}, 1.0) / 30)"
+    rate = sql_clip(sql_pdiv(tot, f"coalesce({ten}, 1.0) + 1"), 0, 10)
+    declining = f"(coalesce({v30}, 0.0) < {avg90} * 0.7)"
+    days0 = f"coalesce({days}, 0.0)"
+    t = f"coalesce({ten}, 0.0)"
+    interior = "list_distinct(list_filter([qe.q[2], qe.q[3], qe.q[4]], lambda e: e > qe.q[1] AND e < qe.q[5]))"
+    return f"""
+SELECT s.*,
+  {rate} AS Engagement_Rate,
+  {sql_clip(sql_pdiv(f'coalesce({v30}, 0.0)', f'{avg90} + 0.001'), 0, 5)} AS Recent_Activity_Ratio,
+  CAST({declining} AS INTEGER) AS Declining_Engagement,
+  {sql_clip(sql_pdiv(tot, f'{months} + 0.1'), 0, 30)} AS Monthly_Avg_Visits,
+  {sql_clip(sql_pdiv(f'coalesce({pay}, 0.0)', f'coalesce({tot}, 1.0) + 1'), 0, 100)} AS Payment_to_Attendance_Ratio,
+  {sql_clip(sql_pdiv(f'coalesce({pay}, 0.0)', f'coalesce({v30}, 1.0) + 1'), 0, 100)} AS Recent_Payment_to_Visits,
+  CAST(1 + len(list_filter({interior}, lambda e: {t} > e)) AS BIGINT) AS Tenure_Quartile,
+  CAST(({days0} > 90) AND coalesce({rate} < 0.5, false) AND {declining} AS INTEGER) AS Early_Churn_Risk,
+  {sql_clip(sql_pdiv(days0, f'coalesce({ten}, 1.0) + 1'), 0, 10)} AS Inactivity_Ratio,
+  CAST(coalesce(coalesce({v30}, 0.0) < {sql_pdiv(tot, f'{months} + 0.1')} * 0.5, false) AS INTEGER) AS Attendance_Dropoff,
+  {sql_clip(f'{days0} / 30', 0, 36)} AS Access_Gap_Months,
+  CAST({days0} > 90 AS INTEGER) AS High_Inactivity
+FROM {src} s,
+     (SELECT quantile_cont(coalesce(TRY_CAST(CAST(TenureDays AS VARCHAR) AS DOUBLE), 0.0), [0.0, 0.25, 0.5, 0.75, 1.0]) AS q
+      FROM {src}) qe
+"""
+
+
+# ---------------------------------------------------------------- evaluation
+
+def sql_normalize_band(col: str) -> str:
+    cap = f"concat(upper(substr(trim({col}), 1, 1)), lower(substr(trim({col}), 2)))"
+    fixes = " ".join(f"WHEN {cap} = {q(a)} THEN {q(b)}" for a, b in C.BAND_TYPO_FIXES.items())
+    return f"CASE WHEN {col} IS NULL THEN NULL {fixes} ELSE {cap} END"
+
+
+def sql_eval_ctes(T) -> str:
+    """snapshot CTEs + churned panel + per-member churn + merged + per-band matrix (mx)."""
+    months = range(1, 13)
+    spine = ", ".join(f"({q(b)}, {i})" for i, b in enumerate(C.BAND_ORDER))
+
+    def pct(x):
+        return f"round_even(coalesce(CAST({x} AS DOUBLE) / CASE WHEN Total_Members <> 0 THEN Total_Members END, 0.0), 4)"
+
+    mcols = ", ".join(f"count(CASE WHEN b = {m} THEN member_id END) AS m{m}" for m in months)
+    filled = ", ".join(f"coalesce(per.m{m}, 0) AS m{m}" for m in months)
+    total_churned = " + ".join(f"m{m}" for m in months)
+    pcts = ", ".join(f"{pct(f'm{m}')} AS pct_churned_{m}month{'s' if m > 1 else ''}" for m in months)
+    plain = ", ".join(f"m{m}" for m in months)
+    return sql_snapshot(T, relabel=True) + f""",
+churned AS ({sql_panel(T, labels=True)}),
+snapl AS (
+  SELECT member_id, {sql_normalize_band('risk_band')} AS risk_band
+  FROM (SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY week DESC) AS _r FROM snap) x WHERE _r = 1),
+churn1 AS (
+  SELECT member_id, CAST(arg_min(end_month_bucket, week) FILTER (WHERE end_month_bucket IS NOT NULL) AS INTEGER) AS end_month_bucket,
+         max(churn_flag) AS churn_flag
+  FROM churned GROUP BY member_id),
+merged AS (
+  SELECT s.member_id, s.risk_band, c.end_month_bucket AS b, CAST(coalesce(c.churn_flag, 0) AS INTEGER) AS churn_flag
+  FROM snapl s LEFT JOIN churn1 c ON s.member_id = c.member_id
+  WHERE s.risk_band IN {inlist(C.BAND_ORDER)}),
+per AS (
+  SELECT risk_band, {mcols}, count(CASE WHEN b IS NULL THEN member_id END) AS null_bucket,
+         count(member_id) AS Total_Members
+  FROM merged GROUP BY risk_band),
+full0 AS (
+  SELECT sp.risk_band, sp.band_order, {filled}, coalesce(per.null_bucket, 0) AS null_bucket,
+         coalesce(per.Total_Members, 0) AS Total_Members
+  FROM (VALUES {spine}) AS sp(risk_band, band_order) LEFT JOIN per ON sp.risk_band = per.risk_band),
+mx AS (
+  SELECT risk_band, CAST(band_order AS INTEGER) AS band_order, {plain}, null_bucket, {pcts},
+         Total_Members, {total_churned} AS Total_Churned, Total_Members - ({total_churned}) AS Total_Not_Churned,
+         Total_Members AS Total_Churned_And_Not, {pct(total_churned)} AS pct_Churned
+  FROM full0)
+"""

@@ -244,3 +244,163 @@ def q_ews_thr(spark, sf_dir):
           f"SELECT {Q_SQL_COLS} FROM ({O.sql_with_playbook('(SELECT * FROM snap WHERE paused = 1)')}) x")
 def q_paused(spark, sf_dir):
     return OR.paused_queue(_snapshot(spark, sf_dir)).select(*OR.QUEUE_COLS)
+
+
+# --- profile -----------------------------------------------------------------
+
+from ..functions import engineered as EN  # noqa: E402
+from ..operators import profile as PR  # noqa: E402
+from .registry import COHORTS  # noqa: E402
+
+
+def _profile(spark, sf_dir, T=AS_OF, **kw):
+    return PR.profile(FX.memberships(spark, sf_dir, T), FX.attendance(spark, sf_dir, None, T), T, **kw)
+
+
+def _profile_snapshot(spark, sf_dir, payment_amount=False):
+    prof = _profile(spark, sf_dir, keep_payment_amount=payment_amount)
+    return PR.join_profile_snapshot(prof, _snapshot(spark, sf_dir, relabel=True))
+
+
+@register("project_profile", lambda: f"SELECT {O.PROFILE_SQL_COLS} FROM {O.sql_profile(AS_OF)} p")
+def q_profile(spark, sf_dir):
+    return _profile(spark, sf_dir)
+
+
+@register("attendance_features", lambda: f"""
+SELECT MembershipID, CAST(sum(WeekVisits) AS BIGINT) AS TotalAttendanceToDate,
+       CAST(sum(CASE WHEN WeekBeginningDate >= CAST({O.d(AS_OF)} - 30 AS DATE) THEN WeekVisits ELSE 0 END) AS BIGINT) AS Visits_Last30d,
+       CAST(sum(CASE WHEN WeekBeginningDate >= CAST({O.d(AS_OF)} - 90 AS DATE) THEN WeekVisits ELSE 0 END) AS BIGINT) AS Visits_Last90d,
+       max(WeekBeginningDate) AS LastVisitDate,
+       CAST(date_diff('day', max(WeekBeginningDate), {O.d(AS_OF)}) AS INTEGER) AS DaysSinceLastVisit,
+       CAST(sum(CASE WHEN OnPauseThisWeek = 1 THEN 1 ELSE 0 END) AS BIGINT) AS WeeksPausedToDate
+FROM ({O.sql_attendance(None, AS_OF)}) a WHERE WeekBeginningDate < {O.d(AS_OF)} GROUP BY MembershipID""")
+def q_att_features(spark, sf_dir):
+    return PR.attendance_features(FX.attendance(spark, sf_dir, None, AS_OF), AS_OF, extended=True)
+
+
+@register("churn_class_3", lambda: f"SELECT MembershipID, end_date, Churned FROM {O.sql_profile(AS_OF)} p")
+def q_churn_class(spark, sf_dir):
+    return _profile(spark, sf_dir).select("MembershipID", "end_date", "Churned")
+
+
+@register("class_distribution", lambda: " UNION ALL ".join(
+    f"SELECT {O.q(T)} AS as_of, Churned, count(*) AS n, "
+    f"{O.r6('count(*) * 100.0 / sum(count(*)) OVER ()')} AS pct FROM {O.sql_profile(T)} p GROUP BY Churned"
+    for T in COHORTS))
+def q_class_dist(spark, sf_dir):
+    from ..operators import report as RP
+    out = None
+    for T in COHORTS:
+        d = RP.class_distribution(_profile(spark, sf_dir, T), "Churned").withColumn("as_of", F.lit(T))
+        out = d if out is None else out.unionByName(d)
+    return out.select("as_of", "Churned", "n", "pct")
+
+
+@register("join_profile_snapshot", lambda: O.sql_profile_snapshot(AS_OF) +
+          f"SELECT {O.PROFILE_SQL_COLS}, member_id, {O.r6('ews_pct')} AS ews_pct, risk_band FROM ps")
+def q_profile_snapshot(spark, sf_dir):
+    return _profile_snapshot(spark, sf_dir)
+
+
+@register("normalize_member_key", lambda: f"SELECT MembershipID, lower(trim(MembershipID)) AS member_id FROM "
+          f"{O.sql_profile(AS_OF)} p")
+def q_norm_key(spark, sf_dir):
+    from ..functions.columns import normalize_key
+    return _profile(spark, sf_dir).select("MembershipID", normalize_key(F.col("MembershipID")).alias("member_id"))
+
+
+def _engineered(spark, sf_dir):
+    return EN.engineer_features(_profile_snapshot(spark, sf_dir, payment_amount=True), payment_col="RegularPaymentAmount")
+
+
+def _eng_sql(cols: list[str]):
+    def sql():
+        sel = ", ".join(O.r6(c) + f" AS {c}" if c in ENG_DOUBLES else c for c in cols)
+        return (O.sql_profile_snapshot(AS_OF, payment_amount=True) + ", eng AS (" +
+                O.sql_engineered("ps", "RegularPaymentAmount") + f") SELECT MembershipID, {sel} FROM eng")
+    return sql
+
+
+ENG_DOUBLES = {"Engagement_Rate", "Recent_Activity_Ratio", "Monthly_Avg_Visits", "Payment_to_Attendance_Ratio",
+               "Recent_Payment_to_Visits", "Inactivity_Ratio", "Access_Gap_Months"}
+
+
+def _eng_query(key, cols):
+    register(key, _eng_sql(cols))(lambda spark, sf_dir: _engineered(spark, sf_dir).select("MembershipID", *cols))
+
+
+_eng_query("engineered_features", EN.ENGINEERED)
+_eng_query("engineered_engagement_rate", ["Engagement_Rate"])
+_eng_query("engineered_recent_activity_ratio", ["Recent_Activity_Ratio"])
+_eng_query("engineered_declining", ["Declining_Engagement"])
+_eng_query("engineered_monthly_avg", ["Monthly_Avg_Visits"])
+_eng_query("engineered_payment_to_attendance", ["Payment_to_Attendance_Ratio"])
+_eng_query("engineered_recent_payment_to_visits", ["Recent_Payment_to_Visits"])
+_eng_query("tenure_quartile", ["Tenure_Quartile"])
+_eng_query("engineered_early_risk", ["Early_Churn_Risk"])
+_eng_query("engineered_inactivity_ratio", ["Inactivity_Ratio"])
+_eng_query("engineered_attendance_dropoff", ["Attendance_Dropoff"])
+_eng_query("engineered_access_gap_months", ["Access_Gap_Months"])
+_eng_query("engineered_high_inactivity", ["High_Inactivity"])
+
+
+# --- evaluation ----------------------------------------------------------------
+
+def _matrix(spark, sf_dir):
+    churned = _panel_flags(spark, sf_dir, labels=True).select("member_id", "week", "paused", "end_month_bucket",
+                                                                "churn_flag")
+    return EV.band_month_matrix(_snapshot(spark, sf_dir, relabel=True), churned)
+
+
+_MX_DOUBLES = [EV.month_label(m) for m in EV.MONTHS] + ["pct_Churned"]
+
+
+@register("job_evaluate", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM mx")
+def q_evaluate(spark, sf_dir):
+    return _matrix(spark, sf_dir)
+
+
+@register("band_month_pivot", lambda: O.sql_eval_ctes(AS_OF) +
+          "SELECT risk_band, " + ", ".join(f"m{m}" for m in EV.MONTHS) + " FROM mx")
+def q_pivot(spark, sf_dir):
+    return _matrix(spark, sf_dir).select("risk_band", *[f"m{m}" for m in EV.MONTHS])
+
+
+@register("band_null_count", lambda: O.sql_eval_ctes(AS_OF) + "SELECT risk_band, null_bucket FROM mx")
+def q_null_count(spark, sf_dir):
+    return _matrix(spark, sf_dir).select("risk_band", "null_bucket")
+
+
+@register("band_totals", lambda: O.sql_eval_ctes(AS_OF) +
+          "SELECT risk_band, Total_Members, Total_Churned, Total_Not_Churned, Total_Churned_And_Not FROM mx")
+def q_totals(spark, sf_dir):
+    return _matrix(spark, sf_dir).select("risk_band", "Total_Members", "Total_Churned", "Total_Not_Churned",
+                                         "Total_Churned_And_Not")
+
+
+@register("band_pct", lambda: O.sql_eval_ctes(AS_OF) + "SELECT risk_band, " + ", ".join(_MX_DOUBLES) + " FROM mx")
+def q_band_pct(spark, sf_dir):
+    return _matrix(spark, sf_dir).select("risk_band", *_MX_DOUBLES)
+
+
+@register("churn_per_member", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM churn1")
+def q_churn_per_member(spark, sf_dir):
+    churned = _panel_flags(spark, sf_dir, labels=True)
+    return EV.churn_per_member(churned)
+
+
+@register("join_snapshot_churn", lambda: O.sql_eval_ctes(AS_OF) + "SELECT member_id, risk_band, b AS end_month_bucket, "
+          "churn_flag FROM merged")
+def q_snap_churn(spark, sf_dir):
+    churned = _panel_flags(spark, sf_dir, labels=True)
+    snap = EV.snapshot_latest_band(_snapshot(spark, sf_dir, relabel=True))
+    return (snap.join(EV.churn_per_member(churned), "member_id", "left")
+            .withColumn("churn_flag", F.coalesce(F.col("churn_flag"), F.lit(0)).cast("int"))
+            .where(F.col("risk_band").isin(C.BAND_ORDER))
+            .select("member_id", "risk_band", "end_month_bucket", "churn_flag"))
+
+
+@register("latest_per_member", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM snapl")
+def q_latest(spark, sf_dir):
+    return EV.snapshot_latest_band(_snapshot(spark, sf_dir, relabel=True))
