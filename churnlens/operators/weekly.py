@@ -171,4 +171,4 @@ def surrogate_ews(df: DataFrame, out: str = "EWS") -> DataFrame:
     """Deterministic closed-form early-warning score used where a trained model would
     make results engine-dependent: sigmoid(0.3*drought_active - 0.5*momentum_z - 1)."""
     z = F.lit(0.3) * F.col("drought_active") - F.lit(0.5) * F.coalesce(F.col("momentum_z"), F.lit(0.0)) - F.lit(1.0)
-    return df.withColumn(out, F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 6))
+    return df.withColumn(out, F.bround(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 6))

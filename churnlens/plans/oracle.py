@@ -31,7 +31,7 @@ def inlist(values) -> str:
 
 
 def r6(expr: str) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
+    return f"(round_even(CAST({expr} AS DOUBLE), 6) + 0.0)"
 
 
 def add_months(date_sql: str, m: int) -> str:
@@ -243,7 +243,7 @@ def sql_reasons(k_weeks: int = C.K_WEEKS) -> str:
 
 
 def sql_surrogate() -> str:
-    return "round(1.0 / (1.0 + exp(-(0.3 * drought_active - 0.5 * coalesce(momentum_z, 0.0) - 1.0))), 6)"
+    return "round_even(1.0 / (1.0 + exp(-(0.3 * drought_active - 0.5 * coalesce(momentum_z, 0.0) - 1.0))), 6)"
 
 
 def sql_future_label(k_weeks: int = C.K_WEEKS) -> str:
@@ -487,3 +487,115 @@ mx AS (
          Total_Members AS Total_Churned_And_Not, {pct(total_churned)} AS pct_Churned
   FROM full0)
 """
+
+
+# ---------------------------------------------------------------- probabilities, thresholds, reports
+
+def sql_hash(*cols: str, seed: int = C.SEED) -> str:
+    inner = ", ".join([f"CAST({c} AS VARCHAR)" for c in cols] + [q(str(seed))])
+    return f"CAST('0x' || substr(md5(concat_ws(':', {inner})), 1, 15) AS BIGINT)"
+
+
+def sql_probs(T) -> str:
+    """Subquery: MembershipID, y (= Churned - 1 of the profile), p0, p1, p2 with a planted signal."""
+    return f"""(
+SELECT pr.MembershipID, pr.y,
+       CAST(w.a AS DOUBLE) / CAST(w.a + w.b + w.c AS DOUBLE) AS p0,
+       CAST(w.b AS DOUBLE) / CAST(w.a + w.b + w.c AS DOUBLE) AS p1,
+       CAST(w.c AS DOUBLE) / CAST(w.a + w.b + w.c AS DOUBLE) AS p2
+FROM (SELECT MembershipID, Churned - 1 AS y FROM {sql_profile(T)} p0) pr
+JOIN (SELECT {mkey('c_custkey')} AS MembershipID, c_custkey * 17 % 97 + 1 AS a0, c_custkey * 31 % 89 + 1 AS b0,
+             c_custkey * 13 % 101 + 1 AS c0 FROM customer) w0 ON pr.MembershipID = w0.MembershipID
+CROSS JOIN LATERAL (SELECT w0.a0 + CASE WHEN pr.y = 0 THEN 80 ELSE 0 END AS a,
+                           w0.b0 + CASE WHEN pr.y = 1 THEN 80 ELSE 0 END AS b,
+                           w0.c0 + CASE WHEN pr.y = 2 THEN 80 ELSE 0 END AS c) w)"""
+
+
+def sql_apply(t0: str, t1: str, t2: str) -> str:
+    v0, v1, v2 = f"(p0 >= {t0})", f"(p1 >= {t1})", f"(p2 >= {t2})"
+    argmax = "CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END"
+    return (f"CAST(CASE WHEN {v0} AND (NOT {v1} OR p0 >= p1) AND (NOT {v2} OR p0 >= p2) THEN 0 "
+            f"WHEN {v1} AND (NOT {v2} OR p1 >= p2) THEN 1 WHEN {v2} THEN 2 ELSE {argmax} END AS INTEGER)")
+
+
+def sql_threshold_ctes(T, metric="recall", min_recall=0.65, min_precision=0.50, classes=(0, 1)) -> str:
+    """WITH pr (probabilities), curve (naive per-threshold counts), thr (cls, threshold, score)."""
+    score = {"f1": "f1", "recall": "recall", "precision": "precision",
+             "balanced_precision": "0.6 * recall + 0.4 * precision"}[metric]
+    cls_vals = ", ".join(f"({c})" for c in classes)
+    allc = ", ".join(f"({c})" for c in range(3))
+    return f"""
+WITH pr AS (SELECT * FROM {sql_probs(T)} x),
+grid AS (SELECT c.cls, CAST(r.j AS INTEGER) AS j, CAST(r.j AS DOUBLE) * CAST(0.01 AS DOUBLE) AS t
+         FROM (VALUES {cls_vals}) c(cls), range(101) r(j)),
+cnt AS (
+  SELECT g.cls, g.j, g.t,
+         count(*) FILTER (WHERE (CASE g.cls WHEN 0 THEN pr.p0 WHEN 1 THEN pr.p1 ELSE pr.p2 END) >= g.t) AS predicted,
+         count(*) FILTER (WHERE (CASE g.cls WHEN 0 THEN pr.p0 WHEN 1 THEN pr.p1 ELSE pr.p2 END) >= g.t AND pr.y = g.cls) AS tp,
+         count(*) FILTER (WHERE pr.y = g.cls) AS P
+  FROM grid g, pr GROUP BY g.cls, g.j, g.t),
+curve AS (
+  SELECT cls, j, t AS threshold, tp, predicted,
+         CASE WHEN predicted > 0 THEN tp * 1.0 / predicted ELSE 0.0 END AS precision,
+         CASE WHEN P > 0 THEN tp * 1.0 / P ELSE 0.0 END AS recall,
+         CASE WHEN predicted + P > 0 THEN 2.0 * tp / (predicted + P) ELSE 0.0 END AS f1
+  FROM cnt),
+scored AS (SELECT *, {score} AS score,
+                  predicted > 0 AND recall >= {min_recall} AND precision >= {min_precision} AS valid FROM curve),
+best AS (SELECT cls, threshold AS best, score AS best_score FROM (
+           SELECT *, row_number() OVER (PARTITION BY cls ORDER BY score DESC, j ASC) AS _r FROM scored WHERE valid) b
+         WHERE _r = 1),
+thr AS (
+  SELECT a.cls, CASE WHEN a.cls NOT IN {inlist_num(classes)} THEN 0.0 WHEN b.best IS NULL THEN {C.THRESHOLD_FALLBACK}
+                     ELSE b.best END AS threshold, b.best_score AS score
+  FROM (VALUES {allc}) a(cls) LEFT JOIN best b ON a.cls = b.cls)
+"""
+
+
+def inlist_num(values) -> str:
+    return "(" + ", ".join(str(v) for v in values) + ")"
+
+
+def sql_tuned_pred() -> str:
+    t = [f"(SELECT threshold FROM thr WHERE cls = {c})" for c in range(3)]
+    return sql_apply(*t)
+
+
+def sql_report(pairs: str, classes=(0, 1, 2)) -> str:
+    """Classification report rows from a relation ``pairs`` with columns y, pred."""
+    per = []
+    for c in classes:
+        per.append(f"""SELECT '{c}' AS label,
+  CASE WHEN sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN y = {c} AND pred = {c} THEN 1 ELSE 0 END) * 1.0 / sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END) ELSE 0.0 END AS precision,
+  CASE WHEN sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN y = {c} AND pred = {c} THEN 1 ELSE 0 END) * 1.0 / sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) ELSE 0.0 END AS recall,
+  CASE WHEN sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) + sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END) > 0 THEN 2.0 * sum(CASE WHEN y = {c} AND pred = {c} THEN 1 ELSE 0 END) / (sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) + sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END)) ELSE 0.0 END AS f1,
+  CAST(sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) AS BIGINT) AS support FROM {pairs}""")
+    body = " UNION ALL ".join(per)
+    return f"""
+rep_c AS ({body}),
+rep AS (
+  SELECT * FROM rep_c
+  UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END) FROM {pairs}),
+                   (SELECT count(*) FROM {pairs})
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM rep_c
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM rep_c)
+"""
+
+
+def sql_grid_joint(T, weights=C.JOINT_WEIGHTS) -> str:
+    g = C.JOINT_GRID
+    cfgs = ", ".join(f"({i0 * len(g) + i1}, {float(g[i0])}, {float(g[i1])})" for i0 in range(len(g)) for i1 in range(len(g)))
+    f1 = []
+    for c in range(3):
+        f1.append(f"{float(weights[c])} * CASE WHEN sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) + sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END) > 0 "
+                  f"THEN 2.0 * sum(CASE WHEN y = {c} AND pred = {c} THEN 1 ELSE 0 END) / "
+                  f"(sum(CASE WHEN y = {c} THEN 1 ELSE 0 END) + sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END)) ELSE 0.0 END")
+    return f"""
+WITH pr AS (SELECT * FROM {sql_probs(T)} x),
+cf AS (SELECT cfg, CAST(t0 AS DOUBLE) AS t0, CAST(t1 AS DOUBLE) AS t1 FROM (VALUES {cfgs}) v(cfg, t0, t1)),
+pp AS (SELECT cf.cfg, cf.t0, cf.t1, pr.y, {sql_apply('cf.t0', 'cf.t1', str(float(C.JOINT_CLASS2)))} AS pred FROM cf, pr),
+sc AS (SELECT cfg, t0, t1, {' + '.join(f1)} AS score FROM pp GROUP BY cfg, t0, t1)
+SELECT cfg, t0, t1, CAST({float(C.JOINT_CLASS2)} AS DOUBLE) AS t2, {r6('score')} AS score,
+       row_number() OVER (ORDER BY score DESC, cfg ASC) = 1 AS best FROM sc
+"""

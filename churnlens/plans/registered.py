@@ -404,3 +404,142 @@ def q_snap_churn(spark, sf_dir):
 @register("latest_per_member", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM snapl")
 def q_latest(spark, sf_dir):
     return EV.snapshot_latest_band(_snapshot(spark, sf_dir, relabel=True))
+
+
+# --- thresholds, reports -------------------------------------------------------
+
+from ..operators import cohorts as CO  # noqa: E402
+from ..operators import report as RP  # noqa: E402
+from ..operators import thresholds as TH  # noqa: E402
+
+TUNE = dict(metric="recall", min_recall=0.65, min_precision=0.50)
+FIXED_THRESHOLDS = {0: 0.40, 1: 0.35}
+
+
+def _probs(spark, sf_dir, T=AS_OF):
+    prof = _profile(spark, sf_dir, T)
+    labels = prof.select("MembershipID", (F.col("Churned") - 1).alias("y"))
+    return FX.pseudo_probabilities(spark, sf_dir, labels)
+
+
+def _pcols():
+    return [F.col("p0"), F.col("p1"), F.col("p2")]
+
+
+@register("threshold_search", lambda: O.sql_threshold_ctes(AS_OF, **TUNE) +
+          f"SELECT cls, {O.r6('threshold')} AS threshold, {O.r6('score')} AS score FROM thr")
+def q_threshold_search(spark, sf_dir):
+    return TH.threshold_search(_probs(spark, sf_dir), **TUNE)
+
+
+@register("threshold_curve", lambda: O.sql_threshold_ctes(AS_OF, **TUNE) +
+          f"SELECT cls, j, {O.r6('threshold')} AS threshold, tp, predicted, {O.r6('precision')} AS precision, "
+          f"{O.r6('recall')} AS recall, {O.r6('f1')} AS f1, {O.r6('score')} AS score, valid FROM scored")
+def q_threshold_curve(spark, sf_dir):
+    return TH.threshold_curve(_probs(spark, sf_dir), **TUNE)
+
+
+@register("apply_thresholds", lambda: f"SELECT MembershipID, y, "
+          f"{O.sql_apply(str(FIXED_THRESHOLDS[0]), str(FIXED_THRESHOLDS[1]), '0.0')} AS pred FROM {O.sql_probs(AS_OF)} x")
+def q_apply(spark, sf_dir):
+    p = _probs(spark, sf_dir)
+    return p.select("MembershipID", "y", TH.apply_thresholds(_pcols(), FIXED_THRESHOLDS).alias("pred"))
+
+
+@register("threshold_grid_joint", lambda: O.sql_grid_joint(AS_OF))
+def q_grid(spark, sf_dir):
+    return TH.threshold_grid_joint(_probs(spark, sf_dir))
+
+
+def _tuned_pairs(spark, sf_dir):
+    p = _probs(spark, sf_dir)
+    th = TH.thresholds_to_dict(TH.threshold_search(p, **TUNE))
+    return p.select("MembershipID", "y", TH.argmax_class(_pcols()).alias("pred_before"),
+                    TH.apply_thresholds(_pcols(), th).alias("pred"))
+
+
+def _report_sql(pred_expr: str, tuned: bool):
+    head = (O.sql_threshold_ctes(AS_OF, **TUNE) + ", ") if tuned else "WITH "
+    return (head + f"pairs AS (SELECT y, {pred_expr} AS pred FROM {O.sql_probs(AS_OF)} x), "
+            + O.sql_report("pairs"))
+
+
+_ARGMAX_SQL = "CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END"
+
+
+@register("confusion_matrix", lambda: _report_sql(O.sql_tuned_pred(), True) +
+          "SELECT y, " + ", ".join(f"CAST(sum(CASE WHEN pred = {c} THEN 1 ELSE 0 END) AS BIGINT) AS pred_{c}"
+                                   for c in range(3)) + " FROM pairs GROUP BY y")
+def q_confusion(spark, sf_dir):
+    return RP.confusion_matrix(_tuned_pairs(spark, sf_dir), "y", "pred")
+
+
+_REP_SEL = (f"SELECT label, {O.r6('precision')} AS precision, {O.r6('recall')} AS recall, {O.r6('f1')} AS f1, "
+            "support FROM rep")
+
+
+@register("classification_report", lambda: _report_sql(O.sql_tuned_pred(), True) + _REP_SEL)
+def q_report(spark, sf_dir):
+    return RP.classification_report(_tuned_pairs(spark, sf_dir), "y", "pred")
+
+
+@register("balanced_accuracy", lambda: _report_sql(_ARGMAX_SQL, False) +
+          f"SELECT {O.r6('avg(recall)')} AS balanced_accuracy FROM rep_c")
+def q_bal_acc(spark, sf_dir):
+    return RP.balanced_accuracy(_tuned_pairs(spark, sf_dir), "y", "pred_before")
+
+
+@register("before_after_recall", lambda: O.sql_threshold_ctes(AS_OF, **TUNE) + f""",
+pairs AS (SELECT y, {_ARGMAX_SQL} AS pb, {O.sql_tuned_pred()} AS pa FROM {O.sql_probs(AS_OF)} x)
+SELECT c.cls, {O.r6('sum(CASE WHEN y = c.cls AND pb = c.cls THEN 1 ELSE 0 END) * 1.0 / sum(CASE WHEN y = c.cls THEN 1 ELSE 0 END)')} AS recall_before,
+       {O.r6('sum(CASE WHEN y = c.cls AND pa = c.cls THEN 1 ELSE 0 END) * 1.0 / sum(CASE WHEN y = c.cls THEN 1 ELSE 0 END)')} AS recall_after
+FROM pairs, (VALUES (0), (1)) c(cls) GROUP BY c.cls""")
+def q_before_after(spark, sf_dir):
+    pairs = _tuned_pairs(spark, sf_dir)
+    before = RP.classification_report(pairs, "y", "pred_before").select(F.col("label"), F.col("recall").alias("recall_before"))
+    after = RP.classification_report(pairs, "y", "pred").select(F.col("label"), F.col("recall").alias("recall_after"))
+    return (before.join(after, "label").where(F.col("label").isin("0", "1"))
+            .select(F.col("label").cast("int").alias("cls"), "recall_before", "recall_after"))
+
+
+@register("auc_ovr_macro", lambda: f"""
+WITH pr AS (SELECT * FROM {O.sql_probs(AS_OF)} x),
+""" + ",\n".join(f"""r{c} AS (SELECT CAST(y = {c} AS INTEGER) AS lab, rank() OVER (ORDER BY p{c}) + (count(*) OVER (PARTITION BY p{c}) - 1) / 2.0 AS ar FROM pr),
+a{c} AS (SELECT (sum(CASE WHEN lab = 1 THEN ar ELSE 0 END) - sum(lab) * (sum(lab) + 1) / 2.0) / (sum(lab) * 1.0 * (count(*) - sum(lab))) AS auc FROM r{c})"""
+                 for c in range(3)) + f"\nSELECT {O.r6('(a0.auc + a1.auc + a2.auc) / 3.0')} AS auc_ovr_macro FROM a0, a1, a2")
+def q_auc_ovr(spark, sf_dir):
+    p = _probs(spark, sf_dir)
+    aucs = [RK.auc_binary(p.select(F.col(f"p{c}").alias("s"), (F.col("y") == c).cast("int").alias("lab")), "s", "lab")
+            .withColumnRenamed("auc", f"a{c}") for c in range(3)]
+    # three one-row results: combine positionally through a constant key
+    out = aucs[0].withColumn("_k", F.lit(1))
+    for a in aucs[1:]:
+        out = out.join(a.withColumn("_k", F.lit(1)), "_k")
+    return out.select(((F.col("a0") + F.col("a1") + F.col("a2")) / 3.0).alias("auc_ovr_macro"))
+
+
+@register("confidence", lambda: f"SELECT MembershipID, {O.r6('greatest(p0, p1, p2)')} AS Confidence, "
+          f"CASE {_ARGMAX_SQL} " + " ".join(f"WHEN {c} THEN {O.q(v)}" for c, v in C.CLASS_LABELS.items()) +
+          f" END AS ClassLabel FROM {O.sql_probs(AS_OF)} x")
+def q_confidence(spark, sf_dir):
+    from ..operators import predict as PD
+    p = _probs(spark, sf_dir)
+    pred = TH.argmax_class(_pcols())
+    return p.select("MembershipID", PD.confidence(_pcols()).alias("Confidence"), PD.class_label(pred).alias("ClassLabel"))
+
+
+@register("prediction_distribution", lambda: f"SELECT pred AS PredictedClass, count(*) AS n, "
+          f"{O.r6('count(*) * 100.0 / sum(count(*)) OVER ()')} AS pct FROM (SELECT "
+          f"{O.sql_apply(str(FIXED_THRESHOLDS[0]), str(FIXED_THRESHOLDS[1]), '0.0')} AS pred FROM {O.sql_probs(AS_OF)} x) t "
+          "GROUP BY pred")
+def q_pred_dist(spark, sf_dir):
+    p = _probs(spark, sf_dir).select(TH.apply_thresholds(_pcols(), FIXED_THRESHOLDS).alias("PredictedClass"))
+    return RP.prediction_distribution(p, "PredictedClass")
+
+
+@register("null_profile", lambda: " UNION ALL ".join(
+    f"SELECT {O.q(c)} AS \"column\", {O.r6(f'avg(CASE WHEN {cq} IS NULL THEN 1.0 ELSE 0.0 END) * 100.0')} AS null_pct "
+    f"FROM {O.sql_profile(AS_OF)} p HAVING avg(CASE WHEN {cq} IS NULL THEN 1.0 ELSE 0.0 END) > 0"
+    for c, cq in [(c, f'"{c}"') for c in PR.PROFILE_COLUMNS]))
+def q_null_profile(spark, sf_dir):
+    return RP.null_profile(_profile(spark, sf_dir))

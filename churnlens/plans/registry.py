@@ -1,7 +1,7 @@
 """Query registry: one entry per operator of the inventory.
 
 Each entry is ``(spark_fn(spark, sf_dir) -> DataFrame, sql_fn() -> str | None)``.
-Spark results are canonicalised for comparison only (doubles rounded to 6 dp,
+Spark results are canonicalised for comparison only (doubles rounded half-even to 6 dp,
 -0.0 folded), mirroring ``oracle.r6`` on the SQL side.
 """
 
@@ -26,7 +26,7 @@ def canon(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append((F.round(F.col(f"`{f.name}`").cast("double"), 6) + F.lit(0.0)).alias(f.name))
+            cols.append((F.bround(F.col(f"`{f.name}`").cast("double"), 6) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
