@@ -599,3 +599,44 @@ sc AS (SELECT cfg, t0, t1, {' + '.join(f1)} AS score FROM pp GROUP BY cfg, t0, t
 SELECT cfg, t0, t1, CAST({float(C.JOINT_CLASS2)} AS DOUBLE) AS t2, {r6('score')} AS score,
        row_number() OVER (ORDER BY score DESC, cfg ASC) = 1 AS best FROM sc
 """
+
+
+# ---------------------------------------------------------------- prediction
+
+def sql_predict_ctes(T, t0: float, t1: float) -> str:
+    """profile⋈snapshot (+ amount) -> predictions (fixed thresholds) -> left join -> eng."""
+    return sql_profile_snapshot(T, payment_amount=True) + f""",
+pred AS (SELECT MembershipID, p0, p1, p2, {sql_apply(str(t0), str(t1), '0.0')} AS PredictedClass,
+                greatest(p0, p1, p2) AS Confidence FROM {sql_probs(T)} x),
+feat AS (SELECT ps.* EXCLUDE (Churned), pred.PredictedClass, pred.Confidence
+         FROM ps LEFT JOIN pred ON ps.MembershipID = pred.MembershipID),
+eng AS ({sql_engineered('feat', 'RegularPaymentAmount')})
+"""
+
+
+def sql_sink_select(T) -> str:
+    from ..operators.predict import SINK_SPEC
+    duck = {"date": "DATE", "string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE"}
+    cols = []
+    for name, src, typ in SINK_SPEC:
+        if name == "RegularPayment":
+            src = "RegularPaymentAmount"
+        if name == "RunDate":
+            e = f"{d(T)}"
+        elif src is None:
+            e = f"CAST(NULL AS {duck[typ]})"
+        else:
+            e = f'TRY_CAST("{src}" AS {duck[typ]})'
+        if typ == "double":
+            e = r6(e)
+        cols.append(f'{e} AS "{name}"')
+    return "SELECT " + ", ".join(cols) + " FROM eng"
+
+
+def sql_saved_predictions(T, t0: float, t1: float) -> str:
+    return sql_profile_snapshot(T) + f""",
+pred AS (SELECT MembershipID, {sql_apply(str(t0), str(t1), '0.0')} AS ChurnedPrediction FROM {sql_probs(T)} x),
+saved AS (SELECT ps.MembershipID, pred.ChurnedPrediction, ps.end_date AS EndDate, {d(T)} AS RunDate,
+                 ps.* EXCLUDE (MembershipID, end_date, Churned)
+          FROM ps LEFT JOIN pred ON ps.MembershipID = pred.MembershipID)
+"""

@@ -543,3 +543,173 @@ def q_pred_dist(spark, sf_dir):
     for c, cq in [(c, f'"{c}"') for c in PR.PROFILE_COLUMNS]))
 def q_null_profile(spark, sf_dir):
     return RP.null_profile(_profile(spark, sf_dir))
+
+
+# --- prediction path, sinks ------------------------------------------------------
+
+from ..operators import predict as PD  # noqa: E402
+from ..sources import io as IO  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+
+T0, T1 = FIXED_THRESHOLDS[0], FIXED_THRESHOLDS[1]
+
+
+def _features_for_predict(spark, sf_dir):
+    return _profile_snapshot(spark, sf_dir, payment_amount=True).drop("Churned")
+
+
+def _predictions(spark, sf_dir):
+    return PD.predictions_frame(_probs(spark, sf_dir), FIXED_THRESHOLDS)
+
+
+def _predict_job(spark, sf_dir):
+    merged = PD.join_predictions_features(_features_for_predict(spark, sf_dir), _predictions(spark, sf_dir))
+    eng = EN.engineer_features(merged, payment_col="RegularPaymentAmount")
+    return PD.map_to_sink_schema(eng, run_date=AS_OF)
+
+
+@register("predict_proba", lambda: f"SELECT MembershipID, {O.r6('p0')} AS Class0_Prob, {O.r6('p1')} AS Class1_Prob, "
+          f"{O.r6('p2')} AS Class2_Prob, {O.sql_apply(str(T0), str(T1), '0.0')} AS PredictedClass, "
+          f"{O.r6('greatest(p0, p1, p2)')} AS Confidence, CASE {O.sql_apply(str(T0), str(T1), '0.0')} "
+          + " ".join(f"WHEN {c} THEN {O.q(v)}" for c, v in C.CLASS_LABELS.items()) +
+          f" END AS ClassLabel FROM {O.sql_probs(AS_OF)} x")
+def q_predict_proba(spark, sf_dir):
+    return _predictions(spark, sf_dir)
+
+
+@register("join_predictions_features", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
+          f"SELECT MembershipID, member_id, PredictedClass, {O.r6('Confidence')} AS Confidence FROM feat")
+def q_join_pred(spark, sf_dir):
+    merged = PD.join_predictions_features(_features_for_predict(spark, sf_dir), _predictions(spark, sf_dir))
+    return merged.select("MembershipID", "member_id", "PredictedClass", "Confidence")
+
+
+@register("job_predict", lambda: O.sql_predict_ctes(AS_OF, T0, T1) + O.sql_sink_select(AS_OF))
+def q_job_predict(spark, sf_dir):
+    return _predict_job(spark, sf_dir)
+
+
+@register("map_to_sink_schema", lambda: O.sql_predict_ctes(AS_OF, T0, T1) + O.sql_sink_select(AS_OF))
+def q_sink_schema(spark, sf_dir):
+    return _predict_job(spark, sf_dir)
+
+
+def _saved(spark, sf_dir):
+    feats = _profile_snapshot(spark, sf_dir).drop("Churned")
+    return PD.saved_predictions(feats, _predictions(spark, sf_dir), AS_OF)
+
+
+_SAVED_SEL = ("SELECT MembershipID, ChurnedPrediction, EndDate, RunDate, Gender, Age, SubCategory, Channel, ClubName, "
+              'MembershipTypeDesc, RegularPayment, "Base Amount", Term, TermDays, "Lump Sum Flag", DaysSinceLastAccessed, '
+              "TenureDays, DaysSinceOriginalStart, TotalAttendanceToDate, Visits_Last30d, Visits_Last90d, "
+              f"EndedWithinCoolingPeriod, member_id, {O.r6('ews_pct')} AS ews_pct, risk_band FROM saved")
+
+
+@register("reorder_key_first", lambda: O.sql_saved_predictions(AS_OF, T0, T1) + _SAVED_SEL)
+def q_saved(spark, sf_dir):
+    return _saved(spark, sf_dir)
+
+
+@register("add_run_date", lambda: O.sql_saved_predictions(AS_OF, T0, T1) + "SELECT MembershipID, RunDate FROM saved")
+def q_run_date(spark, sf_dir):
+    return _saved(spark, sf_dir).select("MembershipID", "RunDate")
+
+
+@register("rename_end_date", lambda: O.sql_saved_predictions(AS_OF, T0, T1) + "SELECT MembershipID, EndDate FROM saved")
+def q_end_date(spark, sf_dir):
+    return _saved(spark, sf_dir).select("MembershipID", "EndDate")
+
+
+def _campaign_sql(name):
+    body = {
+        "high_risk": f"SELECT MembershipID, EndDate, {O.r6('ews_pct')} AS ews_pct, risk_band FROM saved WHERE ChurnedPrediction = 0",
+        "validation": "SELECT MembershipID, ChurnedPrediction, EndDate, CASE "
+                      f"WHEN EndDate > RunDate AND EndDate <= {O.add_months('RunDate', 3)} THEN 'Actual_Churn_0-3mo' "
+                      f"WHEN EndDate > {O.add_months('RunDate', 3)} AND EndDate <= {O.add_months('RunDate', 6)} "
+                      "THEN 'Actual_Churn_3-6mo' ELSE 'No_Churn_Or_Later' END AS ActualChurn FROM saved",
+        "high_ews_low_band": f"SELECT MembershipID, {O.r6('ews_pct')} AS ews_pct, risk_band, ChurnedPrediction FROM saved "
+                             "WHERE ews_pct > 0.8 AND risk_band = 'Low' ORDER BY ews_pct DESC, MembershipID LIMIT 10",
+        "export": f"SELECT MembershipID, Gender, Age, ClubName, {O.r6('ews_pct')} AS ews_pct FROM saved "
+                  "WHERE ChurnedPrediction IN (0, 1)",
+    }[name]
+    return lambda: O.sql_saved_predictions(AS_OF, T0, T1) + body
+
+
+for _name in PD.CAMPAIGN_SQL:
+    register(f"campaign_{_name}", _campaign_sql(_name))(
+        (lambda n: lambda spark, sf_dir: PD.campaign_query(_saved(spark, sf_dir), n))(_name))
+
+
+def _scratch(spark, name):
+    import uuid
+    return IO.shared_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@register("sink_upsert_by_rundate", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
+          f"SELECT RunDate, count(*) AS n FROM ({O.sql_sink_select(AS_OF)}) s GROUP BY RunDate")
+def q_sink(spark, sf_dir):
+    """Publishes the prediction table twice for the same RunDate and reads it back:
+    the second run replaces the first (row count per RunDate unchanged)."""
+    path = _scratch(spark, "predictions")
+    df = _predict_job(spark, sf_dir)
+    SK.sink_upsert_by_rundate(df, path)
+    SK.sink_upsert_by_rundate(df, path)
+    back = SK.read_sink(spark, path)
+    return back.groupBy("RunDate").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("insert_summary", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
+          f"SELECT count(*) AS inserted, count(*) AS total, CAST(0 AS BIGINT) AS failed, 38 AS columns "
+          f"FROM ({O.sql_sink_select(AS_OF)}) s")
+def q_insert_summary(spark, sf_dir):
+    path = _scratch(spark, "predictions")
+    df = _predict_job(spark, sf_dir)
+    SK.sink_upsert_by_rundate(df, path)
+    return SK.insert_summary(df, SK.read_sink(spark, path), AS_OF)
+
+
+_SNAP_CSV_SCHEMA = "member_id string, week date, risk_band string"
+
+
+@register("read_csv_typed", lambda: O.sql_snapshot(AS_OF, relabel=True) + "SELECT member_id, week, risk_band FROM snap")
+def q_read_csv(spark, sf_dir):
+    """Snapshot written as CSV (header) and read back with an explicit schema."""
+    path = _scratch(spark, "snapshot-csv")
+    IO.write_csv(_snapshot(spark, sf_dir, relabel=True).select("member_id", "week", "risk_band"), path)
+    return IO.read_csv_typed(spark, path, _SNAP_CSV_SCHEMA)
+
+
+@register("write_csv_predictions", lambda: O.sql_saved_predictions(AS_OF, T0, T1) +
+          "SELECT MembershipID, ChurnedPrediction, EndDate, RunDate FROM saved")
+def q_write_csv_pred(spark, sf_dir):
+    path = _scratch(spark, "predictions-csv")
+    IO.write_csv(_saved(spark, sf_dir), path)
+    return IO.read_csv_typed(spark, path, "MembershipID string, ChurnedPrediction int, EndDate date, RunDate date") \
+        .select("MembershipID", "ChurnedPrediction", "EndDate", "RunDate")
+
+
+@register("write_parquet", lambda: O.sql_profile_snapshot(AS_OF) +
+          f"SELECT {O.PROFILE_SQL_COLS}, member_id, {O.r6('ews_pct')} AS ews_pct, risk_band, "
+          f"{O.d(AS_OF)} AS as_of FROM ps")
+def q_write_parquet(spark, sf_dir):
+    """Staged cohort written partitioned by as_of (dynamic overwrite) and read back."""
+    path = _scratch(spark, "cohort")
+    IO.write_parquet(_profile_snapshot(spark, sf_dir).withColumn("as_of", F.lit(AS_OF).cast("date")), path, ["as_of"])
+    return IO.read_parquet(spark, path)
+
+
+@register("read_parquet", lambda: f"SELECT * FROM ({O.sql_memberships(AS_OF)}) m")
+def q_read_parquet(spark, sf_dir):
+    path = _scratch(spark, "memberships")
+    IO.write_parquet(FX.memberships(spark, sf_dir, AS_OF), path)
+    return IO.read_parquet(spark, path)
+
+
+@register("latest_artifact", lambda: O.sql_profile_snapshot(AS_OF) + "SELECT count(*) AS n FROM ps")
+def q_latest_artifact(spark, sf_dir):
+    """Two as_of partitions staged; the newest one is selected by max(as_of)."""
+    path = _scratch(spark, "staged")
+    prof = _profile_snapshot(spark, sf_dir)
+    IO.write_parquet(prof.withColumn("as_of", F.lit("2000-01-01").cast("date")).limit(5), path, ["as_of"])
+    IO.write_parquet(prof.withColumn("as_of", F.lit(AS_OF).cast("date")), path, ["as_of"])
+    return IO.latest_partition(IO.read_parquet(spark, path), "as_of").agg(F.count(F.lit(1)).alias("n"))
