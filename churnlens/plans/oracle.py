@@ -640,3 +640,17 @@ saved AS (SELECT ps.MembershipID, pred.ChurnedPrediction, ps.end_date AS EndDate
                  ps.* EXCLUDE (MembershipID, end_date, Churned)
           FROM ps LEFT JOIN pred ON ps.MembershipID = pred.MembershipID)
 """
+
+
+# ---------------------------------------------------------------- cohorts
+
+def sql_cohort(T, classes=None) -> str:
+    """Full SELECT (own WITH) of profile⋈snapshot for one as-of date with optional class filter."""
+    where = f" WHERE Churned IN {inlist_num(classes)}" if classes else ""
+    return (sql_profile_snapshot(T) + f"SELECT {PROFILE_SQL_COLS}, member_id, {r6('ews_pct')} AS ews_pct, risk_band "
+            f"FROM ps{where}")
+
+
+def sql_sample_exact(src: str, n: int, id_col: str = "MembershipID") -> str:
+    return (f"SELECT * EXCLUDE (_r) FROM (SELECT *, row_number() OVER (ORDER BY {sql_hash(id_col)}, {id_col}) AS _r "
+            f"FROM ({src}) s0) s1 WHERE _r <= {n}")

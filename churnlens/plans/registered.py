@@ -713,3 +713,192 @@ def q_latest_artifact(spark, sf_dir):
     IO.write_parquet(prof.withColumn("as_of", F.lit("2000-01-01").cast("date")).limit(5), path, ["as_of"])
     IO.write_parquet(prof.withColumn("as_of", F.lit(AS_OF).cast("date")), path, ["as_of"])
     return IO.latest_partition(IO.read_parquet(spark, path), "as_of").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- cohorts, training-set operators -------------------------------------------
+
+from ..operators import ml as ML  # noqa: E402
+
+COHORT_CLASSES = {"1999-01-01": (1, 2), "2000-01-01": (1, 2), "2001-01-01": (1, 2)}
+SAMPLE_TEST_N = 100
+
+
+def _cohort(spark, sf_dir, T, classes=None):
+    m = FX.memberships(spark, sf_dir, T)
+    panel = WK.weekly_panel(m, FX.attendance(spark, sf_dir, O.prev_year(T), T), T)
+    snap = SN.relabel_snapshot(SN.build_snapshots(SN.score_frame(WK.surrogate_ews(WK.member_features(panel)))))
+    prof = PR.profile(m, FX.attendance(spark, sf_dir, None, T), T)
+    out = PR.join_profile_snapshot(prof, snap)
+    return out.where(F.col("Churned").isin(list(classes))) if classes else out
+
+
+def _balanced(spark, sf_dir, n3=C.CLASS3_SAMPLE):
+    parts = [(T, _cohort(spark, sf_dir, T, cls)) for T, cls in COHORT_CLASSES.items()]
+    last = COHORTS[-1]
+    c3 = CO.sample_exact_n(_cohort(spark, sf_dir, last, (3,)), n3, "MembershipID")
+    parts.append((last, c3))
+    return CO.union_cohorts(parts)
+
+
+def _union_sql():
+    parts = [f"SELECT *, {O.q(T)} AS cohort FROM ({O.sql_cohort(T, cls)}) c" for T, cls in COHORT_CLASSES.items()]
+    last = COHORTS[-1]
+    parts.append(f"SELECT *, {O.q(last)} AS cohort FROM ({O.sql_sample_exact(O.sql_cohort(last, (3,)), C.CLASS3_SAMPLE)}) c3")
+    return " UNION ALL ".join(parts)
+
+
+@register("filter_churn_classes", lambda: O.sql_cohort("1999-01-01", (1, 2)))
+def q_filter_classes(spark, sf_dir):
+    return _cohort(spark, sf_dir, "1999-01-01", (1, 2))
+
+
+@register("union_cohorts", _union_sql)
+def q_union(spark, sf_dir):
+    return _balanced(spark, sf_dir)
+
+
+@register("job_merge_balanced", lambda: f"SELECT cohort, Churned, count(*) AS n FROM ({_union_sql()}) u GROUP BY cohort, Churned")
+def q_merge_balanced(spark, sf_dir):
+    return _balanced(spark, sf_dir).groupBy("cohort", "Churned").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("job_prepare_cohort", lambda: O.sql_cohort(AS_OF))
+def q_prepare_cohort(spark, sf_dir):
+    from .jobs import cohort_inputs, job_prepare_cohort
+    m, att_all, att_year = cohort_inputs(spark, sf_dir, AS_OF)
+    return job_prepare_cohort(m, att_all, AS_OF, attendance_year=att_year)
+
+
+@register("sample_exact_n", lambda: O.sql_sample_exact(O.sql_cohort(AS_OF, (3,)), SAMPLE_TEST_N))
+def q_sample(spark, sf_dir):
+    return CO.sample_exact_n(_cohort(spark, sf_dir, AS_OF, (3,)), SAMPLE_TEST_N, "MembershipID")
+
+
+@register("stratified_folds", lambda: f"SELECT MembershipID, Churned, CAST((row_number() OVER (PARTITION BY Churned "
+          f"ORDER BY {O.sql_hash('MembershipID')}) - 1) % 5 AS INTEGER) AS fold FROM ({O.sql_cohort(AS_OF)}) c")
+def q_folds(spark, sf_dir):
+    return CO.stratified_folds(_cohort(spark, sf_dir, AS_OF), "Churned", "MembershipID").select(
+        "MembershipID", "Churned", "fold")
+
+
+@register("random_split", lambda: f"SELECT MembershipID, {O.sql_hash('MembershipID')} % 100 < 20 AS is_test "
+          f"FROM {O.sql_profile(AS_OF)} p")
+def q_random_split(spark, sf_dir):
+    return CO.hash_split(_profile(spark, sf_dir), F.col("MembershipID")).select("MembershipID", "is_test")
+
+
+@register("group_split", lambda: O.sql_features(AS_OF) +
+          f"SELECT member_id, week, {O.sql_hash('member_id')} % 100 < 20 AS is_test FROM f")
+def q_group_split(spark, sf_dir):
+    return CO.hash_split(_features(spark, sf_dir), F.col("member_id")).select("member_id", "week", "is_test")
+
+
+def _ews_ds(spark, sf_dir):
+    return ML.build_ews_dataset(WK.future_k_label(_features(spark, sf_dir)))
+
+
+_EWS_SQL_COLS = ", ".join(f"{O.r6(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}" for c in WK.EWS_FEATURES)
+
+
+@register("build_ews_dataset", lambda: O.sql_features(AS_OF) +
+          f"SELECT member_id, week, engagement, {_EWS_SQL_COLS}, {O.sql_future_label()} AS label FROM f")
+def q_ews_ds(spark, sf_dir):
+    return _ews_ds(spark, sf_dir)
+
+
+@register("pos_weight", lambda: O.sql_features(AS_OF) + f""",
+lab AS (SELECT member_id, {O.sql_future_label()} AS y FROM f)
+SELECT {O.r6('greatest(1.0, (count(*) - sum(y)) / (sum(y) + 1e-6))')} AS pos_weight FROM lab
+WHERE NOT ({O.sql_hash('member_id')} % 100 < 20)""")
+def q_pos_weight(spark, sf_dir):
+    ds = CO.hash_split(_ews_ds(spark, sf_dir), F.col("member_id"))
+    return ML.pos_weight(ds.where(~F.col("is_test")))
+
+
+@register("class_weights", lambda: "SELECT MembershipID, Churned - 1 AS label, CASE " +
+          " ".join(f"WHEN Churned - 1 = {k} THEN CAST({float(v)} AS DOUBLE)" for k, v in C.CLASS_WEIGHTS.items()) +
+          f" ELSE CAST(1.0 AS DOUBLE) END AS w FROM {O.sql_profile(AS_OF)} p")
+def q_class_weights(spark, sf_dir):
+    from ..operators.predict import label_encode
+    p = _profile(spark, sf_dir).select("MembershipID", label_encode(F.col("Churned")).alias("label"))
+    return p.withColumn("w", ML.class_weight_col("label"))
+
+
+@register("label_encode", lambda: f"SELECT MembershipID, Churned, CAST(Churned - 1 AS INTEGER) AS label "
+          f"FROM {O.sql_profile(AS_OF)} p")
+def q_label_encode(spark, sf_dir):
+    from ..operators.predict import label_encode
+    return _profile(spark, sf_dir).select("MembershipID", "Churned", label_encode(F.col("Churned")).alias("label"))
+
+
+@register("leakage_check", lambda: f"SELECT false AS target_in_features, CAST(0 AS BIGINT) AS duplicate_columns, "
+          f"count(*) FILTER (WHERE {O.sql_hash('MembershipID')} % 100 < 20 AND NOT ({O.sql_hash('MembershipID')} % 100 < 20)) "
+          f"AS train_test_overlap FROM {O.sql_profile(AS_OF)} p")
+def q_leakage(spark, sf_dir):
+    df = CO.hash_split(_profile(spark, sf_dir), F.col("MembershipID"))
+    X = ML.drop_columns_if_present(df.drop("Churned"))
+    test = df.where(F.col("is_test")).select("MembershipID")
+    train = df.where(~F.col("is_test")).select("MembershipID")
+    overlap = test.join(train, "MembershipID", "left_semi").agg(F.count(F.lit(1)).alias("train_test_overlap"))
+    return overlap.select(F.lit("Churned" in X.columns).alias("target_in_features"),
+                          F.lit(len(X.columns) - len(set(X.columns))).cast("long").alias("duplicate_columns"),
+                          "train_test_overlap")
+
+
+_DROPPED_SQL = ("Gender, Age, SubCategory, Channel, ClubName, MembershipTypeDesc, RegularPayment, \"Base Amount\", Term, "
+                "TermDays, \"Lump Sum Flag\", DaysSinceLastAccessed, TenureDays, DaysSinceOriginalStart, "
+                "TotalAttendanceToDate, Visits_Last30d, Visits_Last90d, EndedWithinCoolingPeriod, Churned, "
+                "LastVisitDate")
+
+
+@register("drop_columns_if_present", lambda: f"""SELECT {_DROPPED_SQL} FROM (
+SELECT p.*, a.LastVisitDate FROM {O.sql_profile(AS_OF)} p JOIN (SELECT MembershipID, max(WeekBeginningDate) AS LastVisitDate
+FROM ({O.sql_attendance(None, AS_OF)}) a0 WHERE WeekBeginningDate < {O.d(AS_OF)} GROUP BY MembershipID) a
+ON p.MembershipID = a.MembershipID) x""")
+def q_drop_cols(spark, sf_dir):
+    return ML.drop_columns_if_present(_profile(spark, sf_dir, extended=True))
+
+
+_ENSURED = ", ".join(f'"{c}"' if c in {"Base Amount", "Lump Sum Flag"} else c for c in ML.MODEL_FEATURES)
+
+
+@register("ensure_columns", lambda: O.sql_profile_snapshot(AS_OF) + "SELECT MembershipID, " + ", ".join(
+    (f'{O.r6(c)} AS {c}' if c == "ews_pct" else (f'"{c}"' if " " in c else c)) if c in set(PR.PROFILE_COLUMNS) | {"ews_pct", "risk_band"}
+    else f'0 AS "{c}"' for c in ML.MODEL_FEATURES) + " FROM ps")
+def q_ensure(spark, sf_dir):
+    df = ML.ensure_columns(_profile_snapshot(spark, sf_dir))
+    return df.select("MembershipID", *[F.col(f"`{c}`") for c in ML.MODEL_FEATURES])
+
+
+_NUMERIC_PROFILE = ["Age", "TermDays", "Lump Sum Flag", "DaysSinceLastAccessed", "TenureDays", "DaysSinceOriginalStart",
+                    "TotalAttendanceToDate", "Visits_Last30d", "Visits_Last90d", "EndedWithinCoolingPeriod", "ews_pct"]
+_CATEGORICAL_PROFILE = ["Gender", "SubCategory", "Channel", "ClubName", "MembershipTypeDesc", "RegularPayment",
+                        "Base Amount", "Term", "risk_band"]
+
+
+@register("impute_numeric_median", lambda: O.sql_profile_snapshot(AS_OF) + " UNION ALL ".join(
+    f"SELECT {O.q(c)} AS \"column\", {O.r6(f'quantile_cont(CAST(\"{c}\" AS DOUBLE), 0.5)')} AS median FROM ps"
+    for c in _NUMERIC_PROFILE))
+def q_median(spark, sf_dir):
+    med = ML.exact_medians(_profile_snapshot(spark, sf_dir), _NUMERIC_PROFILE)
+    return spark.createDataFrame([(k, float(v)) for k, v in med.items()], "column string, median double")
+
+
+@register("impute_categorical_mode", lambda: O.sql_profile_snapshot(AS_OF) + " UNION ALL ".join(
+    f"SELECT * FROM (SELECT {O.q(c)} AS \"column\", CAST(\"{c}\" AS VARCHAR) AS mode FROM ps WHERE \"{c}\" IS NOT NULL "
+    f"GROUP BY \"{c}\" ORDER BY count(*) DESC, CAST(\"{c}\" AS VARCHAR) ASC LIMIT 1) m{i}"
+    for i, c in enumerate(_CATEGORICAL_PROFILE)))
+def q_mode(spark, sf_dir):
+    mod = ML.modes(_profile_snapshot(spark, sf_dir), _CATEGORICAL_PROFILE)
+    return spark.createDataFrame(list(mod.items()), "column string, mode string")
+
+
+@register("standardize", lambda: O.sql_profile(AS_OF) and (
+    f"SELECT MembershipID, {O.r6('(TenureDays - avg(TenureDays) OVER ()) / stddev_pop(TenureDays) OVER ()')} AS TenureDays_z, "
+    f"{O.r6('(TotalAttendanceToDate - avg(TotalAttendanceToDate) OVER ()) / stddev_pop(TotalAttendanceToDate) OVER ()')} "
+    f"AS TotalAttendanceToDate_z FROM {O.sql_profile(AS_OF)} p"))
+def q_standardize(spark, sf_dir):
+    from ..operators import scaling
+    p = _profile(spark, sf_dir)
+    return scaling.standardize(p, ["TenureDays", "TotalAttendanceToDate"]).select(
+        "MembershipID", "TenureDays_z", "TotalAttendanceToDate_z")
