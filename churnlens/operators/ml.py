@@ -159,8 +159,9 @@ def grid_search_cv(df: DataFrame, label: str = "label", fold_col: str = "fold",
         pg = pg.addGrid(rf.getParam(k), vals)
     pipe = Pipeline(stages=preprocess_stages(data, numeric, categorical) + [rf])
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
+    n_folds = int(data.agg(F.max(fold_col)).collect()[0][0]) + 1
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=pg.build(), evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=seed)
+                        numFolds=n_folds, parallelism=parallelism, seed=seed)
     return cv.fit(data)
 
 

@@ -73,3 +73,31 @@ def cohort_inputs(spark: SparkSession, sf_dir: str, as_of):
 def flagship(spark: SparkSession, sf_dir: str, as_of: str = "2001-01-01") -> DataFrame:
     m, att_all, att_year = cohort_inputs(spark, sf_dir, as_of)
     return job_prepare_cohort(m, att_all, as_of, attendance_year=att_year)
+
+
+def job_train(frame: DataFrame, label: str = "label", num_trees: int = 50, max_depth: int = 6,
+              tune_classes=(0, 1), **tune) -> dict:
+    """Train on the non-test rows, tune thresholds on a validation slice of the training
+    rows (not on the test split), report on the test split before and after."""
+    from ..operators import cohorts as CO
+    from ..operators import ml as ML
+    from ..operators import report as RP
+    from ..operators import thresholds as TH
+    X = ML.drop_columns_if_present(frame.drop("Churned", label, "is_test", "cohort", "row_id", "fold", "w"))
+    num, cat = ML.select_features(X)
+    train_all = frame.where(~F.col("is_test"))
+    test = frame.where(F.col("is_test"))
+    split = CO.hash_split(train_all, F.col("row_id") if "row_id" in frame.columns else F.col("MembershipID"),
+                          20, seed=C.SEED + 1, out="is_val")
+    fit, val = split.where(~F.col("is_val")).drop("is_val"), split.where(F.col("is_val")).drop("is_val")
+    model = ML.train_churn_3class(fit, label, num_trees, max_depth, numeric=num, categorical=cat)
+    opts = dict(metric="recall", min_recall=0.65, min_precision=0.50)
+    opts.update(tune)
+    th = TH.thresholds_to_dict(TH.threshold_search(ML.class_probabilities(model, val), label, classes=tune_classes, **opts))
+    pr = ML.class_probabilities(model, test)
+    p = [F.col("p0"), F.col("p1"), F.col("p2")]
+    pairs = pr.select(F.col(label).alias("y"), TH.argmax_class(p).alias("pred_before"),
+                      TH.apply_thresholds(p, th).alias("pred"))
+    return {"model": model, "thresholds": th, "report": RP.classification_report(pairs, "y", "pred"),
+            "report_before": RP.classification_report(pairs, "y", "pred_before"),
+            "confusion": RP.confusion_matrix(pairs, "y", "pred")}

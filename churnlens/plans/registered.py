@@ -902,3 +902,178 @@ def q_standardize(spark, sf_dir):
     p = _profile(spark, sf_dir)
     return scaling.standardize(p, ["TenureDays", "TotalAttendanceToDate"]).select(
         "MembershipID", "TenureDays_z", "TotalAttendanceToDate_z")
+
+
+# --- model training / scoring (rows-only: results depend on the learner) -------------
+
+EWS_ITERS = 20
+RF_TREES = 50
+
+
+def _train_frame(spark, sf_dir):
+    from ..operators.predict import label_encode
+    bal = _balanced(spark, sf_dir).withColumn("label", label_encode(F.col("Churned")))
+    bal = bal.withColumn("row_id", F.concat_ws("|", "cohort", "MembershipID"))
+    # tree learners and CV scan the frame many times: materialise it once (reliable checkpoint)
+    from ..session import cut_lineage
+    return cut_lineage(CO.hash_split(bal, F.col("row_id")))
+
+
+def _feature_lists(df):
+    X = ML.drop_columns_if_present(df.drop("Churned", "label", "is_test", "cohort", "row_id", "fold", "w"))
+    return ML.select_features(X)
+
+
+@register("train_ews")
+def q_train_ews(spark, sf_dir):
+    model, test = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    scored = ML.score_ews(model, test)
+    auc = RK.auc_binary(scored, "EWS", "label").withColumn("_k", F.lit(1))
+    ap = RK.average_precision(scored, "EWS", "label").withColumn("_k", F.lit(1))
+    return auc.join(ap, "_k").drop("_k")
+
+
+@register("score_ews")
+def q_score_ews(spark, sf_dir):
+    model, _ = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    return ML.score_ews(model, _features(spark, sf_dir)).select("member_id", "week", "EWS")
+
+
+@register("job_snapshots_model")
+def q_snap_model(spark, sf_dir):
+    from .jobs import job_snapshots
+    model, _ = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    return job_snapshots(_panel_flags(spark, sf_dir), model=model)
+
+
+@register("train_churn_3class")
+def q_train_3class(spark, sf_dir):
+    df = _train_frame(spark, sf_dir)
+    num, cat = _feature_lists(df)
+    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", RF_TREES, 6, numeric=num, categorical=cat)
+    return ML.class_probabilities(model, df.where(F.col("is_test"))).select(
+        "MembershipID", "cohort", "label", F.col("prediction").cast("int").alias("prediction"), "p0", "p1", "p2")
+
+
+@register("preprocess_pipeline")
+def q_preprocess(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    df = _train_frame(spark, sf_dir)
+    num, cat = _feature_lists(df)
+    pm = Pipeline(stages=ML.preprocess_stages(df, num, cat)).fit(df)
+    return pm.transform(df).select("MembershipID", "cohort", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    df = _train_frame(spark, sf_dir)
+    train, test = df.where(~F.col("is_test")), df.where(F.col("is_test"))
+    pm = Pipeline(stages=ML.preprocess_stages(train, [], ["ClubName", "risk_band"], scale=False)).fit(train)
+    out = pm.transform(test)
+    return out.select("MembershipID", "ClubName", "risk_band",
+                      F.aggregate(vector_to_array("__oh_ClubName"), F.lit(0.0), lambda a, x: a + x).alias("club_hot"))
+
+
+@register("grid_search_cv")
+def q_cv(spark, sf_dir):
+    df = _train_frame(spark, sf_dir).where(~F.col("is_test"))
+    df = CO.stratified_folds(df, "label", "row_id")
+    num, cat = _feature_lists(df)
+    cv = ML.grid_search_cv(df, "label", "fold", parallelism=4, numeric=num, categorical=cat)
+    rows = []
+    for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
+        d = {p.name: v for p, v in pm.items()}
+        rows.append((int(d["numTrees"]), int(d["maxDepth"]), int(d["minInstancesPerNode"]), float(m)))
+    return spark.createDataFrame(rows, "numTrees int, maxDepth int, minInstancesPerNode int, cv_weighted_f1 double")
+
+
+@register("model_selection")
+def q_model_selection(spark, sf_dir):
+    df = _train_frame(spark, sf_dir)
+    num, cat = _feature_lists(df)
+    train, test = df.where(~F.col("is_test")), df.where(F.col("is_test"))
+    cands = {"random_forest": ML.train_churn_3class(train, "label", RF_TREES, 6, numeric=num, categorical=cat),
+             "logistic": ML.train_logistic(train, "label", numeric=num, categorical=cat)}
+    res = spark.createDataFrame([(k, float(ML.weighted_f1(m.transform(test), "label"))) for k, m in cands.items()],
+                                "model string, test_weighted_f1 double")
+    return res.orderBy(F.col("test_weighted_f1").desc(), "model").limit(1)
+
+
+@register("top_features")
+def q_top_features(spark, sf_dir):
+    df = _train_frame(spark, sf_dir)
+    num, cat = _feature_lists(df)
+    model = ML.train_churn_3class(df, "label", RF_TREES, 6, numeric=num, categorical=cat)
+    return ML.top_features(model, df, 5)
+
+
+@register("save_model")
+def q_save_model(spark, sf_dir):
+    from pyspark.ml import PipelineModel
+    df = _train_frame(spark, sf_dir)
+    num, cat = _feature_lists(df)
+    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", 20, 5, numeric=num, categorical=cat)
+    path = _scratch(spark, "model")
+    model.write().overwrite().save(path)
+    th_path = _scratch(spark, "thresholds")
+    IO.write_parquet(TH.threshold_search(ML.class_probabilities(model, df.where(F.col("is_test"))), "label", **TUNE), th_path)
+    back = PipelineModel.load(path)
+    th = TH.thresholds_to_dict(IO.read_parquet(spark, th_path))
+    pr = ML.class_probabilities(back, df.where(F.col("is_test")))
+    return PD.predictions_frame(pr, th)
+
+
+@register("batch_score_upload")
+def q_upload(spark, sf_dir):
+    """Upload CSV (8 columns) -> typed read -> required-column check -> missing model
+    features set to 0 -> score -> MembershipID, prediction, confidence."""
+    df = _train_frame(spark, sf_dir)
+    model = ML.train_churn_3class(df, "label", 20, 5, numeric=[c for c in ML.MODEL_FEATURES if c in
+                                                               ("Age", "TotalAttendanceToDate", "ews_pct")],
+                                  categorical=["SubCategory", "RegularPayment", "Gender", "risk_band"])
+    up = _profile_snapshot(spark, sf_dir).select("MembershipID", "SubCategory", "RegularPayment", "Gender", "Age",
+                                                  F.col("TotalAttendanceToDate").alias("TotalAttendance"), "ews_pct",
+                                                  "risk_band")
+    path = _scratch(spark, "upload")
+    IO.write_csv(up, path)
+    schema = ("MembershipID string, SubCategory string, RegularPayment string, Gender string, Age int, "
+              "TotalAttendance long, ews_pct double, risk_band string")
+    got = IO.require_columns(IO.read_csv_typed(spark, path, schema), ["MembershipID", "Gender", "Age", "ews_pct"])
+    got = ML.ensure_columns(got.withColumn("TotalAttendanceToDate", F.col("TotalAttendance")))
+    pr = ML.class_probabilities(model, got)
+    return pr.select("MembershipID", F.col("prediction").cast("int").alias("prediction"),
+                     PD.confidence([F.col("p0"), F.col("p1"), F.col("p2")]).alias("confidence"))
+
+
+@register("select_features")
+def q_select_features(spark, sf_dir):
+    num, cat = _feature_lists(_train_frame(spark, sf_dir))
+    return spark.createDataFrame([(c, "numeric") for c in num] + [(c, "categorical") for c in cat],
+                                 "feature string, kind string")
+
+
+@register("save_metrics")
+def q_save_metrics(spark, sf_dir):
+    """Accuracy, rows and class distribution as a JSON table written and read back."""
+    df = _train_frame(spark, sf_dir)
+    num, cat = _feature_lists(df)
+    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", 20, 5, numeric=num, categorical=cat)
+    pred = model.transform(df.where(F.col("is_test")))
+    rep = RP.classification_report(pred.withColumn("pred", F.col("prediction").cast("int")), "label", "pred")
+    dist = RP.class_distribution(df, "Churned").select(F.concat(F.lit("class_"), F.col("Churned").cast("string")).alias("label"),
+                                                       F.lit(None).cast("double").alias("precision"),
+                                                       F.lit(None).cast("double").alias("recall"),
+                                                       F.col("pct").alias("f1"), F.col("n").alias("support"))
+    path = _scratch(spark, "metrics")
+    rep.unionByName(dist).write.mode("overwrite").json(path)
+    return spark.read.schema("label string, precision double, recall double, f1 double, support long").json(path)
+
+
+@register("job_train")
+def q_job_train(spark, sf_dir):
+    from .jobs import job_train
+    res = job_train(_train_frame(spark, sf_dir))
+    return res["report"]
