@@ -46,7 +46,13 @@ def engineer_features(df: DataFrame, payment_col: str = "RegularPayment", tenure
     tenure, total = _n(df, "TenureDays"), _n(df, "TotalAttendanceToDate")
     v30, v90 = _n(df, "Visits_Last30d"), _n(df, "Visits_Last90d")
     days, pay = _n(df, "DaysSinceLastAccessed"), _n(df, payment_col)
-    edges = quartile_edges(df) if tenure_edges is None else tenure_edges
+    if tenure_edges is None:
+        # the edges need their own pass over the frame: materialise it once (one row per membership)
+        from ..session import cut_lineage
+        df = cut_lineage(df)
+        edges = quartile_edges(df)
+    else:
+        edges = tenure_edges
     avg90 = F.coalesce(v90, F.lit(0.0)) / 3
     months = F.coalesce(tenure, F.lit(1.0)) / 30
     rate = clip(pdiv(total, F.coalesce(tenure, F.lit(1.0)) + 1), 0, 10)

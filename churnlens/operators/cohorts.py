@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import cut_lineage
 from . import ranking
 
 
@@ -42,7 +43,7 @@ def exact_rank(df: DataFrame, key: str, out: str = "_rank", n_buckets: int | Non
 def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = C.SEED) -> DataFrame:
     """Exactly min(n, count) rows, chosen by the smallest seeded hash of the id
     (deterministic; ties impossible for distinct ids up to hash collisions, broken by id)."""
-    h = df.withColumn("_h", stable_hash(F.col(id_col), seed=seed))
+    h = cut_lineage(df.withColumn("_h", stable_hash(F.col(id_col), seed=seed)))
     r = exact_rank(h, "_h", "_r")
     return r.where(F.col("_r") <= n).drop("_h", "_r")
 
@@ -53,9 +54,10 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
     The composite key class * 2^60 + hash keeps classes contiguous, so one distributed
     prefix count serves all classes; per-class offsets come from a one-row-per-class
     table."""
-    h = df.withColumn("_key", F.col(label).cast("long") * F.lit(1 << 60) + stable_hash(F.col(id_col), seed=seed))
+    h = cut_lineage(df.withColumn("_key", F.col(label).cast("long") * F.lit(1 << 60)
+                                  + stable_hash(F.col(id_col), seed=seed)))
     r = exact_rank(h, "_key", "_r")
-    per = df.groupBy(F.col(label).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+    per = h.groupBy(F.col(label).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
     # one row per class: the ordered window is bounded by the number of classes
     wo = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_y", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))

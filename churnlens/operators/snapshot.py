@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import reasons as R
+from ..session import cut_lineage
 from . import ranking
 from .weekly import MEMBER, WEEK
 
@@ -34,8 +35,14 @@ def latest_per_member(df: DataFrame, member: str = MEMBER, week: str = WEEK) ->
 
 def build_snapshots(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """Latest row per member, global average-rank percentile of EWS (distributed),
-    risk band and primary reason."""
-    snap = latest_preferring_nonpaused(scores)
+    risk band and primary reason.
+
+    The one-row-per-member snapshot is checkpointed (reliable, shared folder) before
+    ranking: the rank needs a pass for its bucket edges and a pass for the ranks, and
+    both then read the materialised snapshot instead of re-running the weekly
+    pipeline. It also cuts the lineage of everything downstream (profile join,
+    outreach, evaluation)."""
+    snap = cut_lineage(latest_preferring_nonpaused(scores))
     snap = ranking.percentile_rank(snap, "EWS", "ews_pct", n_buckets)
     return (snap.withColumn("risk_band", R.risk_band(F.col("ews_pct")))
                 .withColumn("main_reason", R.primary_reason(F.col("reasons"))))

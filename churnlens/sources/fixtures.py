@@ -128,22 +128,29 @@ def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None) -
     """
     lo, hi = _week_bounds(week_from, week_to)
     cust = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
-    if hi < lo:
-        spine = cust.select("k", F.lit(None).cast("date").alias("week")).where(F.lit(False))
-    else:
-        spine = cust.select("k", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 7 DAYS"))).alias("week"))
     visits = (order_lines(spark, sf_dir)
               .withColumn("week", _to_date(F.date_trunc("week", F.col("ship_date"))))
               .where((F.col("week") >= F.lit(lo)) & (F.col("week") <= F.lit(hi)))
               .groupBy("k", "week")
               .agg(F.ceil(F.sum("l_quantity") / 10).cast("int").alias("WeekVisits")))
+    # One map per customer holding its non-empty weeks: bounded by the calendar length,
+    # so the join runs at customer grain and the dense weeks are generated after it
+    # (no shuffle of the customers x weeks spine).
+    per_cust = visits.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("week", "WeekVisits"))).alias("vm"))
+    if hi < lo:
+        spine = cust.select("k", F.lit(None).cast("date").alias("week"), F.lit(None).cast("int").alias("WeekVisits")) \
+            .where(F.lit(False))
+    else:
+        spine = (cust.join(per_cust, "k", "left")
+                 .select("k", "vm", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 7 DAYS"))).alias("week"))
+                 .select("k", "week", F.try_element_at(F.col("vm"), F.col("week")).alias("WeekVisits")))
     wi = F.floor(F.datediff(F.col("week"), F.lit(FIRST_WEEK)) / 7).cast("long")
     k = F.col("k")
 
     def flag(cond: Column) -> Column:
         return F.when(cond, 1).otherwise(0).cast("int")
 
-    return (spine.join(visits, ["k", "week"], "left")
+    return (spine
             .select(
                 membership_key(k).alias("MembershipID"),
                 F.col("week").alias("WeekBeginningDate"),
