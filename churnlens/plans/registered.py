@@ -1077,3 +1077,21 @@ def q_job_train(spark, sf_dir):
     from .jobs import job_train
     res = job_train(_train_frame(spark, sf_dir))
     return res["report"]
+
+
+# --- streaming publish ------------------------------------------------------------------
+
+@register("stream_publish_predictions", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
+          f"SELECT RunDate, count(*) AS n FROM ({O.sql_sink_select(AS_OF)}) s GROUP BY RunDate")
+def q_stream_publish(spark, sf_dir):
+    """Stage the prediction table as files, publish it twice through the streaming
+    foreachBatch sink (two micro-batches for the same RunDate), read the sink back."""
+    from ..streaming import publish_staged_predictions
+    df = _predict_job(spark, sf_dir)
+    staged, sink = _scratch(spark, "staged-preds"), _scratch(spark, "published")
+    ckpt = _scratch(spark, "stream-ckpt")
+    df.write.mode("append").parquet(staged)
+    publish_staged_predictions(spark, staged, df.schema, sink, ckpt)
+    df.write.mode("append").parquet(staged)
+    publish_staged_predictions(spark, staged, df.schema, sink, ckpt)
+    return SK.read_sink(spark, sink).groupBy("RunDate").agg(F.count(F.lit(1)).alias("n"))
