@@ -172,3 +172,19 @@ def surrogate_ews(df: DataFrame, out: str = "EWS") -> DataFrame:
     make results engine-dependent: sigmoid(0.3*drought_active - 0.5*momentum_z - 1)."""
     z = F.lit(0.3) * F.col("drought_active") - F.lit(0.5) * F.coalesce(F.col("momentum_z"), F.lit(0.0)) - F.lit(1.0)
     return df.withColumn(out, F.bround(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 6))
+
+
+def eligible_members(attendance_joined: DataFrame, min_visits: int = C.MIN_VISITS_12M, key: str = "MembershipID",
+                     value: str = "engagement") -> DataFrame:
+    """GROUP BY member HAVING SUM(engagement) >= min_visits (partial aggregation)."""
+    return (attendance_joined.groupBy(key).agg(F.sum(value).cast("long").alias("total_visits"))
+            .where(F.col("total_visits") >= min_visits))
+
+
+def attendance_members(memberships: DataFrame, attendance: DataFrame, T, exclude_origin: bool = False) -> DataFrame:
+    """attendance ⋈ active members over the trailing year, before the eligibility test."""
+    base = active_weekly_members(memberships, T, exclude_origin, with_labels=False)
+    att = (attendance.where(asof.trailing_year(F.col("WeekBeginningDate"), T))
+           .select("MembershipID", F.col("WeekBeginningDate").alias(WEEK),
+                   F.coalesce(F.col("WeekVisits"), F.lit(0)).cast("int").alias("engagement")))
+    return att.join(base.select("MembershipID"), "MembershipID")

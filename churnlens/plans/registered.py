@@ -1095,3 +1095,382 @@ def q_stream_publish(spark, sf_dir):
     df.write.mode("append").parquet(staged)
     publish_staged_predictions(spark, staged, df.schema, sink, ckpt)
     return SK.read_sink(spark, sink).groupBy("RunDate").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- filters, scalar functions, join steps ---------------------------------------------
+
+from ..functions import asof as AS  # noqa: E402
+from ..functions import columns as X  # noqa: E402
+
+_M = f"({O.sql_memberships(AS_OF)}) m"
+_T = O.d(AS_OF)
+
+
+def _m(spark, sf_dir):
+    return members(spark, sf_dir)
+
+
+def _col(name):
+    return F.col(f"`{name}`")
+
+
+@register("active_at_weekly", lambda: f'SELECT MembershipID FROM {_M} WHERE "ActiveOn Date" <= {_T} '
+          f'AND ("End Date" >= {_T} OR "End Date" IS NULL)')
+def q_active_weekly(spark, sf_dir):
+    return _m(spark, sf_dir).where(AS.active_at_weekly(_col("ActiveOn Date"), _col("End Date"), AS_OF)).select("MembershipID")
+
+
+@register("active_at_profile", lambda: f'SELECT MembershipID FROM {_M} WHERE "Start Date" < {_T} '
+          f'AND ("End Date" > {_T} OR "End Date" IS NULL)')
+def q_active_profile(spark, sf_dir):
+    return _m(spark, sf_dir).where(AS.active_at_profile(_col("Start Date"), _col("End Date"), AS_OF)).select("MembershipID")
+
+
+@register("exclude_subcategories", lambda: f"SELECT MembershipID, SubCategory FROM {_M} "
+          f"WHERE SubCategory NOT IN {O.inlist(C.EXCLUDED_SUBCATEGORIES)}")
+def q_excl_sub(spark, sf_dir):
+    return _m(spark, sf_dir).where(AS.exclude_subcategories(F.col("SubCategory"))).select("MembershipID", "SubCategory")
+
+
+@register("contract_only", lambda: f"SELECT MembershipID, Category FROM {_M} WHERE Category IN {O.inlist(C.CONTRACT_CATEGORIES)}")
+def q_contract(spark, sf_dir):
+    return _m(spark, sf_dir).where(AS.contract_only(F.col("Category"))).select("MembershipID", "Category")
+
+
+@register("exclude_origin_transfer", lambda: f"SELECT MembershipID, Origin FROM {_M} WHERE Origin NOT IN {O.inlist(C.EXCLUDED_ORIGINS)}")
+def q_excl_origin(spark, sf_dir):
+    return _m(spark, sf_dir).where(AS.exclude_origin_transfer(F.col("Origin"))).select("MembershipID", "Origin")
+
+
+@register("job_weekly_panel_dashboard", lambda: O.sql_panel(AS_OF, labels=True, exclude_origin=True))
+def q_panel_dash(spark, sf_dir):
+    return WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF, labels=True, exclude_origin=True)
+
+
+@register("not_transferred_out", lambda: f"SELECT MembershipID FROM {_M} WHERE Transferred_OUT IS NULL")
+def q_not_transferred(spark, sf_dir):
+    return _m(spark, sf_dir).where(F.col("Transferred_OUT").isNull()).select("MembershipID")
+
+
+@register("trailing_year_window", lambda: f"SELECT MembershipID, WeekBeginningDate FROM "
+          f"({O.sql_attendance(None, AS_OF)}) a WHERE WeekBeginningDate >= {O.add_months(_T, -12)} AND WeekBeginningDate < {_T}")
+def q_trailing(spark, sf_dir):
+    a = FX.attendance(spark, sf_dir, None, AS_OF)
+    return a.where(AS.trailing_year(F.col("WeekBeginningDate"), AS_OF)).select("MembershipID", "WeekBeginningDate")
+
+
+@register("before_as_of", lambda: f"SELECT MembershipID, count(*) AS weeks, max(WeekBeginningDate) AS last_week FROM "
+          f"({O.sql_attendance(None, None)}) a WHERE WeekBeginningDate < {_T} GROUP BY MembershipID")
+def q_before(spark, sf_dir):
+    a = FX.attendance(spark, sf_dir)
+    return (a.where(AS.before_as_of(F.col("WeekBeginningDate"), AS_OF)).groupBy("MembershipID")
+            .agg(F.count(F.lit(1)).alias("weeks"), F.max("WeekBeginningDate").alias("last_week")))
+
+
+@register("attended_only", lambda: f"SELECT MembershipID, TotalAttendanceToDate FROM {O.sql_profile(AS_OF)} p")
+def q_attended(spark, sf_dir):
+    return _profile(spark, sf_dir).select("MembershipID", "TotalAttendanceToDate")
+
+
+@register("coalesce_visits", lambda: f"SELECT MembershipID, WeekBeginningDate, WeekVisits, "
+          f"CAST(coalesce(WeekVisits, 0) AS INTEGER) AS engagement FROM ({O.sql_attendance(O.prev_year(AS_OF), AS_OF)}) a")
+def q_coalesce(spark, sf_dir):
+    return att_year(spark, sf_dir).select("MembershipID", "WeekBeginningDate", "WeekVisits",
+                                          X.coalesce_visits(F.col("WeekVisits")).cast("int").alias("engagement"))
+
+
+@register("end_month_bucket", lambda: f'SELECT MembershipID, "End Date" AS end_date, '
+          f'{O.sql_end_month_bucket(chr(34) + "End Date" + chr(34), AS_OF)} AS end_month_bucket FROM {_M}')
+def q_bucket(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", _col("End Date").alias("end_date"),
+                                    AS.end_month_bucket(_col("End Date"), AS_OF).alias("end_month_bucket"))
+
+
+@register("churn_flag_52w", lambda: f'SELECT MembershipID, {O.sql_churn_flag(chr(34) + "End Date" + chr(34), AS_OF)} AS churn_flag FROM {_M}')
+def q_flag52(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", AS.churn_flag_52w(_col("End Date"), AS_OF).cast("int").alias("churn_flag"))
+
+
+@register("valid_month_bucket", lambda: O.sql_panel(AS_OF, labels=True).replace("SELECT mw.MembershipID AS member_id", "SELECT DISTINCT mw.MembershipID AS member_id", 1)
+          .replace(", mw.week, mw.engagement, mw.pause AS paused, lbl.end_month_bucket, lbl.churn_flag", ", lbl.end_month_bucket", 1)
+          + " WHERE lbl.end_month_bucket BETWEEN 1 AND 12")
+def q_valid_bucket(spark, sf_dir):
+    p = WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF, labels=True)
+    return p.where(F.col("end_month_bucket").between(1, 12)).select("member_id", "end_month_bucket").distinct()
+
+
+@register("null_month_bucket", lambda: O.sql_panel(AS_OF, labels=True).replace("SELECT mw.MembershipID AS member_id", "SELECT DISTINCT mw.MembershipID AS member_id", 1)
+          .replace(", mw.week, mw.engagement, mw.pause AS paused, lbl.end_month_bucket, lbl.churn_flag", "", 1)
+          + " WHERE lbl.end_month_bucket IS NULL")
+def q_null_bucket(spark, sf_dir):
+    p = WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF, labels=True)
+    return p.where(F.col("end_month_bucket").isNull()).select("member_id").distinct()
+
+
+@register("payment_band", lambda: f"SELECT MembershipID, RegularPayment, {O.sql_payment_band('RegularPayment')} AS payment_band FROM {_M}")
+def q_pay_band(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", "RegularPayment", X.payment_band(F.col("RegularPayment")).alias("payment_band"))
+
+
+@register("frequency_group", lambda: f"SELECT MembershipID, PaymentFrequency, "
+          f"{O._prefix_case('PaymentFrequency', C.FREQUENCY_GROUPS)} AS frequency_group FROM {_M}")
+def q_freq(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", "PaymentFrequency",
+                                    X.frequency_group(F.col("PaymentFrequency")).alias("frequency_group"))
+
+
+@register("term_group", lambda: f"SELECT MembershipID, Term, {O._prefix_case('Term', C.TERM_GROUPS)} AS term_group FROM {_M}")
+def q_term(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", "Term", X.term_group(F.col("Term")).alias("term_group"))
+
+
+@register("payment_band_to_number", lambda: f"SELECT MembershipID, RegularPayment, CASE " + " ".join(
+    f"WHEN RegularPayment = {O.q(k)} THEN {v}" for k, v in C.PAYMENT_BAND_TO_NUMBER.items()) +
+    f" END AS payment_number, CASE " + " ".join(f"WHEN \"Base Amount\" = {O.q(k)} THEN {v}" for k, v in C.FREQUENCY_TO_NUMBER.items())
+    + f" END AS frequency_number FROM {O.sql_profile(AS_OF)} p")
+def q_band_numbers(spark, sf_dir):
+    return _profile(spark, sf_dir).select("MembershipID", "RegularPayment",
+                                          X.payment_band_to_number(F.col("RegularPayment")).alias("payment_number"),
+                                          X.frequency_to_number(_col("Base Amount")).alias("frequency_number"))
+
+
+@register("frequency_to_number", lambda: f"SELECT \"Base Amount\" AS frequency_group, CASE " + " ".join(
+    f"WHEN \"Base Amount\" = {O.q(k)} THEN {v}" for k, v in C.FREQUENCY_TO_NUMBER.items()) +
+    f" END AS frequency_number, count(*) AS n FROM {O.sql_profile(AS_OF)} p GROUP BY 1, 2")
+def q_freq_num(spark, sf_dir):
+    p = _profile(spark, sf_dir)
+    return p.groupBy(_col("Base Amount").alias("frequency_group"),
+                     X.frequency_to_number(_col("Base Amount")).alias("frequency_number")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("days_since_last_accessed", lambda: f"SELECT MembershipID, DateLastAccessed, CAST(CASE WHEN DateLastAccessed IS NULL "
+          f"OR DateLastAccessed > {_T} THEN {C.NO_ACCESS_SENTINEL} ELSE date_diff('day', DateLastAccessed, {_T}) END AS INTEGER) "
+          f"AS DaysSinceLastAccessed FROM {_M}")
+def q_dsla(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", "DateLastAccessed",
+                                    X.days_since_last_accessed(F.col("DateLastAccessed"), AS_OF).alias("DaysSinceLastAccessed"))
+
+
+@register("tenure_days", lambda: f'SELECT MembershipID, CAST(date_diff(\'day\', "Start Date", {_T}) AS INTEGER) AS TenureDays, '
+          f'CAST(date_diff(\'day\', "Original Start Date", {_T}) AS INTEGER) AS DaysSinceOriginalStart, '
+          f'CAST(date_diff(\'day\', {_T}, "End Date") AS INTEGER) AS DaysToContractEnd FROM {_M}')
+def q_tenure_days(spark, sf_dir):
+    T = F.lit(AS_OF).cast("date")
+    return _m(spark, sf_dir).select("MembershipID", F.datediff(T, _col("Start Date")).alias("TenureDays"),
+                                    F.datediff(T, _col("Original Start Date")).alias("DaysSinceOriginalStart"),
+                                    F.datediff(_col("End Date"), T).alias("DaysToContractEnd"))
+
+
+@register("age_years", lambda: f"SELECT MembershipID, DOB, CAST(year({_T}) - year(DOB) AS INTEGER) AS Age FROM {_M}")
+def q_age(spark, sf_dir):
+    return _m(spark, sf_dir).select("MembershipID", "DOB", X.age_years(F.col("DOB"), AS_OF).alias("Age"))
+
+
+@register("clip", lambda: f"SELECT MembershipID, {O.r6(O.sql_clip('TenureDays / 100.0', 0, 10))} AS tenure_hundreds_clipped, "
+          f"{O.r6(O.sql_clip('CAST(NULL AS DOUBLE)', 0, 10))} AS null_clipped FROM {O.sql_profile(AS_OF)} p")
+def q_clip(spark, sf_dir):
+    p = _profile(spark, sf_dir)
+    return p.select("MembershipID", X.clip(F.col("TenureDays") / 100.0, 0, 10).alias("tenure_hundreds_clipped"),
+                    X.clip(F.lit(None).cast("double"), 0, 10).alias("null_clipped"))
+
+
+def _dirty_band_spark(df):
+    k = F.substring("member_id", 4, 9).cast("int")
+    b = F.col("risk_band")
+    dirty = (F.when(k % 4 == 0, F.concat(F.lit("  "), F.lower(b), F.lit(" ")))
+             .when((k % 4 == 1) & (b == "Low"), F.lit("LOWE"))
+             .when((k % 4 == 2) & (b == "Medium"), F.lit("meduim"))
+             .otherwise(F.upper(b)))
+    return df.select("member_id", dirty.alias("raw_band"))
+
+
+def _dirty_band_sql():
+    k = "CAST(substr(member_id, 4, 9) AS INTEGER)"
+    return (f"CASE WHEN {k} % 4 = 0 THEN concat('  ', lower(risk_band), ' ') "
+            f"WHEN {k} % 4 = 1 AND risk_band = 'Low' THEN 'LOWE' "
+            f"WHEN {k} % 4 = 2 AND risk_band = 'Medium' THEN 'meduim' ELSE upper(risk_band) END")
+
+
+@register("normalize_band", lambda: O.sql_snapshot(AS_OF) + f", dirty AS (SELECT member_id, {_dirty_band_sql()} AS raw_band "
+          f"FROM snap) SELECT member_id, raw_band, {O.sql_normalize_band('raw_band')} AS risk_band FROM dirty")
+def q_norm_band(spark, sf_dir):
+    d = _dirty_band_spark(_snapshot(spark, sf_dir))
+    return d.select("member_id", "raw_band", X.normalize_band(F.col("raw_band")).alias("risk_band"))
+
+
+@register("class_label", lambda: f"SELECT MembershipID, {O.sql_apply(str(T0), str(T1), '0.0')} AS PredictedClass, CASE "
+          f"{O.sql_apply(str(T0), str(T1), '0.0')} " + " ".join(f"WHEN {c} THEN {O.q(v)}" for c, v in C.CLASS_LABELS.items())
+          + f" END AS ClassLabel FROM {O.sql_probs(AS_OF)} x")
+def q_class_label(spark, sf_dir):
+    return _predictions(spark, sf_dir).select("MembershipID", "PredictedClass", "ClassLabel")
+
+
+register("actual_churn_label", _campaign_sql("validation"))(
+    lambda spark, sf_dir: PD.campaign_query(_saved(spark, sf_dir), "validation"))
+
+
+@register("coerce_numeric", lambda: f"SELECT MembershipID, RegularPayment, TRY_CAST(RegularPayment AS DOUBLE) AS payment_numeric, "
+          f"TRY_CAST(CAST(TotalAttendanceToDate AS VARCHAR) AS DOUBLE) AS total_numeric FROM {O.sql_profile(AS_OF)} p")
+def q_coerce_num(spark, sf_dir):
+    p = _profile(spark, sf_dir)
+    return p.select("MembershipID", "RegularPayment", X.coerce_numeric(F.col("RegularPayment")).alias("payment_numeric"),
+                    X.coerce_numeric(F.col("TotalAttendanceToDate")).alias("total_numeric"))
+
+
+@register("coerce_date", lambda: f"SELECT MembershipID, TRY_CAST(CAST(end_date AS VARCHAR) AS DATE) AS end_date, "
+          f"TRY_CAST(Term AS DATE) AS term_as_date FROM {O.sql_profile(AS_OF)} p")
+def q_coerce_date(spark, sf_dir):
+    p = _profile(spark, sf_dir)
+    return p.select("MembershipID", X.coerce_date(F.col("end_date")).alias("end_date"),
+                    X.coerce_date(F.col("Term")).alias("term_as_date"))
+
+
+@register("join_attendance_members", lambda: f"""SELECT a.MembershipID, a.WeekBeginningDate AS week,
+  CAST(coalesce(a.WeekVisits, 0) AS INTEGER) AS engagement
+FROM ({O.sql_attendance(O.prev_year(AS_OF), AS_OF)}) a JOIN ({O.sql_weekly_base(AS_OF)}) b ON a.MembershipID = b.MembershipID
+WHERE a.WeekBeginningDate >= {O.add_months(_T, -12)} AND a.WeekBeginningDate < {_T}""")
+def q_join_att(spark, sf_dir):
+    return WK.attendance_members(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF)
+
+
+_ELIG_SQL = (f"SELECT a.MembershipID, CAST(sum(coalesce(a.WeekVisits, 0)) AS BIGINT) AS total_visits "
+             f"FROM ({O.sql_attendance(O.prev_year(AS_OF), AS_OF)}) a JOIN ({O.sql_weekly_base(AS_OF)}) b "
+             f"ON a.MembershipID = b.MembershipID WHERE a.WeekBeginningDate >= {O.add_months(_T, -12)} "
+             f"AND a.WeekBeginningDate < {_T} GROUP BY a.MembershipID HAVING sum(coalesce(a.WeekVisits, 0)) >= {C.MIN_VISITS_12M}")
+
+
+@register("eligible_members", lambda: _ELIG_SQL)
+def q_eligible(spark, sf_dir):
+    return WK.eligible_members(WK.attendance_members(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF))
+
+
+@register("join_eligible", lambda: f"SELECT DISTINCT member_id FROM ({O.sql_panel(AS_OF)}) p")
+def q_join_eligible(spark, sf_dir):
+    return WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF).select("member_id").distinct()
+
+
+@register("join_labels", lambda: f"SELECT member_id, week, end_month_bucket, churn_flag FROM ({O.sql_panel(AS_OF, labels=True)}) p")
+def q_join_labels(spark, sf_dir):
+    return q_weekly_panel(spark, sf_dir).select("member_id", "week", "end_month_bucket", "churn_flag")
+
+
+@register("project_weekly_panel", lambda: O.sql_panel(AS_OF))
+def q_project_panel(spark, sf_dir):
+    return WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF)
+
+
+@register("scan_typed_result", lambda: f"SELECT member_id, week, engagement, CAST(paused AS SMALLINT) AS paused FROM ({O.sql_panel(AS_OF)}) p")
+def q_typed(spark, sf_dir):
+    return q_project_panel(spark, sf_dir).select("member_id", F.col("week").cast("date"), "engagement",
+                                                 F.col("paused").cast("short"))
+
+
+@register("join_profile_parts", lambda: f"SELECT {O.PROFILE_SQL_COLS} FROM {O.sql_profile(AS_OF)} p")
+def q_profile_parts(spark, sf_dir):
+    return _profile(spark, sf_dir)
+
+
+@register("sort_profile", lambda: f"SELECT {O.PROFILE_SQL_COLS} FROM {O.sql_profile(AS_OF)} p ORDER BY MembershipID")
+def q_sort_profile(spark, sf_dir):
+    return _profile(spark, sf_dir).orderBy("MembershipID")
+
+
+@register("join_scores_weekly", lambda: O.sql_scores(AS_OF) + f"SELECT member_id, week, {O.r6('EWS')} AS EWS, engagement, paused FROM sc")
+def q_scores_weekly(spark, sf_dir):
+    return _scores(spark, sf_dir).select("member_id", "week", "EWS", "engagement", "paused")
+
+
+@register("join_canceled", lambda: O.sql_features(AS_OF) + "SELECT member_id, week, CAST(coalesce(canceled, 0) AS INTEGER) AS canceled FROM f")
+def q_join_canceled(spark, sf_dir):
+    return _features(spark, sf_dir).select("member_id", "week", F.coalesce(F.col("canceled"), F.lit(0)).cast("int").alias("canceled"))
+
+
+@register("join_stats_back", lambda: O.sql_features(AS_OF) + f"SELECT member_id, week, {O.r6('ema_z')} AS ema_z, "
+          f"{O.r6('volatility_z')} AS volatility_z FROM f")
+def q_stats_back(spark, sf_dir):
+    return _features(spark, sf_dir).select("member_id", "week", "ema_z", "volatility_z")
+
+
+register("join_metric_blocks", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM mx")(q_evaluate)
+register("dedupe", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM snapl")(q_latest)
+register("attach_prediction", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
+         f"SELECT MembershipID, member_id, PredictedClass, {O.r6('Confidence')} AS Confidence FROM feat")(q_join_pred)
+register("job_save_predictions", lambda: O.sql_saved_predictions(AS_OF, T0, T1) + _SAVED_SEL)(q_saved)
+
+
+@register("job_outreach", lambda: O.sql_active_candidates(AS_OF) +
+          f"SELECT 'active' AS queue, * FROM (SELECT {Q_SQL_COLS} FROM act ORDER BY sev_rank ASC, EWS DESC, member_id ASC "
+          f"LIMIT {C.OUTREACH_CAPACITY}) a UNION ALL SELECT 'paused' AS queue, {Q_SQL_COLS} FROM "
+          f"({O.sql_with_playbook('(SELECT * FROM snap WHERE paused = 1)')}) x")
+def q_job_outreach(spark, sf_dir):
+    from .jobs import job_outreach
+    a, p = job_outreach(_snapshot(spark, sf_dir), recent_contacts=_contacts(spark, sf_dir))
+    return a.select(F.lit("active").alias("queue"), "*").unionByName(p.select(F.lit("paused").alias("queue"), "*"))
+
+
+_SINK_NULL_SQL = None
+
+
+def _sink_nulls_sql():
+    from ..operators.predict import SINK_SPEC
+    parts = []
+    for name, _, _ in SINK_SPEC:
+        parts.append(f"SELECT {O.q(name)} AS \"column\", {O.r6(f'avg(CASE WHEN \"{name}\" IS NULL THEN 1.0 ELSE 0.0 END) * 100.0')} "
+                     f"AS null_pct FROM sinkt HAVING avg(CASE WHEN \"{name}\" IS NULL THEN 1.0 ELSE 0.0 END) > 0")
+    return O.sql_predict_ctes(AS_OF, T0, T1) + f", sinkt AS ({O.sql_sink_select(AS_OF)}) " + " UNION ALL ".join(parts)
+
+
+@register("nulls_for_sink", _sink_nulls_sql)
+def q_sink_nulls(spark, sf_dir):
+    return RP.null_profile(_predict_job(spark, sf_dir))
+
+
+_UPLOAD_SCHEMA = ("MembershipID string, SubCategory string, RegularPayment string, Gender string, Age int, "
+                  "TotalAttendance long, ews_pct double, risk_band string")
+
+
+def _upload(spark, sf_dir):
+    up = _profile_snapshot(spark, sf_dir).select("MembershipID", "SubCategory", "RegularPayment", "Gender", "Age",
+                                                  F.col("TotalAttendanceToDate").alias("TotalAttendance"), "ews_pct",
+                                                  "risk_band")
+    path = _scratch(spark, "upload")
+    IO.write_csv(up, path)
+    return IO.read_csv_typed(spark, path, _UPLOAD_SCHEMA)
+
+
+_UPLOAD_SQL = lambda: O.sql_profile_snapshot(AS_OF) + (
+    f"SELECT MembershipID, SubCategory, RegularPayment, Gender, Age, TotalAttendanceToDate AS TotalAttendance, "
+    f"{O.r6('ews_pct')} AS ews_pct, risk_band FROM ps")
+
+register("read_csv_upload", _UPLOAD_SQL)(_upload)
+register("require_columns", _UPLOAD_SQL)(
+    lambda spark, sf_dir: IO.require_columns(_upload(spark, sf_dir), ["MembershipID", "SubCategory", "RegularPayment",
+                                                                      "Gender", "Age", "TotalAttendance", "ews_pct",
+                                                                      "risk_band"]))
+
+
+@register("object_store_io", lambda: O.sql_eval_ctes(AS_OF) + "SELECT * FROM mx")
+def q_object_store(spark, sf_dir):
+    """Evaluation matrix written under a date-templated key (``.../final/as_of=<date>/``)
+    and read back through the Hadoop filesystem API (any object store with a connector)."""
+    base = _scratch(spark, "final")
+    mx = _matrix(spark, sf_dir)
+    IO.write_parquet(mx.withColumn("as_of", F.lit(AS_OF).cast("date")), base, ["as_of"])
+    return IO.read_parquet(spark, f"{base}/as_of={AS_OF}")
+
+
+@register("write_csv_evaluation", lambda: O.sql_eval_ctes(AS_OF) + "SELECT risk_band, " + ", ".join(
+    f'm{m} AS "{m}"' for m in EV.MONTHS) + ', null_bucket AS "null", ' + ", ".join(
+    f'{EV.month_label(m)} AS "%{EV.month_label(m)[4:]}"' for m in EV.MONTHS) +
+    ', Total_Members, Total_Churned, Total_Not_Churned, Total_Churned_And_Not, pct_Churned AS "%_Churned" FROM mx')
+def q_write_eval(spark, sf_dir):
+    """Matrix with the published CSV headers, keeping risk_band as a column."""
+    out = EV.csv_headers(_matrix(spark, sf_dir).drop("band_order"))
+    path = _scratch(spark, "evaluation-csv")
+    IO.write_csv(out, path)
+    ints = {str(m) for m in EV.MONTHS} | {"null", "Total_Members", "Total_Churned", "Total_Not_Churned", "Total_Churned_And_Not"}
+    schema = ", ".join(f"`{c}` {'bigint' if c in ints else ('string' if c == 'risk_band' else 'double')}" for c in out.columns)
+    return IO.read_csv_typed(spark, path, schema)
+
+
+register("load_model")(q_save_model)
