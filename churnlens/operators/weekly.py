@@ -68,37 +68,50 @@ def weekly_panel(memberships: DataFrame, attendance: DataFrame, T, min_visits: i
     return mw.withColumn("_tot", tot).where(F.col("_tot") >= min_visits).select(*out)
 
 
+def add_segments(df: DataFrame, member: str = MEMBER, week: str = WEEK, segment_rows: int = EMA_SEGMENT_ROWS
+                 ) -> DataFrame:
+    """Row number in week order (``_rn``), its segment (``_seg``) and the index inside
+    the segment (``_j``). Segments are monotone in week, so every later ordered window
+    can use the order (``_seg``, week) and share one sort with the segment windows."""
+    i = F.col("_rn") - 1
+    seg = F.floor(i / segment_rows)
+    return (df.withColumn("_rn", F.row_number().over(Window.partitionBy(member).orderBy(week)))
+              .withColumn("_seg", seg).withColumn("_j", (i - seg * segment_rows).cast("double")))
+
+
+def _wm(member: str = MEMBER, week: str = WEEK):
+    """Member window in (segment, week) order — the same order as week."""
+    return Window.partitionBy(member).orderBy("_seg", week)
+
+
 def ema_columns(df: DataFrame, x: str, out: str, span: int = C.EMA_SPAN,
-                member: str = MEMBER, week: str = WEEK, rn: str = "_rn",
-                segment_rows: int = EMA_SEGMENT_ROWS) -> DataFrame:
+                member: str = MEMBER, week: str = WEEK, segment_rows: int = EMA_SEGMENT_ROWS) -> DataFrame:
     """Exponential moving average, adjust=False: y0 = x0, y_t = (1-a) y_{t-1} + a x_t.
 
     Closed form per segment of ``segment_rows`` rows: with j the index inside the
     segment, local_t = b^j * running_sum(w_i x_i b^-i) and the carry of the previous
     segment enters as b^(j+1) * local_end(prev). Contributions older than one full
-    segment are below b^512 and vanish in double precision. Requires column ``rn``
-    (1-based row number in the member's week order).
+    segment are below b^512 and vanish in double precision. Adds the segment columns
+    (``add_segments``) when they are missing.
     """
+    if "_seg" not in df.columns:
+        df = add_segments(df, member, week, segment_rows)
     alpha = 2.0 / (span + 1.0)
     beta = 1.0 - alpha
     L = segment_rows
-    i = F.col(rn) - 1
-    seg = F.floor(i / L)
-    j = (i - seg * L).cast("double")
-    w = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-    term = w * F.col(x).cast("double") * F.pow(F.lit(beta), -j)
+    w = F.when(F.col("_rn") == 1, F.lit(1.0)).otherwise(F.lit(alpha))
+    term = w * F.col(x).cast("double") * F.pow(F.lit(beta), -F.col("_j"))
     wseg = Window.partitionBy(member, "_seg").orderBy(week).rowsBetween(Window.unboundedPreceding, 0)
-    df = (df.withColumn("_seg", seg).withColumn("_j", j)
-          .withColumn("_local", F.pow(F.lit(beta), F.col("_j")) * F.sum(term).over(wseg)))
-    wprev = _w(member, week).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_local", F.pow(F.lit(beta), F.col("_j")) * F.sum(term).over(wseg))
+    wprev = _wm(member, week).rowsBetween(Window.unboundedPreceding, -1)
     carry = F.last(F.when(F.col("_j") == L - 1, F.col("_local")), ignorenulls=True).over(wprev)
     df = df.withColumn(out, F.col("_local") + F.coalesce(F.pow(F.lit(beta), F.col("_j") + 1) * carry, F.lit(0.0)))
-    return df.drop("_seg", "_j", "_local")
+    return df.drop("_local")
 
 
 def _run_since_break(brk: Column, rn: Column, member: str, week: str) -> Column:
     """Length of the current run of non-break rows (gaps-and-islands via running max)."""
-    last_break = F.max(F.when(brk, rn)).over(_w(member, week).rowsBetween(Window.unboundedPreceding, 0))
+    last_break = F.max(F.when(brk, rn)).over(_wm(member, week).rowsBetween(Window.unboundedPreceding, 0))
     return F.when(brk, F.lit(0)).otherwise(rn - F.coalesce(last_break, F.lit(0))).cast("int")
 
 
@@ -113,11 +126,11 @@ def member_features(panel: DataFrame, ema_span: int = C.EMA_SPAN, seasonality: b
                     member: str = MEMBER, week: str = WEEK) -> DataFrame:
     """ema, momentum, volatility, drought, drought_active, pct_self, tenure_weeks,
     sin/cos of the ISO week, per-member z-scores and zero-filled weekly flags."""
-    W = _w(member, week)
     df = panel
     if "paused" not in df.columns:
         df = df.withColumn("paused", F.lit(0))
-    df = df.withColumn("_rn", F.row_number().over(W))
+    df = add_segments(df, member, week)
+    W = _wm(member, week)
     df = ema_columns(df, "engagement", "ema", ema_span, member, week)
     df = (df.withColumn("momentum", F.coalesce(F.col("ema") - F.lag("ema").over(W), F.lit(0.0)))
           .withColumn("_absdev", F.abs(F.col("engagement").cast("double") - F.col("ema"))))
@@ -143,7 +156,7 @@ def member_features(panel: DataFrame, ema_span: int = C.EMA_SPAN, seasonality: b
     for flag in C.WEEKLY_FLAGS:
         if flag not in df.columns:
             df = df.withColumn(flag, F.lit(0))
-    return df.drop("_rn", "_absdev")
+    return df.drop("_rn", "_seg", "_j", "_absdev")
 
 
 def churn_event(df: DataFrame, drought_col: str = "drought_active") -> Column:

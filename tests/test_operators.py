@@ -25,8 +25,6 @@ def test_ema_long_series_segments(spark):
         for i in range(n):
             rows.append((m, i, float(rng.randint(0, 9))))
     df = spark.createDataFrame(rows, "member_id string, week int, engagement double")
-    from pyspark.sql import Window
-    df = df.withColumn("_rn", F.row_number().over(Window.partitionBy("member_id").orderBy("week")))
     out = WK.ema_columns(df, "engagement", "ema").toPandas().sort_values(["member_id", "week"])
     for m, g in out.groupby("member_id"):
         ref = _pandas_ema(g.engagement.to_numpy())
