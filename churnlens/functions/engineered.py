@@ -58,21 +58,20 @@ def engineer_features(df: DataFrame, payment_col: str = "RegularPayment", tenure
     rate = clip(pdiv(total, F.coalesce(tenure, F.lit(1.0)) + 1), 0, 10)
     declining = (F.coalesce(v30, F.lit(0.0)) < avg90 * 0.7)
     days0 = F.coalesce(days, F.lit(0.0))
-    out = (df
-           .withColumn("Engagement_Rate", rate)
-           .withColumn("Recent_Activity_Ratio", clip(pdiv(F.coalesce(v30, F.lit(0.0)), avg90 + 0.001), 0, 5))
-           .withColumn("Declining_Engagement", declining.cast("int"))
-           .withColumn("Monthly_Avg_Visits", clip(pdiv(total, months + 0.1), 0, 30))
-           .withColumn("Payment_to_Attendance_Ratio",
-                       clip(pdiv(F.coalesce(pay, F.lit(0.0)), F.coalesce(total, F.lit(1.0)) + 1), 0, 100))
-           .withColumn("Recent_Payment_to_Visits",
-                       clip(pdiv(F.coalesce(pay, F.lit(0.0)), F.coalesce(v30, F.lit(1.0)) + 1), 0, 100))
-           .withColumn("Tenure_Quartile", quartile_label(F.coalesce(tenure, F.lit(0.0)), edges))
-           .withColumn("Early_Churn_Risk",
-                       ((days0 > 90) & F.coalesce(F.col("Engagement_Rate") < 0.5, F.lit(False)) & declining).cast("int"))
-           .withColumn("Inactivity_Ratio", clip(pdiv(days0, F.coalesce(tenure, F.lit(1.0)) + 1), 0, 10))
-           .withColumn("Attendance_Dropoff",
-                       F.coalesce(F.coalesce(v30, F.lit(0.0)) < pdiv(total, months + 0.1) * 0.5, F.lit(False)).cast("int"))
-           .withColumn("Access_Gap_Months", clip(days0 / 30, 0, 36))
-           .withColumn("High_Inactivity", (days0 > 90).cast("int")))
+    cols = {
+        "Engagement_Rate": rate,
+        "Recent_Activity_Ratio": clip(pdiv(F.coalesce(v30, F.lit(0.0)), avg90 + 0.001), 0, 5),
+        "Declining_Engagement": declining.cast("int"),
+        "Monthly_Avg_Visits": clip(pdiv(total, months + 0.1), 0, 30),
+        "Payment_to_Attendance_Ratio": clip(pdiv(F.coalesce(pay, F.lit(0.0)), F.coalesce(total, F.lit(1.0)) + 1), 0, 100),
+        "Recent_Payment_to_Visits": clip(pdiv(F.coalesce(pay, F.lit(0.0)), F.coalesce(v30, F.lit(1.0)) + 1), 0, 100),
+        "Tenure_Quartile": quartile_label(F.coalesce(tenure, F.lit(0.0)), edges),
+        "Early_Churn_Risk": ((days0 > 90) & F.coalesce(rate < 0.5, F.lit(False)) & declining).cast("int"),
+        "Inactivity_Ratio": clip(pdiv(days0, F.coalesce(tenure, F.lit(1.0)) + 1), 0, 10),
+        "Attendance_Dropoff": F.coalesce(F.coalesce(v30, F.lit(0.0)) < pdiv(total, months + 0.1) * 0.5,
+                                         F.lit(False)).cast("int"),
+        "Access_Gap_Months": clip(days0 / 30, 0, 36),
+        "High_Inactivity": (days0 > 90).cast("int"),
+    }
+    out = df.withColumns(cols)
     return out

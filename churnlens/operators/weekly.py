@@ -75,8 +75,8 @@ def add_segments(df: DataFrame, member: str = MEMBER, week: str = WEEK, segment_
     can use the order (``_seg``, week) and share one sort with the segment windows."""
     i = F.col("_rn") - 1
     seg = F.floor(i / segment_rows)
-    return (df.withColumn("_rn", F.row_number().over(Window.partitionBy(member).orderBy(week)))
-              .withColumn("_seg", seg).withColumn("_j", (i - seg * segment_rows).cast("double")))
+    df = df.withColumn("_rn", F.row_number().over(Window.partitionBy(member).orderBy(week)))
+    return df.withColumns({"_seg": seg, "_j": (i - seg * segment_rows).cast("double")})
 
 
 def _wm(member: str = MEMBER, week: str = WEEK):
@@ -125,37 +125,42 @@ def zscore(c: str, member: str = MEMBER) -> Column:
 def member_features(panel: DataFrame, ema_span: int = C.EMA_SPAN, seasonality: bool = True,
                     member: str = MEMBER, week: str = WEEK) -> DataFrame:
     """ema, momentum, volatility, drought, drought_active, pct_self, tenure_weeks,
-    sin/cos of the ISO week, per-member z-scores and zero-filled weekly flags."""
+    sin/cos of the ISO week, per-member z-scores and zero-filled weekly flags.
+
+    Ordered windows share the (member, segment, week) order; pct_self needs its own
+    (member, engagement) order; unordered member aggregates ride on either sort.
+    Independent columns are added in one projection per dependency level."""
     df = panel
     if "paused" not in df.columns:
         df = df.withColumn("paused", F.lit(0))
     df = add_segments(df, member, week)
     W = _wm(member, week)
     df = ema_columns(df, "engagement", "ema", ema_span, member, week)
-    df = (df.withColumn("momentum", F.coalesce(F.col("ema") - F.lag("ema").over(W), F.lit(0.0)))
-          .withColumn("_absdev", F.abs(F.col("engagement").cast("double") - F.col("ema"))))
+    df = df.withColumns({
+        "momentum": F.coalesce(F.col("ema") - F.lag("ema").over(W), F.lit(0.0)),
+        "_absdev": F.abs(F.col("engagement").cast("double") - F.col("ema")),
+    })
     df = ema_columns(df, "_absdev", "volatility", ema_span, member, week)
     e_int = F.coalesce(F.col("engagement"), F.lit(0)).cast("int")
     p_int = F.coalesce(F.col("paused"), F.lit(0)).cast("int")
     rn = F.col("_rn")
-    df = (df
-          .withColumn("drought", _run_since_break(e_int != 0, rn, member, week))
-          .withColumn("drought_active", _run_since_break((e_int != 0) | (p_int == 1), rn, member, week)))
+    wm = Window.partitionBy(member)
     # within-member average-rank percentile (sees the whole series, as the source does)
     r = F.rank().over(Window.partitionBy(member).orderBy("engagement"))
     ties = F.count(F.lit(1)).over(Window.partitionBy(member, "engagement"))
-    n = F.count(F.lit(1)).over(Window.partitionBy(member))
-    df = df.withColumn("pct_self", (r + (ties - 1) / 2.0) / n)
-    df = df.withColumn("tenure_weeks",
-                       F.floor(F.datediff(F.col(week), F.min(week).over(Window.partitionBy(member))) / 7).cast("int"))
+    n = F.count(F.lit(1)).over(wm)
+    cols = {
+        "drought": _run_since_break(e_int != 0, rn, member, week),
+        "drought_active": _run_since_break((e_int != 0) | (p_int == 1), rn, member, week),
+        "pct_self": (r + (ties - 1) / 2.0) / n,
+        "tenure_weeks": F.floor(F.datediff(F.col(week), F.min(week).over(wm)) / 7).cast("int"),
+    }
     if seasonality:
         s, c = season_sin_cos(F.col(week))
-        df = df.withColumn("sin_woy", s).withColumn("cos_woy", c)
-    for c in ["engagement", "ema", "momentum", "volatility"]:
-        df = df.withColumn(f"{c}_z", zscore(c, member))
-    for flag in C.WEEKLY_FLAGS:
-        if flag not in df.columns:
-            df = df.withColumn(flag, F.lit(0))
+        cols.update({"sin_woy": s, "cos_woy": c})
+    cols.update({f"{c}_z": zscore(c, member) for c in ["engagement", "ema", "momentum", "volatility"]})
+    cols.update({flag: F.lit(0) for flag in C.WEEKLY_FLAGS if flag not in df.columns})
+    df = df.withColumns(cols)
     return df.drop("_rn", "_seg", "_j", "_absdev")
 
 

@@ -101,3 +101,21 @@ def job_train(frame: DataFrame, label: str = "label", num_trees: int = 50, max_d
     return {"model": model, "thresholds": th, "report": RP.classification_report(pairs, "y", "pred"),
             "report_before": RP.classification_report(pairs, "y", "pred_before"),
             "confusion": RP.confusion_matrix(pairs, "y", "pred")}
+
+
+def job_merge_balanced(cohorts: dict, keep_classes=(1, 2), sample_class: int = 3,
+                       sample_n: int = C.CLASS3_SAMPLE, id_col: str = "MembershipID") -> DataFrame:
+    """Union of yearly cohorts: every cohort keeps ``keep_classes``; the last one also
+    contributes an exact, seeded sample of ``sample_n`` rows of ``sample_class``. The last
+    cohort is materialised once (reliable checkpoint) and split, instead of being
+    computed twice."""
+    from ..operators import cohorts as CO
+    from ..session import cut_lineage
+    names = list(cohorts)
+    parts = []
+    for name in names[:-1]:
+        parts.append((name, cohorts[name].where(F.col("Churned").isin(list(keep_classes)))))
+    last = cut_lineage(cohorts[names[-1]])
+    parts.append((names[-1], last.where(F.col("Churned").isin(list(keep_classes)))))
+    parts.append((names[-1], CO.sample_exact_n(last.where(F.col("Churned") == sample_class), sample_n, id_col)))
+    return CO.union_cohorts(parts)

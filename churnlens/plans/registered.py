@@ -733,11 +733,8 @@ def _cohort(spark, sf_dir, T, classes=None):
 
 
 def _balanced(spark, sf_dir, n3=C.CLASS3_SAMPLE):
-    parts = [(T, _cohort(spark, sf_dir, T, cls)) for T, cls in COHORT_CLASSES.items()]
-    last = COHORTS[-1]
-    c3 = CO.sample_exact_n(_cohort(spark, sf_dir, last, (3,)), n3, "MembershipID")
-    parts.append((last, c3))
-    return CO.union_cohorts(parts)
+    from .jobs import job_merge_balanced
+    return job_merge_balanced({T: _cohort(spark, sf_dir, T) for T in COHORT_CLASSES}, sample_n=n3)
 
 
 def _union_sql():

@@ -8,6 +8,7 @@ is the checkpoint folder, and only when the cluster did not name one
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and continue
+    from the re-read: one job (``Dataset.checkpoint`` on an un-persisted plan computes
+    it twice), lineage cut so a lost executor never re-runs the upstream, and later
+    scans get column pruning and filter pushdown."""
+    spark = df.sparkSession
+    path = checkpoint_dir(spark).rstrip("/") + "/churnlens-tables/" + uuid.uuid4().hex
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

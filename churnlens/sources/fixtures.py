@@ -26,8 +26,16 @@ MEMBERSHIP_TYPES = ["Standard", "Premium", "Off-Peak"]
 DOB_BASE = dt.date(1950, 1, 1)
 
 
+_READS: dict = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of one input table; the DataFrame is reused within a session so file
+    listing and footer schema inference happen once per table, not once per query."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
 def membership_key(k: Column) -> Column:
