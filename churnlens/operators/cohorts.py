@@ -40,10 +40,14 @@ def exact_rank(df: DataFrame, key: str, out: str = "_rank", n_buckets: int | Non
     return df.join(ps, key)
 
 
-def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = C.SEED) -> DataFrame:
+def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = C.SEED, materialize: bool = True) -> DataFrame:
     """Exactly min(n, count) rows, chosen by the smallest seeded hash of the id
-    (deterministic; ties impossible for distinct ids up to hash collisions, broken by id)."""
-    h = cut_lineage(df.withColumn("_h", stable_hash(F.col(id_col), seed=seed)))
+    (deterministic; ties impossible for distinct ids up to hash collisions, broken by id).
+    The rank reads its input twice (bucket edges, then ranks); ``materialize`` writes it
+    once first — pass False when ``df`` is already a stored table."""
+    h = df.withColumn("_h", stable_hash(F.col(id_col), seed=seed))
+    if materialize:
+        h = cut_lineage(h)
     r = exact_rank(h, "_h", "_r")
     return r.where(F.col("_r") <= n).drop("_h", "_r")
 

@@ -117,5 +117,6 @@ def job_merge_balanced(cohorts: dict, keep_classes=(1, 2), sample_class: int = 3
         parts.append((name, cohorts[name].where(F.col("Churned").isin(list(keep_classes)))))
     last = cut_lineage(cohorts[names[-1]])
     parts.append((names[-1], last.where(F.col("Churned").isin(list(keep_classes)))))
-    parts.append((names[-1], CO.sample_exact_n(last.where(F.col("Churned") == sample_class), sample_n, id_col)))
+    parts.append((names[-1], CO.sample_exact_n(last.where(F.col("Churned") == sample_class), sample_n, id_col,
+                                               materialize=False)))
     return CO.union_cohorts(parts)

@@ -452,7 +452,9 @@ def q_grid(spark, sf_dir):
 
 
 def _tuned_pairs(spark, sf_dir):
-    p = _probs(spark, sf_dir)
+    # tuned on and applied to the same rows: materialise them once
+    from ..session import cut_lineage
+    p = cut_lineage(_probs(spark, sf_dir))
     th = TH.thresholds_to_dict(TH.threshold_search(p, **TUNE))
     return p.select("MembershipID", "y", TH.argmax_class(_pcols()).alias("pred_before"),
                     TH.apply_thresholds(_pcols(), th).alias("pred"))
