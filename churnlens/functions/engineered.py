@@ -18,12 +18,12 @@ def _n(df: DataFrame, name: str) -> Column:
 
 
 def quartile_edges(df: DataFrame, col: str = "TenureDays") -> list[float]:
-    """Exact linear quantiles q0, q25, q50, q75, q100 of coalesce(col, 0).
-
-    Action: one aggregate returning five numbers."""
-    t = F.coalesce(coerce_numeric(F.col(col)), F.lit(0.0))
-    row = df.agg(F.percentile(t, [0.0, 0.25, 0.5, 0.75, 1.0]).alias("q")).collect()[0]
-    return list(row["q"]) if row["q"] is not None else []
+    """Exact linear quantiles q0, q25, q50, q75, q100 of coalesce(col, 0), from
+    distributed prefix counts (``ranking.exact_quantiles``)."""
+    from ..operators.ranking import exact_quantiles
+    t = df.select(F.coalesce(coerce_numeric(F.col(col)), F.lit(0.0)).alias("_t"))
+    q = exact_quantiles(t, "_t", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return [] if q[0] is None else q
 
 
 def quartile_label(t: Column, edges: list[float]) -> Column:

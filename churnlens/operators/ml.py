@@ -76,11 +76,15 @@ def select_features(df: DataFrame, exclude: list[str] = ()) -> tuple[list[str],
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """Exact medians (linear interpolation, as pandas/numpy) in one aggregate."""
-    if not cols:
-        return {}
-    row = df.agg(*[F.percentile(F.col(q(c)).cast("double"), 0.5).alias(f"m{i}") for i, c in enumerate(cols)]).collect()[0]
-    return {c: (row[f"m{i}"] if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(cols)}
+    """Exact medians (linear interpolation, as pandas/numpy), each from distributed
+    prefix counts (no single-task map of distinct values). Callers pass a
+    materialised frame; one small job per column."""
+    from .ranking import exact_quantiles
+    out = {}
+    for c in cols:
+        m = exact_quantiles(df.select(F.col(q(c)).cast("double").alias("_x")), "_x", [0.5])[0]
+        out[c] = m if m is not None else 0.0
+    return out
 
 
 def modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
@@ -108,7 +112,7 @@ def imputer_stage(values: dict, numeric: bool) -> SQLTransformer:
 
 def preprocess_stages(df: DataFrame, numeric: list[str], categorical: list[str], scale: bool = True) -> list:
     """impute(median) -> assemble -> scale  ||  impute(mode) -> index -> one-hot; others dropped."""
-    med, mod = exact_medians(df, numeric), modes(df, categorical)
+    med, mod = exact_medians(df.select(*[F.col(q(c)) for c in numeric]), numeric), modes(df, categorical)
     stages = [imputer_stage({c: med.get(c, 0.0) for c in numeric}, True),
               imputer_stage({c: mod.get(c, "") for c in categorical}, False)]
     num_in = [f"__imp_{c}" for c in numeric]

@@ -879,7 +879,9 @@ _CATEGORICAL_PROFILE = ["Gender", "SubCategory", "Channel", "ClubName", "Members
     f"SELECT {O.q(c)} AS \"column\", {O.r6(f'quantile_cont(CAST(\"{c}\" AS DOUBLE), 0.5)')} AS median FROM ps"
     for c in _NUMERIC_PROFILE))
 def q_median(spark, sf_dir):
-    med = ML.exact_medians(_profile_snapshot(spark, sf_dir), _NUMERIC_PROFILE)
+    from ..session import cut_lineage
+    med = ML.exact_medians(cut_lineage(_profile_snapshot(spark, sf_dir).select(*[F.col(f"`{c}`") for c in _NUMERIC_PROFILE])),
+                           _NUMERIC_PROFILE)
     return spark.createDataFrame([(k, float(v)) for k, v in med.items()], "column string, median double")
 
 

@@ -128,3 +128,13 @@ def test_sample_exact_n_and_folds(spark):
         sizes.setdefault(r["y"], []).append(r["count"])
     for y, c in sizes.items():
         assert max(c) - min(c) <= 1 and len(c) == 5
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = random.Random(5)
+    vals = [rng.choice([1.0, 2.0, 2.0, 3.5, 7.0, 10.0]) for _ in range(203)] + [None, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.33]
+    got = RK.exact_quantiles(df, "x", probs, n_buckets=3)
+    ref = np.quantile([v for v in vals if v is not None], probs)
+    assert np.allclose(got, ref)
