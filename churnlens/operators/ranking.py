@@ -106,9 +106,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int
     vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
     ps = prefix_sums(vc, "_v", ["_c"], n_buckets)
-    n_total = None
-    positions = set()
-    # positions are resolved once the total is known: fetch the total with the picks
+    # positions depend on the total, which every row carries (tot__c)
     pos_expr = []
     for q in probs:
         h = (F.col("tot__c") - 1) * F.lit(float(q))
@@ -133,5 +131,4 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int
         lo_i, hi_i = int(h // 1), int(-(-h // 1))
         a, b = value_at(lo_i), value_at(hi_i)
         out.append(a + (b - a) * (h - lo_i) if a is not None and b is not None else None)
-    _ = positions
     return out

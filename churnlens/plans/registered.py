@@ -1475,3 +1475,27 @@ def q_write_eval(spark, sf_dir):
 
 
 register("load_model")(q_save_model)
+
+
+def _campaign_counts_sql():
+    sel = " UNION ALL ".join(
+        f"SELECT {O.q(n)} AS query, count(*) AS n FROM ({_campaign_body(n)}) c_{n}" for n in PD.CAMPAIGN_SQL)
+    return O.sql_saved_predictions(AS_OF, T0, T1) + sel
+
+
+def _campaign_body(name):
+    full = _campaign_sql(name)()
+    prefix = O.sql_saved_predictions(AS_OF, T0, T1)
+    return full[len(prefix):]
+
+
+@register("campaign_queries", _campaign_counts_sql)
+def q_campaigns(spark, sf_dir):
+    """All four documented consumer queries over one materialised predictions view."""
+    from ..session import cut_lineage
+    saved = cut_lineage(_saved(spark, sf_dir))
+    out = None
+    for name in PD.CAMPAIGN_SQL:
+        c = PD.campaign_query(saved, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("query"), "n")
+        out = c if out is None else out.unionByName(c)
+    return out
