@@ -41,21 +41,35 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_CKPT: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir``; in local mode
-    a scratch folder is created when none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
+    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` (session conf or
+    SparkContext); in local mode a scratch folder is created when none is configured."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (e.g. a Connect session has no SparkContext)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir()
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="churnlens-ckpt-"))
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="churnlens-ckpt-"))
-    return sc.getCheckpointDir()
+    if configured:
+        return configured
+    key = id(spark)
+    if key not in _LOCAL_CKPT:
+        _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="churnlens-ckpt-")
+    return _LOCAL_CKPT[key]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
