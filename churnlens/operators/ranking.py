@@ -56,13 +56,28 @@ def prefix_sums(vc: DataFrame, key: str, cols: list[str], n_buckets: int | None
 def average_rank(df: DataFrame, key: str, out_rank: str = "_avg_rank", out_n: str = "_n",
                  n_buckets: int | None = None) -> DataFrame:
     """Average (tie-mean) rank of ``key`` over all rows, and the count of non-NULL keys.
-    NULL keys get NULL. The join back is on ``key``; AQE's skew-join splitting handles a
-    hot key on the row side (the rank side holds one row per key)."""
+    NULL keys get NULL.
+
+    Attaching the per-key ranks back to the rows is skew-safe: keys holding more than
+    N / (4B) rows (at most 4B keys by pigeonhole, B = bucket count) are attached with a
+    broadcast join; all other rows use a shuffle join on (key, salt) where hot-key and
+    NULL-key rows carry a non-zero salt, so they spread over partitions instead of
+    landing in one task, and find no partner on that side."""
+    B = n_buckets or default_buckets(df)
     vc = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
     ps = prefix_sums(vc, key, ["_c"], n_buckets)
-    ranks = ps.select(key, (F.col("cum__c") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out_rank),
-                      F.col("tot__c").alias(out_n))
-    return df.join(ranks, key, "left")
+    ranks = ps.select(key, (F.col("cum__c") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias("_r"),
+                      F.col("tot__c").alias("_rn_n"), F.col("_c"))
+    is_hot = F.col("_c") * F.lit(4 * B) > F.col("_rn_n")
+    hot = ranks.where(is_hot).select(key, F.col("_r").alias("_hot_r"), F.col("_rn_n").alias("_hot_n"))
+    cold = ranks.where(~is_hot).select(key, F.col("_r").alias("_cold_r"), F.col("_rn_n").alias("_cold_n"),
+                                       F.lit(0).alias("_salt"))
+    j = df.join(F.broadcast(hot), key, "left")
+    spread = (F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(B)) + 1).cast("int")
+    j = j.withColumn("_salt", F.when(F.col("_hot_r").isNull() & F.col(key).isNotNull(), F.lit(0)).otherwise(spread))
+    j = j.join(cold, [key, "_salt"], "left")
+    return (j.withColumn(out_rank, F.coalesce("_hot_r", "_cold_r")).withColumn(out_n, F.coalesce("_hot_n", "_cold_n"))
+            .drop("_hot_r", "_hot_n", "_cold_r", "_cold_n", "_salt"))
 
 
 def percentile_rank(df: DataFrame, key: str, out: str, n_buckets: int | None = None) -> DataFrame:
