@@ -89,16 +89,16 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
 
 def modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
     """Most frequent non-NULL value per column (ties -> smallest value), all columns in
-    one job: (column, value) pairs are counted with partial aggregation and ranked in
-    a window partitioned by column (one row per distinct value)."""
+    one job: (column, value) pairs are counted with partial aggregation, then each
+    column keeps min(struct(-count, value)) — again a partial aggregate, so a column with
+    millions of distinct values never sits in one task."""
     if not cols:
         return {}
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(q(c)).cast("string").alias("val"))
                                           for c in cols])).alias("p")).select("p.*").where(F.col("val").isNotNull())
     cnt = pairs.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("col").orderBy(F.col("n").desc(), F.col("val").asc())
-    top = cnt.withColumn("_r", F.row_number().over(w)).where("_r = 1").collect()
-    return {r["col"]: r["val"] for r in top}
+    top = cnt.groupBy("col").agg(F.min(F.struct((-F.col("n")).alias("nn"), F.col("val").alias("v"))).alias("m")).collect()
+    return {r["col"]: r["m"]["v"] for r in top}
 
 
 def imputer_stage(values: dict, numeric: bool) -> SQLTransformer:
