@@ -577,9 +577,9 @@ rep AS (
   SELECT * FROM rep_c
   UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END) FROM {pairs}),
                    (SELECT count(*) FROM {pairs})
-  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM rep_c
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM rep_c
   UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-                   sum(f1 * support) / sum(support), sum(support) FROM rep_c)
+                   sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM rep_c)
 """
 
 
