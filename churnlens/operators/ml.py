@@ -125,7 +125,8 @@ def preprocess_stages(df: DataFrame, numeric: list[str], categorical: list[str],
     if categorical:
         stages.append(StringIndexer(inputCols=[f"__imp_{c}" for c in categorical], outputCols=idx_out,
                                     handleInvalid="keep", stringOrderType="frequencyDesc"))
-        stages.append(OneHotEncoder(inputCols=idx_out, outputCols=oh_out, dropLast=True, handleInvalid="keep"))
+        # the indexer's extra "unseen" index is the last one, which dropLast removes: all zeros
+        stages.append(OneHotEncoder(inputCols=idx_out, outputCols=oh_out, dropLast=True))
     stages.append(VectorAssembler(inputCols=["__num_s" if scale else "__num"] + oh_out, outputCol="features"))
     return stages
 

@@ -115,11 +115,18 @@ def _run_since_break(brk: Column, rn: Column, member: str, week: str) -> Column:
     return F.when(brk, F.lit(0)).otherwise(rn - F.coalesce(last_break, F.lit(0))).cast("int")
 
 
+# A per-member std below this fraction of |mean| is rounding noise of the closed-form
+# EMA (~n * 2e-16 relative), not variation: it is treated as 0, like an exact recursion.
+STD_NOISE_REL = 1e-11
+
+
 def zscore(c: str, member: str = MEMBER) -> Column:
-    """(x - mean) / (std_samp + 1e-6); std 0 or a single row -> NULL."""
+    """(x - mean) / (std_samp + 1e-6); std 0 (or rounding noise) or a single row -> NULL."""
     wm = Window.partitionBy(member)
     sd = F.stddev_samp(c).over(wm)
-    return (F.col(c) - F.avg(c).over(wm)) / (F.when(sd != 0, sd) + F.lit(C.ZSCORE_EPS))
+    mu = F.avg(c).over(wm)
+    real = sd > F.lit(STD_NOISE_REL) * F.greatest(F.abs(mu), F.lit(1.0))
+    return (F.col(c) - mu) / (F.when(real, sd) + F.lit(C.ZSCORE_EPS))
 
 
 def member_features(panel: DataFrame, ema_span: int = C.EMA_SPAN, seasonality: bool = True,
