@@ -1409,9 +1409,6 @@ def q_job_outreach(spark, sf_dir):
     return a.select(F.lit("active").alias("queue"), "*").unionByName(p.select(F.lit("paused").alias("queue"), "*"))
 
 
-_SINK_NULL_SQL = None
-
-
 def _sink_nulls_sql():
     from ..operators.predict import SINK_SPEC
     parts = []
