@@ -120,3 +120,17 @@ def job_merge_balanced(cohorts: dict, keep_classes=(1, 2), sample_class: int = 3
     parts.append((names[-1], CO.sample_exact_n(last.where(F.col("Churned") == sample_class), sample_n, id_col,
                                                materialize=False)))
     return CO.union_cohorts(parts)
+
+
+def build_cohorts(build, as_ofs, concurrent: bool = True) -> dict:
+    """``{as_of: build(as_of)}`` for independent cohorts. Building a cohort runs its eager
+    steps (snapshot materialisation, rank bucket edges); with ``concurrent`` those Spark
+    jobs are submitted from one driver thread per cohort so small stages of different
+    cohorts share the executors instead of running back to back."""
+    as_ofs = list(as_ofs)
+    if not concurrent or len(as_ofs) < 2:
+        return {T: build(T) for T in as_ofs}
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(as_ofs)) as pool:
+        futures = {T: pool.submit(build, T) for T in as_ofs}
+        return {T: futures[T].result() for T in as_ofs}

@@ -735,8 +735,8 @@ def _cohort(spark, sf_dir, T, classes=None):
 
 
 def _balanced(spark, sf_dir, n3=C.CLASS3_SAMPLE):
-    from .jobs import job_merge_balanced
-    return job_merge_balanced({T: _cohort(spark, sf_dir, T) for T in COHORT_CLASSES}, sample_n=n3)
+    from .jobs import build_cohorts, job_merge_balanced
+    return job_merge_balanced(build_cohorts(lambda T: _cohort(spark, sf_dir, T), COHORT_CLASSES), sample_n=n3)
 
 
 def _union_sql():
