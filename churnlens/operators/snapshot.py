@@ -22,15 +22,20 @@ def score_frame(features: DataFrame, ews_col: str = "EWS", k_weeks: int = C.K_WE
 
 def latest_preferring_nonpaused(df: DataFrame, member: str = MEMBER, week: str = WEEK) -> DataFrame:
     """Last non-paused week of each member, else the last week. A NULL ``paused`` counts
-    as not non-paused (as ``paused == 0`` is false for NaN)."""
-    pref = F.when(F.col("paused") == 0, F.lit(0)).otherwise(F.lit(1))
-    w = Window.partitionBy(member).orderBy(pref, F.col(week).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    as not non-paused (as ``paused == 0`` is false for NaN).
+
+    Written as max(struct(non_paused, week)) over the member partition: an unordered
+    window that reuses the member sort of the feature windows (a row_number over a new
+    order would add a sort). (member, week) is unique in the panel."""
+    key = F.struct(F.coalesce(F.col("paused") == 0, F.lit(False)).alias("np"), F.col(week).alias("w"))
+    best = F.max(key).over(Window.partitionBy(member))
+    return df.withColumn("_best", best).where(key == F.col("_best")).drop("_best")
 
 
 def latest_per_member(df: DataFrame, member: str = MEMBER, week: str = WEEK) -> DataFrame:
-    w = Window.partitionBy(member).orderBy(F.col(week).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """Row of the latest week per member (unordered window max; (member, week) unique)."""
+    return (df.withColumn("_mw", F.max(week).over(Window.partitionBy(member)))
+            .where(F.col(week) == F.col("_mw")).drop("_mw"))
 
 
 def build_snapshots(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:
