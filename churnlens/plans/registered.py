@@ -911,7 +911,19 @@ EWS_ITERS = 20
 RF_TREES = 50
 
 
+_TRAIN_FRAMES: dict = {}
+
+
 def _train_frame(spark, sf_dir):
+    """Balanced, labelled, split training frame; stored once per session and folder as
+    a table in the checkpoint folder and reused by the model queries."""
+    key = (id(spark), sf_dir)
+    if key not in _TRAIN_FRAMES:
+        _TRAIN_FRAMES[key] = _build_train_frame(spark, sf_dir)
+    return _TRAIN_FRAMES[key]
+
+
+def _build_train_frame(spark, sf_dir):
     from ..operators.predict import label_encode
     bal = _balanced(spark, sf_dir).withColumn("label", label_encode(F.col("Churned")))
     bal = bal.withColumn("row_id", F.concat_ws("|", "cohort", "MembershipID"))
