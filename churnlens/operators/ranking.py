@@ -23,8 +23,14 @@ def _bucket_expr(x: Column, edges: list, lo: int, hi: int) -> Column:
         _bucket_expr(x, edges, mid + 1, hi))
 
 
+MAX_BUCKETS = 512
+
+
 def default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """One bucket per shuffle partition, capped: the bucket search is a nested CASE of
+    depth log2(B) and the offset table has B rows, so B stays small on large clusters."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n, MAX_BUCKETS))
 
 
 def prefix_sums(vc: DataFrame, key: str, cols: list[str], n_buckets: int | None = None,
