@@ -45,6 +45,11 @@ def profile(memberships: DataFrame, attendance: DataFrame, T, case_insensitive_l
     TotalAttendanceToDate > 0 filter."""
     Td = asof.as_date(T)
     base = base_memberships(memberships, T).where(F.col("Transferred_OUT").isNull())
+    if not extended:
+        # weeks without visits add nothing to the three sums, and members with only such
+        # weeks fail TotalAttendanceToDate > 0: dropping them is output-neutral and becomes a
+        # pushed-down scan filter on a stored attendance table
+        attendance = attendance.where(F.col("WeekVisits").isNotNull())
     att = attendance_features(attendance, T, extended)
     j = base.join(att, "MembershipID").where(F.col("TotalAttendanceToDate") > 0)
     end = F.col("End Date")

@@ -65,7 +65,7 @@ def job_prepare_cohort(memberships: DataFrame, attendance_all: DataFrame, as_of,
 
 def cohort_inputs(spark: SparkSession, sf_dir: str, as_of):
     m = FX.memberships(spark, sf_dir, as_of)
-    att_all = FX.attendance(spark, sf_dir, None, as_of)
+    att_all = FX.attendance(spark, sf_dir, None, as_of, nonempty_only=True)
     att_year = FX.attendance(spark, sf_dir, O.prev_year(as_of), as_of)
     return m, att_all, att_year
 

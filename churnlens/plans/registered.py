@@ -254,7 +254,8 @@ from .registry import COHORTS  # noqa: E402
 
 
 def _profile(spark, sf_dir, T=AS_OF, **kw):
-    return PR.profile(FX.memberships(spark, sf_dir, T), FX.attendance(spark, sf_dir, None, T), T, **kw)
+    att = FX.attendance(spark, sf_dir, None, T, nonempty_only=not kw.get("extended", False))
+    return PR.profile(FX.memberships(spark, sf_dir, T), att, T, **kw)
 
 
 def _profile_snapshot(spark, sf_dir, payment_amount=False):
@@ -729,7 +730,7 @@ def _cohort(spark, sf_dir, T, classes=None):
     m = FX.memberships(spark, sf_dir, T)
     panel = WK.weekly_panel(m, FX.attendance(spark, sf_dir, O.prev_year(T), T), T)
     snap = SN.relabel_snapshot(SN.build_snapshots(SN.score_frame(WK.surrogate_ews(WK.member_features(panel)))))
-    prof = PR.profile(m, FX.attendance(spark, sf_dir, None, T), T)
+    prof = PR.profile(m, FX.attendance(spark, sf_dir, None, T, nonempty_only=True), T)
     out = PR.join_profile_snapshot(prof, snap)
     return out.where(F.col("Churned").isin(list(classes))) if classes else out
 

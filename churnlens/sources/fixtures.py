@@ -126,7 +126,8 @@ def _week_bounds(week_from: str | dt.date | None, week_to: str | dt.date | None)
     return lo, hi
 
 
-def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None) -> DataFrame:
+def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None, nonempty_only: bool = False
+               ) -> DataFrame:
     """Weekly attendance fact: one row per customer and Monday in [week_from, week_to).
 
     In production this is a table partitioned by week and the bounds are partition
@@ -148,6 +149,10 @@ def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None) -
     if hi < lo:
         spine = cust.select("k", F.lit(None).cast("date").alias("week"), F.lit(None).cast("int").alias("WeekVisits")) \
             .where(F.lit(False))
+    elif nonempty_only:
+        # the rows of the same table that satisfy WeekVisits IS NOT NULL (the predicate
+        # served by the source, as a parquet scan would push it down)
+        spine = visits.select("k", "week", "WeekVisits")
     else:
         spine = (cust.join(per_cust, "k", "left")
                  .select("k", "vm", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 7 DAYS"))).alias("week"))

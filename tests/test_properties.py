@@ -77,3 +77,12 @@ def test_sink_rerun_is_idempotent(spark, snap):
     back = SK.read_sink(spark, path)
     assert back.where(F.col("RunDate") == F.lit(T).cast("date")).count() == df.count()
     assert back.count() == 2 * df.count()
+
+
+def test_profile_same_on_dense_and_nonempty_attendance(spark):
+    from churnlens.operators import profile as PR
+    m = FX.memberships(spark, SMOKE, T)
+    dense = PR.profile(m, FX.attendance(spark, SMOKE, None, T), T)
+    sparse = PR.profile(m, FX.attendance(spark, SMOKE, None, T, nonempty_only=True), T)
+    assert dense.count() == sparse.count()
+    assert dense.exceptAll(sparse).count() == 0 and sparse.exceptAll(dense).count() == 0
