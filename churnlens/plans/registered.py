@@ -938,9 +938,20 @@ def _feature_lists(df):
     return ML.select_features(X)
 
 
+_EWS_MODELS: dict = {}
+
+
+def _ews_model(spark, sf_dir):
+    """The EWS model and its holdout rows, trained once per session and folder."""
+    key = (id(spark), sf_dir)
+    if key not in _EWS_MODELS:
+        _EWS_MODELS[key] = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    return _EWS_MODELS[key]
+
+
 @register("train_ews")
 def q_train_ews(spark, sf_dir):
-    model, test = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    model, test = _ews_model(spark, sf_dir)
     scored = ML.score_ews(model, test)
     auc = RK.auc_binary(scored, "EWS", "label").withColumn("_k", F.lit(1))
     ap = RK.average_precision(scored, "EWS", "label").withColumn("_k", F.lit(1))
@@ -949,14 +960,14 @@ def q_train_ews(spark, sf_dir):
 
 @register("score_ews")
 def q_score_ews(spark, sf_dir):
-    model, _ = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    model, _ = _ews_model(spark, sf_dir)
     return ML.score_ews(model, _features(spark, sf_dir)).select("member_id", "week", "EWS")
 
 
 @register("job_snapshots_model")
 def q_snap_model(spark, sf_dir):
     from .jobs import job_snapshots
-    model, _ = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+    model, _ = _ews_model(spark, sf_dir)
     return job_snapshots(_panel_flags(spark, sf_dir), model=model)
 
 
