@@ -138,3 +138,14 @@ def test_exact_quantiles_match_numpy(spark):
     got = RK.exact_quantiles(df, "x", probs, n_buckets=3)
     ref = np.quantile([v for v in vals if v is not None], probs)
     assert np.allclose(got, ref)
+
+
+def test_rank_with_a_key_holding_a_third_of_rows(spark):
+    rng = random.Random(13)
+    vals = [0.42] * 400 + [round(rng.random(), 3) for _ in range(800)] + [None] * 30
+    rng.shuffle(vals)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, s double")
+    got = RK.percentile_rank(df, "s", "pct", n_buckets=8).toPandas().sort_values("id")
+    ref = pd.Series(vals, dtype=float).rank(pct=True).to_numpy()
+    assert len(got) == len(vals)
+    assert np.allclose(got.pct.fillna(-1).to_numpy(), np.nan_to_num(ref, nan=-1))
