@@ -13,7 +13,8 @@ SUBSET = ["scan_memberships", "job_weekly_panel", "ema", "volatility", "drought_
           "zscore_by_member", "future_k_label", "reason_codes", "job_snapshots", "outreach_topk", "cooldown_filter",
           "project_profile", "engineered_features", "job_evaluate", "threshold_search", "threshold_grid_joint",
           "classification_report", "auc_binary", "average_precision", "job_predict", "stratified_folds",
-          "sample_exact_n", "campaign_validation", "insert_summary"]
+          "sample_exact_n", "campaign_validation", "insert_summary", "stream_publish_predictions",
+          "job_merge_balanced"]
 
 
 def _keys():
