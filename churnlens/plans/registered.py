@@ -349,9 +349,13 @@ _eng_query("engineered_high_inactivity", ["High_Inactivity"])
 # --- evaluation ----------------------------------------------------------------
 
 def _matrix(spark, sf_dir):
-    churned = _panel_flags(spark, sf_dir, labels=True).select("member_id", "week", "paused", "end_month_bucket",
-                                                                "churn_flag")
-    return EV.band_month_matrix(_snapshot(spark, sf_dir, relabel=True), churned)
+    """Snapshot and churn input come from one labelled panel, materialised once."""
+    from ..session import cut_lineage
+    panel = cut_lineage(_panel_flags(spark, sf_dir, labels=True))
+    feats = WK.member_features(panel.drop("end_month_bucket", "churn_flag"))
+    snap = SN.relabel_snapshot(SN.build_snapshots(SN.score_frame(WK.surrogate_ews(feats))))
+    churned = panel.select("member_id", "week", "paused", "end_month_bucket", "churn_flag")
+    return EV.band_month_matrix(snap, churned)
 
 
 _MX_DOUBLES = [EV.month_label(m) for m in EV.MONTHS] + ["pct_Churned"]
