@@ -68,13 +68,24 @@ def _repeat_words(spans: Column) -> Column:
     return F.aggregate(gaps, F.lit(0).cast("long"), lambda s, g: s + g)
 
 
+def _with_twins(d: DataFrame, keep: list[Column], items: str, eq: str, same) -> DataFrame:
+    """The sorted array column ``items`` reduced to elements equal to a neighbour."""
+    s, e = F.col(f"`{items}`"), F.col(f"`{eq}`")
+    k = F.greatest(F.size(s) - 1, F.lit(0))
+    d = d.select(*keep, s, F.zip_with(F.slice(s, 1, k), F.slice(s, 2, k), same).alias(eq))
+    no = F.array(F.lit(False))
+    hit = F.zip_with(F.concat(no, e), F.concat(e, no), lambda a, b: a | b)
+    return d.select(*keep, F.filter(F.zip_with(s, hit, lambda x, f: F.when(f, x)), lambda x: x.isNotNull()).alias(items))
+
+
 def with_metrics(df: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
     """``df`` plus one struct column (its name is returned) with the counts and ratios.
 
     Words in three-word windows that occur twice: the windows of a text with any two equal
-    hashes are sorted by (hash, words) and neighbours compared, n log n in one text.
+    hashes are sorted by hash and neighbours compared, then those with an equal neighbour
+    by the words themselves: n log n in one text.
     """
-    name = {k: C.internal(df, f"q_{k}") for k in ("t", "w", "lines", "h", "tri", "eq", "pos", "m")}
+    name = {k: C.internal(df, f"q_{k}") for k in ("t", "w", "lines", "h", "pair", "tri", "eq", "pos", "m")}
     col = {k: F.col(f"`{v}`") for k, v in name.items()}
     keep = [F.col(f"`{c}`") for c in df.columns]
     base = [col[x] for x in ("t", "w", "lines")]
@@ -87,17 +98,15 @@ def with_metrics(df: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
     h = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
     d = d.select(*keep, *base, h.alias(name["h"]))
     h = col["h"]
-    tri = F.transform(h, lambda x, i: F.struct(x.alias("h"), F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("x"), i.alias("i")))
     # a text whose windows all hash apart has no window twice: nothing to sort
-    d = d.select(*keep, *base, F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(tri)).alias(name["tri"]))
-    s = col["tri"]
-    j = F.greatest(F.size(s) - 1, F.lit(0))
-    same = F.zip_with(F.slice(s, 1, j), F.slice(s, 2, j), lambda a, b: (a["h"] == b["h"]) & (a["x"] == b["x"]))
-    d = d.select(*keep, *base, col["tri"], same.alias(name["eq"]))
-    no = F.array(F.lit(False))
-    hit = F.zip_with(F.concat(no, col["eq"]), F.concat(col["eq"], no), lambda a, b: a | b)
-    pos = F.sort_array(F.filter(F.zip_with(s, hit, lambda e, f: F.when(f, e["i"])), lambda i: i.isNotNull()))
-    d = d.select(*keep, *base, pos.alias(name["pos"]))
+    pairs = F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
+    d = d.select(*keep, *base, pairs.alias(name["pair"]))
+    d = _with_twins(d, [*keep, *base], name["pair"], name["eq"], lambda a, b: a["h"] == b["h"])
+    tri = F.transform(col["pair"], lambda e: F.struct(
+        e["h"].alias("h"), F.concat_ws(" ", F.get(w, e["i"]), F.get(w, e["i"] + 1), F.get(w, e["i"] + 2)).alias("x"), e["i"].alias("i")))
+    d = d.select(*keep, *base, F.sort_array(tri).alias(name["tri"]))
+    d = _with_twins(d, [*keep, *base], name["tri"], name["eq"], lambda a, b: (a["h"] == b["h"]) & (a["x"] == b["x"]))
+    d = d.select(*keep, *base, F.sort_array(F.transform(col["tri"], lambda e: e["i"])).alias(name["pos"]))
     per = F.greatest(n, F.lit(1)).cast("double")
     stop = F.size(F.filter(w, lambda x: x.isin(stop_list())))
     bang = F.length(col["t"]) - F.length(F.replace(col["t"], F.lit("!"), F.lit("")))
