@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import exact_dedup, quality, sharding, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op2_sharding": sharding.op2_sharding,
+    "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_url_filter": url_filter.op7_url_filter,
 }
 ORACLE = {
     "op1_quality_rules": quality.SQL,
+    "op6_exact_dedup": exact_dedup.SQL,
+    "op7_url_filter": url_filter.SQL,
 }
 
 
