@@ -6,8 +6,6 @@ named by ``spark.checkpoint.dir`` (``session.cut_lineage``), never to a local fo
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +33,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128-bit key of a row's id and text, never null: rows that repeat both share it."""
+    ident = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))
+    return F.md5(F.concat(ident, F.lit(":"), text_or_empty(f"`{text}`")))
+
+
 def internal(df: DataFrame, base: str) -> str:
     """A column name that no column of ``df`` has (names compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -44,7 +48,8 @@ def internal(df: DataFrame, base: str) -> str:
     return name
 
 
-def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values: list[str], spread: Column) -> DataFrame:
+def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values: list[str], spread: Column,
+           salt: str | None = None) -> DataFrame:
     """Left join of ``rows`` to ``keyed`` (one row per key, ``count`` = rows holding the
     key) that no frequent key can overload; keys must not be null.
 
@@ -52,7 +57,8 @@ def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values
     the proven bound of the broadcast) are joined by broadcast. The others go through a
     shuffle join in which rows of the frequent keys carry a salt from ``spread``, so
     they are dealt evenly instead of meeting in one task. ``keyed`` is read twice and
-    should be a stored table.
+    should be a stored table. ``salt`` names a column to keep the salt in; the result is
+    then dealt out by (key, salt), which a window or aggregate over them can use.
     """
     spark = rows.sparkSession
     parts = shuffle_partitions(spark)
@@ -71,7 +77,8 @@ def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values
     out = rows.join(F.broadcast(hot), on_hot, "left")
     out = out.withColumn("__salt", F.when(F.col("__hot").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int")))
     out = out.join(cold, on_cold, "left").withColumn("__got", F.coalesce("__hot", "__cold"))
-    return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col("__got")[v].alias(v) for v in values])
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col("__got")[v].alias(v) for v in values],
+                      *([F.col("__salt").alias(salt)] if salt else []))
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
@@ -87,8 +94,3 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
         total += int(n)
     if start < len(sizes):
         yield start, len(sizes)
-
-
-def broadcast_json(spark: SparkSession, value):
-    """Broadcast of a small model (its size is bounded by the caller)."""
-    return spark.sparkContext.broadcast(json.dumps(value))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, quality, sharding, url_filter
+from . import exact_dedup, language, quality, secrets, sharding, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_sharding": sharding.op2_sharding,
+    "op3_language_id": language.op3_language_id,
+    "op4_secret_scan": secrets.op4_secret_scan,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_url_filter": url_filter.op7_url_filter,
 }
