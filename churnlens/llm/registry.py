@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, quality, secrets, sharding, simhash, url_filter
+from . import exact_dedup, language, mixing, quality, secrets, sharding, simhash, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_url_filter": url_filter.op7_url_filter,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
+    "op10_mixing": mixing.op10_mixing,
 }
 ORACLE = {
     "op1_quality_rules": quality.SQL,
