@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, quality, secrets, sharding, simhash, url_filter
+from . import exact_dedup, language, mixing, pieces, quality, secrets, sharding, simhash, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_secret_scan": secrets.op4_secret_scan,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
