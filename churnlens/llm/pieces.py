@@ -62,7 +62,10 @@ class Coder:
         self.text = {i: p for p, i in self.pieces.items()}
         self.out = {i: p.replace(SPACE, " ").encode("utf-8", "surrogatepass") for p, i in self.pieces.items()}
         self.out |= {i: bytes([b]) for b, i in self.bytes.items()}
-        self.agrees: dict[int, bool] = {}
+        #: piece -> piece after it -> do they stay as they are
+        self.agrees: dict[int, dict[int, bool]] = {}
+        self.n_pairs = 0
+        self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.split: dict[int, tuple | None] = {}
         self.known: dict[str, list[int]] = {}
         split = "".join(c for c in "\n\t\r" if c not in self.pieces)
@@ -124,20 +127,20 @@ class Coder:
         """Commits (an id, or a character without a piece) in order, from an iterable of
         strings. Held are the text since the last commit and its boundaries; all but the
         last ``longest`` characters of it wait only for the paths to meet."""
-        longest, get, agrees, fits, unigram = self.longest, self.pieces.get, self.agrees, self.fits, self.unigram
+        longest, get, unigram = self.longest, self.pieces.get, self.unigram
         text, at = "", 0
-        # by boundary: the piece that ends there (-1 start or a character without a piece,
-        # -2 no path), where it starts, its path's score
-        last, back, score = [-1], [0], [0.0]
+        # by boundary: the piece that ends there (-1: start, or a character without one;
+        # -2: no path), where it starts, its path's score; the boundaries that have a path
+        last, back, score, alive = [-1], [0], [0.0], [0]
+        after = {0: self.agrees.setdefault(-1, {})}
         for chunk in chunks:
             text += chunk
             while at < len(text):
                 at += 1
+                if at > longest and alive[0] < at - longest:
+                    alive = [j for j in alive if j >= at - longest] or [at - 1]
                 found, start, value = -2, 0, 0.0
-                for j in range(at - longest if at > longest else 0, at):
-                    prev = last[j]
-                    if prev == -2:
-                        continue
+                for j in alive:
                     p = get(text[j:at])
                     if p is None:
                         continue
@@ -145,12 +148,11 @@ class Coder:
                         if found == -2 or score[j] + self.scores[p] > value:
                             found, start, value = p, j, score[j] + self.scores[p]
                         continue
-                    k = (prev + 1) << 32 | p
-                    ok = agrees.get(k)
+                    row = after[j]
+                    ok = row.get(p)
                     if ok is None:
-                        if len(agrees) > _KEPT_PAIRS:
-                            agrees.clear()
-                        ok = agrees[k] = fits(prev, p)
+                        ok = row[p] = self.fits(last[j], p)
+                        self.n_pairs += 1
                     if ok:
                         found, start = p, j
                         break
@@ -159,6 +161,9 @@ class Coder:
                 last.append(found)
                 back.append(start)
                 score.append(value)
+                if found != -2:
+                    alive.append(at)
+                    after[at] = self.agrees.setdefault(found, {})
                 if at % _EVERY == 0 and at > longest:
                     to = self._meet(last, back, at)
                     if to:
@@ -166,6 +171,8 @@ class Coder:
                         text, at = text[to:], at - to
                         low = score[to]
                         last, back, score = last[to:], [x - to for x in back[to:]], [x - low for x in score[to:]]
+                        alive = [j - to for j in alive if j >= to]
+                        after = {j - to: row for j, row in after.items() if j >= to}
         yield from self._path(text, last, back, at)
 
     def _meet(self, last: list, back: list, at: int) -> int:
@@ -204,16 +211,33 @@ class Coder:
             return self.ids(self.stream((t,)))
         if len(self.known) > _KEPT:
             self.known.clear()
+        if self.n_pairs > _KEPT_PAIRS:
+            self.agrees.clear()
+            self.n_pairs = 0
         known, out = self.known, []
         for s in self.stretch.findall(t):
             got = known.get(s)
             if got is None:
-                got = self.ids(self.stream((s,)))
+                got = []
+                for part in self.cut(s):
+                    ids = known.get(part)
+                    if ids is None:
+                        ids = self.ids(self.stream((part,)))
+                        if len(part) <= _SHORT:
+                            known[part] = ids
+                    got = got + ids
                 if len(s) <= _SHORT:
                     known[s] = got
             out += got
         return out
 
+    def cut(self, s: str) -> list[str]:
+        """``s`` cut between neighbours that stand so in no piece: every path has a boundary
+        there."""
+        pairs = self.pairs
+        at = [i for i in range(1, len(s)) if s[i - 1:i + 1] not in pairs]
+        return [s[i:j] for i, j in zip([0, *at], [*at, len(s)])] if at else [s]
+
     def decode(self, ids: list[int]) -> str:
         out = self.out
         text = b"".join([out.get(i, b"") for i in ids]).decode("utf-8", "surrogatepass" if not self.bytes else "replace")
