@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, pieces, quality, secrets, sharding, simhash, url_filter
+from . import exact_dedup, language, mixing, pieces, quality, secrets, sharding, simhash, substring_dedup, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_sharding": sharding.op2_sharding,
     "op3_language_id": language.op3_language_id,
     "op4_secret_scan": secrets.op4_secret_scan,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_sentencepiece": pieces.op8_sentencepiece,
