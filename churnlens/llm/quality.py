@@ -141,7 +141,12 @@ def judge(df: DataFrame, rules: list[Rule] | None = None, text: str = "text") ->
 def keep_documents(df: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
     """The rows that pass every rule, with the columns of ``df``."""
     d, _, failed = judge(df, rules, text)
-    return d.where(F.size(F.col(f"`{failed}`")) == 0).select(*[F.col(f"`{c}`") for c in df.columns])
+    # A filter on a plain column would be pushed below the projections, and their array
+    # functions written out inside one another; one on a column that depends on the task's
+    # number stays above them.
+    kept = C.internal(d, "kept")
+    d = d.withColumn(kept, F.when(F.spark_partition_id() >= 0, F.size(F.col(f"`{failed}`")) == 0))
+    return d.where(F.col(f"`{kept}`")).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
