@@ -36,7 +36,7 @@ from . import common as C
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Remembered stretches and piece pairs a task, and the longest stretch remembered.
-_KEPT, _KEPT_PAIRS, _SHORT = 200_000, 1_000_000, 48
+_KEPT, _KEPT_PAIRS, _SHORT = 400_000, 1_000_000, 48
 _EVERY = 64
 
 
@@ -63,12 +63,13 @@ class Coder:
         self.text = {i: p for p, i in self.pieces.items()}
         self.out = {i: p.replace(SPACE, " ").encode("utf-8", "surrogatepass") for p, i in self.pieces.items()}
         self.out |= {i: bytes([b]) for b, i in self.bytes.items()}
+        self.out.setdefault(self.unknown, "\ufffd".encode())
         #: piece -> piece after it -> do they stay as they are
         self.agrees: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.split: dict[int, tuple | None] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # stretch -> its ids, as packed 32-bit integers
         split = "".join(c for c in "\n\t\r" if c not in self.pieces)
         inner = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         # stretches: no piece spans the places between them
@@ -205,32 +206,69 @@ class Coder:
         return out
 
     def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as packed 32-bit integers."""
         if not text:
-            return []
+            return b""
         t = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
         if self.unigram or self.stretch is None:
-            return self.ids(self.stream((t,)))
+            return np.array(self.ids(self.stream((t,))), np.int32).tobytes()
         if len(self.known) > _KEPT:
             self.known.clear()
         if self.n_pairs > _KEPT_PAIRS:
             self.agrees.clear()
             self.n_pairs = 0
-        known, out = self.known, []
-        for s in self.stretch.findall(t):
-            got = known.get(s)
-            if got is None:
-                got = []
-                for part in self.cut(s):
-                    ids = known.get(part)
-                    if ids is None:
-                        ids = self.ids(self.stream((part,)))
-                        if len(part) <= _SHORT:
-                            known[part] = ids
-                    got = got + ids
-                if len(s) <= _SHORT:
-                    known[s] = got
-            out += got
-        return out
+        known, parts = self.known, self.stretch.findall(t)
+        long = {}
+        for s in set(parts).difference(known):
+            (known if len(s) <= _SHORT else long)[s] = b"".join([known.get(x) or self.learn(x) for x in self.cut(s)])
+        if long:
+            return b"".join([known.get(s) or long[s] for s in parts])
+        return b"".join(map(known.__getitem__, parts))
+
+    def learn(self, part: str) -> bytes:
+        ids = self.short(part) if len(part) <= _SHORT else self.ids(self.stream((part,)))
+        got = np.array(ids, np.int32).tobytes() if len(ids) > 4 else b"".join([i.to_bytes(4, "little") for i in ids])
+        if len(part) <= _SHORT:
+            self.known[part] = got
+        return got
+
+    def short(self, s: str) -> list[int]:
+        """The BPE recursion of ``stream`` over a stretch that is one window: nothing is
+        committed before its end."""
+        get, longest = self.pieces.get, self.longest
+        last, back, alive, after = [-1], [0], [0], [self.agrees.setdefault(-1, {})]
+        for at in range(1, len(s) + 1):
+            found, row = -2, None
+            for j in alive:
+                p = get(s[j:at])
+                if p is not None:
+                    ok = after[j].get(p)
+                    if ok is None:
+                        ok = after[j][p] = self.fits(last[j], p)
+                        self.n_pairs += 1
+                    if ok:
+                        found = p
+                        back.append(j)
+                        break
+            else:
+                if last[at - 1] == -2 or get(s[at - 1]) is not None:
+                    back.append(0)
+                else:
+                    found = -1
+                    back.append(at - 1)
+            if found != -2:
+                alive.append(at)
+                row = self.agrees.get(found)
+                if row is None:
+                    row = self.agrees[found] = {}
+            after.append(row)
+            last.append(found)
+            if alive[0] <= at - longest:
+                alive = [j for j in alive if j > at - longest]
+        return self.ids(self._path(s, last, back, len(s)))
 
     def cut(self, s: str) -> list[str]:
         """``s`` cut between neighbours that stand so in no piece: every path has a boundary
@@ -241,7 +279,7 @@ class Coder:
 
     def decode(self, ids: list[int]) -> str:
         out = self.out
-        text = b"".join([out.get(i, b"") for i in ids]).decode("utf-8", "surrogatepass" if not self.bytes else "replace")
+        text = b"".join(map(out.__getitem__, ids)).decode("utf-8", "surrogatepass" if not self.bytes else "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -261,10 +299,10 @@ def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None, t
             for a, b in C.blocks(batch, names["text"], 2 << 20):
                 part = batch.slice(a, b - a)
                 texts = part.column(part.num_columns - 1).to_pylist()
-                ids = [None if t is None else coder.encode(t) for t in texts]
-                same = [None if t is None else coder.decode(i) == t for t, i in zip(texts, ids)]
-                sizes = np.cumsum([0] + [len(i or ()) for i in ids])
-                flat = np.fromiter((x for i in ids if i for x in i), np.int32, int(sizes[-1]))
+                ids = [None if t is None else coder.packed(t) for t in texts]
+                same = [None if t is None else coder.decode(np.frombuffer(i, np.int32).tolist()) == t for t, i in zip(texts, ids)]
+                sizes = np.cumsum([0] + [len(i or ()) // 4 for i in ids])
+                flat = np.frombuffer(b"".join(i for i in ids if i), np.int32)
                 gaps = pa.array([i is None for i in ids], pa.bool_())
                 arr = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat), mask=gaps)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], arr, pa.array(same, pa.bool_())], names=schema.names)

@@ -106,7 +106,19 @@ def _bytes(column) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-_ANCHOR = "bucket int, key long, lows binary, keys binary, counts binary, shared binary"
+_ANCHOR = "bucket int, lows binary, keys binary, counts binary, shared binary, own_lows binary, own_keys binary, own_counts binary"
+
+
+def _by_key(keys: np.ndarray, lows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lows in the order of their keys, the distinct keys, and how many lows each has."""
+    order = np.argsort(keys, kind="stable")
+    keys, lows = keys[order], lows[order]
+    cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
+    return lows, keys[cut], np.diff(np.r_[cut, len(keys)]).astype(np.uint32) if len(keys) else np.empty(0, np.uint32)
+
+
+def _joined(table: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(x for x in table.column(column).to_pylist() if x), kind)
 
 
 def _report_anchors(buckets: int):
@@ -123,27 +135,18 @@ def _report_anchors(buckets: int):
         many = np.repeat(np.diff(np.r_[start, len(anchor)]) > 1, np.diff(np.r_[start, len(anchor)]))
         lows = (anchor & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         at = ((anchor >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-        out = []
-        by = np.flatnonzero(many)
-        by = by[np.argsort(doc[by], kind="stable")]
-        cut = np.flatnonzero(np.r_[True, doc[by][1:] != doc[by][:-1]]) if len(by) else by
-        for i, j in zip(cut, np.r_[cut[1:], len(by)] if len(by) else cut):
-            k = keys[doc[by[i]]]
-            out.append((k % buckets, k, lows[by[i:j]].tobytes(), None, None, None))
         first = np.zeros(len(anchor), bool)
         first[start] = True
+        out = []
         for b in range(buckets):
             here = at == b
-            one = np.flatnonzero(here & ~many)
-            one = one[np.argsort(doc[one], kind="stable")]
-            cut = np.flatnonzero(np.r_[True, doc[one][1:] != doc[one][:-1]]) if len(one) else one
-            counts = np.diff(np.r_[cut, len(one)]).astype(np.uint32) if len(one) else np.empty(0, np.uint32)
-            both = lows[here & many & first]
-            if len(one) or len(both):
-                out.append((b, None, lows[one].tobytes(), key[doc[one[cut]]].tobytes(), counts.tobytes(), both.tobytes()))
+            alone, own = here & ~many, here & many
+            if here.any():
+                out.append((b, *[x.tobytes() for x in _by_key(key[doc[alone]], lows[alone])], lows[own & first].tobytes(),
+                            *[x.tobytes() for x in _by_key(key[doc[own]], lows[own])]))
         cols = list(zip(*out))
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]],
-                                         names=["bucket", "key", "lows", "keys", "counts", "shared"])
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
+                                         names=[c.split()[0] for c in _ANCHOR.split(", ")])
 
     def run(batches):
         found, keys, size = [], [], 0
@@ -165,29 +168,35 @@ def _report_anchors(buckets: int):
     return run
 
 
-def _shared_anchors(got: pa.Table) -> pa.Table:
-    """The anchors of a bucket that two documents have, by document."""
-    direct = got.filter(got.column("key").is_valid())
-    rest = got.filter(got.column("key").is_null())
-    join = lambda c, t: np.frombuffer(b"".join(rest.column(c).to_pylist()), t)
-    lows, keys, shared = join("lows", np.uint32), np.repeat(join("keys", np.int64), join("counts", np.uint32)), join("shared", np.uint32)
-    order = np.lexsort((keys, lows))
-    lows, keys = lows[order], keys[order]
-    start = np.flatnonzero(np.r_[True, lows[1:] != lows[:-1]]) if len(lows) else np.empty(0, int)
-    group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(lows)])) if len(lows) else start
-    # an entry of its own task each: two entries are two rows
-    many = np.bincount(group, minlength=len(start)) > 1
-    many |= np.isin(lows[start], shared)
-    take = np.flatnonzero(many[group]) if len(lows) else start
-    take = take[np.argsort(keys[take], kind="stable")]
-    lows, keys = lows[take], keys[take]
-    cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else take
-    to = np.r_[cut[1:], len(keys)] if len(keys) else cut
-    return pa.table({"key": pa.array([*direct.column("key").to_pylist(), *keys[cut].tolist()], pa.int64()),
-                     "lows": pa.array([*direct.column("lows").to_pylist(), *[lows[i:j].tobytes() for i, j in zip(cut, to)]], pa.binary())})
-
-
-_RUN = "bucket int, key long, fp long, spans binary, runs binary, lens binary, ids binary, lows binary, owners binary"
+def _shared_anchors(parts: int):
+    """The anchors of a bucket that two documents have, dealt by document."""
+    def run(got: pa.Table) -> pa.Table:
+        lows, keys = _joined(got, "lows", np.uint32), np.repeat(_joined(got, "keys", np.int64), _joined(got, "counts", np.uint32))
+        order = np.argsort(lows, kind="stable")
+        lows, keys = lows[order], keys[order]
+        start = np.flatnonzero(np.r_[True, lows[1:] != lows[:-1]]) if len(lows) else np.empty(0, int)
+        size = np.diff(np.r_[start, len(lows)]) if len(lows) else start
+        # entries are distinct in a report of a task: two entries are two rows
+        take = np.repeat((size > 1) | np.isin(lows[start], _joined(got, "shared", np.uint32)), size)
+        lows = np.r_[_joined(got, "own_lows", np.uint32), lows[take]]
+        keys = np.r_[np.repeat(_joined(got, "own_keys", np.int64), _joined(got, "own_counts", np.uint32)), keys[take]]
+        to, out = keys % parts, []
+        for p in np.unique(to):
+            here = to == p
+            out.append((int(p), *[x.tobytes() for x in _by_key(keys[here], lows[here])]))
+        cols = list(zip(*out)) if out else [[]] * 4
+        return pa.table({"part": pa.array(cols[0], pa.int32()), **{n: pa.array(c, pa.binary()) for n, c in zip(("lows", "keys", "counts"), cols[1:])}})
+    return run
+
+
+def _document_anchors(got: pa.Table) -> pa.Table:
+    """One row per document with its shared anchors."""
+    lows, keys, counts = _by_key(np.repeat(_joined(got, "keys", np.int64), _joined(got, "counts", np.uint32)), _joined(got, "lows", np.uint32))
+    to = np.cumsum(counts, dtype=np.int64)
+    return pa.table({"k": pa.array(keys, pa.int64()), "lows": pa.array([lows[j - n:j].tobytes() for j, n in zip(to.tolist(), counts.tolist())], pa.binary())})
+
+
+_RUN = "bucket int, spans binary, runs binary, lens binary, ids binary, lows binary, owners binary"
 _RUN_NAMES = [c.split()[0] for c in _RUN.split(", ")]
 
 
@@ -197,23 +206,21 @@ def _row(**values) -> tuple:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in _RUN_NAMES]
-    kinds = [pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 6
+    kinds = [pa.int32()] + [pa.binary()] * 6
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=_RUN_NAMES)
 
 
-def _spans_by_row(keys, fps, starts, ends) -> list[tuple]:
-    """(key, fp, packed spans) for each document row; touching spans are joined."""
-    order = np.lexsort((starts, fps, keys))
-    keys, fps, starts, ends = keys[order], fps[order], starts[order], ends[order]
-    if not len(keys):
-        return []
+def _merged(spans: np.ndarray) -> np.ndarray:
+    """Spans (key, fp, start, end) in order, with those of a row that touch joined."""
+    if not len(spans):
+        return spans.reshape(0, 4)
+    keys, fps, starts, ends = spans[np.lexsort((spans[:, 3], spans[:, 2], spans[:, 1], spans[:, 0]))].T
     row = np.r_[True, (keys[1:] != keys[:-1]) | (fps[1:] != fps[:-1])]
-    new = row | np.r_[True, starts[1:] > ends[:-1]]  # spans of a row come by start and end
-    at = np.flatnonzero(new)
-    starts, ends = starts[at], np.maximum.reduceat(ends, at)
-    cut = np.flatnonzero(row[at])
-    packed = np.stack([starts, ends], 1)
-    return [(int(keys[at[i]]), int(fps[at[i]]), packed[i:j].tobytes()) for i, j in zip(cut, np.r_[cut[1:], len(at)])]
+    # the furthest end so far in the row: ends are made to grow from row to row
+    base = np.cumsum(row) * (int(ends.max()) + 1)
+    reach = np.maximum.accumulate(ends + base) - base
+    at = np.flatnonzero(row | np.r_[True, starts[1:] > reach[:-1]])
+    return np.stack([keys[at], fps[at], starts[at], reach[np.r_[at[1:], len(row)] - 1]], 1)
 
 
 def _send_runs(buckets: int):
@@ -230,8 +237,9 @@ def _send_runs(buckets: int):
                     by.setdefault(at, []).append((text, ident, low, key, fp, pos))
         rows = []
         if lost:
-            k, f, s, e = (np.array(x, np.int64) for x in zip(*lost))
-            rows += [_row(bucket=key % buckets, key=key, fp=fp, spans=spans) for key, fp, spans in _spans_by_row(k, f, s, e)]
+            spans = _merged(np.array(lost, np.int64))
+            at = spans[:, 0] % buckets
+            rows += [_row(bucket=int(b), spans=spans[at == b].tobytes()) for b in np.unique(at)]
         for b, items in by.items():
             text, ident, low, key, fp, pos = zip(*items)
             rows.append(_row(bucket=b, runs=b"".join(text), lens=np.array([len(t) for t in text], np.uint8).tobytes(), ids=np.array(ident, np.int64).tobytes(),
@@ -247,7 +255,7 @@ def _send_runs(buckets: int):
                 part = batch.slice(a, b - a)
                 ids = [LAST if x is None else x for x in part.column(0).to_pylist()]
                 keys, fps, texts = part.column(1).to_pylist(), part.column(2).to_pylist(), _bytes(part.column(3))
-                lows = [np.frombuffer(b"".join(x), np.uint32).astype(np.int64) for x in part.column(4).to_pylist()]
+                lows = [np.frombuffer(x, np.uint32).astype(np.int64) for x in part.column(4).to_pylist()]
                 wanted = np.concatenate([x | i << 32 for i, x in enumerate(lows)]) if lows else np.empty(0, np.int64)
                 for doc, start, n, anchor in runs(texts):
                     low = (anchor & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -321,10 +329,28 @@ def least_owner(texts: list[bytes], ids: np.ndarray) -> np.ndarray:
     return least[np.cumsum(cut) - 1][inverse]
 
 
-def _removed(got: pa.Table) -> pa.Table:
-    """Spans to remove, by document row, from a bucket of candidate runs."""
-    done = got.filter(got.column("key").is_valid()).select(["key", "fp", "spans"])
-    rest = got.filter(got.column("key").is_null())
+def _removed(parts: int):
+    """Spans to remove, from a bucket of candidate runs, dealt by document."""
+    def run(got: pa.Table) -> pa.Table:
+        spans = _merged(np.concatenate([_joined(got, "spans", np.int64).reshape(-1, 4), _bucket_spans(got)]))
+        to = spans[:, 0] % parts
+        at = np.unique(to)
+        return pa.table({"part": pa.array(at, pa.int32()), "spans": pa.array([spans[to == p].tobytes() for p in at], pa.binary())})
+    return run
+
+
+def _document_spans(got: pa.Table) -> pa.Table:
+    """One row per document row with its spans."""
+    spans = _merged(_joined(got, "spans", np.int64).reshape(-1, 4))
+    cut = np.flatnonzero(np.r_[True, (spans[1:, :2] != spans[:-1, :2]).any(1)]) if len(spans) else np.empty(0, int)
+    to = np.r_[cut[1:], len(spans)] if len(spans) else cut
+    return pa.table({"k": pa.array(spans[cut, 0], pa.int64()), "fp": pa.array(spans[cut, 1], pa.int64()),
+                     "spans": pa.array([spans[i:j, 2:].tobytes() for i, j in zip(cut, to)], pa.binary())})
+
+
+def _bucket_spans(got: pa.Table) -> np.ndarray:
+    """Spans (key, fp, start, end) that the runs of a bucket lose."""
+    rest = got.filter(got.column("runs").is_valid())
     join = lambda c, t: np.frombuffer(b"".join(rest.column(c).to_pylist()), t)
     lens, ids, lows = join("lens", np.uint8).astype(np.int64), join("ids", np.int64), join("lows", np.uint32)
     owners = [np.frombuffer(x, np.int64).reshape(3, -1) for x in rest.column("owners").to_pylist()]
@@ -359,12 +385,9 @@ def _removed(got: pa.Table) -> pa.Table:
         if len(e):  # consecutive windows of an entry make one span
             start = np.flatnonzero(np.r_[True, (e[1:] != e[:-1]) | (i[1:] != i[:-1] + 1)])
             stop = np.r_[start[1:], len(e)] - 1
-            out.append((key[e[start]], fp[e[start]], pos[e[start]] + i[start], pos[e[start]] + i[stop] + LENGTH))
+            out.append(np.stack([key[e[start]], fp[e[start]], pos[e[start]] + i[start], pos[e[start]] + i[stop] + LENGTH], 1))
         a = b
-    rows = _spans_by_row(*[np.concatenate(x) for x in zip(*out)]) if out else []
-    more = pa.table({"key": pa.array([r[0] for r in rows], pa.int64()), "fp": pa.array([r[1] for r in rows], pa.int64()),
-                     "spans": pa.array([r[2] for r in rows], pa.binary())})
-    return pa.concat_tables([done, more])
+    return np.concatenate(out) if out else np.empty((0, 4), np.int64)
 
 
 def _cut_out(batches):
@@ -402,15 +425,16 @@ def removed_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     ident, body = F.col(f"`{doc_id}`").cast("long"), C.text_or_empty(f"`{text}`")
     rows = docs.select(ident.alias("doc_id"), F.coalesce(ident, F.xxhash64(body)).alias("key"), F.xxhash64(body).alias("fp"), body.alias("text"))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
-    parts = C.shuffle_partitions(spark)
-    anchor_buckets, run_buckets = max(parts, -(-total // ANCHOR_BUCKET)), max(parts, -(-total // RUN_BUCKET))
+    run_buckets = max(C.shuffle_partitions(spark), -(-total // RUN_BUCKET))
+    anchor_buckets, parts = max(C.shuffle_partitions(spark), -(-total // ANCHOR_BUCKET)), run_buckets
     lows = (rows.select("key", "text").mapInArrow(_report_anchors(anchor_buckets), _ANCHOR)
-            .groupBy("bucket").applyInArrow(_shared_anchors, "key long, lows binary")
-            .groupBy("key").agg(F.collect_list("lows").alias("lows")).withColumnRenamed("key", "k"))
+            .groupBy("bucket").applyInArrow(_shared_anchors(parts), "part int, lows binary, keys binary, counts binary")
+            .groupBy("part").applyInArrow(_document_anchors, "k long, lows binary"))
     candidates = rows.join(lows, F.col("key") == F.col("k")).select("doc_id", "key", "fp", "text", "lows")
     spans = (candidates.mapInArrow(_send_runs(run_buckets), _RUN)
-             .groupBy("bucket").applyInArrow(_removed, "key long, fp long, spans binary")
-             .groupBy("key").agg(F.collect_list(F.struct("fp", "spans")).alias("spans")).withColumnRenamed("key", "k"))
+             .groupBy("bucket").applyInArrow(_removed(parts), "part int, spans binary")
+             .groupBy("part").applyInArrow(_document_spans, "k long, fp long, spans binary")
+             .groupBy("k").agg(F.collect_list(F.struct("fp", "spans")).alias("spans")))
     return rows.join(spans, F.col("key") == F.col("k"), "left").select("doc_id", "key", "fp", "text", "spans").mapInArrow(
         _cut_out, "doc_id long, n_bytes long, n_removed long, kept_sha256 string, spans array<array<long>>")
 
