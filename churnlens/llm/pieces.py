@@ -70,6 +70,11 @@ class Coder:
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.split: dict[int, tuple | None] = {}
         self.known: dict[str, bytes] = {}  # stretch -> its ids, as packed 32-bit integers
+        #: last three characters of a piece -> the longest piece that ends so
+        self.ends: dict[str, int] = {}
+        for p in self.pieces:
+            if len(p) > 2:
+                self.ends[p[-3:]] = max(len(p), self.ends.get(p[-3:], 0))
         split = "".join(c for c in "\n\t\r" if c not in self.pieces)
         inner = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         # stretches: no piece spans the places between them
@@ -238,11 +243,14 @@ class Coder:
     def short(self, s: str) -> list[int]:
         """The BPE recursion of ``stream`` over a stretch that is one window: nothing is
         committed before its end."""
-        get, longest = self.pieces.get, self.longest
+        get, ends = self.pieces.get, self.ends.get
         last, back, alive, after = [-1], [0], [0], [self.agrees.setdefault(-1, {})]
         for at in range(1, len(s) + 1):
             found, row = -2, None
+            first = at - ends(s[at - 3:at], 2) if at > 2 else 0
             for j in alive:
+                if j < first:
+                    continue
                 p = get(s[j:at])
                 if p is not None:
                     ok = after[j].get(p)
@@ -266,8 +274,6 @@ class Coder:
                     row = self.agrees[found] = {}
             after.append(row)
             last.append(found)
-            if alive[0] <= at - longest:
-                alive = [j for j in alive if j > at - longest]
         return self.ids(self._path(s, last, back, len(s)))
 
     def cut(self, s: str) -> list[str]:
