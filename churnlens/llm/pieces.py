@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from . import common as C
 
@@ -297,7 +297,7 @@ def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None, t
     keep = docs.columns if keep is None else keep
     names = {k: C.internal(docs, k) for k in ("ids", "round_trip", "text")}
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(names["text"]))
-    schema = src.drop(names["text"]).schema.add(names["ids"], ArrayType(IntegerType())).add(names["round_trip"], BooleanType())
+    schema = StructType([*src.schema.fields[:-1], StructField(names["ids"], ArrayType(IntegerType())), StructField(names["round_trip"], BooleanType())])
 
     def run(batches):
         coder = Coder(shared.value)
@@ -320,7 +320,7 @@ def decode(rows: DataFrame, ids: str, model: str = MODEL) -> tuple[DataFrame, st
     """``rows`` plus the text of a column of ids (null for null)."""
     shared = rows.sparkSession.sparkContext.broadcast(load(model))
     name = C.internal(rows, "decoded")
-    schema = rows.schema.add(name, StringType())
+    schema = StructType([*rows.schema.fields, StructField(name, StringType())])
     at = rows.columns.index(ids)
 
     def run(batches):
