@@ -109,7 +109,8 @@ def shares(domains: list[str], targets: dict[str, float]) -> list[float]:
     return [x / sum(known) for x in known] if sum(known) > 0 else [1 / len(domains)] * len(domains)
 
 
-def fit(post: DataFrame, domains: list[str], targets: dict[str, float], budget: float = BUDGET) -> tuple[DataFrame, list[dict]]:
+def fit(post: DataFrame, domains: list[str], targets: dict[str, float], budget: float = BUDGET,
+        iterations: int = ITERATIONS) -> tuple[DataFrame, list[dict]]:
     """Stored posteriors -> the same with ``rate``; per domain the tokens there are, the
     target and what the rates give. Accelerated projected gradient with restarts: S(y) of
     the extrapolated rates follows from the sums of the last two, so an iteration is one
@@ -127,7 +128,7 @@ def fit(post: DataFrame, domains: list[str], targets: dict[str, float], budget:
     state = post.withColumn("rate", F.lit(1.0)).withColumn("before", F.lit(1.0))
     now, last, momentum = have, have, 1.0
     error = lambda s: sum(((a - b) / tokens) ** 2 for a, b in zip(s, goal))
-    for it in range(ITERATIONS):
+    for it in range(iterations):
         ahead = (1 + math.sqrt(1 + 4 * momentum ** 2)) / 2
         push = (momentum - 1) / ahead
         at = [a + push * (a - b) for a, b in zip(now, last)]
@@ -157,20 +158,21 @@ def copies(rate: Column, key: Column) -> Column:
     return F.floor(rate + unit).cast("int")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET) -> tuple[DataFrame, list[str], list[dict]]:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET,
+        iterations: int = ITERATIONS) -> tuple[DataFrame, list[str], list[dict]]:
     """Rows (id, key, n_tokens, p_i, rate, copies) of all documents, the domains in the
     order of the p_i, and the fit's totals."""
     two = docs.select("doc_id", "text")
     domains, prior, weights = train(two, labels)
     post = cut_lineage(posteriors(two, domains, prior, weights))
-    rated, totals = fit(post, domains, TARGETS if targets is None else targets, budget)
+    rated, totals = fit(post, domains, TARGETS if targets is None else targets, budget, iterations)
     return rated.withColumn("copies", copies(F.col("rate"), F.col("key"))), domains, totals
 
 
-def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET) -> DataFrame:
+def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, iterations: int = ITERATIONS) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as its rate says, with the columns
     of ``docs``."""
-    rated, _, _ = mix(docs, labels, targets, budget)
+    rated, _, _ = mix(docs, labels, targets, budget, iterations)
     chosen = rated.groupBy("key").agg(F.max("copies").alias("__copies"))
     key = C.internal(docs, "row_key")
     rows = docs.withColumn(key, C.row_key()).join(chosen.withColumnRenamed("key", "__key"), F.col(key) == F.col("__key"))

@@ -370,12 +370,12 @@ def test_mixing_meets_targets(spark):
 
 def test_mixing_odd(spark, odd, none, clash):
     labels = spark.createDataFrame([(1, 1, 0), (6, 1, 0), (8, 0, 1), (None, 1, 1), (9, None, None), (9, 0, 0)], "doc_id long, quality int, toxic int")
-    out, domains, _ = mixing.mix(odd, labels)
+    out, domains, _ = mixing.mix(odd, labels, iterations=3)
     assert out.count() == len(ODD) and domains == ["q0t0", "q0t1", "q1t0"]
     assert sum(r.n_tokens for r in out.collect()) == sum(len(words(r[1])) for r in ODD)
-    assert mixing.mix(odd, labels.limit(0))[1] == ["all"]
+    assert mixing.mix(odd, labels.limit(0), iterations=3)[1] == ["all"]
     assert mixing.mix(none, labels)[0].count() == 0
-    drawn = mixing.draw(clash, labels)
+    drawn = mixing.draw(clash, labels, iterations=3)
     assert drawn.columns == clash.columns
     assert {r.doc_id for r in drawn.collect()} <= {r[0] for r in ODD}
 
