@@ -64,21 +64,21 @@ def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values
     parts = shuffle_partitions(spark)
     total = keyed.agg(F.sum(count)).first()[0] or 0
     limit = max(1, total // (4 * parts))
+    own = {x: internal(rows, f"attach_{x}") for x in ("hot", "cold", "salt", "cold_salt", "got", *[f"h{i}" for i in range(len(key))], *[f"c{i}" for i in range(len(key))])}
     hot = keyed.where(F.col(count) > limit).select(
-        *[F.col(k).alias(f"__h_{k}") for k in key],
-        F.struct(*values).alias("__hot"))
+        *[F.col(f"`{k}`").alias(own[f"h{i}"]) for i, k in enumerate(key)], F.struct(*values).alias(own["hot"]))
     cold = keyed.where(F.col(count) <= limit).select(
-        *[F.col(k).alias(f"__c_{k}") for k in key],
-        F.lit(-1).alias("__c_salt"), F.struct(*values).alias("__cold"))
-    on_hot, on_cold = F.lit(True), F.col("__salt") == F.col("__c_salt")
-    for k in key:
-        on_hot = on_hot & (F.col(k) == F.col(f"__h_{k}"))
-        on_cold = on_cold & (F.col(k) == F.col(f"__c_{k}"))
+        *[F.col(f"`{k}`").alias(own[f"c{i}"]) for i, k in enumerate(key)],
+        F.lit(-1).alias(own["cold_salt"]), F.struct(*values).alias(own["cold"]))
+    on_hot, on_cold = F.lit(True), F.col(own["salt"]) == F.col(own["cold_salt"])
+    for i, k in enumerate(key):
+        on_hot = on_hot & (F.col(f"`{k}`") == F.col(own[f"h{i}"]))
+        on_cold = on_cold & (F.col(f"`{k}`") == F.col(own[f"c{i}"]))
     out = rows.join(F.broadcast(hot), on_hot, "left")
-    out = out.withColumn("__salt", F.when(F.col("__hot").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int")))
-    out = out.join(cold, on_cold, "left").withColumn("__got", F.coalesce("__hot", "__cold"))
-    return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col("__got")[v].alias(v) for v in values],
-                      *([F.col("__salt").alias(salt)] if salt else []))
+    out = out.withColumn(own["salt"], F.when(F.col(own["hot"]).isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int")))
+    out = out.join(cold, on_cold, "left").withColumn(own["got"], F.coalesce(own["hot"], own["cold"]))
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(own["got"])[v].alias(v) for v in values],
+                      *([F.col(own["salt"]).alias(salt)] if salt else []))
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):

@@ -65,6 +65,7 @@ def dedup(docs: DataFrame, index: DigestIndex, batch_id: str, doc_id: str = "doc
     """Every row of ``docs`` with four more columns, whose names are returned by role:
     digest, keep_id, n (rows of its batch that hold the text) and kept."""
     names = {k: C.internal(docs, k) for k in ("digest", "keep_id", "n", "kept")}
+    salt = C.internal(docs, "salt")
     ident, dig = F.col(f"`{doc_id}`").cast("long"), digest(F.col(f"`{text}`"))
     batch = docs.select(ident.alias("id"), dig.alias("digest")).groupBy("digest").agg(
         F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
@@ -72,11 +73,11 @@ def dedup(docs: DataFrame, index: DigestIndex, batch_id: str, doc_id: str = "doc
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], dig.alias(names["digest"]))
     known = index.rows().select(F.col("digest").alias(names["digest"]), F.col("keep_id").alias(names["keep_id"]),
                                 F.col("n").alias(names["n"]), (F.col("batch") == batch_id).alias(names["kept"]))
-    out = C.attach(rows, known, [names["digest"]], names["n"], [names["keep_id"], names["n"], names["kept"]], F.col(f"`{doc_id}`"), salt="__salt")
+    out = C.attach(rows, known, [names["digest"]], names["n"], [names["keep_id"], names["n"], names["kept"]], F.col(f"`{doc_id}`"), salt=salt)
     # rows that repeat the id that stays: one of them does
-    first = F.row_number().over(Window.partitionBy(names["digest"], "__salt", f"`{doc_id}`").orderBy(F.lit(1)))
+    first = F.row_number().over(Window.partitionBy(names["digest"], salt, f"`{doc_id}`").orderBy(F.lit(1)))
     kept = F.col(names["kept"]) & ident.eqNullSafe(F.col(names["keep_id"])) & (first == 1)
-    return out.withColumn(names["kept"], kept).drop("__salt"), names
+    return out.withColumn(names["kept"], kept).drop(salt), names
 
 
 def new_index(spark: SparkSession, path: str | None = None) -> DigestIndex:

@@ -173,10 +173,10 @@ def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     """The mixture itself: every row of ``docs`` as often as its rate says, with the columns
     of ``docs``."""
     rated, _, _ = mix(docs, labels, targets, budget, iterations)
-    chosen = rated.groupBy("key").agg(F.max("copies").alias("__copies"))
-    key = C.internal(docs, "row_key")
-    rows = docs.withColumn(key, C.row_key()).join(chosen.withColumnRenamed("key", "__key"), F.col(key) == F.col("__key"))
-    again = rows.where(F.col("__copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    own = {x: C.internal(docs, x) for x in ("row_key", "drawn_key", "copies", "copy")}
+    chosen = rated.groupBy(F.col("key").alias(own["drawn_key"])).agg(F.max("copies").alias(own["copies"]))
+    rows = docs.withColumn(own["row_key"], C.row_key()).join(chosen, F.col(own["row_key"]) == F.col(own["drawn_key"]))
+    again = rows.where(F.col(own["copies"]) > 0).withColumn(own["copy"], F.explode(F.sequence(F.lit(1), F.col(own["copies"]))))
     return again.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

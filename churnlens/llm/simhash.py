@@ -207,9 +207,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_
 def keep_documents(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, that of its smallest doc_id, with the columns of ``docs``."""
     stay = near_duplicates(docs, shingle, doc_id, text).where(F.col("key") == F.col("component_key")).select(
-        F.col("key").alias("__stay")).distinct()
+        F.col("key").alias(C.internal(docs, "stay"))).distinct()
     key = C.internal(docs, "row_key")
-    rows = docs.withColumn(key, C.row_key(doc_id, text)).join(stay, F.col(key) == F.col("__stay"), "left_semi")
+    rows = docs.withColumn(key, C.row_key(doc_id, text)).join(stay, F.col(key) == F.col(C.internal(docs, "stay")), "left_semi")
     first = C.internal(docs, "row_no")
     rows = rows.withColumn(first, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1))))
     return rows.where(F.col(first) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
