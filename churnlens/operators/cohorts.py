@@ -41,15 +41,22 @@ def exact_rank(df: DataFrame, key: str, out: str = "_rank", n_buckets: int | Non
 
 
 def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = C.SEED, materialize: bool = True) -> DataFrame:
-    """Exactly min(n, count) rows, chosen by the smallest seeded hash of the id
-    (deterministic; ties impossible for distinct ids up to hash collisions, broken by id).
-    The rank reads its input twice (bucket edges, then ranks); ``materialize`` writes it
-    once first — pass False when ``df`` is already a stored table."""
+    """Exactly min(n, count) rows, those with the smallest seeded hash of the id
+    (deterministic). Rows whose hash is equal (repeated ids, collisions) count one by one:
+    of the hash at the cutoff the rows still wanted are taken by id, then by row hash.
+    Only the cutoff reaches the driver,
+    and one task orders at most n rows of that hash. The input is read several times; ``materialize``
+    writes it once first — pass False when ``df`` is already a stored table."""
     h = df.withColumn("_h", stable_hash(F.col(id_col), seed=seed))
     if materialize:
         h = cut_lineage(h)
-    r = exact_rank(h, "_h", "_r")
-    return r.where(F.col("_r") <= n).drop("_h", "_r")
+    counts = h.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
+    upto = ranking.prefix_sums(counts, "_h", ["_c"])
+    cut = upto.where(F.col("cum__c") >= n).agg(F.min(F.struct("_h", (F.col("cum__c") - F.col("_c")).alias("before"))).alias("at")).first()["at"]
+    if cut is None:
+        return h.drop("_h")
+    tied = h.where(F.col("_h") == cut["_h"]).orderBy(id_col, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).limit(n - cut["before"])
+    return h.where(F.col("_h") < cut["_h"]).unionByName(tied).drop("_h")
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = C.SEED,

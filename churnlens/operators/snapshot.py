@@ -20,22 +20,30 @@ def score_frame(features: DataFrame, ews_col: str = "EWS", k_weeks: int = C.K_WE
         R.reason_codes(features, k_weeks).alias("reasons"), "engagement", "paused")
 
 
+def _one_of_ties(df: DataFrame, member: str) -> DataFrame:
+    """One row per member of the few that are left, by a hash of the row: the same one in
+    every run. The partitioning of the window before it is reused."""
+    first = F.row_number().over(Window.partitionBy(member).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.withColumn("_first", first).where(F.col("_first") == 1).drop("_first")
+
+
 def latest_preferring_nonpaused(df: DataFrame, member: str = MEMBER, week: str = WEEK) -> DataFrame:
     """Last non-paused week of each member, else the last week. A NULL ``paused`` counts
     as not non-paused (as ``paused == 0`` is false for NaN).
 
     Written as max(struct(non_paused, week)) over the member partition: an unordered
     window that reuses the member sort of the feature windows (a row_number over a new
-    order would add a sort). (member, week) is unique in the panel."""
+    order would add a sort of all rows). Of rows that tie exactly one is kept."""
     key = F.struct(F.coalesce(F.col("paused") == 0, F.lit(False)).alias("np"), F.col(week).alias("w"))
     best = F.max(key).over(Window.partitionBy(member))
-    return df.withColumn("_best", best).where(key == F.col("_best")).drop("_best")
+    return _one_of_ties(df.withColumn("_best", best).where(key == F.col("_best")).drop("_best"), member)
 
 
 def latest_per_member(df: DataFrame, member: str = MEMBER, week: str = WEEK) -> DataFrame:
-    """Row of the latest week per member (unordered window max; (member, week) unique)."""
-    return (df.withColumn("_mw", F.max(week).over(Window.partitionBy(member)))
-            .where(F.col(week) == F.col("_mw")).drop("_mw"))
+    """Row of the latest week per member (unordered window max); of rows that tie exactly
+    one is kept."""
+    return _one_of_ties(df.withColumn("_mw", F.max(week).over(Window.partitionBy(member)))
+                        .where(F.col(week) == F.col("_mw")).drop("_mw"), member)
 
 
 def build_snapshots(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:

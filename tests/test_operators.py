@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from churnlens.operators import cohorts as CO
 from churnlens.operators import ranking as RK
+from churnlens.operators import snapshot as SN
 from churnlens.operators import thresholds as TH
 from churnlens.operators import weekly as WK
 
@@ -122,6 +123,10 @@ def test_sample_exact_n_and_folds(spark):
     s = CO.sample_exact_n(df, 123, "id")
     assert s.count() == 123
     assert CO.sample_exact_n(df, 10_000, "id").count() == 500
+    again = spark.createDataFrame([(f"id{i % 7}", i) for i in range(70)] + [(None, -1)], "id string, x int")
+    for n in (0, 1, 10, 33, 70, 71, 90):
+        got = [r.x for r in CO.sample_exact_n(again, n, "id").collect()]
+        assert len(got) == len(set(got)) == min(n, 71)
     f = CO.stratified_folds(df, "y", "id", k=5).groupBy("y", "fold").count().collect()
     sizes = {}
     for r in f:
@@ -149,3 +154,13 @@ def test_rank_with_a_key_holding_a_third_of_rows(spark):
     ref = pd.Series(vals, dtype=float).rank(pct=True).to_numpy()
     assert len(got) == len(vals)
     assert np.allclose(got.pct.fillna(-1).to_numpy(), np.nan_to_num(ref, nan=-1))
+
+
+def test_latest_rows_keep_one_of_ties(spark):
+    rows = [("a", 1, 0, 1.0), ("a", 2, 0, 2.0), ("a", 2, 0, 3.0), ("a", 3, 1, 4.0), ("b", 5, 1, 1.0), ("b", 5, 1, 1.0), ("c", 1, None, 9.0)]
+    df = spark.createDataFrame(rows, "member_id string, week int, paused int, x double")
+    best = {r.member_id: r for r in SN.latest_preferring_nonpaused(df).collect()}
+    assert SN.latest_preferring_nonpaused(df).count() == 3
+    assert best["a"].week == 2 and best["a"].x in (2.0, 3.0) and best["b"].week == 5 and best["c"].week == 1
+    last = SN.latest_per_member(df).collect()
+    assert sorted((r.member_id, r.week) for r in last) == [("a", 3), ("b", 5), ("c", 1)]
