@@ -82,3 +82,8 @@ JOINT_WEIGHTS = {0: 1.5, 1: 1.5, 2: 1.0}
 # Balanced training set.
 CLASS3_SAMPLE = 20000
 SEED = 42
+
+# Sizes of the trained models (defaults; every trainer takes them as parameters).
+EWS_ITERATIONS = 500
+NUM_TREES = [400, 500]
+MAX_DEPTHS = [5, 6]

@@ -138,7 +138,7 @@ def class_weight_col(label: str, weights: dict = C.CLASS_WEIGHTS) -> F.Column:
     return expr.otherwise(F.lit(1.0))
 
 
-def train_churn_3class(df: DataFrame, label: str = "label", num_trees: int = 100, max_depth: int = 6,
+def train_churn_3class(df: DataFrame, label: str = "label", num_trees: int = C.NUM_TREES[0], max_depth: int = C.MAX_DEPTHS[1],
                        seed: int = C.SEED, numeric=None, categorical=None) -> PipelineModel:
     data = df.withColumn("w", class_weight_col(label))
     if numeric is None or categorical is None:
@@ -158,7 +158,7 @@ def grid_search_cv(df: DataFrame, label: str = "label", fold_col: str = "fold",
                                                                                      "is_test", "cohort", "y"])
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="w", subsamplingRate=0.8,
                                 featureSubsetStrategy="sqrt", seed=seed)
-    g = grid or {"numTrees": [20, 40], "maxDepth": [5, 6], "minInstancesPerNode": [1, 5]}
+    g = grid or {"numTrees": C.NUM_TREES, "maxDepth": C.MAX_DEPTHS, "minInstancesPerNode": [1, 5]}
     pg = ParamGridBuilder()
     for k, vals in g.items():
         pg = pg.addGrid(rf.getParam(k), vals)
@@ -214,7 +214,7 @@ def pos_weight(train: DataFrame, label: str = "label") -> DataFrame:
     return a.select(F.greatest(F.lit(1.0), (F.col("n") - F.col("pos")) / (F.col("pos") + F.lit(1e-6))).alias("pos_weight"))
 
 
-def train_ews(ds: DataFrame, max_iter: int = 50, max_depth: int = 6, step: float = 0.05, test_pct: int = 20,
+def train_ews(ds: DataFrame, max_iter: int = C.EWS_ITERATIONS, max_depth: int = 6, step: float = 0.05, test_pct: int = 20,
               seed: int = C.SEED):
     """Group split by member, class weight on positives, GBT. Returns (model, test rows)."""
     cols = [c for c in EWS_FEATURES if c in ds.columns]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.asof import actual_churn_label
 from ..functions.columns import literal_map
 
 
@@ -114,22 +115,26 @@ def saved_predictions(features: DataFrame, predictions: DataFrame, run_date) ->
     return reorder_key_first(j)
 
 
-CAMPAIGN_SQL = {
-    "high_risk": "SELECT MembershipID, EndDate, ews_pct, risk_band FROM {v} WHERE ChurnedPrediction = 0 "
-                 "ORDER BY ews_pct DESC",
-    "validation": "SELECT MembershipID, ChurnedPrediction, EndDate, CASE "
-                  "WHEN EndDate > RunDate AND EndDate <= add_months(RunDate, 3) THEN 'Actual_Churn_0-3mo' "
-                  "WHEN EndDate > add_months(RunDate, 3) AND EndDate <= add_months(RunDate, 6) THEN 'Actual_Churn_3-6mo' "
-                  "ELSE 'No_Churn_Or_Later' END AS ActualChurn FROM {v}",
-    "high_ews_low_band": "SELECT MembershipID, ews_pct, risk_band, ChurnedPrediction FROM {v} "
-                         "WHERE ews_pct > 0.8 AND risk_band = 'Low' ORDER BY ews_pct DESC, MembershipID LIMIT 10",
-    "export": "SELECT MembershipID, Gender, Age, ClubName, ews_pct FROM {v} WHERE ChurnedPrediction IN (0, 1) "
-              "ORDER BY ews_pct DESC",
-}
+#: The documented consumer reports; names are fixed, each is a function of saved predictions.
+CAMPAIGNS = ("high_risk", "validation", "high_ews_low_band", "export")
 
 
 def campaign_query(predictions: DataFrame, name: str) -> DataFrame:
-    """The documented consumer queries, run with ``spark.sql`` over a temp view."""
-    view = f"churnlens_predictions_{name}"
-    predictions.createOrReplaceTempView(view)
-    return predictions.sparkSession.sql(CAMPAIGN_SQL[name].format(v=view))
+    """One consumer report: ``high_risk`` (members predicted to leave first), ``validation``
+    (prediction beside what happened), ``high_ews_low_band`` (ten largest scores among
+    low-band members) or ``export`` (contact list of both risk classes)."""
+    by_score = F.col("ews_pct").desc()
+    if name == "high_risk":
+        return (predictions.where(F.col("ChurnedPrediction") == 0).orderBy(by_score)
+                .select("MembershipID", "EndDate", "ews_pct", "risk_band"))
+    if name == "validation":
+        return predictions.select("MembershipID", "ChurnedPrediction", "EndDate",
+                                  actual_churn_label(F.col("EndDate"), F.col("RunDate")).alias("ActualChurn"))
+    if name == "high_ews_low_band":
+        return (predictions.where((F.col("ews_pct") > 0.8) & (F.col("risk_band") == "Low"))
+                .orderBy(by_score, "MembershipID").limit(10)
+                .select("MembershipID", "ews_pct", "risk_band", "ChurnedPrediction"))
+    if name == "export":
+        return (predictions.where(F.col("ChurnedPrediction").isin(0, 1)).orderBy(by_score)
+                .select("MembershipID", "Gender", "Age", "ClubName", "ews_pct"))
+    raise ValueError(f"unknown campaign report: {name}")

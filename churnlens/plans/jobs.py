@@ -75,8 +75,35 @@ def flagship(spark: SparkSession, sf_dir: str, as_of: str = "2001-01-01") -> Dat
     return job_prepare_cohort(m, att_all, as_of, attendance_year=att_year)
 
 
-def job_train(frame: DataFrame, label: str = "label", num_trees: int = 50, max_depth: int = 6,
-              tune_classes=(0, 1), **tune) -> dict:
+def job_predict(features: DataFrame, run_date, model_path: str, thresholds_path: str,
+                sink: str | None = None, payment_col: str = "RegularPaymentAmount") -> DataFrame:
+    """Score a profile with the stored model and thresholds and publish it for ``run_date``.
+
+    The features are scored in place (no join back by key); a label column is dropped first.
+    Returns the rows of the prediction table, re-read from ``sink`` when one is given."""
+    from pyspark.ml import PipelineModel
+
+    from ..functions import engineered as EN
+    from ..operators import ml as ML
+    from ..operators import predict as PD
+    from ..operators import thresholds as TH
+    from ..sources import sinks as SK
+    from ..sources.io import read_parquet
+    spark = features.sparkSession
+    th = TH.thresholds_to_dict(read_parquet(spark, thresholds_path))
+    scored = ML.class_probabilities(PipelineModel.load(model_path), features.drop("Churned", "label"))
+    p = [F.col("p0"), F.col("p1"), F.col("p2")]
+    pred = TH.apply_thresholds(p, th) if th else TH.argmax_class(p)
+    scored = scored.withColumns({"PredictedClass": pred, "Confidence": PD.confidence(p)})
+    out = PD.map_to_sink_schema(EN.engineer_features(scored, payment_col=payment_col), run_date=run_date)
+    if sink is None:
+        return out
+    SK.sink_upsert_by_rundate(out, sink, run_date)
+    return SK.read_sink(spark, sink).where(F.col("RunDate") == F.lit(str(run_date)).cast("date"))
+
+
+def job_train(frame: DataFrame, label: str = "label", num_trees: int = C.NUM_TREES[0],
+              max_depth: int = C.MAX_DEPTHS[1], tune_classes=(0, 1), **tune) -> dict:
     """Train on the non-test rows, tune thresholds on a validation slice of the training
     rows (not on the test split), report on the test split before and after."""
     from ..operators import cohorts as CO

@@ -642,7 +642,7 @@ def _campaign_sql(name):
     return lambda: O.sql_saved_predictions(AS_OF, T0, T1) + body
 
 
-for _name in PD.CAMPAIGN_SQL:
+for _name in PD.CAMPAIGNS:
     register(f"campaign_{_name}", _campaign_sql(_name))(
         (lambda n: lambda spark, sf_dir: PD.campaign_query(_saved(spark, sf_dir), n))(_name))
 
@@ -659,8 +659,8 @@ def q_sink(spark, sf_dir):
     the second run replaces the first (row count per RunDate unchanged)."""
     path = _scratch(spark, "predictions")
     df = _predict_job(spark, sf_dir)
-    SK.sink_upsert_by_rundate(df, path)
-    SK.sink_upsert_by_rundate(df, path)
+    SK.sink_upsert_by_rundate(df, path, AS_OF)
+    SK.sink_upsert_by_rundate(df, path, AS_OF)
     back = SK.read_sink(spark, path)
     return back.groupBy("RunDate").agg(F.count(F.lit(1)).alias("n"))
 
@@ -717,7 +717,7 @@ def q_latest_artifact(spark, sf_dir):
     """Two as_of partitions staged; the newest one is selected by max(as_of)."""
     path = _scratch(spark, "staged")
     prof = _profile_snapshot(spark, sf_dir)
-    IO.write_parquet(prof.withColumn("as_of", F.lit("2000-01-01").cast("date")).limit(5), path, ["as_of"])
+    IO.write_parquet(prof.withColumn("as_of", F.lit("2000-01-01").cast("date")), path, ["as_of"])
     IO.write_parquet(prof.withColumn("as_of", F.lit(AS_OF).cast("date")), path, ["as_of"])
     return IO.latest_partition(IO.read_parquet(spark, path), "as_of").agg(F.count(F.lit(1)).alias("n"))
 
@@ -912,8 +912,11 @@ def q_standardize(spark, sf_dir):
 
 # --- model training / scoring (rows-only: results depend on the learner) -------------
 
+#: Below the defaults of ``train_ews`` and ``grid_search_cv`` (500 iterations, 400 and 500
+#: trees): these two registered queries show the operators, a training run takes the defaults.
 EWS_ITERS = 20
-RF_TREES = 50
+CV_GRID = {"numTrees": [20, 40], "maxDepth": C.MAX_DEPTHS, "minInstancesPerNode": [1, 5]}
+RF_TREES = C.NUM_TREES[0]
 
 
 _TRAIN_FRAMES: dict = {}
@@ -1011,7 +1014,7 @@ def q_cv(spark, sf_dir):
     df = _train_frame(spark, sf_dir).where(~F.col("is_test"))
     df = CO.stratified_folds(df, "label", "row_id")
     num, cat = _feature_lists(df)
-    cv = ML.grid_search_cv(df, "label", "fold", parallelism=4, numeric=num, categorical=cat)
+    cv = ML.grid_search_cv(df, "label", "fold", grid=CV_GRID, parallelism=4, numeric=num, categorical=cat)
     rows = []
     for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
         d = {p.name: v for p, v in pm.items()}
@@ -1044,7 +1047,7 @@ def q_save_model(spark, sf_dir):
     from pyspark.ml import PipelineModel
     df = _train_frame(spark, sf_dir)
     num, cat = _feature_lists(df)
-    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", 20, 5, numeric=num, categorical=cat)
+    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", RF_TREES, 6, numeric=num, categorical=cat)
     path = _scratch(spark, "model")
     model.write().overwrite().save(path)
     th_path = _scratch(spark, "thresholds")
@@ -1060,7 +1063,7 @@ def q_upload(spark, sf_dir):
     """Upload CSV (8 columns) -> typed read -> required-column check -> missing model
     features set to 0 -> score -> MembershipID, prediction, confidence."""
     df = _train_frame(spark, sf_dir)
-    model = ML.train_churn_3class(df, "label", 20, 5, numeric=[c for c in ML.MODEL_FEATURES if c in
+    model = ML.train_churn_3class(df, "label", RF_TREES, 6, numeric=[c for c in ML.MODEL_FEATURES if c in
                                                                ("Age", "TotalAttendanceToDate", "ews_pct")],
                                   categorical=["SubCategory", "RegularPayment", "Gender", "risk_band"])
     up = _profile_snapshot(spark, sf_dir).select("MembershipID", "SubCategory", "RegularPayment", "Gender", "Age",
@@ -1089,16 +1092,17 @@ def q_save_metrics(spark, sf_dir):
     """Accuracy, rows and class distribution as a JSON table written and read back."""
     df = _train_frame(spark, sf_dir)
     num, cat = _feature_lists(df)
-    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", 20, 5, numeric=num, categorical=cat)
+    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", RF_TREES, 6, numeric=num, categorical=cat)
     pred = model.transform(df.where(F.col("is_test")))
     rep = RP.classification_report(pred.withColumn("pred", F.col("prediction").cast("int")), "label", "pred")
     dist = RP.class_distribution(df, "Churned").select(F.concat(F.lit("class_"), F.col("Churned").cast("string")).alias("label"),
                                                        F.lit(None).cast("double").alias("precision"),
                                                        F.lit(None).cast("double").alias("recall"),
-                                                       F.col("pct").alias("f1"), F.col("n").alias("support"))
+                                                       F.lit(None).cast("double").alias("f1"),
+                                                       F.col("n").alias("support"), F.col("pct").alias("share"))
     path = _scratch(spark, "metrics")
-    rep.unionByName(dist).write.mode("overwrite").json(path)
-    return spark.read.schema("label string, precision double, recall double, f1 double, support long").json(path)
+    rep.withColumn("share", F.lit(None).cast("double")).unionByName(dist).write.mode("overwrite").json(path)
+    return spark.read.schema("label string, precision double, recall double, f1 double, support long, share double").json(path)
 
 
 @register("job_train")
@@ -1113,17 +1117,18 @@ def q_job_train(spark, sf_dir):
 @register("stream_publish_predictions", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
           f"SELECT RunDate, count(*) AS n FROM ({O.sql_sink_select(AS_OF)}) s GROUP BY RunDate")
 def q_stream_publish(spark, sf_dir):
-    """Stage the prediction table as files, publish it twice through the streaming
-    foreachBatch sink (two micro-batches for the same RunDate), read the sink back."""
+    """Stage the prediction table as files in two halves, publish each through the streaming
+    foreachBatch sink (two micro-batches for the same RunDate), publish the second half once
+    more, read the sink back: every member once."""
     from ..streaming import publish_staged_predictions
     df = _predict_job(spark, sf_dir)
     staged, sink = _scratch(spark, "staged-preds"), _scratch(spark, "published")
     ckpt = _scratch(spark, "stream-ckpt")
-    df.write.mode("append").parquet(staged)
-    publish_staged_predictions(spark, staged, df.schema, sink, ckpt)
-    df.write.mode("append").parquet(staged)
-    publish_staged_predictions(spark, staged, df.schema, sink, ckpt)
-    return SK.read_sink(spark, sink).groupBy("RunDate").agg(F.count(F.lit(1)).alias("n"))
+    second = F.pmod(F.xxhash64("MembershipID"), F.lit(2)) == 1
+    for part in (~second, second, second):
+        df.where(part).write.mode("append").parquet(staged)
+        publish_staged_predictions(spark, staged, df.schema, sink, ckpt)
+    return SK.read_batches(spark, sink).groupBy("RunDate").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- filters, scalar functions, join steps ---------------------------------------------
@@ -1502,9 +1507,23 @@ def q_write_eval(spark, sf_dir):
 register("load_model")(q_save_model)
 
 
+@register("job_predict_model")
+def q_job_predict_model(spark, sf_dir):
+    """The prediction job with a fitted, stored model: train, save model and thresholds,
+    score the newest cohort, publish it and read the sink back."""
+    from .jobs import job_predict, job_train
+    res = job_train(_train_frame(spark, sf_dir))
+    model_path, th_path = _scratch(spark, "model"), _scratch(spark, "thresholds")
+    res["model"].write().overwrite().save(model_path)
+    th = [(int(k), float(v)) for k, v in res["thresholds"].items()]
+    IO.write_parquet(spark.createDataFrame(th, "cls int, threshold double"), th_path)
+    feats = _features_for_predict(spark, sf_dir)
+    return job_predict(feats, AS_OF, model_path, th_path, _scratch(spark, "predictions"))
+
+
 def _campaign_counts_sql():
     sel = " UNION ALL ".join(
-        f"SELECT {O.q(n)} AS query, count(*) AS n FROM ({_campaign_body(n)}) c_{n}" for n in PD.CAMPAIGN_SQL)
+        f"SELECT {O.q(n)} AS query, count(*) AS n FROM ({_campaign_body(n)}) c_{n}" for n in PD.CAMPAIGNS)
     return O.sql_saved_predictions(AS_OF, T0, T1) + sel
 
 
@@ -1520,7 +1539,7 @@ def q_campaigns(spark, sf_dir):
     from ..session import cut_lineage
     saved = cut_lineage(_saved(spark, sf_dir))
     out = None
-    for name in PD.CAMPAIGN_SQL:
+    for name in PD.CAMPAIGNS:
         c = PD.campaign_query(saved, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("query"), "n")
         out = c if out is None else out.unionByName(c)
     return out

@@ -41,9 +41,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-_LOCAL_CKPT: dict = {}
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` (session conf or
     SparkContext); in local mode a scratch folder is created when none is configured."""
@@ -66,10 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     if configured:
         return configured
-    key = id(spark)
-    if key not in _LOCAL_CKPT:
-        _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="churnlens-ckpt-")
-    return _LOCAL_CKPT[key]
+    raise RuntimeError("spark.checkpoint.dir is not set; a remote session needs a shared folder")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -79,6 +79,29 @@ def test_sink_rerun_is_idempotent(spark, snap):
     assert back.count() == 2 * df.count()
 
 
+def test_sink_empty_rerun_and_foreign_date(spark, snap):
+    path = IO.shared_path(spark, "test-sink-" + os.urandom(4).hex())
+    df = snap.select("member_id", "EWS").withColumn("RunDate", F.lit(T).cast("date"))
+    SK.sink_upsert_by_rundate(df, path, T)
+    assert SK.read_sink(spark, path).count() == df.count() > 0
+    with pytest.raises(Exception, match="another RunDate"):
+        SK.sink_upsert_by_rundate(df, IO.shared_path(spark, "test-sink-" + os.urandom(4).hex()), "2000-01-01")
+    SK.sink_upsert_by_rundate(df.where("false"), path, T)
+    assert SK.read_sink(spark, path).count() == 0
+
+
+def test_stream_keeps_a_date_split_over_batches(spark):
+    from churnlens.streaming import publish_staged_predictions
+    root = IO.shared_path(spark, "test-stream-" + os.urandom(4).hex())
+    rows = spark.createDataFrame([(str(i), i) for i in range(20)], "MembershipID string, v int").withColumn(
+        "RunDate", F.lit(T).cast("date"))
+    for part in ("v < 10", "v >= 10", "v >= 10"):
+        rows.where(part).write.mode("append").parquet(f"{root}/staged")
+        publish_staged_predictions(spark, f"{root}/staged", rows.schema, f"{root}/sink")
+    got = SK.read_batches(spark, f"{root}/sink")
+    assert sorted(r["v"] for r in got.collect()) == list(range(20))
+
+
 def test_profile_same_on_dense_and_nonempty_attendance(spark):
     from churnlens.operators import profile as PR
     m = FX.memberships(spark, SMOKE, T)
