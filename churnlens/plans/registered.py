@@ -712,14 +712,16 @@ def q_read_parquet(spark, sf_dir):
     return IO.read_parquet(spark, path)
 
 
-@register("latest_artifact", lambda: O.sql_profile_snapshot(AS_OF) + "SELECT count(*) AS n FROM ps")
+@register("latest_artifact", lambda: O.sql_profile_snapshot(AS_OF) +
+          f"SELECT {O.d(AS_OF)} AS as_of, count(*) AS n FROM ps")
 def q_latest_artifact(spark, sf_dir):
     """Two as_of partitions staged; the newest one is selected by max(as_of)."""
     path = _scratch(spark, "staged")
     prof = _profile_snapshot(spark, sf_dir)
     IO.write_parquet(prof.withColumn("as_of", F.lit("2000-01-01").cast("date")), path, ["as_of"])
     IO.write_parquet(prof.withColumn("as_of", F.lit(AS_OF).cast("date")), path, ["as_of"])
-    return IO.latest_partition(IO.read_parquet(spark, path), "as_of").agg(F.count(F.lit(1)).alias("n"))
+    return IO.latest_partition(IO.read_parquet(spark, path), "as_of").agg(
+        F.max("as_of").alias("as_of"), F.count(F.lit(1)).alias("n"))
 
 
 # --- cohorts, training-set operators -------------------------------------------
