@@ -6,7 +6,8 @@ assignment, a login or client id, a mixed token of 20 or more characters, an end
 Strong ones are always reported. A weak one is reported only when complementary parts
 overlap its scope, the ``SCOPE`` code points around it: a short secret or a token needs an
 access identifier or (short secrets) an endpoint, a login needs a secret, an endpoint
-needs both. Parts may be strong or weak.
+needs both. Parts may be strong or weak, and parts that overlap the candidate count too. A
+weak one that a strong one of the same role overlaps is a part, but not reported again.
 
 The join: parts are reduced to one row for each (document row, bin of SCOPE code points,
 role) with the least start and greatest end, and weak candidates probe the bins of their
@@ -21,6 +22,8 @@ an empty table gives an empty result; columns beyond doc_id and text are not rea
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -51,12 +54,13 @@ _HOST_PORT = re.compile(r"\b\d{1,3}(?:\.\d{1,3}){3}:\d{2,5}\b", re.ASCII)
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _LOGIN_HINTS = ("user", "login", "client_id", "account", "access_key_id")
 
-_SPANS = "array<struct<kind:int,strong:boolean,s:int,e:int>>"
-_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("strong", pa.bool_()), ("s", pa.int32()), ("e", pa.int32())]))
+_SPANS = "array<struct<kind:int,strong:boolean,shown:boolean,s:int,e:int>>"
+_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("strong", pa.bool_()), ("shown", pa.bool_()), ("s", pa.int32()), ("e", pa.int32())]))
 
 
 def candidates(text: str) -> list[dict]:
-    """All candidates of one text; weak ones that a strong one overlaps are left out."""
+    """All candidates of one text; weak ones that a strong one of their role overlaps are
+    not ``shown``: they count as parts only."""
     strong, weak = [], []
     low = text.lower()
     for m in _ASSIGN.finditer(text) if any(h in low for h in _ASSIGN_HINTS) else ():
@@ -73,10 +77,9 @@ def candidates(text: str) -> list[dict]:
         if any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v):
             weak.append((5, *m.span()))
     weak += [(6, *x) for x in _endpoints(text)]
-    if weak and strong:
-        taken = sorted((s, e) for _, s, e in strong)
-        weak = _outside(sorted(weak, key=lambda x: x[1]), taken)
-    return [{"kind": k, "strong": True, "s": s, "e": e} for k, s, e in strong] + [{"kind": k, "strong": False, "s": s, "e": e} for k, s, e in weak]
+    shown = _outside(weak, strong) if weak and strong else [True] * len(weak)
+    return ([{"kind": k, "strong": True, "shown": True, "s": s, "e": e} for k, s, e in strong]
+            + [{"kind": k, "strong": False, "shown": x, "s": s, "e": e} for (k, s, e), x in zip(weak, shown)])
 
 
 def _endpoints(text: str) -> list[tuple[int, int]]:
@@ -91,15 +94,17 @@ def _endpoints(text: str) -> list[tuple[int, int]]:
     return found + [m.span() for m in _HOST_PORT.finditer(text)]
 
 
-def _outside(spans: list[tuple], taken: list[tuple]) -> list[tuple]:
-    """Spans (by start) that no taken one (by start) overlaps, in one pass."""
-    out, i, reach = [], 0, 0
-    for k, s, e in spans:
-        while i < len(taken) and taken[i][0] < e:
-            reach = max(reach, taken[i][1])
-            i += 1
-        if reach <= s:
-            out.append((k, s, e))
+def _outside(weak: list[tuple], strong: list[tuple]) -> list[bool]:
+    """For each weak span whether no strong one of its role overlaps it: of those that start
+    before its end, the greatest end is not beyond its start."""
+    taken = {}
+    for role in {ROLE[KINDS[k]] for k, _, _ in strong}:
+        own = sorted((s, e) for k, s, e in strong if ROLE[KINDS[k]] == role)
+        taken[role] = [s for s, _ in own], [0, *accumulate((e for _, e in own), max)]
+    out = []
+    for k, s, e in weak:
+        starts, reach = taken.get(ROLE[KINDS[k]], ([], [0]))
+        out.append(reach[bisect_left(starts, e)] <= s)
     return out
 
 
@@ -122,7 +127,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     parts = (each.withColumn("role", role)
              .withColumn("bin", F.explode(F.sequence((F.col("s") / scope).cast("int"), ((F.col("e") - 1) / scope).cast("int"))))
              .groupBy("key", "bin", "role").agg(F.min("s").alias("least"), F.max("e").alias("most")))
-    weak = (each.where(~F.col("strong")).select("key", "kind", "s", "e")
+    weak = (each.where(~F.col("strong") & F.col("shown")).select("key", "kind", "s", "e")
             .withColumn("bin", F.explode(F.sequence((F.greatest(F.col("s") - scope, F.lit(0)) / scope).cast("int"), ((F.col("e") + scope - 1) / scope).cast("int")))))
     near = (weak.join(parts, ["key", "bin"]).where((F.col("least") < F.col("e") + scope) & (F.col("most") > F.col("s") - scope))
             .groupBy("key", "kind", "s", "e").agg(F.collect_set("role").alias("roles")))
