@@ -12,13 +12,17 @@ id (a documented bound). Prediction reads every word of every document. The post
 softmax(log prior + ``SHARPNESS`` x mean word weight), so long texts are not
 over-confident.
 
-Fit: minimise 1/2 sum_d ((S_d - T_d) / tokens)^2 over rates r >= 0 from r = 1, with
-accelerated steps scaled by each document's tokens (so equal posteriors keep equal rates)
-and the step 1 / trace of the posteriors' second moment. Rates are recomputed from stored
-state in chains of ``CHAIN`` steps.
+Fit: minimise 1/2 sum_d ((S_d - T_d) / tokens)^2 over rates r >= 0 and, of those that do,
+take the rates next to 1 (weighted by tokens). These are r = max(0, 1 - p . u) with one
+number u_d a domain, so equal posteriors get equal rates, and a step is projected gradient
+from r = 1 with the second moment (domains x domains) of the rows above 0 as metric: S and
+this matrix are one aggregate over stored rows, nothing else is kept. The pull towards 1
+has the weights ``PULL`` in turn, each solved until its gradient is below ``TOLERANCE``, so
+the fit ends at the least squares, whether or not the targets can be reached. A fit that
+needs more than ``PASSES`` aggregates is an error, never a result.
 
 Defined results: a null or empty text has 0 tokens, the prior as posterior and the rate
-that its posterior gets; a null doc_id is kept; repeated rows each get their rate; without
+that its posterior gets, at most the greatest of a row with tokens; a null doc_id is kept; repeated rows each get their rate; without
 any labelled row there is one domain, ``all``; label rows with a null id, or null in every
 class, are not learned from, and a document labelled twice counts once for each label;
 targets of domains that were not learned are left out and the others scaled; an empty
@@ -29,6 +33,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +44,8 @@ BUCKETS = 1 << 14
 SAMPLE = 20_000
 SHARPNESS = 24.0
 MAX_DOMAINS = 32
-ITERATIONS, CHAIN, TOLERANCE = 40, 8, 1e-5
+PASSES, TOLERANCE = 1000, 1e-10
+PULL = (1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8, 1e-9, 1e-10)
 #: Target share of tokens by domain (quality and toxic label), and the tokens to draw as a
 #: multiple of those there are.
 TARGETS = {"q1t0": 0.92, "q1t1": 0.02, "q0t0": 0.05, "q0t1": 0.01}
@@ -110,45 +116,57 @@ def shares(domains: list[str], targets: dict[str, float]) -> list[float]:
 
 
 def fit(post: DataFrame, domains: list[str], targets: dict[str, float], budget: float = BUDGET,
-        iterations: int = ITERATIONS) -> tuple[DataFrame, list[dict]]:
+        iterations: int | None = None) -> tuple[DataFrame, list[dict]]:
     """Stored posteriors -> the same with ``rate``; per domain the tokens there are, the
-    target and what the rates give. Accelerated projected gradient with restarts: S(y) of
-    the extrapolated rates follows from the sums of the last two, so an iteration is one
-    aggregate over stored rows."""
+    target, what the rates give and whether the fit came to its end. It always does unless
+    ``iterations`` bounds the aggregates over the rows."""
     k = range(len(domains))
-    mass = [F.col("n_tokens") * F.col(f"p_{i}") for i in k]
-    first = post.agg(F.sum("n_tokens").alias("n"), *[F.sum(mass[i]).alias(f"s_{i}") for i in k],
-                     *[F.sum(mass[i] * F.col(f"p_{i}")).alias(f"q_{i}") for i in k]).first()
+    pairs = [(i, j) for i in k for j in range(i, len(domains))]
+    first = post.agg(F.sum("n_tokens").alias("n"), *[F.sum(F.col("n_tokens") * F.col(f"p_{i}")).alias(f"s_{i}") for i in k]).first()
     tokens = float(first["n"] or 0)
     if not tokens:
         return post.withColumn("rate", F.lit(1.0)), []
-    have = [first[f"s_{i}"] for i in k]
     goal = [budget * tokens * x for x in shares(domains, targets)]
-    step = tokens / sum(first[f"q_{i}"] for i in k)
-    state = post.withColumn("rate", F.lit(1.0)).withColumn("before", F.lit(1.0))
-    now, last, momentum = have, have, 1.0
-    error = lambda s: sum(((a - b) / tokens) ** 2 for a, b in zip(s, goal))
-    for it in range(iterations):
-        ahead = (1 + math.sqrt(1 + 4 * momentum ** 2)) / 2
-        push = (momentum - 1) / ahead
-        at = [a + push * (a - b) for a, b in zip(now, last)]
-        pull = [step * (a - g) / tokens for a, g in zip(at, goal)]
-        down = sum((F.col(f"p_{i}") * pull[i] for i in k), F.lit(0.0))
-        new = F.greatest(F.lit(0.0), F.col("rate") + push * (F.col("rate") - F.col("before")) - down)
-        moved = state.withColumn("next", new).withColumn("before", F.col("rate")).withColumn("rate", F.col("next")).drop("next")
-        if (it + 1) % CHAIN == 0:
-            moved = cut_lineage(moved)
-        got = moved.agg(*[F.sum(mass[i] * F.col("rate")).alias(f"s_{i}") for i in k]).first()
-        sums = [got[f"s_{i}"] for i in k]
-        if error(sums) > error(now) and momentum > 1:
-            momentum = 1.0  # overshot: start the acceleration anew from here
-        else:
-            momentum = ahead
-        state, last, now = moved, now, sums
-        if math.sqrt(error(now)) < TOLERANCE:
+    t = np.array(goal) / tokens
+    rate = lambda u: F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(f"p_{i}") * float(u[i]) for i in k), F.lit(0.0)))
+
+    def look(u: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Sums of the rates of u, second moment of the rows above 0, greatest rate."""
+        mass = F.col("n_tokens") * F.col("rate")
+        above = F.when(F.col("rate") > 0, F.col("n_tokens")).otherwise(0)
+        got = post.withColumn("rate", rate(u)).agg(
+            *[F.sum(mass * F.col(f"p_{i}")) for i in k], *[F.sum(above * F.col(f"p_{i}") * F.col(f"p_{j}")) for i, j in pairs],
+            F.max(F.when(F.col("n_tokens") > 0, F.col("rate")))).first()
+        second = np.zeros((len(domains), len(domains)))
+        for (i, j), x in zip(pairs, got[len(domains):]):
+            second[i, j] = second[j, i] = x / tokens
+        return np.array(got[:len(domains)]) / tokens, second, got[-1]
+
+    u = np.zeros(len(domains))
+    left = (PASSES if iterations is None else iterations) - 1
+    sums, second, most = look(u)
+    for pull in PULL:
+        gradient = lambda v, s: t - s + pull * v  # noqa: B023, E731
+        down = gradient(u, sums)
+        while np.linalg.norm(down) > TOLERANCE and left > 0:
+            step = -np.linalg.solve(second + pull * np.eye(len(domains)), down)
+            slope, part = -down @ step, 1.0
+            while left > 0:
+                new = u + part * step
+                at, left = look(new), left - 1
+                rise = gradient(new, at[0]) @ step
+                if rise <= 0.1 * slope or np.linalg.norm(gradient(new, at[0])) <= TOLERANCE:
+                    u, (sums, second, most) = new, at
+                    break
+                part *= slope / (slope + rise)  # past the least value along the step: back to where the slope would be 0
+            down = gradient(u, sums)
+        done = bool(np.linalg.norm(down) <= TOLERANCE)
+        if not done or np.linalg.norm(sums - t) <= TOLERANCE:
             break
-    state = cut_lineage(state.drop("before"))
-    return state, [{"domain": d, "tokens": have[i], "target": goal[i], "expected": now[i]} for i, d in enumerate(domains)]
+    if not done and iterations is None:
+        raise RuntimeError(f"mixing: no fit after {PASSES} passes; off by {np.linalg.norm(down):.3g} of all tokens")
+    rated = post.withColumn("rate", F.when(F.col("n_tokens") > 0, rate(u)).otherwise(F.least(rate(u), F.lit(float(most)))))
+    return rated, [{"domain": d, "tokens": first[f"s_{i}"], "target": goal[i], "expected": float(sums[i]) * tokens, "converged": done} for i, d in enumerate(domains)]
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -159,7 +177,7 @@ def copies(rate: Column, key: Column) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET,
-        iterations: int = ITERATIONS) -> tuple[DataFrame, list[str], list[dict]]:
+        iterations: int | None = None) -> tuple[DataFrame, list[str], list[dict]]:
     """Rows (id, key, n_tokens, p_i, rate, copies) of all documents, the domains in the
     order of the p_i, and the fit's totals."""
     two = docs.select("doc_id", "text")
@@ -169,7 +187,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     return rated.withColumn("copies", copies(F.col("rate"), F.col("key"))), domains, totals
 
 
-def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, iterations: int = ITERATIONS) -> DataFrame:
+def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, iterations: int | None = None) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as its rate says, with the columns
     of ``docs``."""
     rated, _, _ = mix(docs, labels, targets, budget, iterations)

@@ -404,6 +404,37 @@ def test_mixing_meets_targets(spark):
     assert likely > 0.8 * right.count()
 
 
+def test_mixing_rare_domains_to_the_end(spark):
+    rng, names = np.random.default_rng(5), sorted(mixing.TARGETS)
+    share = {"q1t0": 0.978, "q1t1": 0.001, "q0t0": 0.02, "q0t1": 0.001}
+    z = rng.choice(4, 4000, p=[share[d] for d in names])
+    n = rng.integers(20, 400, 4000)
+    for noise, side in ((0.5, 6.0), (0.3, 0.5)):  # near-pure posteriors; targets out of reach
+        x = rng.normal(0, noise, (4000, 4))
+        x[np.arange(4000), z] += side
+        p = np.exp(x) / np.exp(x).sum(1, keepdims=True)
+        post = spark.createDataFrame([(i, str(i), int(c), *map(float, r)) for i, (c, r) in enumerate(zip(n, p))],
+                                     "id long, key string, n_tokens long, " + ", ".join(f"p_{i} double" for i in range(4))).repartition(2).cache()
+        rated, totals = mixing.fit(post, names, mixing.TARGETS)
+        expected, goal = (np.array([t[c] for t in totals]) for c in ("expected", "target"))
+        # least squares over rates >= 0: no row pulls the error down, rows above 0 do not move it
+        off = (expected - goal) / n.sum()
+        assert (p @ off).min() > -1e-6 and abs(off @ expected) / n.sum() < 1e-6
+        assert (np.linalg.norm(off) < 1e-6) == (side > 5)
+        if side > 5:
+            assert (abs(expected / goal - 1) < 1e-3).all() and np.allclose(goal.sum(), 1.25 * n.sum())
+        rows = rated.toPandas()
+        assert (rows.rate >= 0).all() and np.allclose((rows.rate * rows.n_tokens).to_numpy() @ rows[[f"p_{i}" for i in range(4)]].to_numpy(), expected, rtol=1e-6)
+        assert all(t["converged"] for t in totals) and not mixing.fit(post, names, mixing.TARGETS, iterations=2)[1][0]["converged"]
+
+
+def test_mixing_unfinished_fit_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PASSES", 2)
+    post = spark.createDataFrame([(1, "a", 90, 0.9, 0.1), (2, "b", 10, 0.2, 0.8)], "id long, key string, n_tokens long, p_0 double, p_1 double")
+    with pytest.raises(RuntimeError, match="no fit"):
+        mixing.fit(post, ["x", "y"], {"x": 0.3, "y": 0.7})
+
+
 def test_mixing_odd(spark, odd, none, clash):
     labels = spark.createDataFrame([(1, 1, 0), (6, 1, 0), (8, 0, 1), (None, 1, 1), (9, None, None), (9, 0, 0)], "doc_id long, quality int, toxic int")
     out, domains, _ = mixing.mix(odd, labels, iterations=3)
