@@ -914,10 +914,6 @@ def q_standardize(spark, sf_dir):
 
 # --- model training / scoring (rows-only: results depend on the learner) -------------
 
-#: Below the defaults of ``train_ews`` and ``grid_search_cv`` (500 iterations, 400 and 500
-#: trees): these two registered queries show the operators, a training run takes the defaults.
-EWS_ITERS = 20
-CV_GRID = {"numTrees": [20, 40], "maxDepth": C.MAX_DEPTHS, "minInstancesPerNode": [1, 5]}
 RF_TREES = C.NUM_TREES[0]
 
 
@@ -954,7 +950,7 @@ def _ews_model(spark, sf_dir):
     """The EWS model and its holdout rows, trained once per session and folder."""
     key = (id(spark), sf_dir)
     if key not in _EWS_MODELS:
-        _EWS_MODELS[key] = ML.train_ews(_ews_ds(spark, sf_dir), max_iter=EWS_ITERS)
+        _EWS_MODELS[key] = ML.train_ews(_ews_ds(spark, sf_dir))
     return _EWS_MODELS[key]
 
 
@@ -1016,7 +1012,7 @@ def q_cv(spark, sf_dir):
     df = _train_frame(spark, sf_dir).where(~F.col("is_test"))
     df = CO.stratified_folds(df, "label", "row_id")
     num, cat = _feature_lists(df)
-    cv = ML.grid_search_cv(df, "label", "fold", grid=CV_GRID, parallelism=4, numeric=num, categorical=cat)
+    cv = ML.grid_search_cv(df, "label", "fold", parallelism=4, numeric=num, categorical=cat)
     rows = []
     for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
         d = {p.name: v for p, v in pm.items()}
