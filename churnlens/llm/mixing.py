@@ -45,7 +45,7 @@ SAMPLE = 20_000
 SHARPNESS = 24.0
 MAX_DOMAINS = 32
 PASSES, TOLERANCE = 1000, 1e-10
-PULL = (1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8, 1e-9, 1e-10)
+PULL = (1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8)
 #: Target share of tokens by domain (quality and toxic label), and the tokens to draw as a
 #: multiple of those there are.
 TARGETS = {"q1t0": 0.92, "q1t1": 0.02, "q0t0": 0.05, "q0t1": 0.01}
