@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_text, language, mixing, pieces, quality, secrets, sharding, simhash, substring_dedup, url_filter, vector_codes
+from . import conversations, exact_dedup, html_text, language, mixing, pieces, quality, secrets, sharding, simhash, substring_dedup, url_filter, vector_codes
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_mixing": mixing.op10_mixing,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_html_extraction": html_text.op13_html_extraction,
 }
 ORACLE = {
