@@ -87,3 +87,5 @@ SEED = 42
 EWS_ITERATIONS = 500
 NUM_TREES = [400, 500]
 MAX_DEPTHS = [5, 6]
+LEARNING_RATES = [0.05, 0.1]
+ROW_SHARE, COLUMN_SHARE = 0.8, 0.8

@@ -2,12 +2,11 @@
 
 * EWS model: binary ``GBTClassifier`` on the weekly feature panel, class weight
   max(1, neg/pos) as ``weightCol``, group (member) hash split for the holdout.
-* Churn model: 3-class ``RandomForestClassifier`` (MLlib's GBT is binary-only) with
-  class weights, inside a ``Pipeline`` whose preprocessing is exact median / mode
-  imputation (``SQLTransformer`` stages with values computed by Spark aggregates),
-  scaling, and one-hot encoding with unseen categories mapped to all zeros.
-* ``grid_search_cv``: ``CrossValidator`` over a 2x2x2 grid with a stratified
-  ``foldCol`` and weighted F1.
+* Churn model: 3-class booster (``stages.ClassBooster``) with class weights, inside a
+  ``Pipeline`` whose preprocessing is exact median / mode imputation, scaling, and one-hot
+  encoding, all fitted with the pipeline; unseen categories become all zeros.
+* ``grid_search_cv``: ``CrossValidator`` of a forest over a 2x2x2 grid with a stratified
+  ``foldCol`` and weighted F1; ``search.booster_search`` is that of the booster.
 Fitting runs Spark jobs; inputs are checkpointed first so the repeated passes of
 tree training and CV read a materialised, lineage-free table.
 """
@@ -17,7 +16,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -27,6 +26,8 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 from .. import config as C
 from ..session import cut_lineage
 from . import cohorts
+from .ranking import exact_quantiles_many
+from .stages import CategoryIndexer, ClassBooster, ClassBoosterModel, MedianModeImputer, modes, q  # noqa: F401
 from .weekly import EWS_FEATURES
 
 # Columns removed before training (leakage, pause, covid, weak, ids).
@@ -44,10 +45,6 @@ MODEL_FEATURES = ["Gender", "Age", "SubCategory", "Category", "Channel", "ClubNa
                   "EndedWithinCoolingPeriod", "ews_pct", "risk_band"]
 
 
-def q(c: str) -> str:
-    return f"`{c}`"
-
-
 def drop_columns_if_present(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     names = LEAKAGE_COLUMNS + PAUSE_COLUMNS + COVID_COLUMNS + WEAK_COLUMNS + ID_COLUMNS + (extra or [])
     return df.drop(*[c for c in names if c in df.columns])
@@ -76,45 +73,16 @@ def select_features(df: DataFrame, exclude: list[str] = ()) -> tuple[list[str],
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """Exact medians (linear interpolation, as pandas/numpy), each from distributed
-    prefix counts (no single-task map of distinct values). Callers pass a
-    materialised frame; one small job per column."""
-    from .ranking import exact_quantiles
-    out = {}
-    for c in cols:
-        m = exact_quantiles(df.select(F.col(q(c)).cast("double").alias("_x")), "_x", [0.5])[0]
-        out[c] = m if m is not None else 0.0
-    return out
-
-
-def modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
-    """Most frequent non-NULL value per column (ties -> smallest value), all columns in
-    one job: (column, value) pairs are counted with partial aggregation, then each
-    column keeps min(struct(-count, value)) — again a partial aggregate, so a column with
-    millions of distinct values never sits in one task."""
-    if not cols:
-        return {}
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(q(c)).cast("string").alias("val"))
-                                          for c in cols])).alias("p")).select("p.*").where(F.col("val").isNotNull())
-    cnt = pairs.groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
-    top = cnt.groupBy("col").agg(F.min(F.struct((-F.col("n")).alias("nn"), F.col("val").alias("v"))).alias("m")).collect()
-    return {r["col"]: r["m"]["v"] for r in top}
-
-
-def imputer_stage(values: dict, numeric: bool) -> SQLTransformer:
-    sets = []
-    for c, v in values.items():
-        lit = repr(float(v)) if numeric else "'" + str(v).replace("'", "''") + "'"
-        sets.append(f"coalesce({q(c)}, {lit}) AS {q('__imp_' + c)}")
-    stmt = "SELECT *" + ("".join(", " + s for s in sets)) + " FROM __THIS__"
-    return SQLTransformer(statement=stmt)
+    """Exact medians (linear interpolation, as pandas/numpy) of all columns from one pass of
+    distributed prefix counts (no single-task map of distinct values)."""
+    return {c: v[0] if v[0] is not None else 0.0 for c, v in exact_quantiles_many(df, cols, [0.5]).items()}
 
 
 def preprocess_stages(df: DataFrame, numeric: list[str], categorical: list[str], scale: bool = True) -> list:
-    """impute(median) -> assemble -> scale  ||  impute(mode) -> index -> one-hot; others dropped."""
-    med, mod = exact_medians(df.select(*[F.col(q(c)) for c in numeric]), numeric), modes(df, categorical)
-    stages = [imputer_stage({c: med.get(c, 0.0) for c in numeric}, True),
-              imputer_stage({c: mod.get(c, "") for c in categorical}, False)]
+    """impute(median) -> assemble -> scale  ||  impute(mode) -> index -> one-hot; others
+    dropped. Nothing is fitted here: each stage learns from the rows its pipeline is fitted
+    on, in cross-validation those of the fold's training part."""
+    stages = [MedianModeImputer(numericCols=numeric, categoricalCols=categorical)]
     num_in = [f"__imp_{c}" for c in numeric]
     stages.append(VectorAssembler(inputCols=num_in, outputCol="__num", handleInvalid="keep"))
     if scale:
@@ -123,9 +91,8 @@ def preprocess_stages(df: DataFrame, numeric: list[str], categorical: list[str],
     idx_out = [f"__idx_{c}" for c in categorical]
     oh_out = [f"__oh_{c}" for c in categorical]
     if categorical:
-        stages.append(StringIndexer(inputCols=[f"__imp_{c}" for c in categorical], outputCols=idx_out,
-                                    handleInvalid="keep", stringOrderType="frequencyDesc"))
-        # the indexer's extra "unseen" index is the last one, which dropLast removes: all zeros
+        stages.append(CategoryIndexer(inputCols=[f"__imp_{c}" for c in categorical], outputCols=idx_out))
+        # the indexer's "unseen" index is the last one, which dropLast removes: all zeros
         stages.append(OneHotEncoder(inputCols=idx_out, outputCols=oh_out, dropLast=True))
     stages.append(VectorAssembler(inputCols=["__num_s" if scale else "__num"] + oh_out, outputCol="features"))
     return stages
@@ -138,14 +105,31 @@ def class_weight_col(label: str, weights: dict = C.CLASS_WEIGHTS) -> F.Column:
     return expr.otherwise(F.lit(1.0))
 
 
+def _features_of(df: DataFrame, label: str, numeric, categorical, *more: str) -> tuple[list[str], list[str]]:
+    if numeric is not None and categorical is not None:
+        return numeric, categorical
+    return select_features(drop_columns_if_present(df), exclude=[label, "w", "Churned", "fold", "is_test", "cohort", "y", *more])
+
+
 def train_churn_3class(df: DataFrame, label: str = "label", num_trees: int = C.NUM_TREES[0], max_depth: int = C.MAX_DEPTHS[1],
-                       seed: int = C.SEED, numeric=None, categorical=None) -> PipelineModel:
+                       seed: int = C.SEED, numeric=None, categorical=None, learning_rate: float = C.LEARNING_RATES[0]) -> PipelineModel:
+    """Preprocessing and the 3-class booster, fitted on all rows of ``df``."""
+    numeric, categorical = _features_of(df, label, numeric, categorical)
+    data = df.withColumn("w", class_weight_col(label))
+    pre = Pipeline(stages=preprocess_stages(data, numeric, categorical)).fit(data)
+    # the rounds read the assembled features from a stored table, not the preprocessing again
+    ready = cut_lineage(pre.transform(data).select(label, "w", "features"))
+    booster = ClassBooster(labelCol=label, numTrees=num_trees, maxDepth=max_depth, learningRate=learning_rate, seed=seed).fit(ready)
+    return PipelineModel([*pre.stages, booster])
+
+
+def train_forest(df: DataFrame, label: str = "label", num_trees: int = C.NUM_TREES[0], max_depth: int = C.MAX_DEPTHS[1],
+                 seed: int = C.SEED, numeric=None, categorical=None) -> PipelineModel:
+    """Preprocessing and a random forest with class weights."""
+    numeric, categorical = _features_of(df, label, numeric, categorical)
     data = df.withColumn("w", class_weight_col(label))
-    if numeric is None or categorical is None:
-        numeric, categorical = select_features(drop_columns_if_present(df), exclude=[label, "w", "Churned", "fold",
-                                                                                     "is_test", "cohort", "y"])
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="w", numTrees=num_trees,
-                                maxDepth=max_depth, subsamplingRate=0.8, featureSubsetStrategy="sqrt", seed=seed)
+                                maxDepth=max_depth, subsamplingRate=C.ROW_SHARE, featureSubsetStrategy="sqrt", seed=seed)
     return Pipeline(stages=preprocess_stages(data, numeric, categorical) + [rf]).fit(data)
 
 
@@ -171,6 +155,7 @@ def grid_search_cv(df: DataFrame, label: str = "label", fold_col: str = "fold",
 
 
 def train_logistic(df: DataFrame, label: str = "label", numeric=None, categorical=None) -> PipelineModel:
+    numeric, categorical = _features_of(df, label, numeric, categorical)
     data = df.withColumn("w", class_weight_col(label))
     lr = LogisticRegression(labelCol=label, featuresCol="features", weightCol="w", family="multinomial", maxIter=50)
     return Pipeline(stages=preprocess_stages(data, numeric, categorical) + [lr]).fit(data)
@@ -192,7 +177,7 @@ def top_features(model: PipelineModel, data: DataFrame, k: int = 5) -> DataFrame
     tree = model.stages[-1]
     meta = model.transform(data.limit(1)).schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     names = {a["idx"]: a["name"] for group in meta.values() for a in group}
-    imp = tree.featureImportances.toArray().tolist()
+    imp = tree.importances if isinstance(tree, ClassBoosterModel) else tree.featureImportances.toArray().tolist()
     rows = [(names.get(i, str(i)), float(v)) for i, v in enumerate(imp)]
     spark = data.sparkSession
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc()).limit(k)

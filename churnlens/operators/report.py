@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def class_distribution(df: DataFrame, col: str) -> DataFrame:
     """count and % share per value (the share uses a total over the grouped rows,
@@ -75,3 +77,37 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def prediction_distribution(df: DataFrame, pred: str = "PredictedClass") -> DataFrame:
     return class_distribution(df, pred)
+
+
+def metrics_document(pairs: DataFrame, y: str = "y", pred: str = "pred", train_rows: int | None = None, classes=(0, 1, 2)) -> DataFrame:
+    """One row: accuracy, balanced accuracy, tested and training rows, the share of every
+    true class, the confusion counts, the report by label and the same report as text. All
+    of it follows from the confusion counts (at most classes^2 rows, read once)."""
+    counts = cut_lineage(confusion_counts(pairs, y, pred))
+    rep = classification_report(pairs, y, pred, classes, counts=counts)
+    total = F.sum("n").over(Window.partitionBy())
+    shares = counts.groupBy("y").agg(F.sum("n").alias("n")).select(F.struct(F.col("y").alias("label"), F.col("n").alias("rows"), (F.col("n") / total).alias("share")).alias("s"))
+    number = lambda c: F.format_string("%10s", F.coalesce(F.format_number(c, 4), F.lit("")))
+    order = {**{str(c): i for i, c in enumerate(classes)}, "accuracy": 100, "macro avg": 101, "weighted avg": 102}
+    place = F.create_map(*[F.lit(x) for kv in order.items() for x in kv])[F.col("label")]
+    line = F.concat(F.format_string("%14s", "label"), number("precision"), number("recall"), number("f1"), F.format_string("%10d", "support"))
+    head = "".join([" " * 14, *[f"{x:>10}" for x in ("precision", "recall", "f1", "support")]])
+    one = rep.agg(F.max(F.when(F.col("label") == "accuracy", F.col("f1"))).alias("accuracy"),
+                  F.avg(F.when(F.col("label").isin([str(c) for c in classes]), F.col("recall"))).alias("balanced_accuracy"),
+                  F.max(F.when(F.col("label") == "accuracy", F.col("support"))).alias("test_rows"),
+                  F.array_sort(F.collect_list(F.struct(place.alias("place"), "label", "precision", "recall", "f1", "support"))).alias("report"),
+                  F.array_sort(F.collect_list(F.struct(place.alias("place"), line.alias("line")))).alias("lines"))
+    text = F.array_join(F.concat(F.array(F.lit(head)), F.transform("lines", lambda x: x["line"])), "\n")
+    # three tables of one row each
+    return (one.withColumn("_k", F.lit(1))
+            .join(shares.agg(F.array_sort(F.collect_list("s")).alias("classes")).withColumn("_k", F.lit(1)), "_k")
+            .join(counts.agg(F.array_sort(F.collect_list(F.struct("y", "pred", "n"))).alias("confusion")).withColumn("_k", F.lit(1)), "_k")
+            .select("accuracy", "balanced_accuracy", F.lit(train_rows).cast("long").alias("train_rows"), "test_rows", "classes", "confusion",
+                    F.transform("report", lambda x: x.dropFields("place")).alias("report"), text.alias("text")))
+
+
+def save_metrics(document: DataFrame, path: str) -> None:
+    """The document as JSON below ``path``/metrics and its text below ``path``/report."""
+    stored = cut_lineage(document)
+    stored.drop("text").coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
+    stored.select("text").coalesce(1).write.mode("overwrite").text(f"{path}/report")

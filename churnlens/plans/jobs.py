@@ -102,22 +102,30 @@ def job_predict(features: DataFrame, run_date, model_path: str, thresholds_path:
     return SK.read_sink(spark, sink).where(F.col("RunDate") == F.lit(str(run_date)).cast("date"))
 
 
-def job_train(frame: DataFrame, label: str = "label", num_trees: int = C.NUM_TREES[0],
-              max_depth: int = C.MAX_DEPTHS[1], tune_classes=(0, 1), **tune) -> dict:
-    """Train on the non-test rows, tune thresholds on a validation slice of the training
-    rows (not on the test split), report on the test split before and after."""
+def job_train(frame: DataFrame, label: str = "label", grid: dict | None = None, folds: int = 5, tune_classes=(0, 1),
+              parallelism: int = 4, **tune) -> dict:
+    """Search, refit, tune and report.
+
+    The non-test rows are split into fitting and validation rows. The booster's grid (trees,
+    depth, learning rate) is searched over stratified folds of the fitting rows, with the
+    preprocessing fitted inside each fold, and the best point is fitted again on all of
+    them; class thresholds are tuned on the validation rows (not on the test split); reports
+    are of the test split, before and after the thresholds."""
     from ..operators import cohorts as CO
     from ..operators import ml as ML
     from ..operators import report as RP
+    from ..operators import search as SE
     from ..operators import thresholds as TH
     X = ML.drop_columns_if_present(frame.drop("Churned", label, "is_test", "cohort", "row_id", "fold", "w"))
     num, cat = ML.select_features(X)
+    id_col = "row_id" if "row_id" in frame.columns else "MembershipID"
     train_all = frame.where(~F.col("is_test"))
     test = frame.where(F.col("is_test"))
-    split = CO.hash_split(train_all, F.col("row_id") if "row_id" in frame.columns else F.col("MembershipID"),
-                          20, seed=C.SEED + 1, out="is_val")
+    split = CO.hash_split(train_all, F.col(id_col), 20, seed=C.SEED + 1, out="is_val")
     fit, val = split.where(~F.col("is_val")).drop("is_val"), split.where(F.col("is_val")).drop("is_val")
-    model = ML.train_churn_3class(fit, label, num_trees, max_depth, numeric=num, categorical=cat)
+    found = SE.booster_search(CO.stratified_folds(fit.drop("fold"), label, id_col, folds), label, "fold", grid, parallelism,
+                              numeric=num, categorical=cat)
+    model = found["model"]
     opts = dict(metric="recall", min_recall=0.65, min_precision=0.50)
     opts.update(tune)
     th = TH.thresholds_to_dict(TH.threshold_search(ML.class_probabilities(model, val), label, classes=tune_classes, **opts))
@@ -125,11 +133,25 @@ def job_train(frame: DataFrame, label: str = "label", num_trees: int = C.NUM_TRE
     p = [F.col("p0"), F.col("p1"), F.col("p2")]
     pairs = pr.select(F.col(label).alias("y"), TH.argmax_class(p).alias("pred_before"),
                       TH.apply_thresholds(p, th).alias("pred"))
-    return {"model": model, "thresholds": th, "report": RP.classification_report(pairs, "y", "pred"),
+    return {"model": model, "best": found["best"], "results": found["results"], "thresholds": th, "pairs": pairs,
+            "report": RP.classification_report(pairs, "y", "pred"),
             "report_before": RP.classification_report(pairs, "y", "pred_before"),
             "confusion": RP.confusion_matrix(pairs, "y", "pred")}
 
 
+def store_training(res: dict, path: str) -> None:
+    """What ``job_train`` found, below ``path``: model, thresholds, results (the search's
+    table) and the metrics document."""
+    from ..operators import report as RP
+    from ..sources.io import write_parquet
+    spark = res["results"].sparkSession
+    res["model"].write().overwrite().save(f"{path}/model")
+    th = [(int(k), float(v)) for k, v in res["thresholds"].items()]
+    write_parquet(spark.createDataFrame(th, "cls int, threshold double"), f"{path}/thresholds")
+    write_parquet(res["results"], f"{path}/results")
+    RP.save_metrics(RP.metrics_document(res["pairs"]), path)
+
+
 def job_merge_balanced(cohorts: dict, keep_classes=(1, 2), sample_class: int = 3,
                        sample_n: int = C.CLASS3_SAMPLE, id_col: str = "MembershipID") -> DataFrame:
     """Union of yearly cohorts: every cohort keeps ``keep_classes``; the last one also

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import config as C
 
 from ..operators import weekly as WK
 from ..sources import fixtures as FX
+from ..sources import typed as TY
 from . import oracle as O
 from .registry import AS_OF, att_year, members, register
 
@@ -16,12 +18,36 @@ from .registry import AS_OF, att_year, members, register
 
 @register("scan_memberships", lambda: f"SELECT * FROM ({O.sql_memberships(AS_OF)}) m")
 def q_scan_memberships(spark, sf_dir):
-    return FX.memberships(spark, sf_dir, AS_OF)
+    return TY.typed(FX.memberships(spark, sf_dir, AS_OF), TY.MEMBERSHIPS).good
 
 
 @register("scan_attendance", lambda: f"SELECT * FROM ({O.sql_attendance(O.prev_year(AS_OF), AS_OF)}) a")
 def q_scan_attendance(spark, sf_dir):
-    return att_year(spark, sf_dir)
+    return TY.typed(att_year(spark, sf_dir), TY.ATTENDANCE).good
+
+
+def _scan_rejects_sql():
+    n = "CAST(substr(trim(MembershipID), 2) AS BIGINT)"
+    m = f"({O.sql_memberships(AS_OF)}) m"
+    return (f"SELECT 'End Date' AS field, count(*) AS n FROM {m} WHERE {n} % 7 = 0 UNION ALL "
+            f"SELECT 'RegularPayment', count(*) FROM {m} WHERE {n} % 11 = 0 UNION ALL "
+            f"SELECT '<good>', count(*) FROM {m} WHERE {n} % 7 <> 0 AND {n} % 11 <> 0")
+
+
+@register("scan_rejects", _scan_rejects_sql)
+def q_scan_rejects(spark, sf_dir):
+    """Memberships from a CSV file in which some dates and numbers are no such thing: good
+    rows, and rejected rows by field."""
+    from ..sources import io as IO
+    rows = FX.memberships(spark, sf_dir, AS_OF)
+    n = F.substring(F.trim("MembershipID"), 2, 20).cast("long")
+    rows = rows.withColumns({"End Date": F.when(n % 7 == 0, "2001-31-12").otherwise(F.col("End Date").cast("string")),
+                             "RegularPayment": F.when(n % 11 == 0, "n/a").otherwise(F.col("RegularPayment").cast("string"))})
+    path = _scratch(spark, "memberships-csv")
+    IO.write_csv(rows, path)
+    scan = TY.scan_csv(spark, path, TY.MEMBERSHIPS)
+    rejects = scan.rejects.select(F.explode("fields").alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+    return rejects.unionByName(scan.good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("<good>").alias("field"), "n"))
 
 
 # --- weekly panel ------------------------------------------------------------
@@ -669,10 +695,8 @@ def q_sink(spark, sf_dir):
           f"SELECT count(*) AS inserted, count(*) AS total, CAST(0 AS BIGINT) AS failed, 38 AS columns "
           f"FROM ({O.sql_sink_select(AS_OF)}) s")
 def q_insert_summary(spark, sf_dir):
-    path = _scratch(spark, "predictions")
-    df = _predict_job(spark, sf_dir)
-    SK.sink_upsert_by_rundate(df, path)
-    return SK.insert_summary(df, SK.read_sink(spark, path), AS_OF)
+    """Counts of a publish, observed while it writes."""
+    return SK.publish(_predict_job(spark, sf_dir), _scratch(spark, "predictions"), AS_OF)
 
 
 _SNAP_CSV_SCHEMA = "member_id string, week date, risk_band string"
@@ -680,10 +704,10 @@ _SNAP_CSV_SCHEMA = "member_id string, week date, risk_band string"
 
 @register("read_csv_typed", lambda: O.sql_snapshot(AS_OF, relabel=True) + "SELECT member_id, week, risk_band FROM snap")
 def q_read_csv(spark, sf_dir):
-    """Snapshot written as CSV (header) and read back with an explicit schema."""
+    """Snapshot written as CSV (header) and scanned with a declared schema."""
     path = _scratch(spark, "snapshot-csv")
     IO.write_csv(_snapshot(spark, sf_dir, relabel=True).select("member_id", "week", "risk_band"), path)
-    return IO.read_csv_typed(spark, path, _SNAP_CSV_SCHEMA)
+    return TY.scan_csv(spark, path, StructType.fromDDL(_SNAP_CSV_SCHEMA)).good
 
 
 @register("write_csv_predictions", lambda: O.sql_saved_predictions(AS_OF, T0, T1) +
@@ -715,13 +739,12 @@ def q_read_parquet(spark, sf_dir):
 @register("latest_artifact", lambda: O.sql_profile_snapshot(AS_OF) +
           f"SELECT {O.d(AS_OF)} AS as_of, count(*) AS n FROM ps")
 def q_latest_artifact(spark, sf_dir):
-    """Two as_of partitions staged; the newest one is selected by max(as_of)."""
+    """Two staged cohorts; the one written last is found by file time and read alone."""
     path = _scratch(spark, "staged")
     prof = _profile_snapshot(spark, sf_dir)
-    IO.write_parquet(prof.withColumn("as_of", F.lit("2000-01-01").cast("date")), path, ["as_of"])
+    IO.write_parquet(prof.select("MembershipID").withColumn("as_of", F.lit("2002-01-01").cast("date")), path, ["as_of"])
     IO.write_parquet(prof.withColumn("as_of", F.lit(AS_OF).cast("date")), path, ["as_of"])
-    return IO.latest_partition(IO.read_parquet(spark, path), "as_of").agg(
-        F.max("as_of").alias("as_of"), F.count(F.lit(1)).alias("n"))
+    return IO.read_latest(spark, path).agg(F.max("as_of").alias("as_of"), F.count(F.lit(1)).alias("n"))
 
 
 # --- cohorts, training-set operators -------------------------------------------
@@ -1020,59 +1043,88 @@ def q_cv(spark, sf_dir):
     return spark.createDataFrame(rows, "numTrees int, maxDepth int, minInstancesPerNode int, cv_weighted_f1 double")
 
 
+#: Boosting rounds of the registered search. Its full grid has 400 and 500 (the default of
+#: ``search.booster_search`` and ``jobs.job_train``); README has the measured times.
+SEARCH_GRID = {"numTrees": [8, 10], "maxDepth": C.MAX_DEPTHS, "learningRate": C.LEARNING_RATES}
+
+_TRAINED: dict = {}
+
+
+def _train_and_store(spark, sf_dir) -> tuple[dict, str]:
+    """The training job, with what it found stored in the shared folder."""
+    from .jobs import job_train, store_training
+    res, path = job_train(_train_frame(spark, sf_dir), grid=SEARCH_GRID), _scratch(spark, "training")
+    store_training(res, path)
+    _TRAINED[id(spark), sf_dir] = path
+    return res, path
+
+
+def _stored_training(spark, sf_dir) -> str:
+    """Folder of the newest stored training of these tables; trains if there is none."""
+    return _TRAINED.get((id(spark), sf_dir)) or _train_and_store(spark, sf_dir)[1]
+
+
+def _stored_model(spark, sf_dir):
+    from pyspark.ml import PipelineModel
+    path = _stored_training(spark, sf_dir)
+    return PipelineModel.load(f"{path}/model"), TH.thresholds_to_dict(IO.read_parquet(spark, f"{path}/thresholds"))
+
+
+@register("job_train")
+def q_job_train(spark, sf_dir):
+    """Search, refit, thresholds and report; everything found is stored."""
+    return _train_and_store(spark, sf_dir)[0]["report"]
+
+
+@register("booster_search")
+def q_booster_search(spark, sf_dir):
+    """The stored results table of the training job's search, with the winner marked by the
+    parameters of the stored model."""
+    path = _stored_training(spark, sf_dir)
+    booster = _stored_model(spark, sf_dir)[0].stages[-1]
+    same = F.lit(True)
+    for name in SEARCH_GRID:
+        same = same & (F.col(name) == F.lit(booster.getOrDefault(booster.getParam(name))))
+    return IO.read_parquet(spark, f"{path}/results").select(*SEARCH_GRID, "cv_weighted_f1", same.alias("is_stored_model"))
+
+
 @register("model_selection")
 def q_model_selection(spark, sf_dir):
+    """Test scores of the search's winner, a forest and a logistic model; the best is marked."""
     df = _train_frame(spark, sf_dir)
     num, cat = _feature_lists(df)
     train, test = df.where(~F.col("is_test")), df.where(F.col("is_test"))
-    cands = {"random_forest": ML.train_churn_3class(train, "label", RF_TREES, 6, numeric=num, categorical=cat),
+    cands = {"booster": _stored_model(spark, sf_dir)[0],
+             "random_forest": ML.train_forest(train, "label", RF_TREES, 6, numeric=num, categorical=cat),
              "logistic": ML.train_logistic(train, "label", numeric=num, categorical=cat)}
-    res = spark.createDataFrame([(k, float(ML.weighted_f1(m.transform(test), "label"))) for k, m in cands.items()],
-                                "model string, test_weighted_f1 double")
-    return res.orderBy(F.col("test_weighted_f1").desc(), "model").limit(1)
+    scores = {k: float(ML.weighted_f1(m.transform(test), "label")) for k, m in cands.items()}
+    best = min(scores, key=lambda k: (-scores[k], k))
+    return spark.createDataFrame([(k, v, k == best) for k, v in scores.items()], "model string, test_weighted_f1 double, is_best boolean")
 
 
 @register("top_features")
 def q_top_features(spark, sf_dir):
-    df = _train_frame(spark, sf_dir)
-    num, cat = _feature_lists(df)
-    model = ML.train_churn_3class(df, "label", RF_TREES, 6, numeric=num, categorical=cat)
-    return ML.top_features(model, df, 5)
+    return ML.top_features(_stored_model(spark, sf_dir)[0], _train_frame(spark, sf_dir), 5)
 
 
 @register("save_model")
 def q_save_model(spark, sf_dir):
-    from pyspark.ml import PipelineModel
+    """Train, store model and thresholds, and score the test rows with what was stored."""
     df = _train_frame(spark, sf_dir)
-    num, cat = _feature_lists(df)
-    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", RF_TREES, 6, numeric=num, categorical=cat)
-    path = _scratch(spark, "model")
-    model.write().overwrite().save(path)
-    th_path = _scratch(spark, "thresholds")
-    IO.write_parquet(TH.threshold_search(ML.class_probabilities(model, df.where(F.col("is_test"))), "label", **TUNE), th_path)
-    back = PipelineModel.load(path)
-    th = TH.thresholds_to_dict(IO.read_parquet(spark, th_path))
-    pr = ML.class_probabilities(back, df.where(F.col("is_test")))
-    return PD.predictions_frame(pr, th)
+    _train_and_store(spark, sf_dir)
+    model, th = _stored_model(spark, sf_dir)
+    return PD.predictions_frame(ML.class_probabilities(model, df.where(F.col("is_test"))), th)
 
 
 @register("batch_score_upload")
 def q_upload(spark, sf_dir):
-    """Upload CSV (8 columns) -> typed read -> required-column check -> missing model
-    features set to 0 -> score -> MembershipID, prediction, confidence."""
-    df = _train_frame(spark, sf_dir)
-    model = ML.train_churn_3class(df, "label", RF_TREES, 6, numeric=[c for c in ML.MODEL_FEATURES if c in
-                                                               ("Age", "TotalAttendanceToDate", "ews_pct")],
-                                  categorical=["SubCategory", "RegularPayment", "Gender", "risk_band"])
-    up = _profile_snapshot(spark, sf_dir).select("MembershipID", "SubCategory", "RegularPayment", "Gender", "Age",
-                                                  F.col("TotalAttendanceToDate").alias("TotalAttendance"), "ews_pct",
-                                                  "risk_band")
-    path = _scratch(spark, "upload")
-    IO.write_csv(up, path)
-    schema = ("MembershipID string, SubCategory string, RegularPayment string, Gender string, Age int, "
-              "TotalAttendance long, ews_pct double, risk_band string")
-    got = IO.require_columns(IO.read_csv_typed(spark, path, schema), ["MembershipID", "Gender", "Age", "ews_pct"])
-    got = ML.ensure_columns(got.withColumn("TotalAttendanceToDate", F.col("TotalAttendance")))
+    """Upload CSV (8 columns) -> typed read -> required-column check -> missing features of
+    the stored model set to 0 -> score with it -> MembershipID, prediction, confidence."""
+    model, _ = _stored_model(spark, sf_dir)
+    got = IO.require_columns(_upload(spark, sf_dir), ["MembershipID", "Gender", "Age", "ews_pct"])
+    got = got.withColumn("TotalAttendanceToDate", F.col("TotalAttendance"))
+    filled = model.stages[0]
+    got = ML.ensure_columns(got, filled.getOrDefault(filled.numericCols) + filled.getOrDefault(filled.categoricalCols))
     pr = ML.class_probabilities(model, got)
     return pr.select("MembershipID", F.col("prediction").cast("int").alias("prediction"),
                      PD.confidence([F.col("p0"), F.col("p1"), F.col("p2")]).alias("confidence"))
@@ -1080,34 +1132,27 @@ def q_upload(spark, sf_dir):
 
 @register("select_features")
 def q_select_features(spark, sf_dir):
-    num, cat = _feature_lists(_train_frame(spark, sf_dir))
-    return spark.createDataFrame([(c, "numeric") for c in num] + [(c, "categorical") for c in cat],
-                                 "feature string, kind string")
-
-
-@register("save_metrics")
-def q_save_metrics(spark, sf_dir):
-    """Accuracy, rows and class distribution as a JSON table written and read back."""
+    """The model's features by kind, with how many rows hold a value and how many distinct
+    values there are: one that never varies is of no use."""
     df = _train_frame(spark, sf_dir)
     num, cat = _feature_lists(df)
-    model = ML.train_churn_3class(df.where(~F.col("is_test")), "label", RF_TREES, 6, numeric=num, categorical=cat)
-    pred = model.transform(df.where(F.col("is_test")))
-    rep = RP.classification_report(pred.withColumn("pred", F.col("prediction").cast("int")), "label", "pred")
-    dist = RP.class_distribution(df, "Churned").select(F.concat(F.lit("class_"), F.col("Churned").cast("string")).alias("label"),
-                                                       F.lit(None).cast("double").alias("precision"),
-                                                       F.lit(None).cast("double").alias("recall"),
-                                                       F.lit(None).cast("double").alias("f1"),
-                                                       F.col("n").alias("support"), F.col("pct").alias("share"))
-    path = _scratch(spark, "metrics")
-    rep.withColumn("share", F.lit(None).cast("double")).unionByName(dist).write.mode("overwrite").json(path)
-    return spark.read.schema("label string, precision double, recall double, f1 double, support long, share double").json(path)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(k).alias("kind"), F.col(f"`{c}`").cast("string").alias("v"))
+                               for k, cols in (("numeric", num), ("categorical", cat)) for c in cols])).alias("x")
+    counts = df.select(each).select("x.*").groupBy("feature", "kind", "v").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("feature", "kind").agg(F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("filled"),
+                                                 F.count("v").alias("distinct_values"))
 
 
-@register("job_train")
-def q_job_train(spark, sf_dir):
-    from .jobs import job_train
-    res = job_train(_train_frame(spark, sf_dir))
-    return res["report"]
+@register("save_metrics")
+def q_save_metrics(spark, sf_dir):
+    """The stored metrics document (accuracy, rows, class shares, report) and text report."""
+    path = _stored_training(spark, sf_dir)
+    doc = spark.read.json(f"{path}/metrics")
+    text = spark.read.text(f"{path}/report", wholetext=True).select(
+        F.length("value").alias("report_chars"), F.lit(1).alias("_k"))
+    one = doc.withColumn("_k", F.lit(1)).join(text, "_k")  # one row each
+    return one.select("accuracy", "balanced_accuracy", "test_rows", "report_chars", F.explode("classes").alias("c")).select(
+        "accuracy", "balanced_accuracy", "test_rows", "c.label", "c.rows", "c.share", "report_chars")
 
 
 # --- streaming publish ------------------------------------------------------------------
@@ -1393,8 +1438,10 @@ def q_project_panel(spark, sf_dir):
 
 @register("scan_typed_result", lambda: f"SELECT member_id, week, engagement, CAST(paused AS SMALLINT) AS paused FROM ({O.sql_panel(AS_OF)}) p")
 def q_typed(spark, sf_dir):
-    return q_project_panel(spark, sf_dir).select("member_id", F.col("week").cast("date"), "engagement",
-                                                 F.col("paused").cast("short"))
+    """The panel written as it comes and scanned with the declared result schema."""
+    path = _scratch(spark, "panel")
+    IO.write_parquet(q_project_panel(spark, sf_dir), path)
+    return TY.scan_parquet(spark, path, TY.PANEL_RESULT).good
 
 
 @register("join_profile_parts", lambda: f"SELECT {O.PROFILE_SQL_COLS} FROM {O.sql_profile(AS_OF)} p")
@@ -1464,7 +1511,7 @@ def _upload(spark, sf_dir):
                                                   "risk_band")
     path = _scratch(spark, "upload")
     IO.write_csv(up, path)
-    return IO.read_csv_typed(spark, path, _UPLOAD_SCHEMA)
+    return TY.scan_csv(spark, path, StructType.fromDDL(_UPLOAD_SCHEMA)).good
 
 
 _UPLOAD_SQL = lambda: O.sql_profile_snapshot(AS_OF) + (
@@ -1502,21 +1549,21 @@ def q_write_eval(spark, sf_dir):
     return IO.read_csv_typed(spark, path, schema)
 
 
-register("load_model")(q_save_model)
+@register("load_model")
+def q_load_model(spark, sf_dir):
+    """The newest cohort scored with the model and thresholds that are stored."""
+    model, th = _stored_model(spark, sf_dir)
+    return PD.predictions_frame(ML.class_probabilities(model, _features_for_predict(spark, sf_dir)), th)
 
 
 @register("job_predict_model")
 def q_job_predict_model(spark, sf_dir):
-    """The prediction job with a fitted, stored model: train, save model and thresholds,
-    score the newest cohort, publish it and read the sink back."""
-    from .jobs import job_predict, job_train
-    res = job_train(_train_frame(spark, sf_dir))
-    model_path, th_path = _scratch(spark, "model"), _scratch(spark, "thresholds")
-    res["model"].write().overwrite().save(model_path)
-    th = [(int(k), float(v)) for k, v in res["thresholds"].items()]
-    IO.write_parquet(spark.createDataFrame(th, "cls int, threshold double"), th_path)
+    """The prediction job with the training job's stored model and thresholds: score the
+    newest cohort, publish it and read the sink back."""
+    from .jobs import job_predict
+    path = _stored_training(spark, sf_dir)
     feats = _features_for_predict(spark, sf_dir)
-    return job_predict(feats, AS_OF, model_path, th_path, _scratch(spark, "predictions"))
+    return job_predict(feats, AS_OF, f"{path}/model", f"{path}/thresholds", _scratch(spark, "predictions"))
 
 
 def _campaign_counts_sql():

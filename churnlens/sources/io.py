@@ -37,7 +37,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType | str, date_format: str | None = None
                    ) -> DataFrame:
     """CSV with an explicit schema (no inference) and a header row; unparsable
-    fields become NULL (PERMISSIVE) like ``errors='coerce'``."""
+    fields become NULL (PERMISSIVE) like ``errors='coerce'``. ``typed.scan_csv`` keeps the
+    rows that do not fit."""
     r = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if date_format:
@@ -57,15 +58,26 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     return df
 
 
-def latest_partition(df: DataFrame, col: str) -> DataFrame:
-    """Rows of the newest value of a partition column (e.g. as_of / RunDate); the max is
-    computed by Spark and applied as a filter (partition pruning on the re-read)."""
-    mx = df.agg(F.max(col).alias("m")).collect()[0]["m"]
-    return df.where(F.col(col) == F.lit(mx))
+def artifacts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Artifacts below ``path`` and when they were last written, from the files' metadata
+    alone (one row a file, no content is read): a folder of part files is one artifact,
+    any other file is its own."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+             .select("path", "modificationTime"))
+    folder = F.regexp_extract("path", r"^(.*)/part-[^/]*$", 1)
+    return files.groupBy(F.when(folder != "", folder).otherwise(F.col("path")).alias("artifact")).agg(F.max("modificationTime").alias("written"))
 
 
-def latest_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Rows of the most recently modified file under ``path`` (by ``_metadata``)."""
-    df = spark.read.format(fmt).load(path) if fmt != "csv" else spark.read.option("header", True).csv(path)
-    df = df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"))
-    return latest_partition(df, "_mtime").drop("_mtime")
+def latest_artifact(spark: SparkSession, path: str, pattern: str = "*.parquet") -> str | None:
+    """The artifact written last (ties: the greater name); None if there is none."""
+    top = artifacts(spark, path, pattern).orderBy(F.col("written").desc(), F.col("artifact").desc()).limit(1).collect()
+    return top[0]["artifact"] if top else None
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet artifact written last below ``path``, with its partition columns; no other
+    file is opened, so older ones may have another schema."""
+    newest = latest_artifact(spark, path)
+    if newest is None:
+        raise FileNotFoundError(f"no artifact below {path}")
+    return spark.read.option("basePath", path).parquet(newest)
