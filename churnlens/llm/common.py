@@ -50,15 +50,18 @@ def internal(df: DataFrame, base: str) -> str:
 
 def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values: list[str], spread: Column,
            salt: str | None = None) -> DataFrame:
-    """Left join of ``rows`` to ``keyed`` (one row per key, ``count`` = rows holding the
-    key) that no frequent key can overload; keys must not be null.
+    """Left join of ``rows`` to ``keyed`` (one row per key, ``count`` = rows of ``rows`` that
+    hold the key) that no frequent key can overload; keys must not be null.
 
     Keys with more than 1/(4 P) of all rows (P shuffle partitions; so at most 4 P keys,
     the proven bound of the broadcast) are joined by broadcast. The others go through a
-    shuffle join in which rows of the frequent keys carry a salt from ``spread``, so
-    they are dealt evenly instead of meeting in one task. ``keyed`` is read twice and
-    should be a stored table. ``salt`` names a column to keep the salt in; the result is
-    then dealt out by (key, salt), which a window or aggregate over them can use.
+    shuffle join on (key, salt): a row of a frequent key has a salt of 1 to P from
+    ``spread``, so these rows are dealt evenly and meet no partner there; all others have
+    0, as ``keyed`` has. There 0 is an expression of the key, since a literal would be
+    moved into a condition and both sides be dealt by the key alone. ``keyed`` is read
+    three times and should be a stored table. ``salt`` names a column to keep the salt in;
+    the result is then dealt out by (key, salt), which a window or aggregate over them can
+    use.
     """
     spark = rows.sparkSession
     parts = shuffle_partitions(spark)
@@ -67,15 +70,15 @@ def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values
     own = {x: internal(rows, f"attach_{x}") for x in ("hot", "cold", "salt", "cold_salt", "got", *[f"h{i}" for i in range(len(key))], *[f"c{i}" for i in range(len(key))])}
     hot = keyed.where(F.col(count) > limit).select(
         *[F.col(f"`{k}`").alias(own[f"h{i}"]) for i, k in enumerate(key)], F.struct(*values).alias(own["hot"]))
+    nought = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in key]), F.lit(1)).cast("int")
     cold = keyed.where(F.col(count) <= limit).select(
-        *[F.col(f"`{k}`").alias(own[f"c{i}"]) for i, k in enumerate(key)],
-        F.lit(-1).alias(own["cold_salt"]), F.struct(*values).alias(own["cold"]))
+        *[F.col(f"`{k}`").alias(own[f"c{i}"]) for i, k in enumerate(key)], nought.alias(own["cold_salt"]), F.struct(*values).alias(own["cold"]))
     on_hot, on_cold = F.lit(True), F.col(own["salt"]) == F.col(own["cold_salt"])
     for i, k in enumerate(key):
         on_hot = on_hot & (F.col(f"`{k}`") == F.col(own[f"h{i}"]))
         on_cold = on_cold & (F.col(f"`{k}`") == F.col(own[f"c{i}"]))
     out = rows.join(F.broadcast(hot), on_hot, "left")
-    out = out.withColumn(own["salt"], F.when(F.col(own["hot"]).isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int")))
+    out = out.withColumn(own["salt"], F.when(F.col(own["hot"]).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int") + 1))
     out = out.join(cold, on_cold, "left").withColumn(own["got"], F.coalesce(own["hot"], own["cold"]))
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(own["got"])[v].alias(v) for v in values],
                       *([F.col(own["salt"]).alias(salt)] if salt else []))

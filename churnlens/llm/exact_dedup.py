@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from . import common as C
 
 _SCHEMA = "digest STRING, keep_id BIGINT, n BIGINT, batch STRING"
@@ -55,6 +55,11 @@ class DigestIndex:
         fresh = batch.repartition(self.buckets, "digest").join(known, "digest", "left_anti")
         fresh.select("digest", "keep_id", "n", F.lit(batch_id).alias("batch")).write.insertInto(self.name)
 
+    def find(self, batch: DataFrame) -> DataFrame:
+        """Rows of ``batch`` (column digest, one row each) with what the index holds of
+        them: one merge of the sorted buckets, whose result is no larger than the batch."""
+        return batch.repartition(self.buckets, "digest").join(self.rows().hint("merge"), "digest")
+
     def close(self) -> None:
         """Forget the table's name; its files stay at the path."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -65,15 +70,16 @@ def dedup(docs: DataFrame, index: DigestIndex, batch_id: str, doc_id: str = "doc
     """Every row of ``docs`` with four more columns, whose names are returned by role:
     digest, keep_id, n (rows of its batch that hold the text) and kept."""
     names = {k: C.internal(docs, k) for k in ("digest", "keep_id", "n", "kept")}
-    salt = C.internal(docs, "salt")
+    salt, held = C.internal(docs, "salt"), C.internal(docs, "held")
     ident, dig = F.col(f"`{doc_id}`").cast("long"), digest(F.col(f"`{text}`"))
-    batch = docs.select(ident.alias("id"), dig.alias("digest")).groupBy("digest").agg(
-        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+    batch = cut_lineage(docs.select(ident.alias("id"), dig.alias("digest")).groupBy("digest").agg(
+        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n")))
     index.add(batch, batch_id)
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], dig.alias(names["digest"]))
-    known = index.rows().select(F.col("digest").alias(names["digest"]), F.col("keep_id").alias(names["keep_id"]),
-                                F.col("n").alias(names["n"]), (F.col("batch") == batch_id).alias(names["kept"]))
-    out = C.attach(rows, known, [names["digest"]], names["n"], [names["keep_id"], names["n"], names["kept"]], F.col(f"`{doc_id}`"), salt=salt)
+    known = cut_lineage(index.find(batch.select("digest", F.col("n").alias(held))).select(
+        F.col("digest").alias(names["digest"]), F.col("keep_id").alias(names["keep_id"]), F.col("n").alias(names["n"]),
+        (F.col("batch") == batch_id).alias(names["kept"]), held))
+    out = C.attach(rows, known, [names["digest"]], held, [names["keep_id"], names["n"], names["kept"]], F.col(f"`{doc_id}`"), salt=salt)
     # rows that repeat the id that stays: one of them does
     first = F.row_number().over(Window.partitionBy(names["digest"], salt, f"`{doc_id}`").orderBy(F.lit(1)))
     kept = F.col(names["kept"]) & ident.eqNullSafe(F.col(names["keep_id"])) & (first == 1)

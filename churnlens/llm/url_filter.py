@@ -94,7 +94,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", keep: list
     keys = rows.groupBy(F.col(names["digest"]).alias("digest"), F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path")).agg(
         F.count(F.lit(1)).alias("n"))
     keys = cut_lineage(keys)
-    ruled = cut_lineage(keys.join(judge(keys.select("host", "path"), rules), ["host", "path"]).select(
+    # every url, ruled or not, so that frequent ones without a rule are marked too
+    ruled = cut_lineage(keys.join(judge(keys.select("host", "path"), rules), ["host", "path"], "left").select(
         F.col("digest").alias(names["digest"]), "n", F.col("rule").alias(names["rule"]), F.col("verdict").alias(names["verdict"])))
     out = C.attach(rows, ruled, [names["digest"]], "n", [names["rule"], names["verdict"]], F.col(f"`{keep[0]}`") if keep else F.lit(0))
     return out.withColumn(names["verdict"], F.coalesce(names["verdict"], F.lit(DEFAULT))).drop(names["digest"]), names
