@@ -69,7 +69,7 @@ def average_rank(df: DataFrame, key: str, out_rank: str = "_avg_rank", out_n: st
     Attaching the per-key ranks back to the rows is skew-safe: keys holding more than
     N / (4P) rows (at most 4P keys by pigeonhole, P = shuffle partitions) are attached with
     a broadcast join; all other rows use a shuffle join on (key, salt) where hot-key and
-    NULL-key rows carry a salt of 1 to P, so they spread over partitions instead of
+    NULL-key rows carry a salt of 1 to 64 P, so they spread over partitions instead of
     landing in one task, and find no partner on that side. The other side's salt of 0 is
     an expression of the key: a literal would be moved out of the join keys."""
     parts = shuffle_partitions(df)
@@ -82,7 +82,7 @@ def average_rank(df: DataFrame, key: str, out_rank: str = "_avg_rank", out_n: st
     nought = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
     cold = ranks.where(~is_hot).select(key, F.col("_r").alias("_cold_r"), F.col("_rn_n").alias("_cold_n"), nought.alias("_salt"))
     j = df.join(F.broadcast(hot), key, "left")
-    spread = (F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)) + 1).cast("int")
+    spread = (F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(64 * parts)) + 1).cast("int")
     j = j.withColumn("_salt", F.when(F.col("_hot_r").isNull() & F.col(key).isNotNull(), F.lit(0)).otherwise(spread))
     j = j.join(cold, [key, "_salt"], "left")
     return (j.withColumn(out_rank, F.coalesce("_hot_r", "_cold_r")).withColumn(out_n, F.coalesce("_hot_n", "_cold_n"))
