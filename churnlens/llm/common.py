@@ -55,7 +55,7 @@ def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values
 
     Keys with more than 1/(4 P) of all rows (P shuffle partitions; so at most 4 P keys,
     the proven bound of the broadcast) are joined by broadcast. The others go through a
-    shuffle join on (key, salt): a row of a frequent key has a salt of 1 to P from
+    shuffle join on (key, salt): a row of a frequent key has a salt of 1 to 64 P from
     ``spread``, so these rows are dealt evenly and meet no partner there; all others have
     0, as ``keyed`` has. There 0 is an expression of the key, since a literal would be
     moved into a condition and both sides be dealt by the key alone. ``keyed`` is read
@@ -78,7 +78,7 @@ def attach(rows: DataFrame, keyed: DataFrame, key: list[str], count: str, values
         on_hot = on_hot & (F.col(f"`{k}`") == F.col(own[f"h{i}"]))
         on_cold = on_cold & (F.col(f"`{k}`") == F.col(own[f"c{i}"]))
     out = rows.join(F.broadcast(hot), on_hot, "left")
-    out = out.withColumn(own["salt"], F.when(F.col(own["hot"]).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int") + 1))
+    out = out.withColumn(own["salt"], F.when(F.col(own["hot"]).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.lit(64 * parts)).cast("int") + 1))
     out = out.join(cold, on_cold, "left").withColumn(own["got"], F.coalesce(own["hot"], own["cold"]))
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(own["got"])[v].alias(v) for v in values],
                       *([F.col(own["salt"]).alias(salt)] if salt else []))
