@@ -13,13 +13,20 @@ softmax(log prior + ``SHARPNESS`` x mean word weight), so long texts are not
 over-confident.
 
 Fit: minimise 1/2 sum_d ((S_d - T_d) / tokens)^2 over rates r >= 0 and, of those that do,
-take the rates next to 1 (weighted by tokens). These are r = max(0, 1 - p . u) with one
-number u_d a domain, so equal posteriors get equal rates, and a step is projected gradient
-from r = 1 with the second moment (domains x domains) of the rows above 0 as metric: S and
-this matrix are one aggregate over stored rows, nothing else is kept. The pull towards 1
-has the weights ``PULL`` in turn, each solved until its gradient is below ``TOLERANCE``, so
-the fit ends at the least squares, whether or not the targets can be reached. A fit that
-needs more than ``PASSES`` aggregates is an error, never a result.
+take the rates next to 1 (weighted by tokens). This is projected gradient in its lazy form:
+steps add up in one number u_d a domain, and the rate column is projected from their sum,
+r = max(0, 1 - p . u), so equal posteriors get equal rates. A step has the second moment
+(domains x domains) of the rows above 0 as metric, which is one aggregate over stored rows;
+its length comes from one more aggregate, which sums the rates of every length in ``STEPS``
+at once. The pull towards 1 has the weights ``PULL`` in turn, each solved until the
+projected gradient is below ``TOLERANCE``; the next begins with u, or with u scaled as the
+pull falls, whichever is nearer to its end. So the fit ends at the least squares whether or
+not the targets can be reached, after some dozens of aggregates, however many rows there
+are. ``PASSES`` only guards against numbers that are not finite.
+
+More than ``MAX_DOMAINS`` label classes: those with a target and the most frequent ones
+stay, all others together are the domain ``other``, which is learned, fitted and drawn
+like any.
 
 Defined results: a null or empty text has 0 tokens, the prior as posterior and the rate
 that its posterior gets, at most the greatest of a row with tokens; a null doc_id is kept; repeated rows each get their rate; without
@@ -44,8 +51,10 @@ BUCKETS = 1 << 14
 SAMPLE = 20_000
 SHARPNESS = 24.0
 MAX_DOMAINS = 32
+OTHER = "other"
 PASSES, TOLERANCE = 1000, 1e-10
-PULL = (1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8, 1e-9, 1e-10)
+PULL = (1e-2, 1e-4, 1e-6, 1e-8, 1e-10)
+STEPS = tuple(2.0 ** e for e in range(-11, 4))
 #: Target share of tokens by domain (quality and toxic label), and the tokens to draw as a
 #: multiple of those there are.
 TARGETS = {"q1t0": 0.92, "q1t1": 0.02, "q0t0": 0.05, "q0t1": 0.01}
@@ -65,13 +74,22 @@ def _bucket(word: str) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[float], DataFrame | None]:
+def _few(some: DataFrame, wanted: list[str]) -> DataFrame:
+    """Labels with at most ``MAX_DOMAINS`` domains; they are counted by Spark."""
+    if some.agg(F.count_distinct("domain")).first()[0] <= MAX_DOMAINS:
+        return some
+    named = F.col("domain").isin(list(wanted))
+    top = (some.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).orderBy(named.desc(), F.col("n").desc(), "domain").limit(MAX_DOMAINS - 1).collect())
+    return some.withColumn("domain", F.when(F.col("domain").isin([r["domain"] for r in top]), F.col("domain")).otherwise(OTHER))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, wanted: list[str] = ()) -> tuple[list[str], list[float], DataFrame | None]:
     """Domains, their log priors and the weight table (bucket, one column w_i a domain);
     weights are centred over domains, so a bucket that is not there weighs 0 for all."""
     some = (labels.where(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | F.col("toxic").isNotNull()))
             .select(F.col("doc_id").cast("long").alias("id"), domain_of(labels).alias("domain"))
             .orderBy(F.xxhash64("id"), "id", "domain").limit(sample))
-    some = cut_lineage(some)
+    some = _few(cut_lineage(some), wanted)
     words = (docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(some), "id")  # at most ``sample`` rows
              .select("domain", F.explode(words_of(F.col("text"))).alias("word")))
     counts = cut_lineage(words.groupBy("domain", _bucket("word").alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
@@ -79,8 +97,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     domains = sorted(totals)
     if not domains:
         return ["all"], [0.0], None
-    if len(domains) > MAX_DOMAINS:
-        raise ValueError(f"{len(domains)} domains; at most {MAX_DOMAINS}")
     held = {r["domain"]: r["n"] for r in some.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = [math.log(held[d] / sum(held[x] for x in domains)) for d in domains]
     raw = counts.groupBy("bucket").agg(*[
@@ -142,23 +158,43 @@ def fit(post: DataFrame, domains: list[str], targets: dict[str, float], budget:
             second[i, j] = second[j, i] = x / tokens
         return np.array(got[:len(domains)]) / tokens, second, got[-1]
 
-    u = np.zeros(len(domains))
-    left = (PASSES if iterations is None else iterations) - 1
+    def along(u: np.ndarray, step: np.ndarray, lengths: tuple[float, ...]) -> list[np.ndarray]:
+        """Sums of the rates of u + length x step, for all lengths in one aggregate."""
+        at, by = (sum((F.col(f"p_{i}") * float(v[i]) for i in k), F.lit(0.0)) for v in (u, step))
+        rows = post.select("n_tokens", *[f"p_{i}" for i in k], at.alias("at"), by.alias("by"))
+        rows = rows.select("*", *[(F.col("n_tokens") * F.greatest(F.lit(0.0), F.lit(1.0) - F.col("at") - F.col("by") * x)).alias(f"m_{a}") for a, x in enumerate(lengths)])
+        got = rows.agg(*[F.sum(F.col(f"m_{a}") * F.col(f"p_{i}")) for a in range(len(lengths)) for i in k]).first()
+        return [np.array(got[a * len(domains):(a + 1) * len(domains)]) / tokens for a in range(len(lengths))]
+
+    def length(slopes: list[float], first: float) -> float:
+        """Where the slope along a step is 0, from its values at ``STEPS`` (it only rises)."""
+        if abs(slopes[STEPS.index(1.0)]) <= 0.1 * abs(first):
+            return 1.0
+        below = sum(x <= 0 for x in slopes)
+        if below in (0, len(STEPS)):
+            return STEPS[0] / 2 if not below else STEPS[-1]
+        (a, b), (x, y) = STEPS[below - 1:below + 1], slopes[below - 1:below + 1]
+        return a + (b - a) * x / (x - y)
+
+    u, left, before = np.zeros(len(domains)), (PASSES if iterations is None else iterations) - 1, None
     sums, second, most = look(u)
     for pull in PULL:
         gradient = lambda v, s: t - s + pull * v  # noqa: B023, E731
+        if before and left > 1:
+            scaled = u * (before / pull)
+            (near,) = along(scaled, np.zeros(len(domains)), (0.0,))
+            left -= 1
+            if np.linalg.norm(gradient(scaled, near)) < np.linalg.norm(gradient(u, sums)):
+                u, left = scaled, left - 1
+                sums, second, most = look(u)
+        before = pull
         down = gradient(u, sums)
-        while np.linalg.norm(down) > TOLERANCE and left > 0:
+        while np.linalg.norm(down) > TOLERANCE and left > 1:
             step = -np.linalg.solve(second + pull * np.eye(len(domains)), down)
-            slope, part = -down @ step, 1.0
-            while left > 0:
-                new = u + part * step
-                at, left = look(new), left - 1
-                rise = gradient(new, at[0]) @ step
-                if rise <= 0.1 * slope or np.linalg.norm(gradient(new, at[0])) <= TOLERANCE:
-                    u, (sums, second, most) = new, at
-                    break
-                part *= slope / (slope + rise)  # past the least value along the step: back to where the slope would be 0
+            slopes = [gradient(u + x * step, s) @ step for x, s in zip(STEPS, along(u, step, STEPS))]
+            u = u + length(slopes, down @ step) * step
+            sums, second, most = look(u)
+            left -= 2
             down = gradient(u, sums)
         done = bool(np.linalg.norm(down) <= TOLERANCE)
         if not done or np.linalg.norm(sums - t) <= TOLERANCE:
@@ -181,9 +217,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """Rows (id, key, n_tokens, p_i, rate, copies) of all documents, the domains in the
     order of the p_i, and the fit's totals."""
     two = docs.select("doc_id", "text")
-    domains, prior, weights = train(two, labels)
+    targets = TARGETS if targets is None else targets
+    domains, prior, weights = train(two, labels, wanted=list(targets))
     post = cut_lineage(posteriors(two, domains, prior, weights))
-    rated, totals = fit(post, domains, TARGETS if targets is None else targets, budget, iterations)
+    rated, totals = fit(post, domains, targets, budget, iterations)
     return rated.withColumn("copies", copies(F.col("rate"), F.col("key"))), domains, totals
 
 
@@ -191,9 +228,11 @@ def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     """The mixture itself: every row of ``docs`` as often as its rate says, with the columns
     of ``docs``."""
     rated, _, _ = mix(docs, labels, targets, budget, iterations)
-    own = {x: C.internal(docs, x) for x in ("row_key", "drawn_key", "copies", "copy")}
-    chosen = rated.groupBy(F.col("key").alias(own["drawn_key"])).agg(F.max("copies").alias(own["copies"]))
-    rows = docs.withColumn(own["row_key"], C.row_key()).join(chosen, F.col(own["row_key"]) == F.col(own["drawn_key"]))
+    own = {x: C.internal(docs, x) for x in ("row_key", "copies", "copy", "rows")}
+    chosen = cut_lineage(rated.groupBy(F.col("key").alias(own["row_key"])).agg(F.max("copies").alias(own["copies"]), F.count(F.lit(1)).alias(own["rows"])))
+    keyed = docs.withColumn(own["row_key"], C.row_key())
+    # rows that repeat id and text have nothing else to be dealt by than where they stand
+    rows = C.attach(keyed, chosen, [own["row_key"]], own["rows"], [own["copies"]], F.monotonically_increasing_id())
     again = rows.where(F.col(own["copies"]) > 0).withColumn(own["copy"], F.explode(F.sequence(F.lit(1), F.col(own["copies"]))))
     return again.select(*[F.col(f"`{c}`") for c in docs.columns])
 
