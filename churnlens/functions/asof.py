@@ -1,4 +1,5 @@
-"""Point-in-time predicates and labels, parameterised by the as-of date ``T``."""
+"""Point-in-time predicates and labels, parameterised by the as-of date ``T``: one date for
+all rows, or a column."""
 
 from __future__ import annotations
 
@@ -9,7 +10,8 @@ from .. import config as C
 
 
 def as_date(value) -> Column:
-    return F.lit(str(value)).cast("date")
+    """A date, or the column that holds each row's own as-of date."""
+    return value if isinstance(value, Column) else F.lit(str(value)).cast("date")
 
 
 def active_at_weekly(start: Column, end: Column, T) -> Column:

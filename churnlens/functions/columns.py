@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .asof import as_date
 
 
 def normalize_key(c: Column) -> Column:
@@ -85,14 +86,14 @@ def frequency_to_number(c: Column) -> Column:
 
 
 def days_since_last_accessed(last: Column, T) -> Column:
-    T = F.lit(str(T)).cast("date")
+    T = as_date(T)
     return (F.when(last.isNull() | (last > T), F.lit(C.NO_ACCESS_SENTINEL))
             .otherwise(F.datediff(T, last)))
 
 
 def age_years(dob: Column, T) -> Column:
     """Calendar-year difference to the as-of date (reproducible for past cohorts)."""
-    return F.year(F.lit(str(T)).cast("date")) - F.year(dob)
+    return F.year(as_date(T)) - F.year(dob)
 
 
 def season_sin_cos(week: Column) -> tuple[Column, Column]:

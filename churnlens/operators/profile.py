@@ -44,7 +44,7 @@ def profile(memberships: DataFrame, attendance: DataFrame, T, case_insensitive_l
     (no self-joins); the only join is base ⋈ attendance aggregates, made inner by the
     TotalAttendanceToDate > 0 filter."""
     Td = asof.as_date(T)
-    base = base_memberships(memberships, T).where(F.col("Transferred_OUT").isNull())
+    base = not_transferred(memberships, T)
     if not extended:
         # weeks without visits add nothing to the three sums, and members with only such
         # weeks fail TotalAttendanceToDate > 0: dropping them is output-neutral and becomes a
@@ -53,7 +53,23 @@ def profile(memberships: DataFrame, attendance: DataFrame, T, case_insensitive_l
     att = attendance_features(attendance, T, extended)
     j = base.join(att, "MembershipID").where(F.col("TotalAttendanceToDate") > 0)
     end = F.col("End Date")
-    cols = [
+    cols = profile_columns(T, case_insensitive_like)
+    if extended:
+        cols += ["LastVisitDate", "DaysSinceLastVisit", "WeeksPausedToDate",
+                 F.datediff(end.cast("date"), Td).alias("DaysToContractEnd")]
+    if keep_payment_amount:
+        cols.append(F.col("RegularPayment").alias("RegularPaymentAmount"))
+    return j.select(*cols)
+
+
+def not_transferred(memberships: DataFrame, T) -> DataFrame:
+    return base_memberships(memberships, T).where(F.col("Transferred_OUT").isNull())
+
+
+def profile_columns(T, case_insensitive_like: bool = True) -> list:
+    """The 21 columns, from memberships joined to their attendance sums."""
+    Td, end = asof.as_date(T), F.col("End Date")
+    return [
         F.col("MembershipID"), F.col("Gender"), X.age_years(F.col("DOB"), T).alias("Age"),
         "SubCategory", "Channel", "ClubName", "MembershipTypeDesc",
         X.payment_band(F.col("RegularPayment")).alias("RegularPayment"),
@@ -67,12 +83,6 @@ def profile(memberships: DataFrame, attendance: DataFrame, T, case_insensitive_l
         end.cast("date").alias("end_date"),
         asof.churn_class_3(end, T).cast("int").alias("Churned"),
     ]
-    if extended:
-        cols += ["LastVisitDate", "DaysSinceLastVisit", "WeeksPausedToDate",
-                 F.datediff(end.cast("date"), Td).alias("DaysToContractEnd")]
-    if keep_payment_amount:
-        cols.append(F.col("RegularPayment").alias("RegularPaymentAmount"))
-    return j.select(*cols)
 
 
 def join_profile_snapshot(prof: DataFrame, snap: DataFrame) -> DataFrame:

@@ -95,6 +95,19 @@ def percentile_rank(df: DataFrame, key: str, out: str, n_buckets: int | None = N
     return r.withColumn(out, F.col("_ar") / F.col("_an")).drop("_ar", "_an")
 
 
+def percentile_rank_by(df: DataFrame, key: str, by: str, out: str) -> DataFrame:
+    """``percentile_rank`` inside each value of ``by`` (which must not be NULL), however many
+    rows one of them holds: the rank of (by, key) over all rows, less the rows of the values
+    before it. The table of those offsets has one row a value of ``by``."""
+    pair = F.when(F.col(key).isNotNull(), F.struct(F.col(by).alias("b"), F.col(key).alias("k")))
+    ranked = average_rank(df.withColumn("_pair", pair), "_pair", "_ar", "_an").drop("_pair", "_an")
+    per = df.groupBy(F.col(by).alias("_by")).agg(F.count(key).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_by").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = per.select("_by", "_n", before.alias("_before"))
+    return (ranked.join(offsets, F.col(by) == F.col("_by")).withColumn(out, (F.col("_ar") - F.col("_before")) / F.col("_n"))
+            .drop("_by", "_n", "_before", "_ar"))
+
+
 def score_label_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     return (df.where(F.col(score).isNotNull())
             .groupBy(score).agg(F.count(F.lit(1)).alias("c"),

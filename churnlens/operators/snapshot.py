@@ -12,12 +12,12 @@ from . import ranking
 from .weekly import MEMBER, WEEK
 
 
-def score_frame(features: DataFrame, ews_col: str = "EWS", k_weeks: int = C.K_WEEKS) -> DataFrame:
+def score_frame(features: DataFrame, ews_col: str = "EWS", k_weeks: int = C.K_WEEKS, carry: tuple[str, ...] = ()) -> DataFrame:
     """member_id, week, prob_churn_{k}w, EWS, reasons + the weekly columns carried along
     (engagement, paused) — the source's scores ⟕ weekly join becomes a projection."""
     return features.select(
         MEMBER, WEEK, F.col(ews_col).alias(f"prob_churn_{k_weeks}w"), F.col(ews_col).alias("EWS"),
-        R.reason_codes(features, k_weeks).alias("reasons"), "engagement", "paused")
+        R.reason_codes(features, k_weeks).alias("reasons"), "engagement", "paused", *carry)
 
 
 def _one_of_ties(df: DataFrame, member: str) -> DataFrame:
@@ -46,7 +46,7 @@ def latest_per_member(df: DataFrame, member: str = MEMBER, week: str = WEEK) ->
                         .where(F.col(week) == F.col("_mw")).drop("_mw"), member)
 
 
-def build_snapshots(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:
+def build_snapshots(scores: DataFrame, n_buckets: int | None = None, by: str | None = None) -> DataFrame:
     """Latest row per member, global average-rank percentile of EWS (distributed),
     risk band and primary reason.
 
@@ -54,9 +54,10 @@ def build_snapshots(scores: DataFrame, n_buckets: int | None = None) -> DataFram
     ranking: the rank needs a pass for its bucket edges and a pass for the ranks, and
     both then read the materialised snapshot instead of re-running the weekly
     pipeline. It also cuts the lineage of everything downstream (profile join,
-    outreach, evaluation)."""
+    outreach, evaluation). With ``by`` (a column that members do not share) the percentile
+    is that inside each of its values."""
     snap = cut_lineage(latest_preferring_nonpaused(scores))
-    snap = ranking.percentile_rank(snap, "EWS", "ews_pct", n_buckets)
+    snap = ranking.percentile_rank_by(snap, "EWS", by, "ews_pct") if by else ranking.percentile_rank(snap, "EWS", "ews_pct", n_buckets)
     return (snap.withColumn("risk_band", R.risk_band(F.col("ews_pct")))
                 .withColumn("main_reason", R.primary_reason(F.col("reasons"))))
 

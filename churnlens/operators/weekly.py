@@ -8,6 +8,9 @@ partitions are bounded by the length of the series.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +71,42 @@ def weekly_panel(memberships: DataFrame, attendance: DataFrame, T, min_visits: i
     return mw.withColumn("_tot", tot).where(F.col("_tot") >= min_visits).select(*out)
 
 
+def attendance_by_member(attendance: DataFrame, as_ofs: list) -> DataFrame:
+    """One pass over the attendance for several as-of dates, one row per membership: the
+    weeks that lie in the trailing year of any date (``weeks``, at most 53 a date), and for
+    each date the sums of ``profile.attendance_features`` (``sums``, with their ``as_of``)."""
+    wk, v = F.col("WeekBeginningDate").cast("date"), F.col("WeekVisits")
+    within = None
+    for T in as_ofs:
+        within = asof.trailing_year(wk, T) if within is None else within | asof.trailing_year(wk, T)
+    week = F.struct(wk.alias("week"), F.coalesce(v, F.lit(0)).cast("int").alias("engagement"), F.col("OnPauseThisWeek").cast("int").alias("paused"))
+    sums = []
+    for T in as_ofs:
+        Td, before = asof.as_date(T), asof.before_as_of(wk, T) & v.isNotNull()
+        recent = [F.sum(F.when(before, F.when(wk >= F.date_sub(Td, days), v).otherwise(F.lit(0)))).cast("long").alias(name)
+                  for days, name in ((30, "Visits_Last30d"), (90, "Visits_Last90d"))]
+        sums.append(F.struct(Td.alias("as_of"), F.sum(F.when(before, v)).cast("long").alias("TotalAttendanceToDate"), *recent))
+    last = max(str(T) for T in as_ofs)
+    return attendance.where(asof.before_as_of(wk, last)).groupBy("MembershipID").agg(
+        F.collect_list(F.when(within, week)).alias("weeks"), F.array(*sums).alias("sums"))
+
+
+def weekly_panels(memberships: DataFrame, by_member: DataFrame, min_visits: int = C.MIN_VISITS_12M) -> DataFrame:
+    """``weekly_panel`` of several as-of dates: ``memberships`` has a row per membership and
+    ``as_of``, ``by_member`` comes from ``attendance_by_member``. A membership's weeks are
+    dealt to the dates whose trailing year holds them after the HAVING test, from its array.
+    Adds ``as_of``; the key ``member_id`` is that of the membership at its date."""
+    T = F.col("as_of")
+    end = F.col("End Date").cast("date")
+    base = memberships.where(asof.active_at_weekly(F.col("ActiveOn Date").cast("date"), end, T)
+                             & asof.exclude_subcategories(F.col("SubCategory")) & asof.contract_only(F.col("Category"))).select("MembershipID", "as_of")
+    own = F.filter("weeks", lambda w: asof.trailing_year(w["week"], T))
+    rows = base.join(by_member.select("MembershipID", "weeks"), "MembershipID").withColumn("weeks", own)
+    visits = F.aggregate("weeks", F.lit(0).cast("long"), lambda a, w: a + w["engagement"])
+    return rows.where(visits >= min_visits).select(
+        F.concat(F.col("as_of").cast("string"), F.lit("|"), F.col("MembershipID")).alias(MEMBER), "as_of", "MembershipID", F.inline("weeks"))
+
+
 def add_segments(df: DataFrame, member: str = MEMBER, week: str = WEEK, segment_rows: int = EMA_SEGMENT_ROWS
                  ) -> DataFrame:
     """Row number in week order (``_rn``), its segment (``_seg``) and the index inside
@@ -99,14 +138,17 @@ def ema_columns(df: DataFrame, x: str, out: str, span: int = C.EMA_SPAN,
     alpha = 2.0 / (span + 1.0)
     beta = 1.0 - alpha
     L = segment_rows
+    # relative to the member's first value, so that a constant series stays exactly constant
+    x0 = F.coalesce(F.first(F.col(x).cast("double")).over(_wm(member, week).rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))
+    df = df.withColumn("_x0", x0)
     w = F.when(F.col("_rn") == 1, F.lit(1.0)).otherwise(F.lit(alpha))
-    term = w * F.col(x).cast("double") * F.pow(F.lit(beta), -F.col("_j"))
+    term = w * (F.col(x).cast("double") - F.col("_x0")) * F.pow(F.lit(beta), -F.col("_j"))
     wseg = Window.partitionBy(member, "_seg").orderBy(week).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_local", F.pow(F.lit(beta), F.col("_j")) * F.sum(term).over(wseg))
     wprev = _wm(member, week).rowsBetween(Window.unboundedPreceding, -1)
     carry = F.last(F.when(F.col("_j") == L - 1, F.col("_local")), ignorenulls=True).over(wprev)
-    df = df.withColumn(out, F.col("_local") + F.coalesce(F.pow(F.lit(beta), F.col("_j") + 1) * carry, F.lit(0.0)))
-    return df.drop("_local")
+    df = df.withColumn(out, F.col("_x0") + (F.col("_local") + F.coalesce(F.pow(F.lit(beta), F.col("_j") + 1) * carry, F.lit(0.0))))
+    return df.drop("_local", "_x0")
 
 
 def _run_since_break(brk: Column, rn: Column, member: str, week: str) -> Column:
@@ -115,18 +157,45 @@ def _run_since_break(brk: Column, rn: Column, member: str, week: str) -> Column:
     return F.when(brk, F.lit(0)).otherwise(rn - F.coalesce(last_break, F.lit(0))).cast("int")
 
 
-# A per-member std below this fraction of |mean| is rounding noise of the closed-form
-# EMA (~n * 2e-16 relative), not variation: it is treated as 0, like an exact recursion.
-STD_NOISE_REL = 1e-11
-
-
 def zscore(c: str, member: str = MEMBER) -> Column:
-    """(x - mean) / (std_samp + 1e-6); std 0 (or rounding noise) or a single row -> NULL."""
+    """(x - mean) / (std_samp + 1e-6); a single row, or a series whose least and greatest
+    value are equal -> NULL. However small, any true spread counts."""
     wm = Window.partitionBy(member)
-    sd = F.stddev_samp(c).over(wm)
-    mu = F.avg(c).over(wm)
-    real = sd > F.lit(STD_NOISE_REL) * F.greatest(F.abs(mu), F.lit(1.0))
-    return (F.col(c) - mu) / (F.when(real, sd) + F.lit(C.ZSCORE_EPS))
+    real = F.max(c).over(wm) > F.min(c).over(wm)
+    return (F.col(c) - F.avg(c).over(wm)) / (F.when(real, F.stddev_samp(c).over(wm)) + F.lit(C.ZSCORE_EPS))
+
+
+def _expanding_ranks(values) -> list:
+    """Average rank of each value among itself and those before it, as a share of their
+    number; a missing value has none and does not count."""
+    seen: list = []
+    out: list = []
+    for x in values:
+        if x is None or x != x:
+            out.append(None)
+            continue
+        at = bisect_right(seen, x)
+        ties = at - bisect_left(seen, x) + 1
+        seen.insert(at, x)
+        out.append((at - ties + 1 + (ties + 1) / 2.0) / len(seen))
+    return out
+
+
+def pct_self_causal(panel: DataFrame, out: str = "pct_self_causal", x: str = "engagement", member: str = MEMBER, week: str = WEEK) -> DataFrame:
+    """``panel`` plus the rank of a week's value among the member's weeks up to it (ties: the
+    mean rank), as a share of their number: ``pct_self`` without a look ahead. The weeks so
+    far are kept in order and each new one is merged in; a member's series is one array,
+    bounded by its weeks. Rows of one week go by their value, then by their other columns."""
+    @F.pandas_udf("array<double>")
+    def ranks(series: pd.Series) -> pd.Series:
+        return series.map(_expanding_ranks)
+
+    rest = [c for c in panel.columns if c not in (member, week, x)]
+    row = F.struct(F.col(week), F.col(x), *[F.col(f"`{c}`") for c in rest])
+    series = panel.groupBy(member).agg(F.sort_array(F.collect_list(row)).alias("_s"))
+    series = series.withColumn("_r", ranks(F.transform("_s", lambda r: r[x].cast("double"))))
+    each = series.select(member, F.explode(F.arrays_zip("_s", "_r")).alias("_z"))
+    return each.select(*[F.col(member) if c == member else F.col("_z._s")[c].alias(c) for c in panel.columns], F.col("_z._r").alias(out))
 
 
 def member_features(panel: DataFrame, ema_span: int = C.EMA_SPAN, seasonality: bool = True,
@@ -187,6 +256,7 @@ def future_k_label(df: DataFrame, k_weeks: int = C.K_WEEKS, member: str = MEMBER
     return df.withColumn("_ev", ev).withColumn(out, F.max("_ev").over(frame).cast("int")).drop("_ev")
 
 
+# The score's features, in the order of its model.
 EWS_FEATURES = ["engagement_z", "ema_z", "momentum_z", "volatility_z", "drought_active", "pct_self",
                 "tenure_weeks", "paused", "payment_failed", "discount_active", "price_change",
                 "negative_feedback", "campaign_exposed", "sin_woy", "cos_woy"]

@@ -63,6 +63,48 @@ def job_prepare_cohort(memberships: DataFrame, attendance_all: DataFrame, as_of,
     return merged
 
 
+def job_prepare_cohorts(memberships: DataFrame, attendance: DataFrame, as_ofs: list, classes=None) -> DataFrame:
+    """The cohorts of several as-of dates in one pass, with their ``as_of``: rows equal to
+    ``job_prepare_cohort`` of each date.
+
+    ``memberships`` has a row per membership and ``as_of``. The attendance is read once and
+    reduced to one stored row per membership (the weeks of the trailing years, the sums of
+    every date); panels, windows, latest rows and profiles are then of (as_of, member), and
+    percentiles are ranked inside each date."""
+    from ..functions import columns as X
+    from ..session import cut_lineage
+    per = cut_lineage(WK.attendance_by_member(attendance, as_ofs))
+    panel = WK.weekly_panels(memberships, per)
+    feats = WK.surrogate_ews(WK.member_features(panel))
+    snap = SN.relabel_snapshot(SN.build_snapshots(SN.score_frame(feats, carry=("as_of", "MembershipID")), by="as_of"))
+    sums = per.select("MembershipID", F.inline("sums")).where(F.col("TotalAttendanceToDate") > 0)
+    T = F.col("as_of")
+    prof = PR.not_transferred(memberships, T).join(sums, ["MembershipID", "as_of"]).select(*PR.profile_columns(T), "as_of")
+    key = X.normalize_key(F.col("MembershipID"))
+    merged = prof.withColumn("member_id", key).join(
+        snap.select(key.alias("member_id"), "as_of", "ews_pct", "risk_band"), ["member_id", "as_of"])
+    out = merged.select(*[c for c in prof.columns if c != "as_of"], "member_id", "ews_pct", "risk_band", "as_of")
+    return out.where(F.col("Churned").isin(list(classes))) if classes else out
+
+
+def job_balanced(cohorts: DataFrame, sample_class: int = 3, keep_classes=(1, 2), sample_n: int = C.CLASS3_SAMPLE, id_col: str = "MembershipID") -> DataFrame:
+    """``job_merge_balanced`` of cohorts that stand in one frame by ``as_of``: every cohort
+    keeps ``keep_classes``, the last one also an exact, seeded sample of ``sample_class``."""
+    from ..operators import cohorts as CO
+    from ..session import cut_lineage
+    rows = cut_lineage(cohorts.withColumn("cohort", F.col("as_of").cast("string")).drop("as_of"))
+    last = rows.agg(F.max("cohort")).first()[0]
+    sampled = CO.sample_exact_n(rows.where((F.col("cohort") == F.lit(last)) & (F.col("Churned") == sample_class)), sample_n, id_col, materialize=False)
+    return rows.where(F.col("Churned").isin(list(keep_classes))).unionByName(sampled)
+
+
+def cohorts_inputs(spark: SparkSession, sf_dir: str, as_ofs: list):
+    """Memberships by date and attendance (dense over the trailing years) for
+    ``job_prepare_cohorts``."""
+    first, last = min(as_ofs), max(as_ofs)
+    return FX.memberships_by_date(spark, sf_dir, as_ofs), FX.attendance(spark, sf_dir, None, last, dense_from=O.prev_year(first))
+
+
 def cohort_inputs(spark: SparkSession, sf_dir: str, as_of):
     m = FX.memberships(spark, sf_dir, as_of)
     att_all = FX.attendance(spark, sf_dir, None, as_of, nonempty_only=True)

@@ -99,6 +99,17 @@ _feature_query("drought", ["engagement", "drought"])
 _feature_query("drought_active", ["engagement", "paused", "drought_active"])
 _feature_query("pct_self", ["engagement", "pct_self"])
 _feature_query("tenure_weeks", ["tenure_weeks"])
+
+
+@register("pct_self_causal", lambda: f"WITH p AS ({O.sql_panel(AS_OF)}) SELECT a.member_id, a.week, a.engagement, "
+          f"{O.r6('(count(CASE WHEN b.engagement < a.engagement THEN 1 END) + (count(CASE WHEN b.engagement = a.engagement THEN 1 END) + 1) / 2.0) / count(*)')} "
+          f"AS pct_self_causal FROM p a JOIN p b ON a.member_id = b.member_id AND b.week <= a.week GROUP BY 1, 2, 3")
+def q_pct_causal(spark, sf_dir):
+    """Rank of each week's visits among the member's weeks so far."""
+    panel = WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF).select("member_id", "week", "engagement")
+    return WK.pct_self_causal(panel)
+
+
 _feature_query("zscore_by_member", ["engagement_z", "ema_z", "momentum_z", "volatility_z"])
 _feature_query("member_stats", ["engagement", "engagement_z"])
 _feature_query("season_sin_cos", ["sin_woy", "cos_woy"])
@@ -765,8 +776,9 @@ def _cohort(spark, sf_dir, T, classes=None):
 
 
 def _balanced(spark, sf_dir, n3=C.CLASS3_SAMPLE):
-    from .jobs import build_cohorts, job_merge_balanced
-    return job_merge_balanced(build_cohorts(lambda T: _cohort(spark, sf_dir, T), COHORT_CLASSES), sample_n=n3)
+    from .jobs import cohorts_inputs, job_balanced, job_prepare_cohorts
+    dates = list(COHORT_CLASSES)
+    return job_balanced(job_prepare_cohorts(*cohorts_inputs(spark, sf_dir, dates), dates), sample_n=n3)
 
 
 def _union_sql():
@@ -791,6 +803,14 @@ def q_merge_balanced(spark, sf_dir):
     return _balanced(spark, sf_dir).groupBy("cohort", "Churned").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("job_prepare_cohorts", lambda: " UNION ALL ".join(f"SELECT *, {O.d(T)} AS as_of FROM ({O.sql_cohort(T)}) c" for T in COHORT_CLASSES))
+def q_prepare_cohorts(spark, sf_dir):
+    """All yearly cohorts from one pass over the attendance."""
+    from .jobs import cohorts_inputs, job_prepare_cohorts
+    dates = list(COHORT_CLASSES)
+    return job_prepare_cohorts(*cohorts_inputs(spark, sf_dir, dates), dates)
+
+
 @register("job_prepare_cohort", lambda: O.sql_cohort(AS_OF))
 def q_prepare_cohort(spark, sf_dir):
     from .jobs import cohort_inputs, job_prepare_cohort

@@ -59,8 +59,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("k"), "l_quantity", _to_date(F.col("l_shipdate")).alias("ship_date"))
 
 
-def memberships(spark: SparkSession, sf_dir: str, as_of: str | dt.date) -> DataFrame:
-    """Membership dimension as of ``as_of`` (only DateLastAccessed depends on it)."""
+def memberships(spark: SparkSession, sf_dir: str, as_of: str | dt.date, with_access: bool = True) -> DataFrame:
+    """Membership dimension as of ``as_of`` (only DateLastAccessed depends on it, which is
+    left out without ``with_access``)."""
     T = F.lit(str(as_of)).cast("date")
     cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -77,9 +78,9 @@ def memberships(spark: SparkSession, sf_dir: str, as_of: str | dt.date) -> DataF
     k = F.col("c_custkey")
     pay = F.when(k % 41 == 0, F.lit(None).cast("double")).otherwise((F.lit(15) + k % 40).cast("double"))
     disc = (k % 5).cast("double")
-    return (cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey)
-            .join(span, k == span.k, "left")
-            .join(access, k == access.k, "left")
+    rows = cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey).join(span, k == span.k, "left")
+    rows = rows.join(access, k == access.k, "left") if with_access else rows
+    return (rows
             .select(
                 membership_key(k).alias("MembershipID"),
                 F.col("c_name").alias("MemberID"),
@@ -104,7 +105,7 @@ def memberships(spark: SparkSession, sf_dir: str, as_of: str | dt.date) -> DataF
                 (F.lit(365) * (F.lit(1) + k % 2)).cast("int").alias("TermDays"),
                 (k % 2).cast("int").alias("Lump Sum Flag"),
                 F.date_sub(F.col("first_order"), (k % 400).cast("int")).alias("Original Start Date"),
-                F.when(k % 17 == 0, F.lit(None).cast("date")).otherwise(F.col("last_ship")).alias("DateLastAccessed"),
+                *([F.when(k % 17 == 0, F.lit(None).cast("date")).otherwise(F.col("last_ship")).alias("DateLastAccessed")] if with_access else []),
                 F.when(k % 47 == 0, F.lit(1)).cast("int").alias("Transferred_IN"),
                 F.when(k % 29 == 0, F.lit(1)).cast("int").alias("Transferred_OUT"),
                 F.when(k % 43 == 0, 1).otherwise(0).cast("int").alias("EndedWithinCoolingPeriod"),
@@ -126,8 +127,21 @@ def _week_bounds(week_from: str | dt.date | None, week_to: str | dt.date | None)
     return lo, hi
 
 
-def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None, nonempty_only: bool = False
-               ) -> DataFrame:
+def memberships_by_date(spark: SparkSession, sf_dir: str, as_ofs: list) -> DataFrame:
+    """``memberships`` of several as-of dates in one pass: a row per membership and ``as_of``."""
+    last = max(str(T) for T in as_ofs)
+    base = memberships(spark, sf_dir, last, with_access=False)
+    k = F.col("k")
+    access = (order_lines(spark, sf_dir).where(F.col("ship_date") < F.lit(last).cast("date")).groupBy("k")
+              .agg(*[F.max(F.when(F.col("ship_date") < F.lit(str(T)).cast("date"), F.col("ship_date"))).alias(f"a{i}") for i, T in enumerate(as_ofs)])
+              .select(membership_key(k).alias("MembershipID"), (k % 17 == 0).alias("hidden"), *[f"a{i}" for i in range(len(as_ofs))]))
+    dates = F.array(*[F.struct(F.lit(str(T)).cast("date").alias("as_of"), F.when(~F.col("hidden"), F.col(f"a{i}")).alias("DateLastAccessed"))
+                      for i, T in enumerate(as_ofs)])
+    return base.join(access, "MembershipID", "left").select(*[F.col(f"`{c}`") for c in base.columns], F.inline(dates))
+
+
+def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None, nonempty_only: bool = False,
+               dense_from=None) -> DataFrame:
     """Weekly attendance fact: one row per customer and Monday in [week_from, week_to).
 
     In production this is a table partitioned by week and the bounds are partition
@@ -153,6 +167,14 @@ def attendance(spark: SparkSession, sf_dir: str, week_from=None, week_to=None, n
         # the rows of the same table that satisfy WeekVisits IS NOT NULL (the predicate
         # served by the source, as a parquet scan would push it down)
         spine = visits.select("k", "week", "WeekVisits")
+    elif dense_from is not None:
+        # the same table served with WeekVisits IS NOT NULL OR week >= dense_from
+        start = max(_week_bounds(dense_from, None)[0], lo)
+        early = F.filter(F.map_keys("vm"), lambda w: w < F.lit(start))
+        weeks = F.concat(F.coalesce(early, F.array().cast("array<date>")),
+                         F.sequence(F.lit(start), F.lit(hi), F.expr("INTERVAL 7 DAYS")) if start <= hi else F.array().cast("array<date>"))
+        spine = (cust.join(per_cust, "k", "left").select("k", "vm", F.explode(weeks).alias("week"))
+                 .select("k", "week", F.try_element_at(F.col("vm"), F.col("week")).alias("WeekVisits")))
     else:
         spine = (cust.join(per_cust, "k", "left")
                  .select("k", "vm", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 7 DAYS"))).alias("week"))
