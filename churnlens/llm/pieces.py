@@ -10,14 +10,21 @@ with a piece only if merging the text of its last two pieces gives exactly these
 sequence is the BPE encoding of its text just when all its neighbours agree so, hence one
 path at most survives per boundary, and the ids are those of merging the whole text.
 Between such decisions no other path can live, so a boundary that no piece spans (before
-a space, around a character without a piece) is where all paths meet; texts are cut there
-and the ids of short stretches are remembered.
+a space, around a character without a piece) is where all paths meet.
+
+``commits`` is the loop: chunks of a text go in, ids come out as they settle. Of the text
+it holds the stretch after the last meeting point of the chunk, whose paths may still
+differ. A finished stretch goes through the lattice once, from each boundary along a trie
+of the pieces, and is remembered while it is short; one that outgrows ``_HELD`` characters
+without an end goes through the windowed lattice of ``stream``, which commits whenever the
+backpointer paths of the window meet.
 
 Defined results: a null text has no ids (and decodes to null); an empty text has none;
 characters without a piece become byte pieces (or the unknown id if the model has none);
 the mark U+2581 in a text is read as a space, as the model does, and so comes back as one;
 repeated rows are encoded alike; a null doc_id is carried; texts of any length are encoded
-whole in bounded memory; an empty table gives an empty result.
+whole, with no more of the lattice held than a chunk and the window (the row's own text
+and ids apart); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +45,44 @@ SPACE = "▁"
 #: Remembered stretches and piece pairs a task, and the longest stretch remembered.
 _KEPT, _KEPT_PAIRS, _SHORT = 400_000, 1_000_000, 48
 _EVERY = 64
+#: Characters that go in at a time, and of a stretch without an end before it is streamed.
+CHUNK, _HELD = 1 << 15, 1 << 12
+#: Field numbers of a model file, and its number for unigram models (also the default).
+_TRAINER, _KIND, _UNIGRAM = 2, 3, 1
+
+
+def _fields(data: bytes):
+    """(number, value) of the fields of a serialized message: varints and byte strings."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        x = shift = 0
+        while True:
+            b = data[at]
+            at += 1
+            x |= (b & 127) << shift
+            if b < 128:
+                return x
+            shift += 7
+
+    while at < len(data):
+        key = varint()
+        number, wire = key >> 3, key & 7
+        if wire == 0:
+            yield number, varint()
+        elif wire == 2:
+            n = varint()
+            yield number, data[at:at + n]
+            at += n
+        else:
+            at += {1: 8, 5: 4}[wire]
+
+
+def is_unigram(proto: bytes) -> bool:
+    """The type that a model file states of itself."""
+    trainer = next((v for k, v in _fields(proto) if k == _TRAINER), b"")
+    return next((v for k, v in _fields(trainer) if k == _KIND), _UNIGRAM) == _UNIGRAM
 
 
 @lru_cache(maxsize=4)
@@ -50,9 +95,8 @@ def load(path: str = MODEL) -> dict:
     normal = {m.id_to_piece(i): i for i in range(n) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))}
     data = {int(m.id_to_piece(i)[3:5], 16): i for i in range(n) if m.is_byte(i)}
     probe = m.encode("ab", out_type=str)
-    unigram = all(m.get_score(i) > -64 for i in list(normal.values())[-64:])
     return {"pieces": normal, "scores": {i: m.get_score(i) for i in normal.values()}, "bytes": data, "unknown": m.unk_id(),
-            "unigram": unigram, "prefix": bool(probe) and probe[0].startswith(SPACE)}
+            "unigram": is_unigram(m.serialized_model_proto()), "prefix": bool(probe) and probe[0].startswith(SPACE)}
 
 
 class Coder:
@@ -70,15 +114,19 @@ class Coder:
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.split: dict[int, tuple | None] = {}
         self.known: dict[str, bytes] = {}  # stretch -> its ids, as packed 32-bit integers
-        #: last three characters of a piece -> the longest piece that ends so
-        self.ends: dict[str, int] = {}
-        for p in self.pieces:
-            if len(p) > 2:
-                self.ends[p[-3:]] = max(len(p), self.ends.get(p[-3:], 0))
+        self.n_commits = self.held = 0
+        #: trie of the pieces: character -> (node below, piece that ends here or -1)
+        self.trie: dict = {}
+        for p, i in self.pieces.items():
+            node = self.trie
+            for c in p[:-1]:
+                node = node.setdefault(c, [{}, -1])[0]
+            node.setdefault(p[-1], [{}, -1])[1] = i
         split = "".join(c for c in "\n\t\r" if c not in self.pieces)
         inner = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
-        # stretches: no piece spans the places between them
+        # stretches: no piece spans the places between them; and where one ends
         self.stretch = None if inner else re.compile(f"[{split}]|{SPACE}*[^{SPACE}{split}]+|{SPACE}+" if split else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.border = re.compile(f"(?<!{SPACE}){SPACE}|(?s:.)(?<=[{split}])" if split else f"(?<!{SPACE}){SPACE}")
 
     def merged(self, text: str) -> tuple[list[str], list[str]]:
         """Plain BPE of a short text: the neighbours with the best score are merged first,
@@ -218,63 +266,123 @@ class Coder:
         if not text:
             return b""
         t = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
+        return b"".join(self.commits(t[i:i + CHUNK] for i in range(0, len(t), CHUNK)))
+
+    def commits(self, chunks):
+        """Packed ids in order, as soon as they are settled, from an iterable of strings.
+        ``held`` is the most text that waited at once."""
+        chunks = iter(chunks)
         if self.unigram or self.stretch is None:
-            return np.array(self.ids(self.stream((t,))), np.int32).tobytes()
+            yield from self._numbers(self.stream(chunks))
+            return
+        text, rest = "", ""
+
+        def on(first: str):
+            """The stretch that ``first`` begins, up to its end in one of the chunks."""
+            nonlocal rest
+            yield first
+            before = first[-1]
+            for chunk in chunks:
+                if not chunk:
+                    continue
+                end = self.border.search(before + chunk, 1)
+                if end:
+                    rest = chunk[end.start() - 1:]
+                    yield chunk[:end.start() - 1]
+                    return
+                before = chunk[-1]
+                yield chunk
+
+        for chunk in chunks:
+            text += chunk
+            self.held = max(self.held, len(text))
+            parts = self.stretch.findall(text)
+            text = parts.pop() if parts else ""
+            yield self._settled(parts)
+            while len(text) > _HELD:
+                yield from self._numbers(self.stream(on(text)))
+                parts = self.stretch.findall(rest)
+                text, rest = parts.pop() if parts else "", ""
+                yield self._settled(parts)
+        yield self._settled([text] if text else [])
+
+    def _numbers(self, committed):
+        """Packed ids of ``stream``'s commits, some at a time."""
+        some: list[int] = []
+        for x in committed:
+            some += self.ids((x,))
+            if len(some) >= _EVERY:
+                self.n_commits += 1
+                yield np.array(some, np.int32).tobytes()
+                some = []
+        yield np.array(some, np.int32).tobytes()
+
+    def _settled(self, parts: list[str]) -> bytes:
+        """Ids of whole stretches, each from the lattice or remembered from it."""
         if len(self.known) > _KEPT:
             self.known.clear()
         if self.n_pairs > _KEPT_PAIRS:
             self.agrees.clear()
             self.n_pairs = 0
-        known, parts = self.known, self.stretch.findall(t)
-        long = {}
+        known, long = self.known, {}
         for s in set(parts).difference(known):
             (known if len(s) <= _SHORT else long)[s] = b"".join([known.get(x) or self.learn(x) for x in self.cut(s)])
+        self.n_commits += len(parts)
         if long:
             return b"".join([known.get(s) or long[s] for s in parts])
         return b"".join(map(known.__getitem__, parts))
 
     def learn(self, part: str) -> bytes:
-        ids = self.short(part) if len(part) <= _SHORT else self.ids(self.stream((part,)))
-        got = np.array(ids, np.int32).tobytes() if len(ids) > 4 else b"".join([i.to_bytes(4, "little") for i in ids])
+        got = self.lattice(part)
         if len(part) <= _SHORT:
             self.known[part] = got
         return got
 
-    def short(self, s: str) -> list[int]:
-        """The BPE recursion of ``stream`` over a stretch that is one window: nothing is
-        committed before its end."""
-        get, ends = self.pieces.get, self.ends.get
-        last, back, alive, after = [-1], [0], [0], [self.agrees.setdefault(-1, {})]
-        for at in range(1, len(s) + 1):
-            found, row = -2, None
-            first = at - ends(s[at - 3:at], 2) if at > 2 else 0
-            for j in alive:
-                if j < first:
-                    continue
-                p = get(s[j:at])
-                if p is not None:
-                    ok = after[j].get(p)
+    def lattice(self, s: str) -> bytes:
+        """Packed ids of a stretch by BPE's path rule: from each boundary that has a path, in
+        order, every piece of the trie is tried. A later boundary takes the first that fits
+        the piece before it; no two can."""
+        if len(s) > 4 * self.longest:
+            return b"".join(self._numbers(self.stream((s,))))
+        n, trie, agrees = len(s), self.trie, self.agrees
+        last, back = [-2] * (n + 1), [0] * (n + 1)
+        last[0] = -1
+        for at in range(n):
+            before = last[at]
+            if before == -2:
+                continue
+            row = agrees.get(before)
+            if row is None:
+                row = agrees[before] = {}
+            node, end = trie, at
+            while True:
+                below = node.get(s[end])
+                if below is None:
+                    break
+                end += 1
+                node, p = below
+                if p >= 0 and last[end] == -2:
+                    ok = row.get(p)
                     if ok is None:
-                        ok = after[j][p] = self.fits(last[j], p)
+                        ok = row[p] = self.fits(before, p)
                         self.n_pairs += 1
                     if ok:
-                        found = p
-                        back.append(j)
-                        break
+                        last[end], back[end] = p, at
+                if end == n or not node:
+                    break
+            if last[at + 1] == -2 and s[at] not in self.pieces:
+                last[at + 1], back[at + 1] = -1, at
+        out, to = [], n
+        while to > 0:
+            p = last[to]
+            if p >= 0:
+                out.append(p)
             else:
-                if last[at - 1] == -2 or get(s[at - 1]) is not None:
-                    back.append(0)
-                else:
-                    found = -1
-                    back.append(at - 1)
-            if found != -2:
-                alive.append(at)
-                row = self.agrees.get(found)
-                if row is None:
-                    row = self.agrees[found] = {}
-            after.append(row)
-            last.append(found)
-        return self.ids(self._path(s, last, back, len(s)))
+                out += self.ids((s[to - 1],))[::-1]
+            to = back[to]
+        if len(out) > 4:
+            return np.array(out[::-1], np.int32).tobytes()
+        return b"".join([i.to_bytes(4, "little") for i in out[::-1]])
 
     def cut(self, s: str) -> list[str]:
         """``s`` cut between neighbours that stand so in no piece: every path has a boundary
