@@ -10,10 +10,12 @@ Burrows-Wheeler transform (BWT) of what meets:
    adds one entry a task to its bucket. Anchors of two documents or more make candidates.
 2. Candidate runs (at most 84 bytes) are dealt by anchor. A map task sends equal runs
    once, for their smallest id; the other documents' runs are removed at once.
-3. Each bucket builds the BWT of its distinct runs. From the empty string, all intervals
-   are extended backward by one character at a time, so boundaries appear by increasing
-   length of the common prefix, up to 50, where the expansion stops. The suffixes of an
-   interval left then share 50 bytes; its smallest id decides which windows go.
+3. An anchor whose runs all have one text needs no comparison. Of the others each bucket
+   builds the BWT. From the empty string, all intervals are extended backward by one
+   character at a time (the rows of c w are found from those of w by the transform's map),
+   so boundaries appear by increasing length of the common prefix, up to 50, where the
+   expansion stops. The suffixes of an interval left then share 50 bytes; its smallest id
+   decides which windows go.
 4. Removed windows go back to their documents, where overlapping ones are joined.
 
 Documents are dealt out by id once for both joins. Every list that meets in a task is
@@ -41,8 +43,9 @@ LENGTH, MER = 50, 16
 #: Windows hashed at once, anchors a map task gathers before it reports them, bytes of
 #: candidate runs likewise, and bytes of one transform.
 BLOCK, ANCHORS, RUN_BYTES, BWT_BYTES = 1 << 18, 1 << 20, 16 << 20, 1 << 20
-#: Text bytes for each bucket of anchors and of candidate runs.
-ANCHOR_BUCKET, RUN_BUCKET = 64 << 20, 16 << 20
+#: Text bytes for each bucket of anchors, of documents and of candidate runs; of the last
+#: there are several a partition, so that chance does not give one task many.
+ANCHOR_BUCKET, DOC_BUCKET, RUN_BUCKET = 64 << 20, 16 << 20, 4 << 20
 LAST = np.iinfo(np.int64).max
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
@@ -283,7 +286,7 @@ def transform(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key = _grow(_grow(_grow(h, 1), 2), 4)[:n]
     step = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys: in any order, the next step parts them
         key = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[True, key[1:] != key[:-1]])
@@ -365,19 +368,28 @@ def _bucket_spans(got: pa.Table) -> np.ndarray:
     low[which] = lows
     texts = list(distinct)
     order = np.argsort(low, kind="stable")  # runs of one anchor side by side
-    sizes = np.array([len(texts[i]) for i in order], np.int64)
-    out, entries = [], np.argsort(which, kind="stable")
+    new = np.r_[True, low[order][1:] != low[order][:-1], True] if len(order) else np.ones(1, bool)
+    alone = new[:-1] & new[1:]
+    # an anchor with one text: it goes from all documents but the first
+    spare = np.zeros(len(distinct), bool)
+    spare[order[alone]] = True
+    e = np.flatnonzero(spare[which] & (least[which] < ids))
+    out = [np.stack([key[e], fp[e], pos[e], pos[e] + lens[e]], 1)]
+    order = order[~alone]
+    entries = np.argsort(which, kind="stable")
     first = np.searchsorted(which[entries], np.arange(len(texts) + 1))
+    sizes = np.array([len(texts[i]) for i in order], np.int64)
+    upto = np.cumsum(sizes)
     a = 0
     while a < len(order):
-        b = a + max(1, int(np.searchsorted(np.cumsum(sizes[a:]), BWT_BYTES)))
+        b = a + max(1, int(np.searchsorted(upto[a:] - (upto[a] - sizes[a]), BWT_BYTES)))
         while b < len(order) and low[order[b]] == low[order[b - 1]]:
             b += 1
         some = order[a:b]
         owner = least_owner([texts[i] for i in some], least[some])
         at = np.cumsum(sizes[a:b] + 1) - sizes[a:b] - 1
         count = first[some + 1] - first[some]
-        entry = entries[np.concatenate([np.arange(x, x + c) for x, c in zip(first[some], count)])] if len(some) else entries[:0]
+        entry = entries[np.concatenate([np.arange(x, x + c) for x, c in zip(first[some], count)])]
         base, windows = np.repeat(at, count), np.repeat(sizes[a:b] - LENGTH + 1, count)
         inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         gone = owner[np.repeat(base, windows) + inside] < np.repeat(ids[entry], windows)
@@ -387,7 +399,7 @@ def _bucket_spans(got: pa.Table) -> np.ndarray:
             stop = np.r_[start[1:], len(e)] - 1
             out.append(np.stack([key[e[start]], fp[e[start]], pos[e[start]] + i[start], pos[e[start]] + i[stop] + LENGTH], 1))
         a = b
-    return np.concatenate(out) if out else np.empty((0, 4), np.int64)
+    return np.concatenate(out)
 
 
 def _cut_out(batches):
@@ -425,8 +437,8 @@ def removed_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     ident, body = F.col(f"`{doc_id}`").cast("long"), C.text_or_empty(f"`{text}`")
     rows = docs.select(ident.alias("doc_id"), F.coalesce(ident, F.xxhash64(body)).alias("key"), F.xxhash64(body).alias("fp"), body.alias("text"))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
-    run_buckets = max(C.shuffle_partitions(spark), -(-total // RUN_BUCKET))
-    anchor_buckets, parts = max(C.shuffle_partitions(spark), -(-total // ANCHOR_BUCKET)), run_buckets
+    run_buckets = max(4 * C.shuffle_partitions(spark), -(-total // RUN_BUCKET))
+    anchor_buckets, parts = (max(C.shuffle_partitions(spark), -(-total // x)) for x in (ANCHOR_BUCKET, DOC_BUCKET))
     lows = (rows.select("key", "text").mapInArrow(_report_anchors(anchor_buckets), _ANCHOR)
             .groupBy("bucket").applyInArrow(_shared_anchors(parts), "part int, lows binary, keys binary, counts binary")
             .groupBy("part").applyInArrow(_document_anchors, "k long, lows binary"))
