@@ -18,6 +18,7 @@ empty result; columns other than those named are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from itertools import chain
@@ -36,7 +37,7 @@ SWITCH = 8.0
 #: language's letters from which on it counts as writing a script.
 FLOOR, SHARE = -60.0, 0.01
 #: Largest model that is broadcast: buckets x languages.
-MAX_LANGS = 256
+MAX_LANGS = 512
 #: First code point of each range of a script (later ranges go on).
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -110,13 +111,17 @@ def _counts(batches):
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict:
     """The model as plain arrays: langs, weights (buckets x langs) and writes (scripts x
-    langs). What comes to the driver is the count table, at most BUCKETS rows a language."""
+    langs). What comes to the driver is the count table, at most BUCKETS rows a language, of
+    at most ``MAX_LANGS`` languages: the labels are counted first, and of more those with the
+    most rows are learned (ties: the smaller name)."""
     src = docs.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
+    labels = src.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    if labels.count() > MAX_LANGS:
+        top = [r["lang"] for r in labels.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()]
+        src = src.where(F.col("lang").isin(top))
     rows = src.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = rows.toArrow()
     langs = sorted(set(got.column("lang").to_pylist()))
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"{len(langs)} languages; at most {MAX_LANGS}")
     table = np.zeros((BUCKETS + len(SCRIPT_NAMES), max(1, len(langs))))
     if langs:
         where = {x: i for i, x in enumerate(langs)}
@@ -136,34 +141,34 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     lens = sizes[order]
     first = (np.cumsum(sizes) - sizes)[order]
     docs = int((lens > 0).sum())
-    back = np.empty((n_words, n_labels), np.uint8)
+    back = np.empty((n_words, n_labels), np.uint16)
     best = np.zeros((docs, n_labels))
-    own = np.arange(n_labels, dtype=np.uint8)
+    own = np.arange(n_labels, dtype=np.uint16)
     together = int(lens[min(_TAIL, docs) - 1]) if docs >= _TAIL else 0
     live = docs
     for t in range(together):
         while lens[live - 1] <= t:
             live -= 1
         at, v = first[:live] + t, best[:live]
-        top = v.argmax(1).astype(np.uint8)
+        top = v.argmax(1).astype(np.uint16)
         jump = v[np.arange(live), top] - penalty
         leave = jump[:, None] > v
         back[at] = np.where(leave, top[:, None], own)
         best[:live] = np.where(leave, jump[:, None], v) + scores[at]
     for d in range(min(_TAIL, docs)):
         v, a, b = best[d].tolist(), int(first[d]) + together, int(first[d] + lens[d])
-        came = bytearray()
+        came = array("H")
         labels = range(n_labels)
         for row in scores[a:b].tolist():
             jump = max(v)
             top = v.index(jump)
             jump -= penalty
-            came += bytes([top if jump > v[k] else k for k in labels])
+            came.extend([top if jump > v[k] else k for k in labels])
             v = [(jump if jump > v[k] else v[k]) + row[k] for k in labels]
-        back[a:b] = np.frombuffer(bytes(came), np.uint8).reshape(-1, n_labels)
+        back[a:b] = np.frombuffer(came, np.uint16).reshape(-1, n_labels)
         best[d] = v
-    out = np.zeros(n_words, np.uint8)
-    state = best.argmax(1).astype(np.uint8)
+    out = np.zeros(n_words, np.uint16)
+    state = best.argmax(1).astype(np.uint16)
     for d in range(min(_TAIL, docs)):
         s, a, b = int(state[d]), int(first[d]) + together, int(first[d] + lens[d])
         for i in range(b - 1, a - 1, -1):
