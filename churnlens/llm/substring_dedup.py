@@ -199,7 +199,8 @@ def _document_anchors(got: pa.Table) -> pa.Table:
     return pa.table({"k": pa.array(keys, pa.int64()), "lows": pa.array([lows[j - n:j].tobytes() for j, n in zip(to.tolist(), counts.tolist())], pa.binary())})
 
 
-_RUN = "bucket int, spans binary, runs binary, lens binary, ids binary, lows binary, owners binary"
+#: An entry's id is its key, or LAST where ``unnamed`` says so.
+_RUN = "bucket int, spans binary, runs binary, lens binary, unnamed binary, lows binary, owners binary, places binary"
 _RUN_NAMES = [c.split()[0] for c in _RUN.split(", ")]
 
 
@@ -209,7 +210,7 @@ def _row(**values) -> tuple:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in _RUN_NAMES]
-    kinds = [pa.int32()] + [pa.binary()] * 6
+    kinds = [pa.int32()] + [pa.binary()] * 7
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=_RUN_NAMES)
 
 
@@ -245,8 +246,9 @@ def _send_runs(buckets: int):
             rows += [_row(bucket=int(b), spans=spans[at == b].tobytes()) for b in np.unique(at)]
         for b, items in by.items():
             text, ident, low, key, fp, pos = zip(*items)
-            rows.append(_row(bucket=b, runs=b"".join(text), lens=np.array([len(t) for t in text], np.uint8).tobytes(), ids=np.array(ident, np.int64).tobytes(),
-                             lows=np.array(low, np.uint32).tobytes(), owners=np.array([key, fp, pos], np.int64).tobytes()))
+            rows.append(_row(bucket=b, runs=b"".join(text), lens=np.array([len(t) for t in text], np.uint8).tobytes(),
+                             unnamed=(np.array(ident, np.int64) == LAST).astype(np.uint8).tobytes(), lows=np.array(low, np.uint32).tobytes(),
+                             owners=np.array([key, fp], np.int64).tobytes(), places=np.array(pos, np.uint32).tobytes()))
         if rows:
             yield _batch(rows)
 
@@ -355,9 +357,10 @@ def _bucket_spans(got: pa.Table) -> np.ndarray:
     """Spans (key, fp, start, end) that the runs of a bucket lose."""
     rest = got.filter(got.column("runs").is_valid())
     join = lambda c, t: np.frombuffer(b"".join(rest.column(c).to_pylist()), t)
-    lens, ids, lows = join("lens", np.uint8).astype(np.int64), join("ids", np.int64), join("lows", np.uint32)
-    owners = [np.frombuffer(x, np.int64).reshape(3, -1) for x in rest.column("owners").to_pylist()]
-    key, fp, pos = np.concatenate(owners, 1) if owners else np.empty((3, 0), np.int64)
+    lens, lows, pos = join("lens", np.uint8).astype(np.int64), join("lows", np.uint32), join("places", np.uint32).astype(np.int64)
+    owners = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rest.column("owners").to_pylist()]
+    key, fp = np.concatenate(owners, 1) if owners else np.empty((2, 0), np.int64)
+    ids = np.where(join("unnamed", np.uint8) == 1, LAST, key)
     text = b"".join(rest.column("runs").to_pylist())
     ends = np.cumsum(lens)
     distinct: dict[bytes, int] = {}
