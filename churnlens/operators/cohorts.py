@@ -32,14 +32,6 @@ def union_cohorts(parts: list[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
-def exact_rank(df: DataFrame, key: str, out: str = "_rank", n_buckets: int | None = None) -> DataFrame:
-    """1-based position of each row in ascending ``key`` order (key must be unique),
-    computed with the bucketed prefix sums of ``ranking`` (no global window)."""
-    vc = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    ps = ranking.prefix_sums(vc, key, ["_c"], n_buckets).select(key, F.col("cum__c").alias(out))
-    return df.join(ps, key)
-
-
 def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = C.SEED, materialize: bool = True) -> DataFrame:
     """Exactly min(n, count) rows, those with the smallest seeded hash of the id
     (deterministic). Rows whose hash is equal (repeated ids, collisions) count one by one:
@@ -61,16 +53,28 @@ def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = C.SEED, mater
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = C.SEED,
                      out: str = "fold") -> DataFrame:
-    """fold = (position of the row inside its class in seeded-hash order - 1) % k.
-    The composite key class * 2^60 + hash keeps classes contiguous, so one distributed
-    prefix count serves all classes; per-class offsets come from a one-row-per-class
-    table."""
-    h = cut_lineage(df.withColumn("_key", F.col(label).cast("long") * F.lit(1 << 60)
-                                  + stable_hash(F.col(id_col), seed=seed)))
-    r = exact_rank(h, "_key", "_r")
-    per = h.groupBy(F.col(label).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+    """fold = (position of the row inside its class in seeded-hash order - 1) % k. Rows without
+    a label are a class of their own; rows of one hash (repeated ids) take positions one
+    after another. The key (class, hash) keeps classes together, so one distributed
+    prefix count serves all of them; per-class offsets come from a one-row-per-class table."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    h = cut_lineage(df.withColumn("_key", F.struct(F.col(label).alias("y"), stable_hash(F.col(id_col), seed=seed).alias("h"))).withColumn("_row", row))
+    vc = h.groupBy("_key").agg(F.count(F.lit(1)).alias("_c"))
+    ps = ranking.prefix_sums(vc, "_key", ["_c"]).select(F.col("_key").alias("_k"), (F.col("cum__c") - F.col("_c")).alias("_before"))
+    r = h.join(ps, F.col("_key") == F.col("_k"))
+    tie = F.row_number().over(Window.partitionBy("_key").orderBy("_row"))
+    per = h.groupBy(F.col("_key.y").alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
     # one row per class: the ordered window is bounded by the number of classes
     wo = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_y", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    r = r.join(F.broadcast(offs), F.col(label) == F.col("_y"))
-    return r.withColumn(out, ((F.col("_r") - F.col("_off") - 1) % k).cast("int")).drop("_key", "_r", "_y", "_off")
+    r = r.withColumn("_r", F.col("_before") + tie).join(offs, F.col("_key.y").eqNullSafe(F.col("_y")))
+    return r.withColumn(out, ((F.col("_r") - F.col("_off") - 1) % k).cast("int")).drop("_key", "_row", "_k", "_before", "_r", "_y", "_off")
+
+
+def leakage_check(train: DataFrame, test: DataFrame, key: str, target: str) -> DataFrame:
+    """One row: whether the target is among the columns, repeated column names, and how
+    many rows of the test part have a key that the training part has too."""
+    names = train.columns
+    overlap = test.select(key).join(train.select(key).distinct(), key, "left_semi").agg(F.count(F.lit(1)).alias("train_test_overlap"))
+    return overlap.select(F.lit(target in names).alias("target_in_features"), F.lit(len(names) - len(set(names))).cast("long").alias("duplicate_columns"),
+                          "train_test_overlap")

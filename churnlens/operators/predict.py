@@ -31,7 +31,7 @@ SINK_SPEC = [
     ("Channel", "Channel", "string"), ("ClubName", "ClubName", "string"),
     ("MembershipTypeDesc", "MembershipTypeDesc", "string"), ("Term", "Term", "string"),
     ("TermDays", "TermDays", "bigint"), ("Lump Sum Flag", "Lump Sum Flag", "bigint"),
-    ("RegularPayment", "RegularPayment", "double"), ("Base Amount", None, "double"),
+    ("RegularPayment", "RegularPayment", "double"), ("Base Amount", "BaseAmountNumber", "double"),
     ("TenureDays", "TenureDays", "bigint"), ("DaysSinceOriginalStart", "DaysSinceOriginalStart", "bigint"),
     ("DaysSinceLastAccessed", "DaysSinceLastAccessed", "bigint"),
     ("TotalAttendanceToDate", "TotalAttendanceToDate", "bigint"), ("Visits_Last90d", "Visits_Last90d", "bigint"),

@@ -58,7 +58,7 @@ def profile(memberships: DataFrame, attendance: DataFrame, T, case_insensitive_l
         cols += ["LastVisitDate", "DaysSinceLastVisit", "WeeksPausedToDate",
                  F.datediff(end.cast("date"), Td).alias("DaysToContractEnd")]
     if keep_payment_amount:
-        cols.append(F.col("RegularPayment").alias("RegularPaymentAmount"))
+        cols += [F.col("RegularPayment").alias("RegularPaymentAmount"), F.col("Base Amount").alias("BaseAmountNumber")]
     return j.select(*cols)
 
 

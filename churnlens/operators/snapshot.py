@@ -62,6 +62,19 @@ def build_snapshots(scores: DataFrame, n_buckets: int | None = None, by: str | N
                 .withColumn("main_reason", R.primary_reason(F.col("reasons"))))
 
 
+def join_scores_weekly(scores: DataFrame, weekly: DataFrame, member: str = MEMBER, week: str = WEEK) -> DataFrame:
+    """Scores of a table of their own with the engagement and pause of their week (left
+    join on member and week, which is one row a member and week on the right)."""
+    return scores.join(weekly.select(member, week, "engagement", "paused"), [member, week], "left")
+
+
+def join_canceled(weekly: DataFrame, cancellations: DataFrame, member: str = MEMBER, week: str = WEEK) -> DataFrame:
+    """``weekly`` with ``canceled`` from a table of cancellations: 1 in a week that has one,
+    however many, else 0."""
+    hit = cancellations.groupBy(member, week).agg(F.max(F.coalesce(F.col("canceled"), F.lit(0)).cast("int")).alias("canceled"))
+    return weekly.drop("canceled").join(hit, [member, week], "left").withColumn("canceled", F.coalesce("canceled", F.lit(0)))
+
+
 def relabel_snapshot(snap: DataFrame) -> DataFrame:
     return (snap.withColumn("main_reason", R.relabel_reason(F.col("main_reason")))
                 .withColumn("reasons", R.relabel_reason(F.col("reasons"))))

@@ -350,7 +350,7 @@ def sql_churn_class(end: str, T) -> str:
 
 def sql_profile(T, payment_amount: bool = False) -> str:
     """Subquery (no WITH) producing the 21-column profile."""
-    amt = ", base.RegularPayment AS RegularPaymentAmount" if payment_amount else ""
+    amt = ', base.RegularPayment AS RegularPaymentAmount, base."Base Amount" AS BaseAmountNumber' if payment_amount else ""
     return f"""(
 SELECT base.MembershipID, base.Gender, CAST(year({d(T)}) - year(base.DOB) AS INTEGER) AS Age,
        base.SubCategory, base.Channel, base.ClubName, base.MembershipTypeDesc,

@@ -278,9 +278,13 @@ def q_ews_thr(spark, sf_dir):
 
 
 @register("paused_queue", lambda: O.sql_snapshot(AS_OF) +
-          f"SELECT {Q_SQL_COLS} FROM ({O.sql_with_playbook('(SELECT * FROM snap WHERE paused = 1)')}) x")
+          f"SELECT {Q_SQL_COLS} FROM ({O.sql_with_playbook('(SELECT * REPLACE (1 AS paused) FROM snap WHERE paused = 1 OR CAST(substr(trim(member_id), 2) AS BIGINT) % 9 = 0)')}) x")
 def q_paused(spark, sf_dir):
-    return OR.paused_queue(_snapshot(spark, sf_dir)).select(*OR.QUEUE_COLS)
+    """The paused queue of snapshots in which every ninth member is on pause (in the tables
+    no member's last week is)."""
+    number = F.substring(F.trim("member_id"), 2, 20).cast("long")
+    snap = _snapshot(spark, sf_dir).withColumn("paused", F.when(number % 9 == 0, F.lit(1)).otherwise(F.col("paused")))
+    return OR.paused_queue(snap).select(*OR.QUEUE_COLS)
 
 
 # --- profile -----------------------------------------------------------------
@@ -628,6 +632,15 @@ def q_join_pred(spark, sf_dir):
     return merged.select("MembershipID", "member_id", "PredictedClass", "Confidence")
 
 
+@register("match_counts", lambda: O.sql_predict_ctes(AS_OF, T0, T1) +
+          "SELECT count(*) AS rows, count(*) FILTER (WHERE CAST(substr(trim(MembershipID), 2) AS BIGINT) % 10 <> 0) AS with_prediction, "
+          "count(*) FILTER (WHERE CAST(substr(trim(MembershipID), 2) AS BIGINT) % 10 = 0) AS missing_prediction FROM feat")
+def q_match_counts(spark, sf_dir):
+    """Rows of the feature join with and without a prediction, when every tenth lacks one."""
+    some = _predictions(spark, sf_dir).where(F.substring(F.trim("MembershipID"), 2, 20).cast("long") % 10 != 0)
+    return PD.match_counts(PD.join_predictions_features(_features_for_predict(spark, sf_dir), some))
+
+
 @register("job_predict", lambda: O.sql_predict_ctes(AS_OF, T0, T1) + O.sql_sink_select(AS_OF))
 def q_job_predict(spark, sf_dir):
     return _predict_job(spark, sf_dir)
@@ -880,18 +893,26 @@ def q_label_encode(spark, sf_dir):
     return _profile(spark, sf_dir).select("MembershipID", "Churned", label_encode(F.col("Churned")).alias("label"))
 
 
-@register("leakage_check", lambda: f"SELECT false AS target_in_features, CAST(0 AS BIGINT) AS duplicate_columns, "
-          f"count(*) FILTER (WHERE {O.sql_hash('MembershipID')} % 100 < 20 AND NOT ({O.sql_hash('MembershipID')} % 100 < 20)) "
-          f"AS train_test_overlap FROM {O.sql_profile(AS_OF)} p")
+def _leakage_sql():
+    h = f"{O.sql_hash('MembershipID')} % 100"
+    one = (f"SELECT '{{}}' AS split, {{}} AS target_in_features, CAST(0 AS BIGINT) AS duplicate_columns, "
+           f"count(*) FILTER (WHERE {{}}) AS train_test_overlap FROM {O.sql_profile(AS_OF)} p")
+    return one.format("by member", "false", f"{h} < 20 AND NOT ({h} < 20)") + " UNION ALL " + one.format("with an overlap", "true", f"{h} >= 20 AND {h} < 25")
+
+
+@register("leakage_check", _leakage_sql)
 def q_leakage(spark, sf_dir):
+    """The split by member, and one whose test part also holds some training members and
+    whose target was not dropped."""
     df = CO.hash_split(_profile(spark, sf_dir), F.col("MembershipID"))
-    X = ML.drop_columns_if_present(df.drop("Churned"))
-    test = df.where(F.col("is_test")).select("MembershipID")
-    train = df.where(~F.col("is_test")).select("MembershipID")
-    overlap = test.join(train, "MembershipID", "left_semi").agg(F.count(F.lit(1)).alias("train_test_overlap"))
-    return overlap.select(F.lit("Churned" in X.columns).alias("target_in_features"),
-                          F.lit(len(X.columns) - len(set(X.columns))).cast("long").alias("duplicate_columns"),
-                          "train_test_overlap")
+    train, test = df.where(~F.col("is_test")).drop("is_test"), df.where(F.col("is_test")).drop("is_test")
+    some = train.where(CO.stable_hash(F.col("MembershipID")) % 100 < 25)
+    checks = {"by member": (train.drop("Churned"), test.drop("Churned")), "with an overlap": (train, test.unionByName(some))}
+    out = None
+    for name, (a, b) in checks.items():
+        row = CO.leakage_check(a, b, "MembershipID", "Churned").select(F.lit(name).alias("split"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 _DROPPED_SQL = ("Gender, Age, SubCategory, Channel, ClubName, MembershipTypeDesc, RegularPayment, \"Base Amount\", Term, "
@@ -1476,12 +1497,18 @@ def q_sort_profile(spark, sf_dir):
 
 @register("join_scores_weekly", lambda: O.sql_scores(AS_OF) + f"SELECT member_id, week, {O.r6('EWS')} AS EWS, engagement, paused FROM sc")
 def q_scores_weekly(spark, sf_dir):
-    return _scores(spark, sf_dir).select("member_id", "week", "EWS", "engagement", "paused")
+    """A stored table of scores joined to the weekly panel on member and week."""
+    path = _scratch(spark, "scores")
+    IO.write_parquet(_scores(spark, sf_dir).select("member_id", "week", "EWS"), path)
+    return SN.join_scores_weekly(IO.read_parquet(spark, path), _panel_flags(spark, sf_dir))
 
 
 @register("join_canceled", lambda: O.sql_features(AS_OF) + "SELECT member_id, week, CAST(coalesce(canceled, 0) AS INTEGER) AS canceled FROM f")
 def q_join_canceled(spark, sf_dir):
-    return _features(spark, sf_dir).select("member_id", "week", F.coalesce(F.col("canceled"), F.lit(0)).cast("int").alias("canceled"))
+    """The weekly panel joined to a table of cancellations on member and week."""
+    left = att_year(spark, sf_dir).where(F.col("canceled") == 1).select(F.col("MembershipID").alias("member_id"), F.col("WeekBeginningDate").alias("week"), "canceled")
+    panel = WK.weekly_panel(members(spark, sf_dir), att_year(spark, sf_dir), AS_OF)
+    return SN.join_canceled(panel, left).select("member_id", "week", "canceled")
 
 
 @register("join_stats_back", lambda: O.sql_features(AS_OF) + f"SELECT member_id, week, {O.r6('ema_z')} AS ema_z, "

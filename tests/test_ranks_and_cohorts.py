@@ -102,3 +102,12 @@ def test_cohorts_of_one_pass_equal_separate_ones(spark):
         mine = got[got.as_of.astype(str) == T].drop(columns="as_of")
         order = lambda d: d.sort_values("MembershipID").reset_index(drop=True)[sorted(d.columns)]
         pd.testing.assert_frame_equal(order(mine), order(want), check_exact=False, rtol=1e-12)
+
+
+def test_folds_with_odd_labels(spark):
+    from churnlens.operators import cohorts as CO
+    rows = [(f"i{i % 50}", None if i % 6 == 0 else 7 + i % 3) for i in range(240)]
+    got = CO.stratified_folds(spark.createDataFrame(rows, "id string, y int"), "y", "id").toPandas()
+    assert len(got) == 240 and list(got.columns) == ["id", "y", "fold"]
+    sizes = got.assign(y=got.y.fillna(-1)).groupby(["y", "fold"]).size().unstack()
+    assert sizes.shape == (4, 5) and (sizes.max(axis=1) - sizes.min(axis=1) <= 1).all()
