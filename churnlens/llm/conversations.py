@@ -403,3 +403,83 @@ def op12_conversation_repair(spark, sf_dir: str) -> DataFrame:
     """Query: faults, edits and digest of the repaired turns of every conversation."""
     out = repair(damaged(C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
     return out.withColumnRenamed("conv", "conv_id")
+
+
+def _sql() -> str:
+    """The contract as dynamic programming: of each state the cheapest and ASCII-least
+    edits so far, row by row."""
+    step = "list_reduce(list_concat([xor(a, b)], range(8)), lambda t, z: xor(t >> 1, (t & 1) * 3988292384))"
+    crc = ("xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, i, 1)) AS BIGINT))), "
+           f"lambda a, b: {step}), 4294967295)")
+
+    def add(state: str, edit: str, cost: str) -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}}"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    none = "{'c': CAST(1000000000 AS BIGINT), 'a': ''}"
+    more = f"CASE WHEN fault = 2 THEN {CUT} ELSE 0 END"
+
+    def kept(state: str, who: str) -> str:
+        return f"CASE WHEN fault <> 1 AND who = '{who}' THEN {add(state, 'K', more)} ELSE {none} END"
+
+    def changed(state: str) -> str:
+        return f"CASE WHEN fault <> 1 THEN {add(state, 'R', f'{REROLE} + {more}')} ELSE {none} END"
+
+    inserted_u = least("f2", add("f0", "I", INSERT), add("f1", "I", INSERT), add("f3", "I", INSERT))
+    return rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+hit AS (SELECT *, {crc} % 20 AS k FROM src),
+live AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hit, LATERAL (SELECT unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END)) c WHERE k <> 0),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS rn FROM live),
+faulty AS MATERIALIZED (
+  SELECT *, left(role, 1) AS who,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS name,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM num),
+rows_ AS MATERIALIZED (SELECT *, CASE name WHEN 'truncated' THEN 2 WHEN '' THEN 0 ELSE 1 END AS fault FROM faulty),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+sums AS (
+  SELECT c.conv_id, count(r.rn) AS n, coalesce(max(r.turn) - min(r.turn) + 1 - count(DISTINCT r.turn), 0) AS gaps,
+         count(*) FILTER (WHERE r.name = 'blank') AS blank, count(*) FILTER (WHERE r.name = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE r.name = 'truncated') AS truncated,
+         count(*) FILTER (WHERE r.before IS NOT NULL AND r.before || r.who NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM convs c LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id),
+dp(conv_id, i, f0, f1, f2, f3) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), {{'c': CAST(0 AS BIGINT), 'a': ''}}, {none}, {none}, {none} FROM convs
+  UNION ALL
+  SELECT conv_id, rn, {add('f0', 'D', DELETE)}, {least(add('f1', 'D', DELETE), kept('f0', 's'))},
+         {least(add('f2', 'D', DELETE), *[kept(f, 'u') for f in ('f0', 'f1', 'f3')], *[changed(f) for f in ('f0', 'f1', 'f3')])},
+         {least(add('f3', 'D', DELETE), kept('f2', 'a'), changed('f2'))}
+  FROM (
+    SELECT conv_id, rn, who, fault, f0, f1, f2, {least('f3', add('f2', 'I', INSERT))} AS f3 FROM (
+      SELECT d.conv_id, r.rn, r.who, r.fault, f0, f1, {inserted_u} AS f2, f3
+      FROM dp d JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.rn = d.i + 1))),
+ends AS (
+  SELECT s.*, {least('f0', 'f3', add('f2', 'I', INSERT), add(add('f1', 'I', INSERT), 'I', INSERT))} AS best
+  FROM sums s JOIN dp d ON d.conv_id IS NOT DISTINCT FROM s.conv_id AND d.i = s.n),
+edits AS (SELECT conv_id, unnest(range(1, length(best.a) + 1)) AS j, best.a AS audit FROM ends),
+placed AS (
+  SELECT conv_id, j, substr(audit, j, 1) AS e, length(replace(substr(audit, 1, j), 'I', '')) AS rn,
+         length(replace(substr(audit, 1, j), 'D', '')) AS place FROM edits),
+turned AS (
+  SELECT p.conv_id, p.j, p.e, p.place, r.role, r.text, max(CASE WHEN p.place = 1 AND p.e = 'K' AND r.who = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS has_s
+  FROM placed p LEFT JOIN rows_ r ON p.e <> 'I' AND r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.rn = p.rn),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (place - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                             CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS t FROM turned WHERE e <> 'D' GROUP BY conv_id)
+SELECT e.conv_id, gaps, blank, duplicate, truncated, illegal, best.c AS cost, best.a AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM ends e LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+SQL = _sql()

@@ -23,6 +23,8 @@ ORACLE = {
     "op1_quality_rules": quality.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_url_filter": url_filter.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_conversation_repair": conversations.SQL,
 }
 
 

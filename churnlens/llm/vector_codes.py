@@ -390,3 +390,39 @@ def op11_vector_codes(spark, sf_dir: str) -> DataFrame:
     labels = cut_lineage(rows.groupBy("key").agg(F.sum("error").alias("label_error"), F.count(F.lit(1)).alias("n")))
     out = C.attach(rows, labels, ["key"], "n", ["label_error"], F.col("vec_id"))
     return out.select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
+def _sql() -> str:
+    """The contract for vectors of one length that 4 divides, round by round."""
+    def nearest(book: str) -> str:
+        return (f"SELECT p.r, p.part, min({{'d': CAST(p.sq - 2 * list_dot_product(p.v, b.v) + b.sq AS BIGINT), 'e': b.entry}}) AS x "
+                f"FROM p JOIN {book} b ON b.part = p.part GROUP BY p.r, p.part")
+
+    rounds = "".join(f"""
+a{i} AS MATERIALIZED ({nearest(f'b{i}')}),
+m{i} AS MATERIALIZED (
+  SELECT part, entry, list(c ORDER BY pos) AS v FROM (
+    SELECT p.part, a.x.e AS entry, u.pos, floor(sum(p.v[u.pos]) / count(*)) AS c
+    FROM a{i} a JOIN p ON p.r = a.r AND p.part = a.part, LATERAL (SELECT unnest(range(1, len(p.v) + 1)) AS pos) u GROUP BY 1, 2, 3) GROUP BY 1, 2),
+b{i + 1} AS MATERIALIZED (
+  SELECT o.part, o.entry, coalesce(m.v, o.v) AS v, list_dot_product(coalesce(m.v, o.v), coalesce(m.v, o.v)) AS sq
+  FROM b{i} o LEFT JOIN m{i} m ON m.part = o.part AND m.entry = o.entry),""" for i in range(ROUNDS))
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+         list_transform(embedding, lambda c: floor({SCALE} * CAST(c AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+q AS (SELECT k.r, u.part, k.v[u.part * (len(k.v) // {PARTS}) + 1:(u.part + 1) * (len(k.v) // {PARTS})] AS v
+      FROM k, LATERAL (SELECT unnest(range({PARTS})) AS part) u),
+p AS MATERIALIZED (SELECT *, list_dot_product(v, v) AS sq FROM q),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, v, sq FROM p WHERE r <= {ENTRIES}),{rounds}
+last AS MATERIALIZED ({nearest(f'b{ROUNDS}')}),
+coded AS (SELECT r, string_agg(printf('%02x', x.e), '' ORDER BY part) AS code, CAST(sum(x.d) AS BIGINT) AS error FROM last GROUP BY r),
+digest AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS sha
+           FROM (SELECT part, entry, unnest(v) AS c, unnest(range(len(v))) AS pos FROM b{ROUNDS}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha FROM digest) AS codebooks_sha256
+FROM k JOIN coded USING (r)
+"""
+
+
+SQL = _sql()
