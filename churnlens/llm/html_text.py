@@ -278,29 +278,27 @@ def weigh(body: Node, order: list[Node]) -> None:
         node.total = sum(x.density for x in node.kids if not isinstance(x, str))
 
 
-def _best(nodes: list[Node]) -> Node | None:
-    """The node whose children have the greatest sum; a node without children has its own
-    density for it, ties go to the first."""
-    with_text = [x for x in nodes if x.chars]
-    return max(with_text, key=lambda x: max(x.total, 0.0 if any(not isinstance(k, str) and k.chars for k in x.kids) else x.density), default=None)
+def _score(node: Node) -> float:
+    """The sum of the children's densities; without a child that has text, its own."""
+    return node.total if any(not isinstance(k, str) and k.chars for k in node.kids) else node.density
 
 
-def _below(node: Node) -> list[Node]:
-    out, todo = [], [node]
-    while todo:
-        x = todo.pop()
-        out.append(x)
-        todo += [k for k in reversed(x.kids) if not isinstance(k, str)]
-    return out
+def _best(nodes: list[Node]) -> Node | None:
+    """The node with text of the greatest score; ties go to the first."""
+    return max((x for x in nodes if x.chars), key=_score, default=None)
 
 
 def select(body: Node, order: list[Node]) -> tuple[list[Node], float]:
     """Subtrees to keep, in page order, and the threshold."""
     for tag in ("article", "main"):
-        homes = [x for x in order if x.tag == tag and x.chars]
-        if homes:
-            within = {id(y): y for x in homes for y in _below(x)} if len(homes) < 2 else {id(y): y for x in homes if not _inside(x, homes) for y in _below(x)}
-            core = _best(list(within.values()))
+        within, todo = [], [(body, body.tag == tag)]
+        while todo:  # all nodes inside of one, parents first
+            node, inside = todo.pop()
+            if inside:
+                within.append(node)
+            todo += [(k, inside or k.tag == tag) for k in reversed(node.kids) if not isinstance(k, str)]
+        core = _best(within)
+        if core is not None:
             threshold, home, up = core.density, core, core
             while up is not None and up is not body.parent:
                 threshold = min(threshold, up.density)
@@ -317,11 +315,10 @@ def select(body: Node, order: list[Node]) -> tuple[list[Node], float]:
         up = up.parent
     # each node's subtree of the greatest sum, children first; then the marks, parents first
     best: dict[int, Node] = {}
-    score = lambda x: max(x.total, 0.0 if any(not isinstance(k, str) and k.chars for k in x.kids) else x.density)
     for node in reversed(order):
         top = node
         for k in node.kids:
-            if not isinstance(k, str) and k.chars and (score(best[id(k)]) > score(top) or not top.chars):
+            if not isinstance(k, str) and k.chars and (_score(best[id(k)]) > _score(top) or not top.chars):
                 top = best[id(k)]
         best[id(node)] = top
     marked: set[int] = set()
@@ -341,16 +338,6 @@ def select(body: Node, order: list[Node]) -> tuple[list[Node], float]:
     return out, threshold
 
 
-def _inside(node: Node, homes: list[Node]) -> bool:
-    ids = {id(x) for x in homes}
-    up = node.parent
-    while up is not None:
-        if id(up) in ids:
-            return True
-        up = up.parent
-    return False
-
-
 def _menu(node: Node, threshold: float) -> bool:
     return node.tag in BOXES and node.links > 1 and node.linked == node.chars > 0 and node.density < threshold
 
