@@ -1150,11 +1150,18 @@ def q_top_features(spark, sf_dir):
 
 @register("save_model")
 def q_save_model(spark, sf_dir):
-    """Train, store model and thresholds, and score the test rows with what was stored."""
+    """Fit one booster, store it with its thresholds, and score the test rows with what was
+    stored."""
+    from pyspark.ml import PipelineModel
     df = _train_frame(spark, sf_dir)
-    _train_and_store(spark, sf_dir)
-    model, th = _stored_model(spark, sf_dir)
-    return PD.predictions_frame(ML.class_probabilities(model, df.where(F.col("is_test"))), th)
+    num, cat = _feature_lists(df)
+    train, test = df.where(~F.col("is_test")), df.where(F.col("is_test"))
+    model = ML.train_churn_3class(train, "label", max(SEARCH_GRID["numTrees"]), numeric=num, categorical=cat)
+    path, th_path = _scratch(spark, "model"), _scratch(spark, "thresholds")
+    model.write().overwrite().save(path)
+    IO.write_parquet(TH.threshold_search(ML.class_probabilities(model, test), "label", **TUNE), th_path)
+    th = TH.thresholds_to_dict(IO.read_parquet(spark, th_path))
+    return PD.predictions_frame(ML.class_probabilities(PipelineModel.load(path), test), th)
 
 
 @register("batch_score_upload")
