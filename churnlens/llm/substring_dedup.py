@@ -42,7 +42,7 @@ from . import common as C
 LENGTH, MER = 50, 16
 #: Windows hashed at once, anchors a map task gathers before it reports them, bytes of
 #: candidate runs likewise, and bytes of one transform.
-BLOCK, ANCHORS, RUN_BYTES, BWT_BYTES = 1 << 18, 1 << 20, 16 << 20, 1 << 20
+BLOCK, ANCHORS, RUN_BYTES, BWT_BYTES = 1 << 18, 1 << 20, 32 << 20, 1 << 20
 #: Text bytes for each bucket of anchors, of documents and of candidate runs; of the last
 #: there are several a partition, so that chance does not give one task many.
 ANCHOR_BUCKET, DOC_BUCKET, RUN_BUCKET = 64 << 20, 16 << 20, 4 << 20
