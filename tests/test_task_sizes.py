@@ -59,3 +59,37 @@ def test_stored_for_fits(spark):
     assert few.rdd.getNumPartitions() == 2 and few.count() == 1000
     assert many.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and many.distinct().count() == 9000
     assert max(many.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 9000 / spark.sparkContext.defaultParallelism + 50
+
+
+def _used(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+@pytest.fixture
+def many_shuffle_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_panel_is_dealt_though_the_session_has_more_partitions(stored, members, monkeypatch, many_shuffle_partitions):
+    monkeypatch.setattr(S, "INPUT_BYTES_PER_TASK", max(1, S.input_bytes(stored) // 40))
+    assert _used(WK.member_features(WK.weekly_panel(members, stored, "2001-01-01"))) > 30  # else one for every core
+
+
+def test_rows_count_however_well_they_compress(spark, stored, members, monkeypatch, many_shuffle_partitions):
+    assert S.input_rows(stored) == 40_000 and S.input_rows(spark.range(3).toDF("k")) == 0
+    monkeypatch.setattr(S, "INPUT_ROWS_PER_TASK", 1_000)
+    assert _used(S.spread(stored, "MembershipID")) > 30
+    rows = S.spread(stored, "MembershipID").select("MembershipID", F.spark_partition_id().alias("p")).distinct()
+    assert rows.count() == 2_000
+    monkeypatch.setattr(S, "INPUT_ROWS_PER_TASK", 30_000)
+    assert _used(S.spread(stored, "MembershipID")) == spark.sparkContext.defaultParallelism  # not fewer than there are cores
+
+
+def test_rows_of_tables_partitioned_by_a_column(spark, tmp_path):
+    spark.range(60).select("id", (F.col("id") % 3).alias("part")).write.partitionBy("part").parquet(str(tmp_path / "t"))
+    spark.range(5).toDF("other").write.parquet(str(tmp_path / "u [x] 7%"))
+    both = spark.read.parquet(str(tmp_path / "t")).join(spark.read.parquet(str(tmp_path / "u \\[x\\] 7%")), F.col("id") == F.col("other"))
+    assert S.input_rows(both) == 65
