@@ -93,3 +93,20 @@ def test_rows_of_tables_partitioned_by_a_column(spark, tmp_path):
     spark.range(5).toDF("other").write.parquet(str(tmp_path / "u [x] 7%"))
     both = spark.read.parquet(str(tmp_path / "t")).join(spark.read.parquet(str(tmp_path / "u \\[x\\] 7%")), F.col("id") == F.col("other"))
     assert S.input_rows(both) == 65
+
+
+def test_weeks_of_members_are_moved_by_no_sort(spark, stored, members):
+    dates = ["2000-06-01", "2001-01-01"]
+    dated = members.select("*", F.explode(F.array(*[F.lit(T).cast("date") for T in dates])).alias("as_of"))
+    per = S.cut_lineage(WK.attendance_by_member(stored, dates))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        panel = WK.weekly_panels(dated, per)
+        plan = panel._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+        got = {(str(r.as_of), r.MembershipID, str(r.week), r.engagement) for r in panel.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    own = {(T, r.member_id, str(r.week), r.engagement) for T in dates for r in WK.weekly_panel(members, stored, T).collect()}
+    assert got == own and len(got) > 0
