@@ -15,9 +15,11 @@ a space, around a character without a piece) is where all paths meet.
 ``commits`` is the loop: chunks of a text go in, ids come out as they settle. Of the text
 it holds the stretch after the last meeting point of the chunk, whose paths may still
 differ. A finished stretch goes through the lattice once, from each boundary along a trie
-of the pieces, and is remembered while it is short; one that outgrows ``_HELD`` characters
-without an end goes through the windowed lattice of ``stream``, which commits whenever the
-backpointer paths of the window meet.
+of the pieces, and is remembered while it is short. What a character does to the live
+boundaries of the window depends on them alone, so that step is remembered too, and
+stretches that begin alike share their lattice. A stretch that outgrows ``_HELD`` characters
+goes through the windowed lattice of ``stream``, which commits whenever the backpointer
+paths of the window meet.
 
 Defined results: a null text has no ids (and decodes to null); an empty text has none;
 characters without a piece become byte pieces (or the unknown id if the model has none);
@@ -30,6 +32,7 @@ and ids apart); an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -42,8 +45,10 @@ from . import common as C
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Remembered stretches and piece pairs a task, and the longest stretch remembered.
-_KEPT, _KEPT_PAIRS, _SHORT = 400_000, 1_000_000, 48
+#: Remembered stretches, piece pairs and windows a task, and the longest stretch remembered.
+_KEPT, _KEPT_PAIRS, _KEPT_WINDOWS, _SHORT = 400_000, 1_000_000, 200_000, 48
+#: Bits of a character beside the number of a node or window, and of a piece beside a node.
+_CHAR, _PIECE = 21, 32
 _EVERY = 64
 #: Characters that go in at a time, and of a stretch without an end before it is streamed.
 CHUNK, _HELD = 1 << 15, 1 << 12
@@ -99,6 +104,20 @@ def load(path: str = MODEL) -> dict:
             "unigram": is_unigram(m.serialized_model_proto()), "prefix": bool(probe) and probe[0].startswith(SPACE)}
 
 
+class _Known(dict):
+    """Stretch -> its ids as packed 32-bit integers; short ones are remembered."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, stretch: str) -> bytes:
+        got = self.learn(stretch)
+        if len(stretch) <= _SHORT:
+            self[stretch] = got
+        return got
+
+
 class Coder:
     def __init__(self, model: dict):
         self.pieces, self.scores, self.bytes = model["pieces"], model["scores"], model["bytes"]
@@ -111,23 +130,46 @@ class Coder:
         #: piece -> piece after it -> do they stay as they are
         self.agrees: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
-        self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.split: dict[int, tuple | None] = {}
-        self.known: dict[str, bytes] = {}  # stretch -> its ids, as packed 32-bit integers
+        self.spines: tuple[dict, dict] = {}, {}
+        self.known = _Known(self.lattice)
         self.n_commits = self.held = 0
-        #: trie of the pieces: character -> (node below, piece that ends here or -1)
-        self.trie: dict = {}
+        #: characters of a piece
+        self.size = {i: len(p) for p, i in self.pieces.items()}
+        #: trie of the pieces: node and character -> node below; the nodes that go on; by node
+        #: the piece that ends there or -1
+        self.trie: dict[int, int] = {}
+        self.goes_on: set[int] = set()
+        self.ends = [-1]
         for p, i in self.pieces.items():
-            node = self.trie
-            for c in p[:-1]:
-                node = node.setdefault(c, [{}, -1])[0]
-            node.setdefault(p[-1], [{}, -1])[1] = i
+            node = 0
+            for c in p:
+                below = self.trie.setdefault(node << _CHAR | ord(c), len(self.ends))
+                if below == len(self.ends):
+                    self.ends.append(-1)
+                    self.goes_on.add(node)
+                node = below
+            self.ends[node] = i
+        self.forget()
         split = "".join(c for c in "\n\t\r" if c not in self.pieces)
         inner = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
-        # stretches: no piece spans the places between them; and where one ends
-        self.stretch = None if inner else re.compile(f"[{split}]|{SPACE}*[^{SPACE}{split}]+|{SPACE}+" if split else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # stretches: no piece spans the places between them; and where a longer one ends
+        runs = "".join(f"[{re.escape(''.join(sorted(x)))}]+|" for x in self.families())
+        self.stretch = None if inner else re.compile(f"{SPACE}*(?:{runs}(?s:.))")
         self.border = re.compile(f"(?<!{SPACE}){SPACE}|(?s:.)(?<=[{split}])" if split else f"(?<!{SPACE}){SPACE}")
 
+    def families(self) -> list[set[str]]:
+        """Characters that stand side by side in pieces, directly or through others, the largest
+        family first; the mark of spaces joins none."""
+        family: dict[str, set[str]] = {}
+        for a, b in {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}:
+            if SPACE in (a, b):
+                continue
+            one, other = sorted((family.get(x) or {x} for x in (a, b)), key=len)
+            other |= one
+            family |= dict.fromkeys(one | {a, b}, other)
+        return sorted({id(x): x for x in family.values()}.values(), key=len, reverse=True)
+
     def merged(self, text: str) -> tuple[list[str], list[str]]:
         """Plain BPE of a short text: the neighbours with the best score are merged first,
         the leftmost of equal ones. The parts at the end and before the last merge."""
@@ -165,18 +207,29 @@ class Coder:
             return True
         if 2 * SPACE in self.text[a] + self.text[b]:  # scores of these do not follow their making
             return self.merged(self.text[a] + self.text[b])[0] == [self.text[a], self.text[b]]
-        cost = lambda x: -self.scores[x] if len(self.text[x]) > 1 else -1e30
+        get, scores, at, to = self.pieces.get, self.scores, 0, 0
+        ends, starts = self.spine(a, 1), self.spine(b, 0)
         bound, equal = float("inf"), False
         while True:
-            c = self.pieces.get(self.text[a] + self.text[b])
-            if c is not None and (cost(c) < bound or equal and cost(c) == bound):
+            (cost_a, text_a), (cost_b, text_b) = ends[at], starts[to]
+            c = get(text_a + text_b)
+            if c is not None and (-scores[c] < bound or equal and -scores[c] == bound):
                 return False
-            if len(self.text[a]) == 1 and len(self.text[b]) == 1:
+            if len(text_a) == 1 and len(text_b) == 1:
                 return True
-            if cost(a) > cost(b):
-                bound, equal, a = cost(a), False, self.halves(a)[1]
+            if cost_a > cost_b:
+                bound, equal, at = cost_a, False, at + 1
             else:
-                bound, equal, b = cost(b), True, self.halves(b)[0]
+                bound, equal, to = cost_b, True, to + 1
+
+    def spine(self, piece: int, side: int) -> list[tuple[float, str]]:
+        """The piece, its half at the start (0) or end (1), that half's half and so on to a
+        character, each with what its merge costs and its text."""
+        known = self.spines[side].get(piece)
+        if known is None:
+            text = self.text[piece]
+            known = self.spines[side][piece] = [(-self.scores[piece], text), *self.spine(self.halves(piece)[side], side)] if len(text) > 1 else [(-1e30, text)]
+        return known
 
     def stream(self, chunks):
         """Commits (an id, or a character without a piece) in order, from an iterable of
@@ -324,72 +377,75 @@ class Coder:
         if self.n_pairs > _KEPT_PAIRS:
             self.agrees.clear()
             self.n_pairs = 0
-        known, long = self.known, {}
-        for s in set(parts).difference(known):
-            (known if len(s) <= _SHORT else long)[s] = b"".join([known.get(x) or self.learn(x) for x in self.cut(s)])
+        if len(self.windows) > _KEPT_WINDOWS:
+            self.forget()
         self.n_commits += len(parts)
-        if long:
-            return b"".join([known.get(s) or long[s] for s in parts])
-        return b"".join(map(known.__getitem__, parts))
-
-    def learn(self, part: str) -> bytes:
-        got = self.lattice(part)
-        if len(part) <= _SHORT:
-            self.known[part] = got
-        return got
+        return b"".join(map(self.known.__getitem__, parts))
+
+    def forget(self):
+        """Only the window at the start of a stretch is known: one boundary, no piece before."""
+        #: by window its boundaries that a piece may go on from, in order: where the piece is in
+        #: the trie, and the piece before it plus one; then the piece that ends at the window
+        self.windows, self.ended = [(0,)], [-1]
+        self.numbers = {(0,): 0}  # boundaries -> window, with the bits of a character left free
+        self.moves: dict[int, int] = {}  # window and character -> window after it
+
+    def move(self, window: int, char: int) -> int:
+        """The window after one more character: every boundary's piece goes on along the trie.
+        The boundary after the character takes the first piece that ends there and fits the
+        piece before it; no two can."""
+        trie, agrees, live, found = self.trie, self.agrees, [], -2
+        for boundary in self.windows[window >> _CHAR]:
+            node = trie.get(boundary >> _PIECE << _CHAR | char)
+            if node is None:
+                continue
+            before, p = boundary & (1 << _PIECE) - 1, self.ends[node]
+            if p >= 0 and found == -2:
+                row = agrees.get(before - 1)
+                if row is None:
+                    row = agrees[before - 1] = {}
+                ok = row.get(p)
+                if ok is None:
+                    ok = row[p] = self.fits(before - 1, p)
+                    self.n_pairs += 1
+                if ok:
+                    found = p
+            if node in self.goes_on:
+                live.append(node << _PIECE | before)
+        if found == -2 and self.ended[window >> _CHAR] != -2 and chr(char) not in self.pieces:
+            found = -1
+        if found != -2:
+            live.append(found + 1)
+        key = tuple(live)
+        to = self.numbers.get(key)
+        if to is None:
+            to = self.numbers[key] = len(self.windows) << _CHAR
+            self.windows.append(key)
+            self.ended.append(found)
+        self.moves[window | char] = to
+        return to
 
     def lattice(self, s: str) -> bytes:
-        """Packed ids of a stretch by BPE's path rule: from each boundary that has a path, in
-        order, every piece of the trie is tried. A later boundary takes the first that fits
-        the piece before it; no two can."""
-        if len(s) > 4 * self.longest:
+        """Packed ids of a stretch by BPE's path rule: the window goes over it, then the path is
+        read back from its end by the pieces that end at the boundaries."""
+        if len(s) > _HELD:
             return b"".join(self._numbers(self.stream((s,))))
-        n, trie, agrees = len(s), self.trie, self.agrees
-        last, back = [-2] * (n + 1), [0] * (n + 1)
-        last[0] = -1
-        for at in range(n):
-            before = last[at]
-            if before == -2:
-                continue
-            row = agrees.get(before)
-            if row is None:
-                row = agrees[before] = {}
-            node, end = trie, at
-            while True:
-                below = node.get(s[end])
-                if below is None:
-                    break
-                end += 1
-                node, p = below
-                if p >= 0 and last[end] == -2:
-                    ok = row.get(p)
-                    if ok is None:
-                        ok = row[p] = self.fits(before, p)
-                        self.n_pairs += 1
-                    if ok:
-                        last[end], back[end] = p, at
-                if end == n or not node:
-                    break
-            if last[at + 1] == -2 and s[at] not in self.pieces:
-                last[at + 1], back[at + 1] = -1, at
-        out, to = [], n
+        known, window, passed = self.moves.get, 0, []
+        for c in map(ord, s):
+            to = known(window | c)
+            window = self.move(window, c) if to is None else to
+            passed.append(window)
+        ended, size, out, to = self.ended, self.size, [], len(s)
         while to > 0:
-            p = last[to]
+            p = ended[passed[to - 1] >> _CHAR]
             if p >= 0:
                 out.append(p)
+                to -= size[p]
             else:
                 out += self.ids((s[to - 1],))[::-1]
-            to = back[to]
-        if len(out) > 4:
-            return np.array(out[::-1], np.int32).tobytes()
-        return b"".join([i.to_bytes(4, "little") for i in out[::-1]])
-
-    def cut(self, s: str) -> list[str]:
-        """``s`` cut between neighbours that stand so in no piece: every path has a boundary
-        there."""
-        pairs = self.pairs
-        at = [i for i in range(1, len(s)) if s[i - 1:i + 1] not in pairs]
-        return [s[i:j] for i, j in zip([0, *at], [*at, len(s)])] if at else [s]
+                to -= 1
+        out.reverse()
+        return array("i", out).tobytes()
 
     def decode(self, ids: list[int]) -> str:
         out = self.out

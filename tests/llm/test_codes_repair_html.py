@@ -399,6 +399,35 @@ def test_pieces_stretch_without_end(monkeypatch):
     assert coder.held <= 27
 
 
+def test_pieces_step_once_for_words_that_begin_alike(monkeypatch):
+    import sentencepiece
+    lib, coder, rnd = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL), pieces.Coder(pieces.load()), random.Random(2)
+    steps, move = [], coder.move
+    monkeypatch.setattr(coder, "move", lambda *at: steps.append(at) or move(*at))
+    words = sorted({"".join(rnd.choice(["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]) for _ in range(6)) for _ in range(3000)})
+    text = " ".join(w + rnd.choice([",", ".", "", "###", "(1)"]) for w in words)
+    assert coder.encode(text) == lib.encode(text)
+    assert len(steps) == len(set(steps)) == len(coder.moves) < len(text) / 4
+    assert len(coder.known) <= len(words) + 20  # a word is one stretch, whatever stands after it
+    monkeypatch.setattr(pieces, "_KEPT_WINDOWS", 50)  # forgotten and found again
+    monkeypatch.setattr(pieces, "CHUNK", 100)
+    coder.known.clear()
+    assert coder.encode(text) == lib.encode(text) and len(coder.windows) < 400
+
+
+def test_pieces_side_by_side():
+    coder, rnd = pieces.Coder(pieces.load()), random.Random(3)
+    made = [i for i in coder.text if coder.halves(i) is not None]
+    short = [i for i in made if len(coder.text[i]) < 4 and coder.text[i].isascii()]
+    pairs = [(rnd.choice(made), rnd.choice(made)) for _ in range(1000)] + [(rnd.choice(short), rnd.choice(short)) for _ in range(2000)]
+    found = [coder.fits(a, b) for a, b in pairs]
+    assert found == [coder.merged(coder.text[a] + coder.text[b])[0] == [coder.text[a], coder.text[b]] for a, b in pairs] and {*found} == {True, False}
+    families = coder.families()
+    assert sum(map(len, families)) == len(set().union(*families))
+    own = {c: k for k, x in enumerate(families) for c in x}
+    assert all(len({own.get(c, c) for c in p.strip(pieces.SPACE)}) <= 1 for p in coder.pieces)
+
+
 # what the earlier operators had no test of
 
 def test_write_shards(spark, tmp_path):
