@@ -4,11 +4,11 @@ A byte goes if a 50-byte string that covers it also starts in a document with a
 Equal strings are brought together by content, in two shuffles, and compared by a
 Burrows-Wheeler transform (BWT) of what meets:
 
-1. Anchors. Every 50-byte window has an anchor, the least hash of its 16-byte substrings,
+1. Anchors. Every 50-byte window has an anchor, the least hash of its 24-byte substrings,
    which equal windows share. Runs of windows with one anchor are the unit. A map task
    reports each anchor once, however many of its documents hold it, so a frequent passage
    adds one entry a task to its bucket. Anchors of two documents or more make candidates.
-2. Candidate runs (at most 84 bytes) are dealt by anchor. A map task sends equal runs
+2. Candidate runs (at most 76 bytes) are dealt by anchor. A map task sends equal runs
    once, for their smallest id; the other documents' runs are removed at once.
 3. An anchor whose runs all have one text needs no comparison. Of the others each bucket
    builds the BWT. From the empty string, all intervals are extended backward by one
@@ -39,15 +39,17 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-LENGTH, MER = 50, 16
+#: Shorter anchors would meet by chance, the more of them the larger the input; longer ones
+#: make more and shorter runs, which overlap.
+LENGTH, MER = 50, 24
 #: Windows hashed at once, anchors a map task gathers before it reports them, bytes of
 #: candidate runs likewise, and bytes of one transform.
-BLOCK, ANCHORS, RUN_BYTES, BWT_BYTES = 1 << 18, 1 << 20, 32 << 20, 1 << 20
+BLOCK, ANCHORS, RUN_BYTES, BWT_BYTES = 1 << 18, 1 << 20, 32 << 20, 1 << 18
 #: Text bytes for each bucket of anchors, of documents and of candidate runs; of the last
 #: there are several a partition, so that chance does not give one task many.
 ANCHOR_BUCKET, DOC_BUCKET, RUN_BUCKET = 64 << 20, 16 << 20, 4 << 20
 LAST = np.iinfo(np.int64).max
-_C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
+_C1, _C2, _C3, _C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
 def _grow(h: np.ndarray, by: int) -> np.ndarray:
@@ -84,7 +86,7 @@ def _runs(parts):
     lens = np.array([len(p) for _, _, p in parts])
     h = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8).astype(np.uint64)
     h = _grow(_grow(_grow(h, 1), 2), 4)
-    h = h[:-8] * _C1 + h[8:] * _C2
+    h = h[:-16] * _C1 + h[8:-8] * _C2 + h[16:] * _C4
     h ^= h >> np.uint64(29)
     h *= _C3
     h ^= h >> np.uint64(32)
@@ -110,43 +112,81 @@ def _bytes(column) -> list[bytes]:
 
 
 _ANCHOR = "bucket int, lows binary, keys binary, counts binary, shared binary, own_lows binary, own_keys binary, own_counts binary"
+#: Of what is sent, runs, ids of anchors and their counts.
+_CODEC = pa.Codec("zstd")
 
 
-def _by_key(keys: np.ndarray, lows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lows in the order of their keys, the distinct keys, and how many lows each has."""
-    order = np.argsort(keys, kind="stable")
-    keys, lows = keys[order], lows[order]
-    cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
-    return lows, keys[cut], np.diff(np.r_[cut, len(keys)]).astype(np.uint32) if len(keys) else np.empty(0, np.uint32)
+def _pack(values: bytes) -> bytes:
+    """The bytes compressed, behind their number."""
+    return len(values).to_bytes(8, "little") + _CODEC.compress(values, asbytes=True) if values else b""
+
+
+def _unpack(packed: bytes) -> bytes:
+    return _CODEC.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True) if packed else b""
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before in any of the columns."""
+    n = len(columns[0])
+    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], 0)]) if n else np.empty(0, int)
+
+
+def _deal(place: np.ndarray, keys: np.ndarray, lows: np.ndarray):
+    """For each place (ascending) its keys as differences, how many lows each has, and the
+    lows in the order of the keys. Entries come by place, then key."""
+    at = _starts(place, keys)
+    counts = np.diff(np.r_[at, len(keys)]).astype(np.uint32)
+    cut = _starts(place[at])
+    for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(at)]):
+        a, b = at[i], at[j] if j < len(at) else len(keys)
+        yield int(place[a]), lows[a:b].tobytes(), _pack(np.diff(keys[at[i:j]], prepend=0).tobytes()), _pack(counts[i:j].tobytes())
+
+
+def _by_place(place: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """An order by place, then key."""
+    order = np.argsort(keys)
+    return order[np.argsort(place[order].astype(np.uint16) if len(place) and place.max() < 1 << 16 else place[order], kind="stable")]
 
 
 def _joined(table: pa.Table, column: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in table.column(column).to_pylist() if x), kind)
 
 
+def _dealt(table: pa.Table, keys: str, counts: str) -> np.ndarray:
+    """For each low of ``_deal`` its key."""
+    found = [np.repeat(np.cumsum(np.frombuffer(_unpack(k), np.int64)), np.frombuffer(_unpack(n), np.uint32))
+             for k, n in zip(table.column(keys).to_pylist(), table.column(counts).to_pylist()) if k]
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
 def _report_anchors(buckets: int):
     """Rows for the buckets of anchors, and for documents whose anchors another document
     of the same task has (key and lows)."""
     def flush(found, keys):
         doc, anchor = (np.concatenate(x) for x in zip(*found))
         key = np.array(keys, np.int64)
-        order = np.lexsort((doc, anchor))
-        doc, anchor = doc[order], anchor[order]
-        new = np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]
-        doc, anchor = doc[new], anchor[new]
-        start = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        many = np.repeat(np.diff(np.r_[start, len(anchor)]) > 1, np.diff(np.r_[start, len(anchor)]))
-        lows = (anchor & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        at = ((anchor >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-        first = np.zeros(len(anchor), bool)
-        first[start] = True
-        out = []
-        for b in range(buckets):
-            here = at == b
-            alone, own = here & ~many, here & many
-            if here.any():
-                out.append((b, *[x.tobytes() for x in _by_key(key[doc[alone]], lows[alone])], lows[own & first].tobytes(),
-                            *[x.tobytes() for x in _by_key(key[doc[own]], lows[own])]))
+        code = ((anchor >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | anchor & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        order = np.argsort(code)
+        code, doc = code[order], doc[order]
+        start = _starts(code)
+        code = code[start]
+        # each document once for an anchor
+        pairs = np.sort(np.repeat(np.arange(len(start)) << 32, np.diff(np.r_[start, len(doc)])) | doc)
+        pairs = pairs[_starts(pairs)]
+        which, doc = pairs >> 32, pairs & 0xFFFFFFFF
+        many = np.bincount(which) > 1
+        own, shared = many[which], code[many]
+        code = code[which]
+        out: dict[int, list] = {}
+        for first, here in ((0, ~own), (4, own)):
+            at = code[here] >> 32
+            order = _by_place(at, doc[here])
+            for b, *cols in _deal(at[order], key[doc[here][order]], (code[here][order] & 0xFFFFFFFF).astype(np.uint32)):
+                out.setdefault(b, [b""] * 7)[first:first + 3] = cols
+        cut = _starts(shared >> 32)
+        for i, j in zip(cut, [*cut[1:], len(shared)]):
+            out[int(shared[i] >> 32)][3] = (shared[i:j] & 0xFFFFFFFF).astype(np.uint32).tobytes()
+        out = [(b, *cols) for b, cols in out.items()]
         cols = list(zip(*out))
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
                                          names=[c.split()[0] for c in _ANCHOR.split(", ")])
@@ -174,19 +214,18 @@ def _report_anchors(buckets: int):
 def _shared_anchors(parts: int):
     """The anchors of a bucket that two documents have, dealt by document."""
     def run(got: pa.Table) -> pa.Table:
-        lows, keys = _joined(got, "lows", np.uint32), np.repeat(_joined(got, "keys", np.int64), _joined(got, "counts", np.uint32))
-        order = np.argsort(lows, kind="stable")
+        lows, keys = _joined(got, "lows", np.uint32), _dealt(got, "keys", "counts")
+        order = np.argsort(lows)
         lows, keys = lows[order], keys[order]
-        start = np.flatnonzero(np.r_[True, lows[1:] != lows[:-1]]) if len(lows) else np.empty(0, int)
-        size = np.diff(np.r_[start, len(lows)]) if len(lows) else start
+        start = _starts(lows)
+        size = np.diff(np.r_[start, len(lows)])
         # entries are distinct in a report of a task: two entries are two rows
         take = np.repeat((size > 1) | np.isin(lows[start], _joined(got, "shared", np.uint32)), size)
         lows = np.r_[_joined(got, "own_lows", np.uint32), lows[take]]
-        keys = np.r_[np.repeat(_joined(got, "own_keys", np.int64), _joined(got, "own_counts", np.uint32)), keys[take]]
-        to, out = keys % parts, []
-        for p in np.unique(to):
-            here = to == p
-            out.append((int(p), *[x.tobytes() for x in _by_key(keys[here], lows[here])]))
+        keys = np.r_[_dealt(got, "own_keys", "own_counts"), keys[take]]
+        to = keys % parts
+        order = _by_place(to, keys)
+        out = list(_deal(to[order], keys[order], lows[order]))
         cols = list(zip(*out)) if out else [[]] * 4
         return pa.table({"part": pa.array(cols[0], pa.int32()), **{n: pa.array(c, pa.binary()) for n, c in zip(("lows", "keys", "counts"), cols[1:])}})
     return run
@@ -194,9 +233,11 @@ def _shared_anchors(parts: int):
 
 def _document_anchors(got: pa.Table) -> pa.Table:
     """One row per document with its shared anchors."""
-    lows, keys, counts = _by_key(np.repeat(_joined(got, "keys", np.int64), _joined(got, "counts", np.uint32)), _joined(got, "lows", np.uint32))
-    to = np.cumsum(counts, dtype=np.int64)
-    return pa.table({"k": pa.array(keys, pa.int64()), "lows": pa.array([lows[j - n:j].tobytes() for j, n in zip(to.tolist(), counts.tolist())], pa.binary())})
+    lows, keys = _joined(got, "lows", np.uint32), _dealt(got, "keys", "counts")
+    order = np.argsort(keys)
+    lows, keys = lows[order], keys[order]
+    at = _starts(keys)
+    return pa.table({"k": pa.array(keys[at], pa.int64()), "lows": pa.array([lows[i:j].tobytes() for i, j in zip(at.tolist(), [*at[1:].tolist(), len(keys)])], pa.binary())})
 
 
 #: An entry's id is its key, or LAST where ``unnamed`` says so.
@@ -227,77 +268,99 @@ def _merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([keys[at], fps[at], starts[at], reach[np.r_[at[1:], len(row)] - 1]], 1)
 
 
+def _split(spans: np.ndarray, parts: int):
+    """(part, its spans), dealt by key."""
+    to = spans[:, 0] % parts
+    order = np.argsort(to, kind="stable")
+    cut = _starts(to[order])
+    for i, j in zip(cut, [*cut[1:], len(order)]):
+        yield int(to[order[i]]), spans[order[i:j]]
+
+
 def _send_runs(buckets: int):
     """Candidate runs for the buckets (equal ones of a task once, for the smallest id), and
     the spans of the documents that lose a run to another one of the same task."""
-    def flush(found: dict):
-        lost, by = [], {}
-        for (low, at, text), held in found.items():
-            least = min(h[0] for h in held)
-            for ident, key, fp, pos in held:
-                if ident > least:
-                    lost.append((key, fp, pos, pos + len(text)))
-                else:
-                    by.setdefault(at, []).append((text, ident, low, key, fp, pos))
+    def flush(found, texts):
+        low, at, ident, key, fp, pos = (np.concatenate(x) for x in zip(*found))
+        lens = np.fromiter(map(len, texts), np.int64, len(texts))
+        code = at << 40 | low << 8 | lens
+        order = np.argsort(code)
+        # equal runs have one anchor and one length
+        start = _starts(code[order])
+        size = np.diff(np.r_[start, len(order)])
+        some = order[np.repeat(size > 1, size)]
+        equal = np.arange(len(texts))
+        known: dict[tuple, int] = {}
+        equal[some] = [known.setdefault((c, texts[i]), i) for i, c in zip(some.tolist(), code[some].tolist())]
+        least = ident.copy()
+        np.minimum.at(least, equal[some], ident[some])
+        gone = ident > least[equal]
         rows = []
-        if lost:
-            spans = _merged(np.array(lost, np.int64))
-            at = spans[:, 0] % buckets
-            rows += [_row(bucket=int(b), spans=spans[at == b].tobytes()) for b in np.unique(at)]
-        for b, items in by.items():
-            text, ident, low, key, fp, pos = zip(*items)
-            rows.append(_row(bucket=b, runs=b"".join(text), lens=np.array([len(t) for t in text], np.uint8).tobytes(),
-                             unnamed=(np.array(ident, np.int64) == LAST).astype(np.uint8).tobytes(), lows=np.array(low, np.uint32).tobytes(),
-                             owners=np.array([key, fp], np.int64).tobytes(), places=np.array(pos, np.uint32).tobytes()))
-        if rows:
-            yield _batch(rows)
+        if gone.any():
+            spans = _merged(np.stack([key[gone], fp[gone], pos[gone], pos[gone] + lens[gone]], 1))
+            rows += [_row(bucket=b, spans=x.tobytes()) for b, x in _split(spans, buckets)]
+        order = order[~gone[order]]
+        cut = _starts(at[order])
+        for i, j in zip(cut, [*cut[1:], len(order)]):
+            e = order[i:j]
+            rows.append(_row(bucket=int(at[e[0]]), runs=_pack(b"".join([texts[x] for x in e.tolist()])), lens=lens[e].astype(np.uint8).tobytes(),
+                             unnamed=(ident[e] == LAST).astype(np.uint8).tobytes(), lows=low[e].astype(np.uint32).tobytes(),
+                             owners=np.array([key[e], fp[e]]).tobytes(), places=pos[e].astype(np.uint32).tobytes()))
+        yield _batch(rows)
 
     def run(batches):
-        found: dict[tuple, list] = {}
-        size = 0
+        found, held, size = [], [], 0
         for batch in batches:
             for a, b in C.blocks(batch, "text"):
                 part = batch.slice(a, b - a)
-                ids = [LAST if x is None else x for x in part.column(0).to_pylist()]
-                keys, fps, texts = part.column(1).to_pylist(), part.column(2).to_pylist(), _bytes(part.column(3))
-                lows = [np.frombuffer(x, np.uint32).astype(np.int64) for x in part.column(4).to_pylist()]
-                wanted = np.concatenate([x | i << 32 for i, x in enumerate(lows)]) if lows else np.empty(0, np.int64)
+                ids = np.array([LAST if x is None else x for x in part.column(0).to_pylist()], np.int64)
+                keys, fps, texts = np.array(part.column(1).to_pylist(), np.int64), np.array(part.column(2).to_pylist(), np.int64), _bytes(part.column(3))
+                lows = [np.frombuffer(x, np.uint32) for x in part.column(4).to_pylist()]
+                wanted = np.sort(np.repeat(np.arange(len(lows)) << 32, [len(x) for x in lows]) | np.concatenate(lows))
                 for doc, start, n, anchor in runs(texts):
                     low = (anchor & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                    take = np.isin(doc << 32 | low, wanted)
-                    at = ((anchor[take] >> np.uint64(32)) % np.uint64(buckets)).tolist()
-                    for d, s, w, x, o in zip(doc[take].tolist(), start[take].tolist(), n[take].tolist(), low[take].tolist(), at):
-                        for i in range(s, s + w, 200):  # a run of one repeated anchor can be long
-                            text = texts[d][i:min(s + w, i + 200) + LENGTH - 1]
-                            found.setdefault((x, o, text), []).append((ids[d], keys[d], fps[d], i))
-                            size += len(text) + 100
+                    sought = doc << 32 | low
+                    take = wanted[np.minimum(np.searchsorted(wanted, sought), len(wanted) - 1)] == sought
+                    at = ((anchor[take] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                    doc, start, n, low = doc[take], start[take], n[take], low[take]
+                    # a run of one repeated anchor can be long
+                    pieces = -(-n // 200)
+                    doc, low, at, end = (np.repeat(x, pieces) for x in (doc, low, at, start + n))
+                    start = np.repeat(start, pieces) + 200 * (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+                    end = np.minimum(end, start + 200) + LENGTH - 1
+                    held += [texts[d][i:j] for d, i, j in zip(doc.tolist(), start.tolist(), end.tolist())]
+                    found.append((low, at, ids[doc], keys[doc], fps[doc], start))
+                    size += int((end - start).sum()) + 100 * len(doc)
                     if size >= RUN_BYTES:
-                        yield from flush(found)
-                        found, size = {}, 0
-        if found:
-            yield from flush(found)
+                        yield from flush(found, held)
+                        found, held, size = [], [], 0
+        if held:
+            yield from flush(found, held)
     return run
 
 
 def transform(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts as one array (0xFF after each), its suffixes in order of their first 64
-    bytes, and the inverse of that order. Prefix doubling from eight bytes on."""
+    """The texts as one array (0xFF after each), its suffixes in order of their first
+    ``LENGTH`` bytes or more, and the inverse of that order. Prefix doubling from eight
+    bytes on, or rather as many times as ranks fit in a key: 8, 24 and 72 bytes."""
     raw = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8)
     n = len(raw)
     h = np.concatenate([raw, np.full(8, 255, np.uint8)]).astype(np.uint64)
     key = _grow(_grow(_grow(h, 1), 2), 4)[:n]
-    step = 8
+    step, bits = 8, n.bit_length()
     while True:
         order = np.argsort(key)  # equal keys: in any order, the next step parts them
+        if step > LENGTH:
+            break
         key = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[True, key[1:] != key[:-1]])
-        if step > LENGTH:
-            break
-        follow = np.zeros(n, np.int64)
-        follow[:n - step] = rank[step:] if step < n else 0
-        key = rank << 32 | follow
-        step *= 2
+        key = rank.copy()
+        ways = max(2, 63 // bits)
+        for k in range(1, ways):
+            key <<= bits
+            key[:max(0, n - k * step)] |= rank[k * step:]
+        step *= ways
     inverse = np.empty(n, np.int64)
     inverse[order] = np.arange(n)
     return raw, order, inverse
@@ -308,18 +371,21 @@ def intervals(raw: np.ndarray, order: np.ndarray, inverse: np.ndarray, length: i
     before. ``psi`` leads from c w to w: the character before w in the BWT is c. Interval
     of c w are extended from those of w, all of one length at a time: two neighbours
     c v, c w part at length k + 1 if v, w lie in two intervals of length k. Found
-    boundaries are not looked at again, and nothing is done beyond ``length``."""
+    boundaries are left out once they are many, and nothing is done beyond ``length``."""
     psi = inverse[np.minimum(order + 1, len(order) - 1)]
     head = raw[order]
     cut = np.r_[True, head[1:] != head[:-1]]
     live = np.flatnonzero(~cut)
+    v, w = psi[live - 1], psi[live]
     for _ in range(length - 1):
         if not len(live):
             break
         interval = np.cumsum(cut, dtype=np.int32)
-        parts = interval[psi[live]] != interval[psi[live - 1]]
-        cut[live[parts]] = True
-        live = live[~parts]
+        parts = interval[v] != interval[w]
+        found = np.flatnonzero(parts)
+        cut[live[found]] = True
+        if 8 * len(found) > len(live):
+            live, v, w = (x[~parts] for x in (live, v, w))
     return cut
 
 
@@ -338,9 +404,8 @@ def _removed(parts: int):
     """Spans to remove, from a bucket of candidate runs, dealt by document."""
     def run(got: pa.Table) -> pa.Table:
         spans = _merged(np.concatenate([_joined(got, "spans", np.int64).reshape(-1, 4), _bucket_spans(got)]))
-        to = spans[:, 0] % parts
-        at = np.unique(to)
-        return pa.table({"part": pa.array(at, pa.int32()), "spans": pa.array([spans[to == p].tobytes() for p in at], pa.binary())})
+        dealt = list(_split(spans, parts))
+        return pa.table({"part": pa.array([p for p, _ in dealt], pa.int32()), "spans": pa.array([x.tobytes() for _, x in dealt], pa.binary())})
     return run
 
 
@@ -361,7 +426,7 @@ def _bucket_spans(got: pa.Table) -> np.ndarray:
     owners = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rest.column("owners").to_pylist()]
     key, fp = np.concatenate(owners, 1) if owners else np.empty((2, 0), np.int64)
     ids = np.where(join("unnamed", np.uint8) == 1, LAST, key)
-    text = b"".join(rest.column("runs").to_pylist())
+    text = b"".join(map(_unpack, rest.column("runs").to_pylist()))
     ends = np.cumsum(lens)
     distinct: dict[bytes, int] = {}
     which = np.array([distinct.setdefault(text[e - n:e], len(distinct)) for e, n in zip(ends.tolist(), lens.tolist())], np.int64)
@@ -392,7 +457,7 @@ def _bucket_spans(got: pa.Table) -> np.ndarray:
         owner = least_owner([texts[i] for i in some], least[some])
         at = np.cumsum(sizes[a:b] + 1) - sizes[a:b] - 1
         count = first[some + 1] - first[some]
-        entry = entries[np.concatenate([np.arange(x, x + c) for x, c in zip(first[some], count)])]
+        entry = entries[np.repeat(first[some] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))]
         base, windows = np.repeat(at, count), np.repeat(sizes[a:b] - LENGTH + 1, count)
         inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         gone = owner[np.repeat(base, windows) + inside] < np.repeat(ids[entry], windows)

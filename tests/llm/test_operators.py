@@ -1,10 +1,12 @@
 """The operators against brute force on small tables with odd rows."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +235,50 @@ def test_substrings_corpus(spark):
     assert rows_of(columns5(substring_dedup.removed_spans(df))) == brute_substrings(rows)
 
 
+def phrases(n, size, seed=5):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=size)) for _ in range(n)]
+
+
+def shared_anchors(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["key", "text"])
+    reported = pa.Table.from_batches(list(substring_dedup._report_anchors(3)([batch])))
+    buckets = [reported.filter(pa.array([b.as_py() == x for b in reported.column("bucket")])) for x in range(3)]
+    dealt = pa.concat_tables([substring_dedup._shared_anchors(1)(x) for x in buckets])
+    found = substring_dedup._document_anchors(dealt)
+    return dict(zip(found.column("k").to_pylist(), found.column("lows").to_pylist()))
+
+
+def test_substrings_short_phrases_make_no_candidates():
+    # texts share phrases of 20 bytes, but never 24 bytes: nothing is to be compared
+    shared, own = phrases(5, 20), phrases(300, 12, 6)
+    texts = ["".join(own[10 * i + j] + shared[(i + j) % 5] for j in range(10)) for i in range(30)]
+    assert shared_anchors(texts) == {}
+    both = shared_anchors([*texts, texts[7][60:130]])
+    assert set(both) == {7, 30} and len(both[7]) >= 4
+
+
+def test_substrings_many_contexts_of_an_anchor(spark):
+    # anchors with many texts of one length, equal texts of several ids, two rows of one id
+    rng, shared = random.Random(7), phrases(4, 30)
+    texts = ["".join(rng.choice(shared) + rng.choice(["x", "yy", "zzz"]) for _ in range(12)) for _ in range(60)]
+    rows = [(i // 2 if i % 11 == 0 else i, t) for i, t in enumerate(texts)] + [(200 - i, texts[i]) for i in range(0, 60, 4)] + [(None, texts[3]), (3, texts[3])]
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        assert rows_of(columns5(substring_dedup.removed_spans(df))) == brute_substrings(rows)
+
+
+def test_transform_orders_by_fifty_bytes():
+    rng = random.Random(3)
+    passage = "".join(rng.choices("ab", k=900)).encode()
+    for size in (10, 300):  # more or fewer ranks in a key
+        texts = [passage[a:a + 40 + size] for a in (rng.randrange(600) for _ in range(size))]
+        raw, order, inverse = substring_dedup.transform(texts)
+        flat = raw.tobytes()
+        heads = [flat[i:i + 50] for i in order.tolist() if i + 50 <= len(flat)]
+        assert heads == sorted(heads) and (inverse[order] == range(len(order))).all()
+
+
 def test_intervals_are_common_prefixes():
     texts = [b"abracadabra" * 9, b"cadabra abracadabra" * 4, b"x"]
     raw, order, inverse = substring_dedup.transform(texts)
